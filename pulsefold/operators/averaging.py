@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def finite_params(updates: DataFrame, params: str = "params") -> DataFrame:
@@ -14,15 +14,15 @@ def finite_params(updates: DataFrame, params: str = "params") -> DataFrame:
 
 
 def average_params(updates: DataFrame, by: list[str], weight: str | None = "num_examples",
-                   params: str = "params") -> DataFrame:
+                   params: str = "params", *extra: Column) -> DataFrame:
     """Elementwise mean of `params` per group, weighted by examples unless `weight` is None.
 
     The means are merged map-side first, so a group of any number of clients sends one
-    array per task. No clients give no rows.
+    array per task. No clients give no rows. `extra` aggregates ride along.
     """
     vector = array_to_vector(F.col(params))
     mean = Summarizer.mean(vector, F.col(weight).cast("double")) if weight else Summarizer.mean(vector)
     total = F.sum(weight) if weight else F.count("*")
-    return updates.groupBy(*by).agg(total.alias(weight or "clients"), mean.alias("_mean")).select(
-        *by, weight or "clients", vector_to_array("_mean").alias(params)
-    )
+    size = weight or "clients"
+    merged = updates.groupBy(*by).agg(total.alias(size), mean.alias("_mean"), *extra).where(F.col(size) > 0)
+    return merged.withColumn(params, vector_to_array("_mean")).drop("_mean")

@@ -26,14 +26,14 @@ def regular_timestamps(df: DataFrame, start: str, order: list[str], out: str = "
     return numbered.withColumn(out, C.spaced_time(start, F.col("_i"))).drop("_i")
 
 
-def resolve_time(df: DataFrame, start: str | None = None, file_order: list[str] | None = None) -> DataFrame:
-    """`ts` from `timestamp`, else from `time`, else regular steps from `start` along `file_order`."""
+def resolve_time(df: DataFrame, start: str | None = None, index: str | None = None) -> DataFrame:
+    """`ts` from `timestamp`, else from `time`, else regular steps from `start` by the dense row number `index`."""
     for name in ("timestamp", "time"):
         if name in df.columns:
             return df.withColumn("ts", C.parse_time_strict(F.col(name)))
-    if start is None or not file_order:
-        raise ValueError("no time column: pass start and file_order to number the readings")
-    return regular_timestamps(df, start, file_order)
+    if start is None or index is None:
+        raise ValueError("no time column: pass start and the name of a dense row number")
+    return df.withColumn("ts", C.spaced_time(start, F.col(index)))
 
 
 def fill_and_clip(df: DataFrame) -> DataFrame:
@@ -65,12 +65,13 @@ def fill_constants(df: DataFrame) -> DataFrame:
 
 
 def preprocess(df: DataFrame, series: str | None = "series_id", keep: tuple[str, ...] = ("series_id", "event_id"),
-               null_std: str = "keep", max_series_rows: int = MAX_SERIES_ROWS) -> DataFrame:
+               null_std: str = "keep", max_series_rows: int = MAX_SERIES_ROWS,
+               order: tuple[str, ...] = ORDER) -> DataFrame:
     """Fill, clip, window and label readings that have `ts`, `event_id` and a glucose column.
 
-    Returns `keep` and the ten processed columns.
+    Windows run along `order` within each `series`. Returns `keep` and the ten processed columns.
     """
     filled = calendar(vitals(fill_and_clip(resolve_glucose(df))))
-    rolled = rolling_features(filled, series, ORDER, null_std, max_series_rows)
+    rolled = rolling_features(filled, series, order, null_std, max_series_rows)
     labelled = rolled.withColumns({"hypo_risk": C.hypo_risk(F.col("glucose")), "timestamp": F.col("ts")})
     return labelled.select(*keep, *PROCESSED_COLUMNS)

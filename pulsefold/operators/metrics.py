@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pulsefold.functions.columns import safe_ratio
 from pulsefold.operators.chunks import range_chunks
-from pulsefold.session import written
+from pulsefold.session import written_and_counted
 
 PROBABILITY_FLOOR = 1e-15
 MAX_SCORES_IN_TASK = 2_000_000
@@ -21,77 +21,91 @@ def log_loss_of(label: Column, p: Column) -> Column:
     return -F.ln(F.greatest(F.when(label == 1, p).otherwise(1.0 - p), F.lit(PROBABILITY_FLOOR)))
 
 
-def confusion_metrics(scored: DataFrame, by: list[str], label: str = "label", predicted: str = "predicted",
-                      *extra: Column) -> DataFrame:
-    """Accuracy, precision, recall and F1 of class 1 per group; a zero denominator gives 0.
-
-    `extra` aggregates ride along in the same pass.
-    """
-    y, p = F.col(label) == 1, F.col(predicted) == 1
-    counts = scored.groupBy(*by).agg(
-        F.count("*").alias("num_examples"),
-        F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"),
-        F.count_if(y & ~p).alias("fn"), F.count_if(~y & ~p).alias("tn"),
-        *extra,
-    )
+def with_ratios(counts: DataFrame) -> DataFrame:
+    """Add num_examples, accuracy, precision, recall and f1 to tp, fp, fn and tn."""
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     return counts.withColumns({
-        "accuracy": safe_ratio(tp + tn, F.col("num_examples")),
+        "num_examples": tp + fp + fn + tn,
+        "accuracy": safe_ratio(tp + tn, tp + fp + fn + tn),
         "precision": safe_ratio(tp, tp + fp),
         "recall": safe_ratio(tp, tp + fn),
         "f1": safe_ratio(2 * tp, 2 * tp + fp + fn),
     })
 
 
-def mean_log_loss(label: str = "label", p: str = "p") -> Column:
-    """Mean over rows, so the figure does not depend on any batching."""
-    return F.avg(log_loss_of(F.col(label), F.col(p))).alias("loss")
+def confusion_metrics(scored: DataFrame, by: list[str], label: str = "label", predicted: str = "predicted") -> DataFrame:
+    """Counts, accuracy, precision, recall and F1 of class 1 per group; a zero denominator gives 0."""
+    y, p = F.col(label) == 1, F.col(predicted) == 1
+    return with_ratios(scored.groupBy(*by).agg(
+        F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"),
+        F.count_if(y & ~p).alias("fn"), F.count_if(~y & ~p).alias("tn"),
+    ))
 
 
 def cross_entropy(scored: DataFrame, by: list[str], label: str = "label", p: str = "p") -> DataFrame:
-    return scored.groupBy(*by).agg(mean_log_loss(label, p))
-
+    """Mean over rows, so the figure does not depend on any batching."""
+    return scored.groupBy(*by).agg(F.avg(log_loss_of(F.col(label), F.col(p))).alias("loss"))
 
-def roc_auc(scored: DataFrame, by: list[str], label: str = "label", p: str = "p",
-            max_scores_in_task: int = MAX_SCORES_IN_TASK, num_chunks: int | None = None) -> DataFrame:
-    """Exact area under the ROC curve per group, ties counted half; one class only gives 0.
 
-    Rows are first counted per distinct score. With few scores per group a running sum over
-    each group follows; with many, the scores are cut into ranges and each range only
-    needs the number of negatives before it.
-    """
+def score_counts(scored: DataFrame, by: list[str], label: str = "label", p: str = "p") -> tuple[DataFrame, int]:
+    """Positives and negatives per distinct score, written once, and how many rows that is."""
     y = F.col(label) == 1
-    steps = written(
-        scored.groupBy(*by, F.col(p).alias("_p")).agg(
-            F.count_if(y).alias("_pos"), F.count_if(~y).alias("_neg")
-        ),
-        "scores",
-    )
-    most = steps.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    if most > max_scores_in_task:
-        steps = range_chunks(steps, [*by, "_p"], num_chunks)
+    counts = scored.groupBy(*by, F.col(p).alias("p")).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
+    return written_and_counted(counts, "scores")
+
+
+def area_under_roc(counts: DataFrame, rows: int, by: list[str], max_scores_in_task: int,
+                   num_chunks: int | None) -> DataFrame:
+    """Share of (positive, negative) pairs in the right order, from `score_counts`."""
+    if rows > max_scores_in_task:
+        counts = range_chunks(counts, [*by, "p"], num_chunks)
     else:
-        steps = steps.withColumn("chunk", F.lit(0))
-    lower = Window.partitionBy(*by, "chunk").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    beaten = F.coalesce(F.sum("_neg").over(lower), F.lit(0)) + F.col("_neg") / 2
-    parts = steps.withColumn("_won", F.col("_pos") * beaten).groupBy(*by, "chunk").agg(
-        F.sum("_won").alias("_won"), F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg")
+        counts = counts.withColumn("chunk", F.lit(0))
+    lower = Window.partitionBy(*by, "chunk").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    beaten = F.coalesce(F.sum("neg").over(lower), F.lit(0)) + F.col("neg") / 2
+    parts = counts.withColumn("won", F.col("pos") * beaten).groupBy(*by, "chunk").agg(
+        F.sum("won").alias("won"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
     )
     earlier = Window.partitionBy(*by).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = F.col("_pos") * F.coalesce(F.sum("_neg").over(earlier), F.lit(0))
-    pairs = F.sum("_pos").cast("double") * F.sum("_neg")
-    return parts.withColumn("_won", F.col("_won") + carried).groupBy(*by).agg(
-        safe_ratio(F.sum("_won"), pairs).alias("auc")
+    carried = F.col("pos") * F.coalesce(F.sum("neg").over(earlier), F.lit(0))
+    pairs = F.sum("pos").cast("double") * F.sum("neg")
+    return parts.withColumn("won", F.col("won") + carried).groupBy(*by).agg(
+        safe_ratio(F.sum("won"), pairs).alias("auc")
     )
 
 
-def evaluation(scored: DataFrame, by: list[str]) -> DataFrame:
-    """num_examples, loss, accuracy, precision, recall, f1 and auc per group.
+def roc_auc(scored: DataFrame, by: list[str], label: str = "label", p: str = "p",
+            max_scores_in_task: int = MAX_SCORES_IN_TASK, num_chunks: int | None = None) -> DataFrame:
+    """Exact area under the ROC curve per group, ties counted half; one class only gives 0.
+
+    With few distinct scores a running sum over each group is enough; with many, the scores
+    are cut into ranges and a range only needs the number of negatives before it.
+    """
+    counts, rows = score_counts(scored, by, label, p)
+    return area_under_roc(counts, rows, by, max_scores_in_task, num_chunks)
+
 
-    Expects `label`, `predicted` and `p`; `by` must not be empty.
+def evaluation(scored: DataFrame, by: list[str], max_scores_in_task: int = MAX_SCORES_IN_TASK) -> DataFrame:
+    """num_examples, loss, accuracy, precision, recall, f1 and auc per group, in one pass over the rows.
+
+    Expects `label` and the probability `p` of class 1; above 0.5 counts as class 1. Every
+    figure follows from the counts per distinct score. `by` must not be empty.
     """
-    counts = confusion_metrics(scored, by, "label", "predicted", mean_log_loss()).drop("tp", "fp", "fn", "tn")
-    return counts.join(roc_auc(scored, by), by)
+    counts, rows = score_counts(scored, by)
+    # With p given, a positive costs -ln p and a negative -ln (1 - p).
+    cost = F.col("pos") * log_loss_of(F.lit(1), F.col("p")) + F.col("neg") * log_loss_of(F.lit(0), F.col("p"))
+    over = F.col("p") > 0.5
+    totals = counts.groupBy(*by).agg(
+        F.sum(F.when(over, F.col("pos")).otherwise(0)).alias("tp"),
+        F.sum(F.when(over, F.col("neg")).otherwise(0)).alias("fp"),
+        F.sum(F.when(over, 0).otherwise(F.col("pos"))).alias("fn"),
+        F.sum(F.when(over, 0).otherwise(F.col("neg"))).alias("tn"),
+        (F.sum(cost) / F.sum(F.col("pos") + F.col("neg"))).alias("loss"),
+    )
+    auc = area_under_roc(counts, rows, by, max_scores_in_task, None)
+    return with_ratios(totals).join(auc, by).select(
+        *by, "num_examples", "loss", "accuracy", "precision", "recall", "f1", "auc"
+    )
 
 
 def weighted_metrics(results: DataFrame, metrics: tuple[str, ...], by: str = "round", client: str = "institution",

@@ -12,6 +12,7 @@ from pulsefold.operators.metrics import summary, weighted_metrics
 from pulsefold.operators.splits import split_institutions
 from pulsefold.plans.central import MEASURES, compare, train_central
 from pulsefold.plans.federated import EVAL_COLUMNS, FederatedResult, RoundSettings, save_model, train_federated
+from pulsefold.schema import ORDER
 from pulsefold.sources.readings import number_rows, read_csv
 from pulsefold.sources.sinks import write_by_institution, write_jsonl
 
@@ -31,7 +32,7 @@ class Folders:
 def ingest(spark: SparkSession, raw_dir: str, start: str | None = None) -> DataFrame:
     """Raw CSV readings with `ts` and a dense `event_id` in file order."""
     rows = number_rows(read_csv(spark, raw_dir, file_order=True))
-    return resolve_time(rows, start, ["event_id"])
+    return resolve_time(rows, start, "event_id")
 
 
 def prepare_institutions(readings: DataFrame, folders: Folders, institutions: int = 3,
@@ -39,9 +40,10 @@ def prepare_institutions(readings: DataFrame, folders: Folders, institutions: in
     """Clean, split and store readings as JSON lines and Parquet. Returns the stored table.
 
     Rolling features come before the split, so a row keeps the neighbours it had in its series.
+    Without a series key the whole input is one series in file order.
     """
-    keep = ("event_id",) if series is None else (series, "event_id")
-    cleaned = preprocess(readings, series, keep, null_std="zero")
+    keep, order = (("event_id",), ("event_id",)) if series is None else ((series, "event_id"), ORDER)
+    cleaned = preprocess(readings, series, keep, null_std="zero", order=order)
     write_by_institution(split_institutions(cleaned, institutions), folders.batch)
     stored = cleaned.sparkSession.read.parquet(folders.batch)
     write_jsonl(stored, folders.stream_input)

@@ -6,6 +6,7 @@ from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronCl
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from pulsefold.operators.features import input_dimension
 from pulsefold.operators.metrics import evaluation
 from pulsefold.operators.splits import SEED, split_train_val
 from pulsefold.operators.stats import with_class_weight
@@ -33,7 +34,7 @@ def train_central(ml: DataFrame, kind: str = "mlp", max_iter: int = 50, hidden:
     vectors = ready.withColumn("features", array_to_vector("features"))
     train, held_out = vectors.where("is_train"), vectors.where("not is_train")
     if kind == "mlp":
-        inputs = len(ready.select("features").first()[0])
+        inputs = input_dimension(ready)
         learner = MultilayerPerceptronClassifier(layers=[inputs, *hidden, 2], maxIter=max_iter, seed=seed)
     elif kind == "logistic":
         learner = LogisticRegression(maxIter=max_iter)
@@ -45,10 +46,9 @@ def train_central(ml: DataFrame, kind: str = "mlp", max_iter: int = 50, hidden:
     scored = model.transform(held_out).select(
         F.lit("central").alias("model"),
         F.col("label").cast("int").alias("label"),
-        F.col("prediction").cast("int").alias("predicted"),
         vector_to_array("probability")[1].alias("p"),
     )
-    return model, evaluation(written(scored, "central-scored"), ["model"])
+    return model, evaluation(scored, ["model"])
 
 
 def compare(federated: DataFrame, central: DataFrame) -> DataFrame:

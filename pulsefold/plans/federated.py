@@ -5,15 +5,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pulsefold.functions import network
 from pulsefold.operators.averaging import average_params, finite_params
+from pulsefold.operators.features import input_dimension
 from pulsefold.operators.joins import attach
 from pulsefold.operators.metrics import evaluation, round_history, weighted_metrics
 from pulsefold.operators.splits import sample_clients, split_train_val
@@ -29,6 +30,14 @@ UPDATE = (
     "institution string, shard int, num_examples bigint, params array<double>, "
     "train_loss double, train_accuracy double"
 )
+LOCAL = (
+    "institution string, num_examples bigint, train_loss double, train_accuracy double, params array<double>"
+)
+STEP = "institution string, num_examples bigint, params array<double>"
+EVALUATED = (
+    "institution string, model string, num_examples bigint, loss double, accuracy double, precision double, "
+    "recall double, f1 double, auc double"
+)
 FIT_COLUMNS = ("train_loss", "train_accuracy", "val_loss", "val_accuracy", "val_f1", "val_auc")
 EVAL_COLUMNS = ("loss", "accuracy", "precision", "recall", "f1", "auc")
 
@@ -77,12 +86,10 @@ def client_table(ml: DataFrame, settings: RoundSettings, row_id: str = "event_id
 
     An institution of up to `rows_per_shard` rows is one shard, hence one client as a whole.
     """
-    per_class = class_weights(ml, ["institution"])
-    sizes = per_class.groupBy("institution").agg(
-        F.ceil(F.sum("records") / settings.rows_per_shard).cast("int").alias("_shards")
-    )
-    known = per_class.join(sizes, "institution").select(
-        "institution", LABEL, "_shards", ("weight" if settings.weighted_loss else F.lit(1.0).alias("weight"))
+    records = F.sum("records").over(Window.partitionBy("institution"))  # over one row per class
+    known = class_weights(ml, ["institution"]).select(
+        "institution", LABEL, F.ceil(records / settings.rows_per_shard).cast("int").alias("_shards"),
+        "weight" if settings.weighted_loss else F.lit(1.0).alias("weight"),
     )
     shard = F.pmod(F.xxhash64(F.col(row_id), F.lit(settings.seed)), F.col("_shards")).cast("int")
     rows = attach(ml, known, ["institution", LABEL])
@@ -111,7 +118,7 @@ def local_updates(train: DataFrame, params: np.ndarray, dims: tuple[int, ...], s
     options = settings.round_options(number)
     fit, flat = network.train, params
 
-    def fit_shard(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def fit_shard(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         institution, shard = key
         rows = rows.sort_values("event_id")
         rng = np.random.default_rng([settings.seed, options["round"], shard, *institution.encode()])
@@ -129,18 +136,14 @@ def local_updates(train: DataFrame, params: np.ndarray, dims: tuple[int, ...], s
 
 def merge_shards(updates: DataFrame) -> DataFrame:
     """One row per institution: averaged parameters, example-weighted training metrics."""
-    fine = finite_params(updates)
-    params = average_params(fine, ["institution"])
     n = F.col("num_examples")
-    metrics = fine.groupBy("institution").agg(*[
-        (F.sum(n * F.col(m)) / F.sum(n)).alias(m) for m in ("train_loss", "train_accuracy")
-    ])
-    return params.join(metrics, "institution")
+    metrics = [(F.sum(n * F.col(m)) / F.sum(n)).alias(m) for m in ("train_loss", "train_accuracy")]
+    return average_params(finite_params(updates), ["institution"], "num_examples", "params", *metrics)
 
 
 def score(rows: DataFrame, local: DataFrame, params: np.ndarray, dims: tuple[int, ...],
           max_models: int = MODELS_IN_CLOSURE) -> DataFrame:
-    """(institution, label, model, p, predicted) under the own local model and the global one.
+    """(institution, label, model, p) under the own local model and the global one.
 
     Up to `max_models` local models ride in the function; beyond that they are joined to
     the rows shard by shard.
@@ -157,7 +160,7 @@ def score(rows: DataFrame, local: DataFrame, params: np.ndarray, dims: tuple[int
 
         @F.pandas_udf("p_local double, p_global double")
         def score_batch(institution: pd.Series, features: pd.Series) -> pd.DataFrame:
-            parts = [both(models[name], part) .set_index(part.index) for name, part in features.groupby(institution)]
+            parts = [both(models[name], part).set_index(part.index) for name, part in features.groupby(institution)]
             return pd.concat(parts).loc[features.index]
 
         present = rows.where(F.col("institution").isin(list(models)))
@@ -176,22 +179,13 @@ def score(rows: DataFrame, local: DataFrame, params: np.ndarray, dims: tuple[int
         scored = rows.groupBy("institution", "shard").cogroup(models.groupBy("institution", "shard")).applyInPandas(
             score_shard, "institution string, label int, p_local double, p_global double"
         )
-    return (
-        written(scored, "scored").unpivot(["institution", "label"], ["p_local", "p_global"], "model", "p")
-        .withColumn("predicted", (F.col("p") > 0.5).cast("int"))
-    )
+    return scored.unpivot(["institution", "label"], ["p_local", "p_global"], "model", "p")
 
 
-def evaluate_round(rows: DataFrame, local: DataFrame, params: np.ndarray, dims: tuple[int, ...]) -> DataFrame:
-    return written(evaluation(score(rows, local, params, dims), ["institution", "model"]), "evaluated")
-
-
-def saved_rounds(spark: SparkSession, run_dir: str) -> DataFrame | None:
-    """The finished rounds of an earlier run, or None."""
-    try:
-        return spark.read.schema("round int, params array<double>, num_examples bigint").parquet(f"{run_dir}/global")
-    except AnalysisException:
-        return None
+def finished_rounds(spark: SparkSession, run_dir: str) -> int:
+    """How many rounds an earlier run left complete in `run_dir`."""
+    spark.createDataFrame([], EVALUATED).write.mode("ignore").parquet(f"{run_dir}/evaluated/round=0")
+    return kept_rounds(spark, run_dir, "evaluated", EVALUATED).agg(F.max("round")).first()[0] or 0
 
 
 def train_federated(ml: DataFrame, settings: RoundSettings = RoundSettings(), run_dir: str | None = None,
@@ -201,52 +195,67 @@ def train_federated(ml: DataFrame, settings: RoundSettings = RoundSettings(), ru
     run_dir = run_dir or shared_path(spark, "federated")
     rows, table = bucketed(client_table(ml.withColumnRenamed(row_id, "event_id"), settings))
     names = [r[0] for r in rows.select("institution").distinct().limit(MODELS_IN_CLOSURE * 100).collect()]
-    dims = settings.dims(len(rows.select("features").first()[0]))
+    dims = settings.dims(input_dimension(rows))
     params = network.initial_params(dims, settings.seed)
-    done = saved_rounds(spark, run_dir)
-    start = 0
-    if done is not None and (last := done.orderBy(F.desc("round")).first()):
-        start, params = last["round"], np.array(last["params"])
+    start = finished_rounds(spark, run_dir)
+    if start:
+        params = global_params(spark, run_dir, start)
     for number in range(start + 1, settings.rounds + 1):
-        take = sample_clients(
+        clients = sample_clients(
             names, number, settings.fraction_fit, settings.min_fit_clients, settings.min_clients, settings.seed
         )
-        judge = sample_clients(
-            names, -number, settings.fraction_evaluate, settings.min_evaluate_clients, settings.min_clients, settings.seed
+        judges = sample_clients(
+            names, -number, settings.fraction_evaluate, settings.min_evaluate_clients, settings.min_clients,
+            settings.seed,
         )
-        train = rows.where("is_train") if len(take) == len(names) else rows.where("is_train").where(
-            F.col("institution").isin(take)
+        updates = local_updates(only(rows.where("is_train"), clients, names), params, dims, settings, number)
+        keep_round(merge_shards(updates), run_dir, "local", number)
+        params = global_params(spark, run_dir, number)
+        local = kept_round(spark, run_dir, "local", LOCAL, number)
+        asked = only(rows.where("not is_train"), sorted({*clients, *judges}), names)
+        measured = evaluation(score(asked, local, params, dims), ["institution", "model"]).where(
+            F.col("institution").isin(clients) & (F.col("model") == "p_local")
+            | F.col("institution").isin(judges) & (F.col("model") == "p_global")
         )
-        local = written(merge_shards(written(local_updates(train, params, dims, settings, number), "updates")), "local")
-        merged = average_params(local, []).first()
-        if merged is None:
-            raise RuntimeError(f"round {number}: no client returned finite parameters")
-        params = np.array(merged["params"])
-        measured = evaluate_round(rows.where("not is_train"), local, params, dims)
-        own = measured.where("model = 'p_local'").select(
-            "institution", F.col("loss").alias("val_loss"), F.col("accuracy").alias("val_accuracy"),
-            F.col("f1").alias("val_f1"), F.col("auc").alias("val_auc"),
-        )
-        fit = local.drop("params").join(own, "institution", "left")
-        shared = measured.where("model = 'p_global'").where(F.col("institution").isin(judge)).drop("model")
-        keep_round(fit, run_dir, "fit", number)
-        keep_round(shared, run_dir, "evaluated", number)
         # Written last: its presence says the round is complete.
-        keep_round(spark.createDataFrame(
-            [(params.tolist(), int(merged["num_examples"]))], "params array<double>, num_examples bigint"
-        ), run_dir, "global", number)
+        keep_round(measured, run_dir, "evaluated", number)
         if on_round:
-            on_round(number, fit)
+            on_round(number, measured)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    return FederatedResult(
-        params, dims, run_dir, spark.read.parquet(f"{run_dir}/fit"), spark.read.parquet(f"{run_dir}/evaluated")
+    measured = kept_rounds(spark, run_dir, "evaluated", EVALUATED)
+    own = measured.where("model = 'p_local'").select(
+        "round", "institution", F.col("loss").alias("val_loss"), F.col("accuracy").alias("val_accuracy"),
+        F.col("f1").alias("val_f1"), F.col("auc").alias("val_auc"),
     )
+    fit = kept_rounds(spark, run_dir, "local", LOCAL).drop("params").join(own, ["round", "institution"], "left")
+    return FederatedResult(params, dims, run_dir, fit, measured.where("model = 'p_global'").drop("model"))
+
+
+def only(rows: DataFrame, institutions: list[str], everyone: list[str]) -> DataFrame:
+    return rows if len(institutions) == len(everyone) else rows.where(F.col("institution").isin(institutions))
+
+
+def global_params(spark: SparkSession, run_dir: str, number: int) -> np.ndarray:
+    """The weighted mean of a round's institutions: one array, whatever their number."""
+    merged = average_params(kept_round(spark, run_dir, "local", LOCAL, number), []).first()
+    if merged is None:
+        raise RuntimeError(f"round {number}: no client returned finite parameters")
+    return np.array(merged["params"])
 
 
 def keep_round(df: DataFrame, run_dir: str, what: str, number: int) -> None:
     df.write.mode("overwrite").parquet(f"{run_dir}/{what}/round={number}")
 
 
+def kept_round(spark: SparkSession, run_dir: str, what: str, schema: str, number: int) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{run_dir}/{what}/round={number}")
+
+
+def kept_rounds(spark: SparkSession, run_dir: str, what: str, schema: str) -> DataFrame:
+    """All rounds of a run, told apart by `round`."""
+    return spark.read.schema(f"{schema}, round int").parquet(f"{run_dir}/{what}")
+
+
 def save_model(spark: SparkSession, path: str, params: np.ndarray, dims: tuple[int, ...]) -> None:
     spark.createDataFrame(
         [(list(dims), np.asarray(params, dtype=float).tolist())], "dims array<int>, params array<double>"
@@ -276,10 +285,9 @@ def logistic_rounds(ml: DataFrame, rounds: int, learning_rate: float = 0.5) -> D
     """(round, institution, num_examples, params) of every local model, one job per round."""
     spark = ml.sparkSession
     data = written(ml.select("institution", "features", LABEL), "logistic")
-    params = [0.0] * (len(data.select("features").first()[0]) + 1)
+    params = [0.0] * (input_dimension(data) + 1)
     path = shared_path(spark, "logistic-rounds")
     for number in range(1, rounds + 1):
         keep_round(logistic_step(data, params, learning_rate), path, "local", number)
-        local = spark.read.parquet(f"{path}/local/round={number}")
-        params = average_params(local, []).first()["params"]
-    return spark.read.parquet(f"{path}/local")
+        params = average_params(kept_round(spark, path, "local", STEP, number), []).first()["params"]
+    return kept_rounds(spark, path, "local", STEP)

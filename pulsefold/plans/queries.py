@@ -21,7 +21,7 @@ from pulsefold.operators.windows import rolling_features
 from pulsefold.plans.batch import last_evaluation
 from pulsefold.plans.central import compare, train_central, union_institutions
 from pulsefold.plans.federated import RoundSettings, logistic_rounds, train_federated
-from pulsefold.schema import FEATURE_COLUMNS, KEYED_STREAM_SCHEMA, LABEL, ORDER
+from pulsefold.schema import EVENTS_SCHEMA, FEATURE_COLUMNS, KEYED_STREAM_SCHEMA, LABEL, ORDER
 from pulsefold.session import shared_path, written
 from pulsefold.sources.readings import events_as_readings, read_csv, read_jsonl, read_parquet, readings
 from pulsefold.sources.sinks import write_by_institution, write_csv, write_jsonl, write_replay
@@ -84,7 +84,8 @@ def ml_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ml_input_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = training_rows(spark, sf_dir)
-    return rows.groupBy("institution").agg(F.max(F.size("features")).cast("bigint").alias("input_dim"))
+    size = input_dimension(rows)
+    return rows.select("institution", F.lit(size).cast("bigint").alias("input_dim")).distinct()
 
 
 # Cleaning
@@ -439,8 +440,7 @@ def stream_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table itself as a stream, one file at a time."""
-    schema = read_parquet(spark, f"{sf_dir}/events.parquet").schema
-    rows = events_as_readings(flow.parquet_source(spark, sf_dir, schema, "events.parquet"))
+    rows = events_as_readings(flow.parquet_source(spark, sf_dir, EVENTS_SCHEMA, "events.parquet"))
     labelled = calendar(rows).withColumns({
         "timestamp": F.col("ts").cast("string"), LABEL: C.hypo_risk(F.col("glucose")),
     })
@@ -469,7 +469,7 @@ ROUNDS = RoundSettings(min_clients=3, min_fit_clients=3, min_evaluate_clients=3)
 
 
 def fed_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return train_federated(training_rows(spark, sf_dir), ROUNDS).history()
+    return train_federated(written(training_rows(spark, sf_dir), "ml"), ROUNDS).history()
 
 
 def central_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:

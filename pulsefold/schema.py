@@ -41,6 +41,17 @@ STREAM_SCHEMA = T.StructType(
     + [T.StructField(c, T.IntegerType()) for c in ("steps", "heart_rate", "hour", "day_of_week", "hypo_risk")]
 )
 
+EVENTS_SCHEMA = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
 # The same feed when one source carries many institutions and series.
 KEYED_STREAM_SCHEMA = T.StructType(
     [

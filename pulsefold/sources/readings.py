@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from pulsefold.operators.chunks import dense_index
-from pulsefold.schema import NA_TOKENS, STREAM_SCHEMA
+from pulsefold.operators.joins import attach
+from pulsefold.schema import EVENTS_SCHEMA, NA_TOKENS, STREAM_SCHEMA
+from pulsefold.session import written
 
 FILE_ORDER = ("_file", "_block", "_line")
 
@@ -31,9 +32,19 @@ def read_csv(spark: SparkSession, path: str, file_order: bool = False) -> DataFr
     return raw.withColumns(place).withColumns(clean)
 
 
-def number_rows(df: DataFrame, out: str = "event_id", num_chunks: int | None = None) -> DataFrame:
-    """Replace the file-order columns by one dense row number."""
-    return dense_index(df, list(FILE_ORDER), out, num_chunks).drop(*FILE_ORDER)
+def number_rows(df: DataFrame, out: str = "event_id") -> DataFrame:
+    """Turn the file-order columns into one dense row number, without moving any row.
+
+    `_line` counts on by one within a block of a file, so a row only needs the number of
+    rows in the blocks before its own: one short row per block of input.
+    """
+    staged = written(df, "in-file-order")
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = staged.groupBy("_file", "_block").agg(F.min("_line").alias("_first"), F.count("*").alias("_n"))
+    shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
+    starts = blocks.select("_file", "_block", shift.alias("_shift"))
+    numbered = attach(staged, starts, ["_file", "_block"]).withColumn(out, F.col("_line") + F.col("_shift"))
+    return numbered.drop(*FILE_ORDER, "_shift")
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = STREAM_SCHEMA) -> DataFrame:
@@ -65,4 +76,4 @@ def events_as_readings(events: DataFrame) -> DataFrame:
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_as_readings(read_parquet(spark, f"{sf_dir}/events.parquet"))
+    return events_as_readings(read_parquet(spark, f"{sf_dir}/events.parquet", EVENTS_SCHEMA))
