@@ -24,5 +24,7 @@ def average_params(updates: DataFrame, by: list[str], weight: str | None = "num_
     mean = Summarizer.mean(vector, F.col(weight).cast("double")) if weight else Summarizer.mean(vector)
     total = F.sum(weight) if weight else F.count("*")
     size = weight or "clients"
-    merged = updates.groupBy(*by).agg(total.alias(size), mean.alias("_mean"), *extra).where(F.col(size) > 0)
-    return merged.withColumn(params, vector_to_array("_mean")).drop("_mean")
+    # Grouping on a constant, unlike no grouping, gives no row when there are no clients.
+    groups = by or [F.lit(0).alias("_everyone")]
+    merged = updates.groupBy(*groups).agg(total.alias(size), mean.alias("_mean"), *extra)
+    return merged.withColumn(params, vector_to_array("_mean")).drop("_mean", "_everyone")

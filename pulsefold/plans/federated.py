@@ -174,9 +174,9 @@ def score(rows: DataFrame, local: DataFrame, params: np.ndarray, dims: tuple[int
             found = both(np.array(model["params"].iloc[0]), part["features"])
             return found.assign(institution=part["institution"].to_numpy(), label=part["label"].to_numpy())
 
-        shards = rows.select("institution", "shard").distinct()
+        shards = rows.select("institution", F.col("shard").alias("_shard")).distinct()
         models = local.select("institution", "params").join(shards, "institution")
-        scored = rows.groupBy("institution", "shard").cogroup(models.groupBy("institution", "shard")).applyInPandas(
+        scored = rows.groupBy("institution", "shard").cogroup(models.groupBy("institution", "_shard")).applyInPandas(
             score_shard, "institution string, label int, p_local double, p_global double"
         )
     return scored.unpivot(["institution", "label"], ["p_local", "p_global"], "model", "p")
