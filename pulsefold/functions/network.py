@@ -66,9 +66,9 @@ def train(params, dims, x, y, w, epochs, batch_size, learning_rate, dropout, rng
             pick = order[start:start + batch_size]
             loss, p, g = gradient(params, dims, x[pick], y[pick], w[pick], 1.0 - dropout, rng)
             step += 1
-            first = 0.9 * first + 0.1 * g
-            second = 0.999 * second + 0.001 * g * g
-            params -= learning_rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+            first += 0.1 * (g - first)
+            second += 0.001 * (g * g - second)
+            params -= learning_rate / (1 - 0.9**step) * first / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
             losses.append(loss)
             right += int((p.argmax(axis=1) == y[pick]).sum())
         history.append((float(np.mean(losses)), right / len(y)))

@@ -30,7 +30,7 @@ def train_central(ml: DataFrame, kind: str = "mlp", max_iter: int = 50, hidden:
     rows = split_train_val(ml, [], row_id, 0.8, seed)
     if weighted:
         rows = with_class_weight(rows.withColumn("_all", F.lit(1)), ["_all"]).drop("_all")
-    ready = written(rows.withColumn("label", F.col(LABEL).cast("double")), "central")
+    ready = on_all_cores(written(rows.withColumn("label", F.col(LABEL).cast("double")), "central"), row_id)
     vectors = ready.withColumn("features", array_to_vector("features"))
     train, held_out = vectors.where("is_train"), vectors.where("not is_train")
     if kind == "mlp":
@@ -51,6 +51,15 @@ def train_central(ml: DataFrame, kind: str = "mlp", max_iter: int = 50, hidden:
     return model, evaluation(scored, ["model"])
 
 
+def on_all_cores(stored: DataFrame, key: str) -> DataFrame:
+    """Iterative training is bound by arithmetic: a table of few files is spread over all cores once.
+
+    A large table has more splits than cores and stays where it is.
+    """
+    cores = stored.sparkSession.sparkContext.defaultParallelism
+    return stored if stored.rdd.getNumPartitions() >= cores else stored.repartition(cores, key)
+
+
 def compare(federated: DataFrame, central: DataFrame) -> DataFrame:
     """(metric, federated, centralised) from one row of each."""
     def tall(df: DataFrame, name: str) -> DataFrame:

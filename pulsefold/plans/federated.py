@@ -85,6 +85,7 @@ def client_table(ml: DataFrame, settings: RoundSettings, row_id: str = "event_id
     """Training input: `is_train`, class `weight` and a `shard` of bounded size per institution.
 
     An institution of up to `rows_per_shard` rows is one shard, hence one client as a whole.
+    `ml` is read several times, so it should be a stored table.
     """
     records = F.sum("records").over(Window.partitionBy("institution"))  # over one row per class
     known = class_weights(ml, ["institution"]).select(
@@ -102,7 +103,10 @@ def client_table(ml: DataFrame, settings: RoundSettings, row_id: str = "event_id
 def bucketed(rows: DataFrame, buckets: int | None = None) -> tuple[DataFrame, str]:
     """Store the client table bucketed by (institution, shard): rounds then need no shuffle of it."""
     spark = rows.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if buckets is None:
+        sizes = rows.groupBy("institution").agg((F.max("shard") + 1).alias("shards"))
+        shards = sizes.agg(F.sum("shards")).first()[0] or 1
+        buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * shards)
     name = f"pulsefold_clients_{uuid.uuid4().hex}"
     (
         rows.repartition(buckets, "institution", "shard")
@@ -115,16 +119,18 @@ def bucketed(rows: DataFrame, buckets: int | None = None) -> tuple[DataFrame, st
 def local_updates(train: DataFrame, params: np.ndarray, dims: tuple[int, ...], settings: RoundSettings,
                   number: int) -> DataFrame:
     """Every shard trains from the global parameters; one row per shard comes back."""
-    options = settings.round_options(number)
-    fit, flat = network.train, params
+    # Only plain values and `network` go into the function: an object of a class defined here
+    # would make every executor import this package.
+    options, fit, flat = settings.round_options(number), network.train, params
+    seed, rate, dropout = settings.seed, settings.learning_rate, settings.dropout
 
     def fit_shard(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         institution, shard = key
         rows = rows.sort_values("event_id")
-        rng = np.random.default_rng([settings.seed, options["round"], shard, *institution.encode()])
+        rng = np.random.default_rng([seed, options["round"], shard, *institution.encode()])
         new, epochs = fit(
             flat, dims, np.stack(rows["features"].to_numpy()), rows["label"].to_numpy(), rows["weight"].to_numpy(),
-            options["local_epochs"], options["batch_size"], settings.learning_rate, settings.dropout, rng,
+            options["local_epochs"], options["batch_size"], rate, dropout, rng,
         )
         loss, accuracy = epochs[-1]
         return pd.DataFrame([[institution, int(shard), len(rows), new.tolist(), loss, accuracy]], columns=[
@@ -193,7 +199,7 @@ def train_federated(ml: DataFrame, settings: RoundSettings = RoundSettings(), ru
     """Run the rounds. Each leaves its parameters and metrics in `run_dir`, so a broken run goes on there."""
     spark = ml.sparkSession
     run_dir = run_dir or shared_path(spark, "federated")
-    rows, table = bucketed(client_table(ml.withColumnRenamed(row_id, "event_id"), settings))
+    rows, table = bucketed(written(client_table(ml.withColumnRenamed(row_id, "event_id"), settings), "client-rows"))
     names = [r[0] for r in rows.select("institution").distinct().limit(MODELS_IN_CLOSURE * 100).collect()]
     dims = settings.dims(input_dimension(rows))
     params = network.initial_params(dims, settings.seed)

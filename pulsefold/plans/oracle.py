@@ -181,6 +181,22 @@ STREAM_FEAT = (
   FROM feat)""",
 )
 
+MEASURES = ("loss", "accuracy", "precision", "recall", "f1", "auc")
+EXACT_QUALITY = """(tp + tn) / num_examples AS accuracy, CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END AS "precision",
+  CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END AS recall,
+  CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f1"""
+POOLED = with_(
+    *FEAT, SCORED.replace("scored AS", "per_client AS"),
+    "scored AS (SELECT * FROM per_client UNION ALL SELECT 'all', * EXCLUDE institution FROM per_client)",
+    CONFUSION, AUC,
+    f"measured AS (SELECT institution, num_examples, loss, auc, {EXACT_QUALITY} FROM conf JOIN auc USING (institution))",
+) + " UNION ALL ".join(
+    f""" SELECT '{m}' AS metric,
+      round(sum(num_examples * "{m}") FILTER (institution <> 'all') / sum(num_examples) FILTER (institution <> 'all'), 6)
+        AS federated,
+      round(max("{m}") FILTER (institution = 'all'), 6) AS centralised FROM measured""" for m in MEASURES
+)
+
 ORACLE_SQL = {
     "csv_jsonl_roundtrip": with_(RAW) + """ SELECT institution, series_id, event_id,
       strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, round(raw_glucose, 6) AS glucose, steps, heart_rate FROM raw""",
@@ -268,6 +284,11 @@ ORACLE_SQL = {
       SELECT day(ts) AS round, institution, hour, avg(glucose) AS tl, avg(hypo_risk) AS ta FROM feat GROUP BY ALL)""")
     + """ SELECT CAST(round AS BIGINT) AS round, institution, round(arg_max(tl, hour), 6) AS train_loss,
       round(arg_max(ta, hour), 6) AS train_accuracy FROM epochs GROUP BY round, institution""",
+    "history_export": with_(*FEAT, CLIENTS, *HISTORY) + """ SELECT string_agg(CAST(round AS VARCHAR), ',' ORDER BY round)
+      AS rounds, count(train_accuracy) AS train_rounds, round(sum(val_accuracy), 6) AS val_accuracy_sum FROM hist""",
+    "pooled_against_clients": POOLED,
+    "first_reading": with_(RAW) + """ SELECT series_id, event_id, raw_glucose AS glucose, steps FROM raw
+      QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY ts, event_id) = 1""",
     "fedavg_weighted": averaged("sum(n * {p}) / sum(n)"),
     "fedavg_unweighted": averaged("avg({p})"),
     "fedavg_embeddings": """WITH v AS (SELECT label, vec_id % 7 + 1 AS n, unnest(embedding)::DOUBLE AS x,

@@ -19,7 +19,7 @@ from pulsefold.operators.splits import shuffled_position, split_institutions, sp
 from pulsefold.operators.stats import class_distribution, class_weights, live_statistics, record_counts, with_class_weight
 from pulsefold.operators.windows import rolling_features
 from pulsefold.plans.batch import last_evaluation
-from pulsefold.plans.central import compare, train_central, union_institutions
+from pulsefold.plans.central import MEASURES, compare, train_central, union_institutions
 from pulsefold.plans.federated import RoundSettings, logistic_rounds, train_federated
 from pulsefold.schema import EVENTS_SCHEMA, FEATURE_COLUMNS, KEYED_STREAM_SCHEMA, LABEL, ORDER
 from pulsefold.session import shared_path, written
@@ -352,6 +352,33 @@ def last_epoch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(last, "train_loss", "train_accuracy").withColumn("round", F.col("round").cast("bigint"))
 
 
+def history_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history as one JSON document of parallel arrays, read back."""
+    path = shared_path(spark, "history")
+    M.history_arrays(history(spark, sf_dir)).write.json(path)
+    back = spark.read.schema("rounds array<bigint>, train_accuracy array<double>, val_accuracy array<double>").json(path)
+    return back.select(
+        F.array_join(F.transform("rounds", lambda v: v.cast("string")), ",").alias("rounds"),
+        F.size("train_accuracy").cast("bigint").alias("train_rounds"),
+        F.round(F.aggregate("val_accuracy", F.lit(0.0), lambda a, v: a + v), 6).alias("val_accuracy_sum"),
+    )
+
+
+def pooled_against_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric by metric: the weighted mean over institutions beside all rows measured as one."""
+    rows = written(scored_rows(spark, sf_dir), "scored")
+    clients = M.evaluation(rows, ["institution"]).withColumn("round", F.lit(1))
+    together = M.evaluation(rows.withColumn("all", F.lit("all")), ["all"])
+    return rounded(compare(M.weighted_metrics(clients, MEASURES), together), "federated", "centralised")
+
+
+def first_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earliest reading of every series, as an aggregate rather than a sort."""
+    place = F.struct(*ORDER)
+    first = F.min_by(F.struct("event_id", "glucose", "steps"), place).alias("r")
+    return readings(spark, sf_dir).groupBy("series_id").agg(first).select("series_id", "r.*")
+
+
 # Federated averaging
 
 def client_params(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -473,11 +500,11 @@ def fed_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def central_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return train_central(training_rows(spark, sf_dir))[1]
+    return train_central(written(training_rows(spark, sf_dir), "ml"))[1]
 
 
 def central_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return train_central(training_rows(spark, sf_dir), "logistic", weighted=True)[1]
+    return train_central(written(training_rows(spark, sf_dir), "ml"), "logistic", weighted=True)[1]
 
 
 def compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -493,7 +520,8 @@ QUERIES = {f.__name__: f for f in (
     rejected_rows, shuffled_rows, institution_split, train_val_split, scaled_population, scaled_sample, scaled_stages,
     scaled_on_train, union_of_institutions, confusion_by_institution, roc_auc_by_institution, roc_auc_in_ranges,
     cross_entropy_by_institution, evaluation_by_institution, weighted_client_metrics, round_history,
-    round_history_long, round_history_wide, best_round, last_epoch_metrics, fedavg_weighted, fedavg_unweighted,
+    round_history_long, round_history_wide, best_round, last_epoch_metrics,
+    history_export, pooled_against_clients, first_reading, fedavg_weighted, fedavg_unweighted,
     fedavg_embeddings, fed_logreg_rounds, stream_enrich, stream_fan_out, stream_memory, stream_stats, stream_to_ml,
     fed_mlp, central_mlp, central_logistic, compare_models,
 )}

@@ -36,9 +36,11 @@ def write_by_institution(df: DataFrame, path: str, by: str = "institution") -> N
 def write_replay(df: DataFrame, path: str, order: tuple[str, ...] = ("timestamp",), records_per_file: int = 100) -> None:
     """Cut a table into small JSON files in time order, as food for a streaming source.
 
-    Each file appears whole on commit, so a reader never sees half of one.
+    Each file appears whole on commit, so a reader never sees half of one. The number of
+    ranges is given, as adaptive execution would otherwise merge small ranges into one writer.
     """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        as_json_rows(df).repartitionByRange(*order).sortWithinPartitions(*order)
+        as_json_rows(df).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
         .write.option("ignoreNullFields", False).option("maxRecordsPerFile", records_per_file).json(path)
     )

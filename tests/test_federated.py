@@ -1,4 +1,7 @@
 import math
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -25,6 +28,7 @@ def ml(spark):
     return spark.createDataFrame(rows, "institution string, event_id long, features array<double>, hypo_risk int").cache()
 
 
+REPO = Path(__file__).resolve().parents[1]
 QUICK = RoundSettings(rounds=3, local_epochs=3, hidden=(8,), dropout=0.0, learning_rate=0.01)
 
 
@@ -177,3 +181,19 @@ def test_central_model(ml, kind, weighted):
 def test_unknown_kind(ml):
     with pytest.raises(ValueError, match="kind"):
         train_central(ml, "forest")
+
+
+def test_executors_need_no_installed_package(tmp_path):
+    """From another working folder the Python workers cannot import the package by accident."""
+    code = f"""
+import sys
+sys.path.insert(0, {str(REPO)!r})
+from pulsefold.session import build_session
+from pulsefold.plans.federated import RoundSettings, train_federated
+from pulsefold.plans.queries import training_rows
+spark = build_session(master="local[2]", spark__sql__shuffle__partitions="2", spark__ui__enabled="false")
+result = train_federated(training_rows(spark, "/root/testdata/sf0.001"), RoundSettings(rounds=1, local_epochs=1))
+print("rounds", result.history().count())
+"""
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "rounds 1" in run.stdout, run.stderr[-2000:]
