@@ -80,7 +80,7 @@ def institution_name(number: Column) -> Column:
     return F.format_string("institution_%d", number.cast("int"))
 
 
-def shuffle_key(row_id: Column, seed: int) -> Column:
+def shuffle_key(row_id: Column, seed: int | str) -> Column:
     """Pseudo-random order that does not depend on partitioning."""
     return F.md5(F.concat(F.lit(f"{seed}:"), row_id.cast("string")).cast("binary"))
 

@@ -8,8 +8,6 @@ row is then labelled by comparing its key with the cut.
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pulsefold.functions.columns import institution_name, shuffle_key
@@ -104,13 +102,13 @@ def train_size(n: Column, fraction: float) -> Column:
     return F.floor(F.lit(float(fraction)) * n.cast("double")).cast("bigint")
 
 
-def sample_clients(institutions: list[str], round_number: int, fraction: float = 1.0, minimum: int = 2,
-                   min_available: int = 2, seed: int = SEED) -> list[str]:
-    """The clients taking part in a round: max(int(fraction * K), minimum) of K, at random.
-
-    The list holds institution names only and comes from a size-checked query.
-    """
-    if len(institutions) < max(min_available, minimum):
-        raise ValueError(f"{len(institutions)} institutions, but {max(min_available, minimum)} are required")
-    size = max(int(fraction * len(institutions)), minimum)
-    return sorted(random.Random(f"{seed}:{round_number}").sample(sorted(institutions), size))
+def sample_clients(institutions: DataFrame, round_number: int, fraction: float = 1.0, minimum: int = 2,
+                   min_available: int = 2, seed: int = SEED) -> DataFrame:
+    """The clients of one round: max(int(fraction * K), minimum) of the K rows, in seeded random order."""
+    available, needed = institutions.count(), max(min_available, minimum)
+    if available < needed:
+        raise ValueError(f"{available} institutions, but {needed} are required")
+    size = max(int(fraction * available), minimum)
+    if size >= available:
+        return institutions
+    return institutions.orderBy(shuffle_key(F.col("institution"), f"{seed}:{round_number}"), "institution").limit(size)

@@ -81,32 +81,30 @@ class FederatedResult:
         )
 
 
-def client_table(ml: DataFrame, settings: RoundSettings, row_id: str = "event_id") -> DataFrame:
-    """Training input: `is_train`, class `weight` and a `shard` of bounded size per institution.
+def client_table(ml: DataFrame, settings: RoundSettings, row_id: str = "event_id") -> tuple[DataFrame, int]:
+    """Training input with `is_train`, class `weight` and a `shard` of bounded size; the number of shards.
 
     An institution of up to `rows_per_shard` rows is one shard, hence one client as a whole.
     `ml` is read several times, so it should be a stored table.
     """
     records = F.sum("records").over(Window.partitionBy("institution"))  # over one row per class
-    known = class_weights(ml, ["institution"]).select(
+    known = written(class_weights(ml, ["institution"]).select(
         "institution", LABEL, F.ceil(records / settings.rows_per_shard).cast("int").alias("_shards"),
         "weight" if settings.weighted_loss else F.lit(1.0).alias("weight"),
-    )
+    ), "classes")
+    shards = known.select("institution", "_shards").distinct().agg(F.sum("_shards")).first()[0] or 0
     shard = F.pmod(F.xxhash64(F.col(row_id), F.lit(settings.seed)), F.col("_shards")).cast("int")
     rows = attach(ml, known, ["institution", LABEL])
     split = split_train_val(rows, ["institution"], row_id, 0.8, settings.seed)
     return split.select(
         "institution", shard.alias("shard"), row_id, "features", F.col(LABEL).alias("label"), "weight", "is_train"
-    )
+    ), shards
 
 
-def bucketed(rows: DataFrame, buckets: int | None = None) -> tuple[DataFrame, str]:
+def bucketed(rows: DataFrame, shards: int) -> tuple[DataFrame, str]:
     """Store the client table bucketed by (institution, shard): rounds then need no shuffle of it."""
     spark = rows.sparkSession
-    if buckets is None:
-        sizes = rows.groupBy("institution").agg((F.max("shard") + 1).alias("shards"))
-        shards = sizes.agg(F.sum("shards")).first()[0] or 1
-        buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * shards)
+    buckets = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * shards))
     name = f"pulsefold_clients_{uuid.uuid4().hex}"
     (
         rows.repartition(buckets, "institution", "shard")
@@ -147,45 +145,50 @@ def merge_shards(updates: DataFrame) -> DataFrame:
     return average_params(finite_params(updates), ["institution"], "num_examples", "params", *metrics)
 
 
-def score(rows: DataFrame, local: DataFrame, params: np.ndarray, dims: tuple[int, ...],
-          max_models: int = MODELS_IN_CLOSURE) -> DataFrame:
-    """(institution, label, model, p) under the own local model and the global one.
-
-    Up to `max_models` local models ride in the function; beyond that they are joined to
-    the rows shard by shard.
-    """
+def score_global(rows: DataFrame, params: np.ndarray, dims: tuple[int, ...]) -> DataFrame:
+    """(institution, label, p) under the one global model."""
     probability = network.positive_probability
 
-    def both(own, features) -> pd.DataFrame:
-        x = np.stack(features.to_numpy())
-        return pd.DataFrame({"p_local": probability(own, dims, x), "p_global": probability(params, dims, x)})
+    @F.pandas_udf("double")
+    def p(features: pd.Series) -> pd.Series:
+        return pd.Series(probability(params, dims, np.stack(features.to_numpy())))
+
+    return rows.select("institution", "label", p("features").alias("p"))
+
+
+def score_local(rows: DataFrame, local: DataFrame, dims: tuple[int, ...],
+                max_models: int = MODELS_IN_CLOSURE) -> DataFrame:
+    """(institution, label, p) under each institution's own model; without a model, no score.
 
+    Up to `max_models` models travel with the function; more are joined to the rows shard
+    by shard.
+    """
+    probability = network.positive_probability
     few = local.select("institution", "params").limit(max_models + 1).collect()
     if len(few) <= max_models:
         models = {r["institution"]: np.array(r["params"]) for r in few}
 
-        @F.pandas_udf("p_local double, p_global double")
-        def score_batch(institution: pd.Series, features: pd.Series) -> pd.DataFrame:
-            parts = [both(models[name], part).set_index(part.index) for name, part in features.groupby(institution)]
-            return pd.concat(parts).loc[features.index]
+        @F.pandas_udf("double")
+        def p(institution: pd.Series, features: pd.Series) -> pd.Series:
+            out = pd.Series(np.nan, index=features.index)
+            for name, part in features.groupby(institution):
+                out.loc[part.index] = probability(models[name], dims, np.stack(part.to_numpy()))
+            return out
 
         present = rows.where(F.col("institution").isin(list(models)))
-        scored = present.select("institution", "label", score_batch("institution", "features").alias("_s")).select(
-            "institution", "label", "_s.p_local", "_s.p_global"
-        )
-    else:
-        def score_shard(part: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-            if part.empty or model.empty:
-                return pd.DataFrame(columns=["institution", "label", "p_local", "p_global"])
-            found = both(np.array(model["params"].iloc[0]), part["features"])
-            return found.assign(institution=part["institution"].to_numpy(), label=part["label"].to_numpy())
-
-        shards = rows.select("institution", F.col("shard").alias("_shard")).distinct()
-        models = local.select("institution", "params").join(shards, "institution")
-        scored = rows.groupBy("institution", "shard").cogroup(models.groupBy("institution", "_shard")).applyInPandas(
-            score_shard, "institution string, label int, p_local double, p_global double"
-        )
-    return scored.unpivot(["institution", "label"], ["p_local", "p_global"], "model", "p")
+        return present.select("institution", "label", p("institution", "features").alias("p"))
+
+    def score_shard(part: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+        if part.empty or model.empty:
+            return pd.DataFrame(columns=["institution", "label", "p"])
+        p = probability(np.array(model["params"].iloc[0]), dims, np.stack(part["features"].to_numpy()))
+        return part[["institution", "label"]].assign(p=p)
+
+    shards = rows.select("institution", F.col("shard").alias("_shard")).distinct()
+    models = local.select("institution", "params").join(shards, "institution")
+    return rows.groupBy("institution", "shard").cogroup(models.groupBy("institution", "_shard")).applyInPandas(
+        score_shard, "institution string, label int, p double"
+    )
 
 
 def finished_rounds(spark: SparkSession, run_dir: str) -> int:
@@ -199,8 +202,8 @@ def train_federated(ml: DataFrame, settings: RoundSettings = RoundSettings(), ru
     """Run the rounds. Each leaves its parameters and metrics in `run_dir`, so a broken run goes on there."""
     spark = ml.sparkSession
     run_dir = run_dir or shared_path(spark, "federated")
-    rows, table = bucketed(written(client_table(ml.withColumnRenamed(row_id, "event_id"), settings), "client-rows"))
-    names = [r[0] for r in rows.select("institution").distinct().limit(MODELS_IN_CLOSURE * 100).collect()]
+    rows, table = bucketed(*client_table(ml.withColumnRenamed(row_id, "event_id"), settings))
+    everyone = written(rows.select("institution").distinct(), "institutions")
     dims = settings.dims(input_dimension(rows))
     params = network.initial_params(dims, settings.seed)
     start = finished_rounds(spark, run_dir)
@@ -208,37 +211,37 @@ def train_federated(ml: DataFrame, settings: RoundSettings = RoundSettings(), ru
         params = global_params(spark, run_dir, start)
     for number in range(start + 1, settings.rounds + 1):
         clients = sample_clients(
-            names, number, settings.fraction_fit, settings.min_fit_clients, settings.min_clients, settings.seed
+            everyone, number, settings.fraction_fit, settings.min_fit_clients, settings.min_clients, settings.seed
         )
         judges = sample_clients(
-            names, -number, settings.fraction_evaluate, settings.min_evaluate_clients, settings.min_clients,
+            everyone, -number, settings.fraction_evaluate, settings.min_evaluate_clients, settings.min_clients,
             settings.seed,
         )
-        updates = local_updates(only(rows.where("is_train"), clients, names), params, dims, settings, number)
+        train, held_out = only(rows.where("is_train"), clients, everyone), rows.where("not is_train")
+        updates = local_updates(train, params, dims, settings, number)
         keep_round(merge_shards(updates), run_dir, "local", number)
         params = global_params(spark, run_dir, number)
         local = kept_round(spark, run_dir, "local", LOCAL, number)
-        asked = only(rows.where("not is_train"), sorted({*clients, *judges}), names)
-        measured = evaluation(score(asked, local, params, dims), ["institution", "model"]).where(
-            F.col("institution").isin(clients) & (F.col("model") == "p_local")
-            | F.col("institution").isin(judges) & (F.col("model") == "p_global")
-        )
+        own = evaluation(score_local(only(held_out, clients, everyone), local, dims), ["institution"])
+        shared = evaluation(score_global(only(held_out, judges, everyone), params, dims), ["institution"])
+        measured = own.withColumn("model", F.lit("local")).unionByName(shared.withColumn("model", F.lit("global")))
         # Written last: its presence says the round is complete.
         keep_round(measured, run_dir, "evaluated", number)
         if on_round:
             on_round(number, measured)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     measured = kept_rounds(spark, run_dir, "evaluated", EVALUATED)
-    own = measured.where("model = 'p_local'").select(
+    own = measured.where("model = 'local'").select(
         "round", "institution", F.col("loss").alias("val_loss"), F.col("accuracy").alias("val_accuracy"),
         F.col("f1").alias("val_f1"), F.col("auc").alias("val_auc"),
     )
     fit = kept_rounds(spark, run_dir, "local", LOCAL).drop("params").join(own, ["round", "institution"], "left")
-    return FederatedResult(params, dims, run_dir, fit, measured.where("model = 'p_global'").drop("model"))
+    return FederatedResult(params, dims, run_dir, fit, measured.where("model = 'global'").drop("model"))
 
 
-def only(rows: DataFrame, institutions: list[str], everyone: list[str]) -> DataFrame:
-    return rows if len(institutions) == len(everyone) else rows.where(F.col("institution").isin(institutions))
+def only(rows: DataFrame, chosen: DataFrame, everyone: DataFrame) -> DataFrame:
+    """The rows of the chosen institutions."""
+    return rows if chosen is everyone else attach(rows, chosen, ["institution"], "left_semi")
 
 
 def global_params(spark: SparkSession, run_dir: str, number: int) -> np.ndarray:

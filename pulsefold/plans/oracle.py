@@ -287,6 +287,11 @@ ORACLE_SQL = {
     "history_export": with_(*FEAT, CLIENTS, *HISTORY) + """ SELECT string_agg(CAST(round AS VARCHAR), ',' ORDER BY round)
       AS rounds, count(train_accuracy) AS train_rounds, round(sum(val_accuracy), 6) AS val_accuracy_sum FROM hist""",
     "pooled_against_clients": POOLED,
+    "client_sample": """WITH users AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS institution FROM events),
+      drawn AS (SELECT institution, CAST(r AS BIGINT) AS round, count(*) OVER (PARTITION BY r) AS k, row_number() OVER (
+          PARTITION BY r ORDER BY md5('42:' || CAST(r AS VARCHAR) || ':' || institution), institution) AS n
+        FROM users, range(1, 4) t(r))
+      SELECT institution, round FROM drawn WHERE n <= greatest(CAST(floor(0.1::DOUBLE * k) AS BIGINT), 2)""",
     "first_reading": with_(RAW) + """ SELECT series_id, event_id, raw_glucose AS glucose, steps FROM raw
       QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY ts, event_id) = 1""",
     "fedavg_weighted": averaged("sum(n * {p}) / sum(n)"),

@@ -15,7 +15,7 @@ from pulsefold.operators.features import (
     calendar_and_category, input_dimension, ml_table, prepare_ml_data, reject_counts, standardise,
 )
 from pulsefold.operators.median import exact_median
-from pulsefold.operators.splits import shuffled_position, split_institutions, split_train_val
+from pulsefold.operators.splits import sample_clients, shuffled_position, split_institutions, split_train_val
 from pulsefold.operators.stats import class_distribution, class_weights, live_statistics, record_counts, with_class_weight
 from pulsefold.operators.windows import rolling_features
 from pulsefold.plans.batch import last_evaluation
@@ -372,6 +372,13 @@ def pooled_against_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(compare(M.weighted_metrics(clients, MEASURES), together), "federated", "centralised")
 
 
+def client_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as clients: a tenth of them is drawn for each of three rounds."""
+    users = written(readings(spark, sf_dir).select(F.col("series_id").cast("string").alias("institution")).distinct(), "users")
+    rounds = [sample_clients(users, r, 0.1).withColumn("round", F.lit(r).cast("bigint")) for r in (1, 2, 3)]
+    return union_institutions(rounds)
+
+
 def first_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The earliest reading of every series, as an aggregate rather than a sort."""
     place = F.struct(*ORDER)
@@ -452,17 +459,18 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One read of the stream into two tables: all rows, and the risky ones."""
     rows, risky = shared_path(spark, "all"), shared_path(spark, "risky")
     shapes = {rows: lambda b: b.select("institution", "event_id", LABEL), risky: lambda b: b.where(f"{LABEL} = 1")}
-    flow.drain(flow.fan_out(_json_stream(spark, sf_dir, 40), shapes, shared_path(spark, "state"), available_now=True))
+    flow.drain(flow.fan_out(_json_stream(spark, sf_dir, 200), shapes, shared_path(spark, "state"), available_now=True))
     seen = read_parquet(spark, rows).groupBy("institution").agg(F.count("*").alias("records"))
     found = read_parquet(spark, risky).groupBy("institution").agg(F.count("*").alias("risky"))
     return seen.join(found, "institution", "left")
 
 
 def stream_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Live statistics over the table a memory sink keeps."""
+    """Live statistics kept in a memory table: one row per institution, all that reaches the driver."""
     name = f"live_{abs(hash(shared_path(spark, 'm')))}"
-    flow.drain(flow.to_memory(_json_stream(spark, sf_dir), name, available_now=True))
-    return rounded(live_statistics(spark.table(name), "institution"), "avg_glucose", "std_glucose", "avg_heart_rate")
+    statistics = live_statistics(_json_stream(spark, sf_dir), "institution")
+    flow.drain(flow.to_memory(statistics, name, available_now=True, mode="complete"))
+    return rounded(spark.table(name), "avg_glucose", "std_glucose", "avg_heart_rate")
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -521,7 +529,7 @@ QUERIES = {f.__name__: f for f in (
     scaled_on_train, union_of_institutions, confusion_by_institution, roc_auc_by_institution, roc_auc_in_ranges,
     cross_entropy_by_institution, evaluation_by_institution, weighted_client_metrics, round_history,
     round_history_long, round_history_wide, best_round, last_epoch_metrics,
-    history_export, pooled_against_clients, first_reading, fedavg_weighted, fedavg_unweighted,
+    history_export, pooled_against_clients, client_sample, first_reading, fedavg_weighted, fedavg_unweighted,
     fedavg_embeddings, fed_logreg_rounds, stream_enrich, stream_fan_out, stream_memory, stream_stats, stream_to_ml,
     fed_mlp, central_mlp, central_logistic, compare_models,
 )}

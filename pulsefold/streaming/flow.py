@@ -43,9 +43,13 @@ def _start(writer, available_now: bool) -> StreamingQuery:
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def to_memory(df: DataFrame, name: str, checkpoint: str | None = None, available_now: bool = False) -> StreamingQuery:
-    """A table on the driver named `name`; for trials only, it neither scales nor restarts."""
-    writer = df.writeStream.outputMode("append").format("memory").queryName(name)
+def to_memory(df: DataFrame, name: str, checkpoint: str | None = None, available_now: bool = False,
+              mode: str = "append") -> StreamingQuery:
+    """A table named `name` in the driver's memory: for aggregates in `complete` mode, or for trials.
+
+    In append mode it holds every row and cannot restart; use `to_parquet` for data.
+    """
+    writer = df.writeStream.outputMode(mode).format("memory").queryName(name)
     return _start(writer.option("checkpointLocation", checkpoint) if checkpoint else writer, available_now)
 
 

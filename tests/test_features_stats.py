@@ -88,7 +88,7 @@ def test_attach_beyond_the_broadcast_limit(spark):
     keys = spark.range(0, 40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     for how in ("left", "inner"):
         small = attach(rows, keys, ["k"], how)
-        large = attach(rows, keys, ["k"], how, max_rows=5, salts=7)
+        large = attach(rows, keys, ["k"], how, max_cells=5, salts=7)
         assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
         assert sorted(map(tuple, small.select("id", "k", "v").collect()), key=str) == sorted(
             map(tuple, large.select("id", "k", "v").collect()), key=str)

@@ -12,7 +12,7 @@ from pulsefold.operators.averaging import average_params, finite_params
 from pulsefold.plans.central import compare, train_central
 from pulsefold.plans.federated import (
     RoundSettings, client_table, bucketed, finished_rounds, load_model, local_updates, logistic_rounds, save_model,
-    score, train_federated,
+    score_global, score_local, train_federated,
 )
 from pulsefold.session import shared_path
 
@@ -70,7 +70,9 @@ def test_gradient_against_finite_differences():
 
 
 def test_shards_are_bounded_and_whole(ml):
-    table = client_table(ml, RoundSettings(rows_per_shard=100)).cache()
+    table, shards = client_table(ml, RoundSettings(rows_per_shard=100))
+    assert shards == 10
+    table = table.cache()
     assert table.count() == 900
     counts = {r[0]: r[1] for r in table.groupBy("institution").agg(F.count_distinct("shard")).collect()}
     assert counts == {"institution_1": 5, "institution_2": 3, "institution_3": 2}
@@ -80,7 +82,7 @@ def test_shards_are_bounded_and_whole(ml):
 
 
 def test_rounds_do_not_shuffle_the_client_table(ml):
-    rows, _ = bucketed(client_table(ml, QUICK), 4)
+    rows, _ = bucketed(*client_table(ml, QUICK))
     updates = local_updates(rows.where("is_train"), network.initial_params((4, 8, 2), 0), (4, 8, 2), QUICK, 1)
     plan = updates._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapGroupsInPandas" in plan and "Exchange" not in plan
@@ -99,7 +101,7 @@ def test_one_institution_equals_its_local_fit(ml):
     alone = ml.where("institution = 'institution_3'")
     settings = RoundSettings(rounds=1, local_epochs=2, hidden=(8,), min_clients=1, min_fit_clients=1, min_evaluate_clients=1)
     result = train_federated(alone, settings)
-    rows, _ = bucketed(client_table(alone, settings), 2)
+    rows, _ = bucketed(*client_table(alone, settings))
     start = network.initial_params((4, 8, 2), settings.seed)
     update = local_updates(rows.where("is_train"), start, (4, 8, 2), settings, 1).first()
     np.testing.assert_allclose(result.params, update["params"], atol=1e-12)
@@ -125,18 +127,20 @@ def test_a_broken_run_goes_on_where_it_stopped(spark, ml):
 
 
 def test_scores_do_not_depend_on_how_models_travel(spark, ml):
-    rows = client_table(ml, RoundSettings(rows_per_shard=100)).where("not is_train")
+    rows = client_table(ml, RoundSettings(rows_per_shard=100))[0].where("not is_train")
     dims = (4, 8, 2)
     local = spark.createDataFrame(
-        [(f"institution_{i}", network.initial_params(dims, i).tolist()) for i in (1, 2, 3)],
+        [(f"institution_{i}", network.initial_params(dims, i).tolist()) for i in (1, 2)],
         "institution string, params array<double>")
-    start = network.initial_params(dims, 9)
     a, b = (
-        score(rows, local, start, dims, limit).groupBy("institution", "model", "label").agg(
-            F.count("*"), F.round(F.sum("p"), 9)).orderBy("institution", "model", "label").collect()
+        score_local(rows, local, dims, limit).groupBy("institution", "label").agg(
+            F.count("*"), F.round(F.sum("p"), 9)).orderBy("institution", "label").collect()
         for limit in (10, 1)
     )
-    assert a == b and len(a) == 12
+    assert a == b and len(a) == 4
+    one = local.where("institution = 'institution_1'")
+    shared = score_global(rows, network.initial_params(dims, 1), dims).where("institution = 'institution_1'")
+    assert shared.agg(F.sum("p")).first()[0] == pytest.approx(score_local(rows, one, dims).agg(F.sum("p")).first()[0])
 
 
 def test_fraction_of_clients(ml):

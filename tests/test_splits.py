@@ -43,10 +43,14 @@ def test_shuffled_position(spark):
     assert got == ranked(range(200))
 
 
-def test_client_sampling():
-    names = [f"institution_{i}" for i in range(1, 11)]
-    assert sample_clients(names, 1) == sorted(names)
-    some = sample_clients(names, 3, 0.5)
-    assert len(some) == 5 and some == sample_clients(names[::-1], 3, 0.5) and len(sample_clients(names, 3, 0.01)) == 2
+def test_client_sampling(spark):
+    names = spark.range(1, 11).select(F.format_string("institution_%d", "id").alias("institution"))
+
+    def taken(*args):
+        return sorted(r[0] for r in sample_clients(names.repartition(3), *args).collect())
+
+    assert len(taken(1)) == 10
+    assert len(taken(3, 0.5)) == 5 and taken(3, 0.5) == taken(3, 0.5) != taken(4, 0.5)
+    assert len(taken(3, 0.01)) == 2
     with pytest.raises(ValueError, match="required"):
-        sample_clients(names[:1], 1)
+        sample_clients(names.limit(1), 1)
