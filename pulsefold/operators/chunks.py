@@ -15,7 +15,8 @@ from pulsefold.session import written
 
 def range_chunks(df: DataFrame, order: list[str], num_chunks: int | None = None) -> DataFrame:
     """`df` plus `chunk`, rising along `order`. `order` should be unique, so no chunk can be hot."""
-    ranged = df.repartitionByRange(num_chunks, *order) if num_chunks else df.repartitionByRange(*order)
+    num_chunks = num_chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(num_chunks, *order)
     return written(ranged.withColumn("chunk", F.spark_partition_id()), "chunks")
 
 

@@ -102,9 +102,12 @@ def client_table(ml: DataFrame, settings: RoundSettings, row_id: str = "event_id
 
 
 def bucketed(rows: DataFrame, shards: int) -> tuple[DataFrame, str]:
-    """Store the client table bucketed by (institution, shard): rounds then need no shuffle of it."""
+    """Store the client table bucketed by (institution, shard): rounds then need no shuffle of it.
+
+    Few shards get more buckets than there are shards, so that two rarely wait for each other.
+    """
     spark = rows.sparkSession
-    buckets = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * shards))
+    buckets = max(1, min(8 * shards, max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     name = f"pulsefold_clients_{uuid.uuid4().hex}"
     (
         rows.repartition(buckets, "institution", "shard")
@@ -222,9 +225,9 @@ def train_federated(ml: DataFrame, settings: RoundSettings = RoundSettings(), ru
         keep_round(merge_shards(updates), run_dir, "local", number)
         params = global_params(spark, run_dir, number)
         local = kept_round(spark, run_dir, "local", LOCAL, number)
-        own = evaluation(score_local(only(held_out, clients, everyone), local, dims), ["institution"])
-        shared = evaluation(score_global(only(held_out, judges, everyone), params, dims), ["institution"])
-        measured = own.withColumn("model", F.lit("local")).unionByName(shared.withColumn("model", F.lit("global")))
+        own = score_local(only(held_out, clients, everyone), local, dims).withColumn("model", F.lit("local"))
+        shared = score_global(only(held_out, judges, everyone), params, dims).withColumn("model", F.lit("global"))
+        measured = evaluation(own.unionByName(shared), ["institution", "model"])
         # Written last: its presence says the round is complete.
         keep_round(measured, run_dir, "evaluated", number)
         if on_round:

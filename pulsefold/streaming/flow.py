@@ -13,6 +13,8 @@ from pulsefold.operators.clean import fill_constants
 from pulsefold.operators.stats import live_statistics
 from pulsefold.schema import STREAM_SCHEMA
 
+SNAPSHOTS = 16
+
 
 def json_source(spark: SparkSession, path: str, schema: T.StructType = STREAM_SCHEMA,
                 max_files_per_trigger: int = 1) -> DataFrame:
@@ -91,20 +93,28 @@ def fan_out(df: DataFrame, paths: dict[str, Callable[[DataFrame], DataFrame]], c
 
 def to_statistics(df: DataFrame, path: str, checkpoint: str, by: tuple[str, ...] = (),
                   available_now: bool = False) -> StreamingQuery:
-    """Keep `live_statistics` as running state; every batch writes its full, small snapshot."""
-    def snapshot(rows: DataFrame, batch_id: int) -> None:
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    """Keep `live_statistics` as running state; every batch writes its full, small snapshot.
 
+    The last `SNAPSHOTS` of them stay, so a reader never meets the one being replaced. An
+    empty one is there from the start.
+    """
     statistics = live_statistics(df, *by)
+    schema = T.StructType([*statistics.schema.fields, T.StructField("batch_id", T.LongType())])
+    df.sparkSession.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/slot=0")
+
+    def snapshot(rows: DataFrame, batch_id: int) -> None:
+        stamped = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        stamped.coalesce(1).write.mode("overwrite").parquet(f"{path}/slot={batch_id % SNAPSHOTS}")
+
     writer = statistics.writeStream.outputMode("complete").foreachBatch(snapshot).option("checkpointLocation", checkpoint)
     return _start(writer, available_now)
 
 
 def latest_statistics(spark: SparkSession, path: str) -> DataFrame:
-    """The newest snapshot."""
-    snapshots = spark.read.parquet(path)
+    """The newest snapshot; no rows while no batch is done."""
+    snapshots = spark.read.option("ignoreMissingFiles", True).parquet(path).drop("slot")
     newest = snapshots.agg(F.max("batch_id")).first()[0]
-    return snapshots.where(F.col("batch_id") == newest).drop("batch_id")
+    return snapshots.where(F.col("batch_id") == F.lit(newest)).drop("batch_id")
 
 
 def drain(*queries: StreamingQuery) -> None:

@@ -133,6 +133,37 @@ def test_running_statistics(spark, feed, tmp_path):
     assert row["total_records"] == 250 and row["hypo_events"] == 30 and row["total_steps"] == sum(range(250))
 
 
+def test_statistics_before_any_data_are_empty_and_snapshots_stay_few(spark, feed, tmp_path, monkeypatch):
+    monkeypatch.setattr(flow, "SNAPSHOTS", 2)
+    (tmp_path / "in").mkdir()
+    stream = flow.enrich(flow.json_source(spark, str(tmp_path / "in")))
+    query = flow.to_statistics(stream, str(tmp_path / "stats"), str(tmp_path / "state"))
+    try:
+        assert flow.latest_statistics(spark, str(tmp_path / "stats")).count() == 0
+        write_replay(feed, str(tmp_path / "in" / "a"), records_per_file=50)
+        for f in (tmp_path / "in" / "a").glob("*.json"):
+            f.rename(tmp_path / "in" / f.name)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert flow.latest_statistics(spark, str(tmp_path / "stats")).first()["total_records"] == 250
+    assert len(list((tmp_path / "stats").glob("slot=*"))) == 2
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Context:
+        master = "yarn"
+        getConf = staticmethod(dict)
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(Session)
+
+
 def test_memory_and_console_sinks_and_timed_run(spark, feed, tmp_path, capfd):
     write_replay(feed, str(tmp_path / "in"))
     stream = flow.enrich(flow.json_source(spark, str(tmp_path / "in")))
