@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pulsefold.operators.chunks import range_chunks, with_halo
 from pulsefold.operators.joins import attach
 from pulsefold.schema import ORDER, ROLLING_ROWS
+from pulsefold.session import written_and_counted
 
 MAX_SERIES_ROWS = 2_000_000
 WHOLE = "_whole"
@@ -60,8 +61,9 @@ def rolling_features(df: DataFrame, series: str | None = "series_id", order: tup
         if df.limit(limit + 1).count() <= limit:
             return rolling_in_series(whole, WHOLE, keys, null_std).drop(WHOLE)
         return rolling_in_chunks(whole, WHOLE, keys, null_std, num_chunks).drop(WHOLE)
-    long_ones = df.groupBy(series).agg(F.count("*").alias("_rows")).where(F.col("_rows") > limit)
-    if long_ones.isEmpty():
+    sizes = df.groupBy(series).agg(F.count("*").alias("_rows"))
+    long_ones, number = written_and_counted(sizes.where(F.col("_rows") > limit), "long-series")
+    if number == 0:
         return rolling_in_series(df, series, keys, null_std)
     marked = attach(df, long_ones, [series])
     usual = marked.where(F.col("_rows").isNull()).drop("_rows")
