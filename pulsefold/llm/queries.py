@@ -6,16 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsefold.llm import language
+from pulsefold.llm import bpe, language
 from pulsefold.llm.tables import read
 
 
+def vocabulary_path() -> str:
+    """The public byte-level vocabulary; the operators take any other path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.identify(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_and_decode(read(spark, sf_dir, "documents"), vocabulary_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_bpe": op7_bpe,
     "op9_language_id": op9_language_id,
 }
 
