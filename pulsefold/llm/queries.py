@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsefold.llm import bpe, language
+from pulsefold.llm import bpe, language, superminhash
 from pulsefold.llm.tables import read
 
 
@@ -22,11 +22,16 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.group(read(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(read(spark, sf_dir, "documents"), vocabulary_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_superminhash": op5_superminhash,
     "op7_bpe": op7_bpe,
     "op9_language_id": op9_language_id,
 }
