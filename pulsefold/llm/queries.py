@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsefold.llm import bpe, language, superminhash
+from pulsefold.llm import bpe, decontaminate, language, superminhash
 from pulsefold.llm.tables import read
 
 
@@ -22,6 +22,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminations(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op5_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.group(read(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontaminate": op3_decontaminate,
     "op5_superminhash": op5_superminhash,
     "op7_bpe": op7_bpe,
     "op9_language_id": op9_language_id,

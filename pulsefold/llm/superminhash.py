@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pulsefold.llm.components import components
 from pulsefold.llm.tables import own_columns, stored
-from pulsefold.llm.texts import Words, cut, lists, mix, ngrams, slices
+from pulsefold.llm.texts import LOWER, Words, cut, lists, mix, ngrams, slices
 
 
 @dataclass(frozen=True)
@@ -108,7 +108,7 @@ def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
     def run(batches):
         for piece in slices(batches, "text", 1_000_000):
             n = len(piece)
-            grams, doc = shingle_sets(cut(piece.column(1), lower=True), s.shingle)
+            grams, doc = shingle_sets(cut(piece.column(1), LOWER), s.shingle)
             size = np.bincount(doc, minlength=n)
             first = np.searchsorted(doc, np.arange(n))
             sums = [np.zeros(n, np.uint64) for _ in range(2)]
@@ -133,7 +133,7 @@ def full_sets(docs: DataFrame, settings: Settings) -> DataFrame:
     """doc_id and its whole shingle set."""
     def run(batches):
         for piece in slices(batches, "text", 1_000_000):
-            grams, doc = shingle_sets(cut(piece.column(1), lower=True), settings.shingle)
+            grams, doc = shingle_sets(cut(piece.column(1), LOWER), settings.shingle)
             yield pa.RecordBatch.from_arrays(
                 [piece.column(0), lists(grams.view(np.int64), np.bincount(doc, minlength=len(piece)))], ["doc_id", "grams"])
 

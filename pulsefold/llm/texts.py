@@ -17,6 +17,8 @@ BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
+# Lower case, and every ASCII character that is no letter or digit is a blank.
+PLAIN = np.where([c < 128 and not chr(c).isalnum() for c in range(256)], 0x20, LOWER).astype(np.uint8)
 
 _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64)
@@ -66,11 +68,11 @@ class Words:
         return mix(np.add.reduceat(values, before) ^ length.astype(np.uint64))
 
 
-def cut(column: pa.Array, lower: bool = False) -> Words:
-    """Words of every text in `column`; null counts as empty. `lower` folds A-Z."""
+def cut(column: pa.Array, table: np.ndarray | None = None) -> Words:
+    """Words of every text in `column`; null counts as empty. `table` (LOWER, PLAIN) replaces bytes first."""
     data, offsets = utf8(column)
-    if lower:
-        data = LOWER[data]
+    if table is not None:
+        data = table[data]
     solid = np.concatenate([[False], ~BLANK[data], [False]])
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
@@ -113,6 +115,24 @@ def long_ngrams(words: Words, hashes: np.ndarray, n: int) -> tuple[np.ndarray, n
     return mix((sums[at + n] - sums[at]) * falling[at]), at
 
 
+def spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0]+1, ... (size[0] numbers), then the same from begin[1], and so on."""
+    before = np.cumsum(size) - size
+    return np.repeat(begin - before, size) + np.arange(int(size.sum()))
+
+
+def joined(words: Words, keep: np.ndarray) -> list[bytes]:
+    """For every document, its words where `keep` holds, with one space between them."""
+    starts, doc = words.starts[keep], words.doc[keep]
+    size = words.ends[keep] - starts + 1
+    data = np.concatenate([words.data, [0]]).astype(np.uint8)[spread(starts, size)]
+    ends = np.cumsum(size)
+    data[ends - 1] = 0x20
+    whole = data.tobytes()
+    bounds = np.concatenate([[0], ends])[np.searchsorted(doc, np.arange(words.docs + 1))]
+    return [whole[a:max(a, b - 1)] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The batches in runs of rows with about `max_bytes` of text, so that work arrays stay small.
 
