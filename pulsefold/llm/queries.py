@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsefold.llm import bpe, decontaminate, language, superminhash
+from pulsefold.llm import bpe, decontaminate, language, lempel, superminhash
 from pulsefold.llm.tables import read
 
 
@@ -34,10 +34,15 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(read(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op8_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lempel.deduplicate(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op5_superminhash": op5_superminhash,
     "op7_bpe": op7_bpe,
+    "op8_lempel_ziv": op8_lempel_ziv,
     "op9_language_id": op9_language_id,
 }
 
