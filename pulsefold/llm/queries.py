@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsefold.llm import bpe, decontaminate, language, lempel, superminhash
+from pulsefold.llm import bpe, decontaminate, language, lempel, secrets, superminhash
 from pulsefold.llm.tables import read
 
 
@@ -22,6 +22,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(read(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminations(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -39,6 +43,7 @@ def op8_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secrets": op2_secrets,
     "op3_decontaminate": op3_decontaminate,
     "op5_superminhash": op5_superminhash,
     "op7_bpe": op7_bpe,
