@@ -140,10 +140,8 @@ def full_sets(docs: DataFrame, settings: Settings) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, grams array<long>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough, with both set sizes' intersection."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stored(full_sets(docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text"), settings), "sets")
+def verified(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
     left, right = (sets.select(F.col("doc_id").alias(k), F.col("grams").alias(f"{k}_grams")) for k in "ab")
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("a_grams", "b_grams"))
@@ -155,40 +153,52 @@ def links(docs: DataFrame, sketch: DataFrame, settings: Settings) -> DataFrame:
     """Verified links between representatives of equal sets: enough of them to give every component."""
     named = sketch.where("n_shingles > 0 and doc_id is not null")
     representatives = named.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    banded = named.join(representatives, "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("bucket")).distinct()
+    banded = named.join(representatives.hint("merge"), "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("bucket")).distinct()
     buckets = banded.groupBy("bucket").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).where("lead < last")
-    shared = stored(banded.join(buckets.select("bucket", "lead"), "bucket"), "buckets")
+    shared = stored(banded.join(buckets.select("bucket", "lead").hint("merge"), "bucket"), "buckets")
+    # The one time texts are shuffled, and the sets of those that share a bucket are kept. A merge at every size:
+    # nothing here is broadcast.
+    wanted = shared.select("doc_id").distinct()
+    sets = stored(full_sets(docs.join(wanted.hint("merge"), "doc_id", "left_semi").select("doc_id", "text"), settings), "sets")
     star = stored(shared.where("doc_id <> lead").select(F.col("doc_id").alias("a"), F.col("lead").alias("b")).distinct(), "star")
-    first = stored(verified(star, docs, settings), "links")
-    return first.unionByName(rest(docs, named, shared, star, first, settings))
+    first = stored(verified(star, sets, settings), "links")
+    return first.unionByName(rest(sets, named, shared, star, first, settings))
 
 
-def rest(docs: DataFrame, named: DataFrame, shared: DataFrame, tried: DataFrame, found: DataFrame, settings: Settings) -> DataFrame:
+def rest(sets: DataFrame, named: DataFrame, shared: DataFrame, tried: DataFrame, found: DataFrame, settings: Settings) -> DataFrame:
     """Links between members that the stars left in different components of one bucket.
 
-    Pairs are ruled out by set size, exactly, and by agreement of the signatures: at the threshold
-    the share of equal slots has a deviation below sqrt(0.8 * 0.2 / slots), so falling under
-    `doubt` of it is about seven deviations off.
+    Most pairs are ruled out before their sets are compared. Exactly: shingles that no other open document has
+    are in no intersection, so with `own` of them two sets share at most c = min(n - own), and c must reach
+    the threshold of n + n' - c. And by signature: at the threshold the share of equal slots has a deviation below
+    sqrt(0.8 * 0.2 / slots), so falling under `doubt` of it is about seven deviations off.
     """
     roots = components(found)
     placed = shared.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").select(
         "bucket", "doc_id", F.coalesce("root", "doc_id").alias("root"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
-    open_rows = placed.join(mixed, "bucket", "left_semi")
+    open_rows = stored(placed.join(mixed.hint("merge"), "bucket", "left_semi"), "open")
+    open_docs = open_rows.select("doc_id").distinct()
+    grams = sets.join(open_docs.hint("merge"), "doc_id", "left_semi").select("doc_id", F.explode("grams").alias("gram"))
+    alone = grams.groupBy("gram").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).where("doc_id = last")
+    own = alone.groupBy("doc_id").agg(F.count("*").alias("own"))
     sketched = named.select("doc_id", "n_shingles", "slots").dropDuplicates(["doc_id"])
-    open_rows = stored(open_rows.join(sketched, "doc_id"), "open")
-    left, right = (open_rows.select("bucket", *[F.col(c).alias(f"{k}_{c}") for c in ("doc_id", "root", "n_shingles", "slots")]) for k in "ab")
+    described = sketched.join(open_docs.hint("merge"), "doc_id", "left_semi").join(own.hint("merge"), "doc_id", "left").select(
+        "doc_id", "n_shingles", "slots", (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("common"))
+    # A document that can't reach the threshold with any set is settled.
+    described = stored(described.where(100 * F.col("common") >= settings.percent * F.col("n_shingles")), "described")
+    open_rows = open_rows.join(described.hint("merge"), "doc_id")
+    left, right = (open_rows.select("bucket", *[F.col(c).alias(f"{k}_{c}") for c in ("doc_id", "root", "n_shingles", "common", "slots")]) for k in "ab")
     same = F.size(F.filter(F.zip_with("a_slots", "b_slots", lambda x, y: x == y), lambda x: x))
-    least, most = F.least("a_n_shingles", "b_n_shingles"), F.greatest("a_n_shingles", "b_n_shingles")
+    most = F.least("a_common", "b_common")
     possible = (
-        (F.col("a_root") != F.col("b_root")) & (F.col("a_doc_id") > F.col("b_doc_id"))
-        & (100 * least >= settings.percent * most)
+        (left["bucket"] == right["bucket"]) & (F.col("a_root") != F.col("b_root")) & (F.col("a_doc_id") > F.col("b_doc_id"))
+        & (100 * most >= settings.percent * (F.col("a_n_shingles") + F.col("b_n_shingles") - most))
         & (same >= int(settings.doubt * settings.percent / 100 * settings.slots))
     )
-    pairs = left.join(right, (left["bucket"] == right["bucket"]) & possible).select(
-        F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")).distinct()
-    pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "rest")
-    return verified(pairs, docs, settings)
+    pairs = left.join(right, possible).select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")).distinct()
+    pairs = stored(pairs.join(tried.hint("merge"), ["a", "b"], "left_anti"), "rest")
+    return verified(pairs, sets, settings)
 
 
 def group(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
