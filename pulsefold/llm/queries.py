@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsefold.llm import bpe, decontaminate, language, lempel, secrets, superminhash
+from pulsefold.llm import bpe, decontaminate, hosts, language, lempel, secrets, simple8b, superminhash
 from pulsefold.llm.tables import read
 
 
@@ -42,13 +42,24 @@ def op8_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lempel.deduplicate(read(spark, sf_dir, "documents"))
 
 
+def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts.judge(read(spark, sf_dir, "documents")).drop("host_kept")
+
+
+def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = simple8b.write(read(spark, sf_dir, "documents"), vocabulary_path())
+    return simple8b.read(spark, files)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
     "op3_decontaminate": op3_decontaminate,
     "op5_superminhash": op5_superminhash,
+    "op6_host_rules": op6_host_rules,
     "op7_bpe": op7_bpe,
     "op8_lempel_ziv": op8_lempel_ziv,
     "op9_language_id": op9_language_id,
+    "op10_simple8b": op10_simple8b,
 }
 
 ORACLE_SQL: dict[str, str] = {}
