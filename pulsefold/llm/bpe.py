@@ -201,12 +201,13 @@ def encode_and_decode(documents: DataFrame, vocabulary_path: str, with_text: boo
 def _each(documents: DataFrame, vocabulary_path: str, step, columns: str) -> DataFrame:
     docs = own_columns(documents, "doc_id", "text")
     # The vocabulary file bounds what is sent out: a few MB, however many documents there are.
-    sent = docs.sparkSession.sparkContext.broadcast(Vocabulary.from_file(vocabulary_path))
+    read = Vocabulary.from_file(vocabulary_path)
+    sent = docs.sparkSession.sparkContext.broadcast((read.labels, read.merges, read.specials))
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", *[c.strip().split(" ")[0] for c in columns.split(",")]]
 
     def run(batches):
-        vocabulary = sent.value
+        vocabulary = Vocabulary(*sent.value)
         coder = ChunkCoder(Automaton(vocabulary).encode_many, vocabulary.specials)
         tables = Decoder(vocabulary.labels)
         for piece in slices(batches, "text", 8_000_000):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsefold.llm import bpe, decontaminate, hosts, language, lempel, secrets, simple8b, superminhash
+from pulsefold.llm import bpe, decontaminate, hosts, language, lempel, secrets, simple8b, superminhash, toxicity
 from pulsefold.llm.tables import read
 
 
@@ -30,6 +30,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminations(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.group(read(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
     "op3_decontaminate": op3_decontaminate,
+    "op4_toxicity": op4_toxicity,
     "op5_superminhash": op5_superminhash,
     "op6_host_rules": op6_host_rules,
     "op7_bpe": op7_bpe,
