@@ -38,7 +38,7 @@ class Settings:
     bands: int = 32
     rows: int = 4
     # A pair whose signatures agree in fewer slots than this share of the threshold isn't verified; see `rest`.
-    doubt: float = 0.7
+    doubt: float = 0.75
 
     @property
     def slots(self) -> int:
@@ -171,7 +171,7 @@ def rest(sets: DataFrame, named: DataFrame, shared: DataFrame, tried: DataFrame,
     Most pairs are ruled out before their sets are compared. Exactly: shingles that no other open document has
     are in no intersection, so with `own` of them two sets share at most c = min(n - own), and c must reach
     the threshold of n + n' - c. And by signature: at the threshold the share of equal slots has a deviation below
-    sqrt(0.8 * 0.2 / slots), so falling under `doubt` of it is about seven deviations off.
+    sqrt(0.8 * 0.2 / slots), so falling under `doubt` of it is five to six deviations off.
     """
     roots = components(found)
     placed = shared.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").select(
@@ -182,19 +182,21 @@ def rest(sets: DataFrame, named: DataFrame, shared: DataFrame, tried: DataFrame,
     grams = sets.join(open_docs.hint("merge"), "doc_id", "left_semi").select("doc_id", F.explode("grams").alias("gram"))
     alone = grams.groupBy("gram").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).where("doc_id = last")
     own = alone.groupBy("doc_id").agg(F.count("*").alias("own"))
-    sketched = named.select("doc_id", "n_shingles", "slots").dropDuplicates(["doc_id"])
+    sketched = named.select("doc_id", "n_shingles", "slots", "bands").dropDuplicates(["doc_id"])
     described = sketched.join(open_docs.hint("merge"), "doc_id", "left_semi").join(own.hint("merge"), "doc_id", "left").select(
-        "doc_id", "n_shingles", "slots", (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("common"))
+        "doc_id", "n_shingles", "slots", "bands", (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("common"))
     # A document that can't reach the threshold with any set is settled.
     described = stored(described.where(100 * F.col("common") >= settings.percent * F.col("n_shingles")), "described")
     open_rows = open_rows.join(described.hint("merge"), "doc_id")
-    left, right = (open_rows.select("bucket", *[F.col(c).alias(f"{k}_{c}") for c in ("doc_id", "root", "n_shingles", "common", "slots")]) for k in "ab")
+    left, right = (open_rows.select("bucket", *[F.col(c).alias(f"{k}_{c}") for c in ("doc_id", "root", "n_shingles", "common", "slots", "bands")]) for k in "ab")
     same = F.size(F.filter(F.zip_with("a_slots", "b_slots", lambda x, y: x == y), lambda x: x))
     most = F.least("a_common", "b_common")
     possible = (
         (left["bucket"] == right["bucket"]) & (F.col("a_root") != F.col("b_root")) & (F.col("a_doc_id") > F.col("b_doc_id"))
         & (100 * most >= settings.percent * (F.col("a_n_shingles") + F.col("b_n_shingles") - most))
         & (same >= int(settings.doubt * settings.percent / 100 * settings.slots))
+        # A pair that meets in several buckets is taken in one of them.
+        & (F.array_min(F.array_intersect("a_bands", "b_bands")) == left["bucket"])
     )
     pairs = left.join(right, possible).select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")).distinct()
     pairs = stored(pairs.join(tried.hint("merge"), ["a", "b"], "left_anti"), "rest")

@@ -71,8 +71,11 @@ class Words:
 def cut(column: pa.Array, table: np.ndarray | None = None) -> Words:
     """Words of every text in `column`; null counts as empty. `table` (LOWER, PLAIN) replaces bytes first."""
     data, offsets = utf8(column)
-    if table is not None:
-        data = table[data]
+    return cut_bytes(data if table is None else table[data], offsets)
+
+
+def cut_bytes(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """Words of texts given as bytes and bounds."""
     solid = np.concatenate([[False], ~BLANK[data], [False]])
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True

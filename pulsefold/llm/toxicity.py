@@ -22,11 +22,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F
 
 from pulsefold.llm.tables import own_columns, part_of, stored
-from pulsefold.llm.texts import PLAIN, cut, slices, utf8
+from pulsefold.llm.texts import PLAIN, Words, cut, cut_bytes, slices, spread, utf8
 
 HELD_OUT_PARTS, HELD_OUT = 3, 1
 
@@ -38,10 +37,11 @@ STANDS_FOR = {
 SIGNS = "-._*~'^+"
 SWAP, DROP_REPEAT, DROP_SIGN, KEEP_SIGN = 1.0, 0.7, 0.8, 6.0
 
-# Letters with something else between them or at their end, a letter three times in a row, or single letters with gaps.
-SUSPECT = regex.compile(
-    r"(?<!\S)\S*(?:\p{L}[0-9@$!|+€£*._~^-]+\p{L}|[0-9@$!|]\p{L}{2,}|\p{L}{2,}[0-9@$]+(?!\S)|(\p{L})\1\1)\S*"
-    r"|(?<!\S)[\p{L}0-9@$!|](?:[ ._*-]{1,2}[\p{L}0-9@$!|]){3,}(?!\S)", regex.IGNORECASE)
+# Classes of bytes: letters (all of other alphabets' bytes too), and what may stand between or for them.
+LETTER = np.array([chr(c).isalpha() if c < 128 else True for c in range(256)])
+STAND_IN = np.zeros(256, bool)
+STAND_IN[[ord(c) for c in "0123456789@$!|(" + SIGNS]] = True
+SPACED = 4
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 OTHER, EDGE, SYMBOLS = 26, 27, 28
@@ -85,12 +85,7 @@ class Channel:
     def __init__(self, costs: np.ndarray, settings: Settings):
         self.cost, self.settings, self.known = costs, settings, {}
 
-    def restore(self, text: str) -> str:
-        """`text` with every suspect word restored, in lower case where it was."""
-        return SUSPECT.sub(self.word, text) if SUSPECT.search(text) else text
-
-    def word(self, match) -> str:
-        seen = match[0]
+    def restore(self, seen: str) -> str:
         out = self.known.get(seen)
         if out is None:
             if len(self.known) > self.settings.remembered:
@@ -105,8 +100,10 @@ class Channel:
         costs what the channel asks for it.
         """
         end = len(seen)
-        while end and not (seen[end - 1].isalnum() or seen[end - 1] in "@$"):
+        while end and not seen[end - 1].isalnum():
             end -= 1
+        # One or two signs at the end may be letters; a longer tail is decoration.
+        end += len(seen) - end if len(seen) - end < 3 and set(seen[end:]) <= {"@", "$"} else 0
         tail, seen = seen[end:], seen[:end]
         paths = {(EDGE, EDGE, EDGE): (0.0, "")}
         for at, char in enumerate(seen):
@@ -159,17 +156,57 @@ def character_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
+def suspects(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """First and last word of each disguised word: a stand-in before or behind a letter, a letter three times, or a
+    run of at least SPACED words of one character."""
+    data, n = words.data, len(words.starts)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    letter, stands = LETTER[data], STAND_IN[data]
+    marked = np.zeros(len(data), bool)
+    marked[:-1] = stands[:-1] & letter[1:]
+    marked[:-1] |= letter[:-1] & stands[1:]
+    if len(data) > 2:
+        marked[:-2] |= (data[:-2] == data[1:-1]) & (data[1:-1] == data[2:]) & letter[:-2] & (data[:-2] < 0x80)
+    # A mark counts within its word; signs that only end a word are punctuation.
+    sums = np.concatenate([[0], np.cumsum(marked)])
+    last = words.ends - 1
+    for _ in range(2):
+        tail = ~letter[np.maximum(last, words.starts)] & ~np.isin(data[np.maximum(last, words.starts)], np.frombuffer(b"0123456789", np.uint8))
+        last = last - tail
+    decorated = last - words.starts
+    odd = sums[np.maximum(last, words.starts)] > sums[words.starts]
+    size, behind = words.ends - words.starts, data[words.ends - 1]
+    single = (letter | stands)[words.starts] & ((size == 1) | ((size == 2) & ~LETTER[behind] & ~STAND_IN[behind]))
+    change = np.flatnonzero(np.concatenate([[True], (single[1:] != single[:-1]) | (words.doc[1:] != words.doc[:-1]), [True]]))
+    begin, end = change[:-1], change[1:]
+    runs = single[begin] & (end - begin >= SPACED)
+    alone = np.flatnonzero(odd & ~single & (decorated > 0))
+    return np.concatenate([alone, begin[runs]]), np.concatenate([alone, end[runs] - 1])
+
+
 def features_of(column: pa.Array, channel: Channel, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct feature hashes of each restored text, and the text of each."""
-    texts = column.to_pylist()
-    restored = pa.array([channel.restore(t) if t else "" for t in texts], pa.string())
-    words = cut(restored, PLAIN)
-    size = words.ends - words.starts
-    hashes, doc = [words.hashes()], [words.doc]
-    for n in settings.prefixes:
-        longer = size > n
-        hashes.append(words.hashes(n)[longer] ^ np.uint64(n))
-        doc.append(words.doc[longer])
+    """Distinct feature hashes of each text with its disguised words restored, and the text of each."""
+    data, offsets = utf8(column)
+    words = cut_bytes(data, offsets)
+    first, last = suspects(words)
+    plain = PLAIN[data]
+    # Capitals with accents: the second byte of a two-byte letter.
+    accented = np.concatenate([[False], data[:-1] == 0xC3]) & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)
+    plain[accented] += 0x20
+    a, b = words.starts[first], words.ends[last]
+    whole = data.tobytes()
+    restored = pa.array([channel.restore(whole[i:j].decode("utf-8", "replace")) for i, j in zip(a.tolist(), b.tolist(), strict=True)], pa.string())
+    plain[spread(a, b - a)] = 0x20
+    hashes, doc = [], []
+    for some, owner in ((cut_bytes(plain, offsets), None), (cut(restored, PLAIN), words.doc[first])):
+        size, of = some.ends - some.starts, some.doc if owner is None else owner[some.doc]
+        hashes.append(some.hashes())
+        doc.append(of)
+        for n in settings.prefixes:
+            longer = size > n
+            hashes.append(some.hashes(n)[longer] ^ np.uint64(n))
+            doc.append(of[longer])
     hashes, doc = np.concatenate(hashes), np.concatenate(doc)
     order = np.lexsort((hashes, doc))
     hashes, doc = hashes[order], doc[order]
