@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsefold.llm import bpe, decontaminate, hosts, language, lempel, secrets, simple8b, superminhash, toxicity
+from pulsefold.llm import bpe, decontaminate, hosts, language, lempel, secrets, simple8b, superminhash, templates, toxicity
 from pulsefold.llm.tables import read
 
 
@@ -22,6 +22,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op1_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.main_text(read(spark, sf_dir, "pages"))
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(read(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_template_text": op1_template_text,
     "op2_secrets": op2_secrets,
     "op3_decontaminate": op3_decontaminate,
     "op4_toxicity": op4_toxicity,
