@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 
 from pulsefold.llm.presplit import ChunkCoder, byte_letters
 from pulsefold.llm.tables import own_columns
-from pulsefold.llm.texts import slices
+from pulsefold.llm.texts import lists, slices
 
 # Fixed value: the byte-level pre-tokenizer's pieces, white space as Unicode defines it.
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -174,27 +174,23 @@ class Decoder:
         return [data[a:b].decode("utf-8", "replace").encode() for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
-def encode(documents: DataFrame, vocabulary_path: str) -> DataFrame:
-    """doc_id, ids (array of int) for every row of `documents` (doc_id, text)."""
-    def step(ids, counts, coder, tables):
-        yield pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(ids.astype(np.int32)))
+def encode_and_decode(documents: DataFrame, vocabulary_path: str, with_ids: bool = False, with_text: bool = False) -> DataFrame:
+    """doc_id, n_tokens, digests of the ids and of the decoded text of every row of `documents` (doc_id, text).
 
-    return _each(documents, vocabulary_path, step, "ids array<int>")
-
-
-def encode_and_decode(documents: DataFrame, vocabulary_path: str, with_text: bool = False) -> DataFrame:
-    """doc_id, n_tokens, digests of the ids and of the decoded text (and `ids`, `decoded` if `with_text`)."""
-    def step(ids, counts, coder, tables):
+    `with_ids` and `with_text` add the ids and the decoded text themselves.
+    """
+    def step(ids, counts, tables):
         texts, ends = tables.decode(ids, counts), np.cumsum(counts)
         raw = ids.astype("<u4").tobytes()
         yield pa.array(counts)
         yield pa.array([hashlib.sha256(raw[4 * (e - n):4 * e]).hexdigest() for e, n in zip(ends, counts, strict=True)], pa.string())
         yield pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())
+        if with_ids:
+            yield lists(ids.astype(np.int32), counts)
         if with_text:
-            yield pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids.astype(np.int32)))
             yield pa.array([t.decode() for t in texts], pa.string())
 
-    more = ", ids array<int>, decoded string" if with_text else ""
+    more = ", ids array<int>" * with_ids + ", decoded string" * with_text
     return _each(documents, vocabulary_path, step, "n_tokens long, ids_sha256 string, decoded_sha256 string" + more)
 
 
@@ -212,6 +208,6 @@ def _each(documents: DataFrame, vocabulary_path: str, step, columns: str) -> Dat
         tables = Decoder(vocabulary.labels)
         for piece in slices(batches, "text", 8_000_000):
             ids, counts = coder.encode(piece.column(1))
-            yield pa.RecordBatch.from_arrays([piece.column(0), *step(ids, counts, coder, tables)], names)
+            yield pa.RecordBatch.from_arrays([piece.column(0), *step(ids, counts, tables)], names)
 
     return docs.mapInArrow(run, f"doc_id {kind}, {columns}")

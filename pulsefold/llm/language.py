@@ -186,33 +186,39 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> ByteNet | Non
     return ByteNet.from_bytes(bytes(rows[0]["model"]), settings) if rows else None
 
 
+def _scores(piece: pa.RecordBatch, column: int, lettered: int, model: ByteNet) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the best label of each row (one more than there are: unknown), and its probability."""
+    cut, doc, filled = windows_of(piece.column(column), model.settings.window)
+    total = np.zeros((len(piece), len(model.labels)))
+    for i in range(0, len(cut), 64):
+        part = slice(i, i + 64)
+        np.add.at(total, doc[part], model.log_probabilities(cut[part]) * filled[part, None])
+    size = np.bincount(doc, filled, len(piece))
+    chance = np.exp(_log_softmax(total / np.maximum(size, 1)[:, None]))
+    known = piece.column(lettered).to_numpy(zero_copy_only=False) & (size > 0)
+    return np.where(known, chance.argmax(1), len(model.labels)), np.where(known, chance.max(1), 0.0)
+
+
+LETTERED = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+
 def predict(docs: DataFrame, net: ByteNet | None, held_out: Column) -> DataFrame:
-    """doc_id, text, held_out, lang_pred, score for every row of `docs` (doc_id, text)."""
-    rows = docs.select("doc_id", "text", held_out.alias("held_out"),
-                       F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
-    schema = "doc_id long, text string, held_out boolean, lang_pred string, score double"
+    """doc_id, held_out, lang_pred, score for every row of `docs` (doc_id, text)."""
+    rows = docs.select("doc_id", "text", held_out.alias("held_out"), LETTERED.alias("lettered"))
     if net is None:
-        return rows.select("doc_id", "text", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     blob, settings = net.to_bytes(), net.settings
 
     def scored(batches):
         model = ByteNet.from_bytes(blob, settings)
         names = np.array([*model.labels, UNKNOWN], object)
         for piece in slices(batches, "text"):
-            cut, doc, filled = windows_of(piece.column(1), settings.window)
-            total = np.zeros((len(piece), len(model.labels)))
-            for i in range(0, len(cut), 64):
-                part = slice(i, i + 64)
-                np.add.at(total, doc[part], model.log_probabilities(cut[part]) * filled[part, None])
-            size = np.bincount(doc, filled, len(piece))
-            chance = np.exp(_log_softmax(total / np.maximum(size, 1)[:, None]))
-            known = piece.column(3).to_numpy(zero_copy_only=False) & (size > 0)
-            best = np.where(known, chance.argmax(1), len(model.labels))
+            best, score = _scores(piece, 1, 3, model)
             yield pa.RecordBatch.from_arrays(
-                [*piece.columns[:3], pa.array(names[best], pa.string()), pa.array(np.where(known, chance.max(1), 0.0))],
-                ["doc_id", "text", "held_out", "lang_pred", "score"])
+                [piece.column(0), piece.column(2), pa.array(names[best], pa.string()), pa.array(score)],
+                ["doc_id", "held_out", "lang_pred", "score"])
 
-    return rows.mapInArrow(scored, schema)
+    return rows.mapInArrow(scored, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def identify(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -223,3 +229,27 @@ def identify(documents: DataFrame, settings: Settings = Settings()) -> DataFrame
     docs = own_columns(documents, "doc_id", "text", "lang")
     held_out = part_of("doc_id", HELD_OUT_PARTS) == HELD_OUT
     return predict(docs, train(docs.where(~held_out), settings), held_out)
+
+
+def accepted(documents: DataFrame, settings: Settings = Settings(), least_score: float = 0.0) -> DataFrame:
+    """The rows of `documents` (all columns) whose text has a language, with at least `least_score`: one pass, no shuffle.
+
+    Texts of a word or two have low scores without being junk, so by default only `und` is rejected.
+    """
+    docs = own_columns(documents, "doc_id", "text", "lang")
+    net = train(docs.where(part_of("doc_id", HELD_OUT_PARTS) != HELD_OUT), settings)
+    if net is None:
+        return documents.where(F.lit(False))
+    blob, settings, schema = net.to_bytes(), net.settings, documents.schema
+    # The helper column goes to the end, under a name no other column has.
+    helper = "_" * (1 + max(map(len, documents.columns)))
+
+    def filtered(batches):
+        model = ByteNet.from_bytes(blob, settings)
+        for piece in slices(batches, "text"):
+            last = piece.num_columns - 1
+            best, score = _scores(piece, piece.schema.get_field_index("text"), last, model)
+            keep = (best < len(model.labels)) & (score >= least_score)
+            yield piece.select(range(last)).filter(pa.array(keep))
+
+    return documents.withColumn(helper, LETTERED).mapInArrow(filtered, schema)

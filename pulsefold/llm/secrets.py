@@ -144,13 +144,22 @@ def masked(documents: DataFrame, settings: Settings = Settings(), mark: str = "[
 
     Only rows with spans are shuffled by their key; overlapping spans are replaced once.
     """
+    # Helper columns whose names no column of the caller can have.
+    helper = "_" * (1 + max(map(len, documents.columns)))
+    key, own_id, own_key, found = (f"{helper}{k}" for k in ("key", "id", "of", "found"))
     spans = scan(documents.select("doc_id", "text"), settings).where(F.size("found") > 0).distinct()
-    spans = spans.withColumnsRenamed({"doc_id": "s_doc_id", "text_key": "s_text_key"})
-    keyed = documents.withColumn("s_key", F.xxhash64("text"))
-    both = keyed.join(spans, keyed["doc_id"].eqNullSafe(F.col("s_doc_id")) & (F.col("s_key") == F.col("s_text_key")), "left")
+    spans = spans.withColumnsRenamed({"doc_id": own_id, "text_key": own_key, "found": found})
+    keyed = documents.withColumn(key, F.xxhash64("text"))
+    both = keyed.join(spans, keyed["doc_id"].eqNullSafe(F.col(own_id)) & (F.col(key) == F.col(own_key)), "left")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    walked = F.aggregate("found", start, lambda acc, x: F.when(x["at"] >= acc["at"], F.struct(
-        x["end"].alias("at"), F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), (x["at"] - acc["at"]).cast("int")), F.lit(mark)).alias("out"))
-    ).otherwise(F.struct(F.greatest(acc["at"], x["end"]).alias("at"), acc["out"].alias("out"))))
-    text = F.when(F.size("found") > 0, F.concat(walked["out"], F.substring(F.col("text"), (walked["at"] + 1).cast("int"), F.length("text")))).otherwise(F.col("text"))
-    return both.withColumn("text", text).select(*documents.columns)
+
+    def step(done: Column, x: Column) -> Column:
+        """Text up to the span, then the mark; of a span that begins inside another only the rest goes."""
+        gap = F.substring(F.col("text"), (done["at"] + 1).cast("int"), (x["at"] - done["at"]).cast("int"))
+        return F.when(x["at"] >= done["at"], F.struct(x["end"].alias("at"), F.concat(done["out"], gap, F.lit(mark)).alias("out"))).otherwise(
+            F.struct(F.greatest(done["at"], x["end"]).alias("at"), done["out"].alias("out")))
+
+    walked = F.aggregate(found, start, step)
+    rest = F.substring(F.col("text"), (walked["at"] + 1).cast("int"), F.length("text"))
+    text = F.when(F.size(found) > 0, F.concat(walked["out"], rest)).otherwise(F.col("text"))
+    return both.withColumn("text", text).select(*[F.col(f"`{c}`") for c in documents.columns])

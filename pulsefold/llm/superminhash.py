@@ -216,3 +216,13 @@ def group(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     component = F.when(F.col("n_shingles") > 0, F.coalesce("root", "doc_id")).otherwise(F.col("doc_id"))
     out = rows.select("doc_id", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def first_of_groups(documents: DataFrame, settings: Settings = Settings(shingle=5)) -> DataFrame:
+    """The rows of `documents` (all columns) that stand for their group; of rows sharing a doc_id one stays.
+
+    Rows without doc_id stay.
+    """
+    copies = group(documents, settings).where(~F.col("kept")).select("doc_id").distinct()
+    named = documents.where("doc_id is not null").join(copies.hint("merge"), "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return named.select(*documents.columns).unionByName(documents.where("doc_id is null"))
