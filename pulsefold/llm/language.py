@@ -199,12 +199,13 @@ def _scores(piece: pa.RecordBatch, column: int, lettered: int, model: ByteNet) -
     return np.where(known, chance.argmax(1), len(model.labels)), np.where(known, chance.max(1), 0.0)
 
 
-LETTERED = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+def _lettered() -> Column:
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
 
 
 def predict(docs: DataFrame, net: ByteNet | None, held_out: Column) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of `docs` (doc_id, text)."""
-    rows = docs.select("doc_id", "text", held_out.alias("held_out"), LETTERED.alias("lettered"))
+    rows = docs.select("doc_id", "text", held_out.alias("held_out"), _lettered().alias("lettered"))
     if net is None:
         return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     blob, settings = net.to_bytes(), net.settings
@@ -252,4 +253,4 @@ def accepted(documents: DataFrame, settings: Settings = Settings(), least_score:
             keep = (best < len(model.labels)) & (score >= least_score)
             yield piece.select(range(last)).filter(pa.array(keep))
 
-    return documents.withColumn(helper, LETTERED).mapInArrow(filtered, schema)
+    return documents.withColumn(helper, _lettered()).mapInArrow(filtered, schema)
