@@ -68,12 +68,17 @@ def category_batch(glucose: Column) -> Column:
 
 def synthetic_steps(row_id: Column, seed: int) -> Column:
     """Repeatable stand-in for a missing step count, in [0, 100)."""
-    return F.pmod(F.xxhash64(F.lit(f"steps:{seed}"), row_id), F.lit(100)).cast("int")
+    return (_drawn(row_id, f"steps:{seed}") % 100).cast("int")
 
 
 def synthetic_heart_rate(row_id: Column, seed: int) -> Column:
     """Repeatable stand-in for a missing heart rate, in [60, 120)."""
-    return (F.pmod(F.xxhash64(F.lit(f"heart:{seed}"), row_id), F.lit(60)) + 60).cast("int")
+    return (_drawn(row_id, f"heart:{seed}") % 60 + 60).cast("int")
+
+
+def _drawn(row_id: Column, seed: str) -> Column:
+    """A number of 32 bits from the same hash that orders the shuffles, so any SQL engine can repeat it."""
+    return F.conv(F.substring(shuffle_key(row_id, seed), 1, 8), 16, 10).cast("bigint")
 
 
 def institution_name(number: Column) -> Column:

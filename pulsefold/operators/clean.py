@@ -47,15 +47,18 @@ def calendar(df: DataFrame) -> DataFrame:
     return df.withColumns({"hour": F.hour("ts"), "day_of_week": C.monday_based_weekday(F.col("ts"))})
 
 
-def vitals(df: DataFrame, row_id: str = "event_id", seed: int = 42) -> DataFrame:
-    """Keep supplied steps and heart rates; make up repeatable ones where there are none."""
-    made_up = {
-        "steps": C.synthetic_steps(F.col(row_id), seed),
-        "heart_rate": C.synthetic_heart_rate(F.col(row_id), seed),
+def vitals(df: DataFrame, row_id: str = "event_id", seed: int = 42, made_up: bool = False) -> DataFrame:
+    """Steps and heart rates as whole numbers; text such as `71.0` counts, text that is no number is an error.
+
+    Missing ones become the declared constants, or with `made_up` repeatable draws.
+    """
+    stand_in = {
+        "steps": C.synthetic_steps(F.col(row_id), seed) if made_up else F.lit(FILL_VALUES["steps"]).cast("int"),
+        "heart_rate": C.synthetic_heart_rate(F.col(row_id), seed) if made_up else F.lit(FILL_VALUES["heart_rate"]).cast("int"),
     }
     return df.withColumns({
-        name: F.coalesce(F.col(name).cast("int"), value) if name in df.columns else value
-        for name, value in made_up.items()
+        name: F.coalesce(F.col(name).cast("double").cast("int"), value) if name in df.columns else value
+        for name, value in stand_in.items()
     })
 
 
@@ -66,12 +69,12 @@ def fill_constants(df: DataFrame) -> DataFrame:
 
 def preprocess(df: DataFrame, series: str | None = "series_id", keep: tuple[str, ...] = ("series_id", "event_id"),
                null_std: str = "keep", max_series_rows: int = MAX_SERIES_ROWS,
-               order: tuple[str, ...] = ORDER) -> DataFrame:
+               order: tuple[str, ...] = ORDER, made_up: bool = False) -> DataFrame:
     """Fill, clip, window and label readings that have `ts`, `event_id` and a glucose column.
 
     Windows run along `order` within each `series`. Returns `keep` and the ten processed columns.
     """
-    filled = calendar(vitals(fill_and_clip(resolve_glucose(df))))
+    filled = calendar(vitals(fill_and_clip(resolve_glucose(df)), made_up=made_up))
     rolled = rolling_features(filled, series, order, null_std, max_series_rows)
     labelled = rolled.withColumns({"hypo_risk": C.hypo_risk(F.col("glucose")), "timestamp": F.col("ts")})
     return labelled.select(*keep, *PROCESSED_COLUMNS)

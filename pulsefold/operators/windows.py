@@ -58,7 +58,7 @@ def rolling_features(df: DataFrame, series: str | None = "series_id", order: tup
     if series is None:
         # No key to group on, so only the size of the table matters.
         whole = df.withColumn(WHOLE, F.lit(0))
-        if df.limit(limit + 1).count() <= limit:
+        if df.count() <= limit:
             return rolling_in_series(whole, WHOLE, keys, null_std).drop(WHOLE)
         return rolling_in_chunks(whole, WHOLE, keys, null_std, num_chunks).drop(WHOLE)
     sizes = df.groupBy(series).agg(F.count("*").alias("_rows"))

@@ -7,8 +7,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulsefold.operators.clean import preprocess, resolve_time
-from pulsefold.operators.features import calendar_and_category, ml_table
-from pulsefold.operators.metrics import summary, weighted_metrics
+from pulsefold.operators.features import calendar_and_category, ml_table, reject_counts
+from pulsefold.operators.metrics import history_arrays, summary, weighted_metrics
 from pulsefold.operators.splits import split_institutions
 from pulsefold.plans.central import MEASURES, compare, train_central
 from pulsefold.plans.federated import EVAL_COLUMNS, FederatedResult, RoundSettings, save_model, train_federated
@@ -24,7 +24,7 @@ class Folders:
     base: str
 
     def __getattr__(self, name: str) -> str:
-        if name in ("stream_input", "batch", "ml", "federated", "history", "comparison", "model", "central_model"):
+        if name in ("stream_input", "batch", "ml", "rejected", "left_out", "federated", "history", "comparison", "model", "central_model"):
             return f"{self.base}/{name}"
         raise AttributeError(name)
 
@@ -36,14 +36,14 @@ def ingest(spark: SparkSession, raw_dir: str, start: str | None = None) -> DataF
 
 
 def prepare_institutions(readings: DataFrame, folders: Folders, institutions: int = 3,
-                         series: str | None = None) -> DataFrame:
+                         series: str | None = None, made_up: bool = False) -> DataFrame:
     """Clean, split and store readings as JSON lines and Parquet. Returns the stored table.
 
     Rolling features come before the split, so a row keeps the neighbours it had in its series.
     Without a series key the whole input is one series in file order.
     """
     keep, order = (("event_id",), ("event_id",)) if series is None else ((series, "event_id"), ORDER)
-    cleaned = preprocess(readings, series, keep, null_std="zero", order=order)
+    cleaned = preprocess(readings, series, keep, null_std="zero", order=order, made_up=made_up)
     write_by_institution(split_institutions(cleaned, institutions), folders.batch)
     stored = cleaned.sparkSession.read.parquet(folders.batch)
     write_jsonl(stored, folders.stream_input)
@@ -51,8 +51,10 @@ def prepare_institutions(readings: DataFrame, folders: Folders, institutions: in
 
 
 def build_ml_tables(prepared: DataFrame, folders: Folders) -> DataFrame:
-    """Standardise per institution and store the training table."""
-    write_by_institution(ml_table(calendar_and_category(prepared), ["institution"], ("event_id",)), folders.ml)
+    """Standardise per institution and store the training table, and how many rows of each had to be left out."""
+    rows = calendar_and_category(prepared)
+    write_by_institution(ml_table(rows, ["institution"], ("event_id",)), folders.ml)
+    reject_counts(rows, "institution").write.mode("overwrite").parquet(folders.rejected)
     return prepared.sparkSession.read.parquet(folders.ml)
 
 
@@ -63,7 +65,8 @@ def train_and_compare(ml: DataFrame, folders: Folders, settings: RoundSettings =
     result = train_federated(ml, settings, folders.federated)
     save_model(spark, folders.model, result.params, result.dims)
     history = result.history()
-    history.coalesce(1).write.mode("overwrite").json(folders.history)  # one row per round
+    history_arrays(history).coalesce(1).write.mode("overwrite").json(folders.history)  # one object of parallel arrays
+    result.left_out().write.mode("overwrite").parquet(folders.left_out)
     model, central = train_central(ml, "mlp", max_iter, settings.hidden)
     model.write().overwrite().save(folders.central_model)
     compare(last_evaluation(result), central).write.mode("overwrite").parquet(folders.comparison)
@@ -78,10 +81,13 @@ def last_evaluation(result: FederatedResult) -> DataFrame:
 
 
 def run_batch(spark: SparkSession, raw_dir: str, out_dir: str, institutions: int = 3, start: str | None = None,
-              settings: RoundSettings = RoundSettings(), max_iter: int = 50):
-    """All stages; the first failure stops the run. Every institution takes part in every round."""
+              settings: RoundSettings = RoundSettings(), max_iter: int = 50, made_up: bool = False):
+    """All stages; each replaces what an earlier run left, and the rounds go on where it broke off.
+
+    The first failure stops the run. Every institution takes part in every round.
+    """
     folders = Folders(out_dir)
-    prepared = prepare_institutions(ingest(spark, raw_dir, start), folders, institutions)
+    prepared = prepare_institutions(ingest(spark, raw_dir, start), folders, institutions, made_up=made_up)
     ml = build_ml_tables(prepared, folders)
     everyone = replace(
         settings, min_clients=institutions, min_fit_clients=institutions, min_evaluate_clients=institutions

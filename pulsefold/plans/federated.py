@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 import numpy as np
@@ -26,6 +26,9 @@ from pulsefold.session import shared_path, written
 cloudpickle.register_pickle_by_value(network)
 
 MODELS_IN_CLOSURE = 1_000
+Aggregate = Callable[[DataFrame], DataFrame]
+# (key, rows of a shard, global parameters, options of the round) -> one row as in UPDATE.
+LocalFit = Callable[[tuple, pd.DataFrame, np.ndarray, dict], pd.DataFrame]
 UPDATE = (
     "institution string, shard int, num_examples bigint, params array<double>, "
     "train_loss double, train_accuracy double"
@@ -75,10 +78,16 @@ class FederatedResult:
     fit: DataFrame
     evaluated: DataFrame
 
-    def history(self) -> DataFrame:
-        return round_history(
-            weighted_metrics(self.fit, FIT_COLUMNS), weighted_metrics(self.evaluated, EVAL_COLUMNS)
-        )
+    def history(self, fit_agg: Aggregate | None = None, evaluate_agg: Aggregate | None = None) -> DataFrame:
+        """Metrics by round; the hooks turn client rows into one row per round in another way."""
+        fit_agg = fit_agg or (lambda rows: weighted_metrics(rows, FIT_COLUMNS))
+        evaluate_agg = evaluate_agg or (lambda rows: weighted_metrics(rows, EVAL_COLUMNS))
+        return round_history(fit_agg(self.fit), evaluate_agg(self.evaluated))
+
+    def left_out(self) -> DataFrame:
+        """round, institution, shard, num_examples of every update whose parameters were not finite."""
+        shards = kept_rounds(self.evaluated.sparkSession, self.run_dir, "shards", UPDATE)
+        return left_out(shards).select("round", "institution", "shard", "num_examples")
 
 
 def client_table(ml: DataFrame, settings: RoundSettings, row_id: str = "event_id") -> tuple[DataFrame, int]:
@@ -118,12 +127,19 @@ def bucketed(rows: DataFrame, shards: int) -> tuple[DataFrame, str]:
 
 
 def local_updates(train: DataFrame, params: np.ndarray, dims: tuple[int, ...], settings: RoundSettings,
-                  number: int) -> DataFrame:
-    """Every shard trains from the global parameters; one row per shard comes back."""
+                  number: int, options: dict | None = None, local_fit: LocalFit | None = None) -> DataFrame:
+    """Every shard trains from the global parameters; one row per shard comes back.
+
+    `options` are the round's (default: the settings'), `local_fit` replaces the network's training.
+    """
     # Only plain values and `network` go into the function: an object of a class defined here
     # would make every executor import this package.
-    options, fit, flat = settings.round_options(number), network.train, params
-    seed, rate, dropout = settings.seed, settings.learning_rate, settings.dropout
+    options = {**settings.round_options(number), **(options or {})}
+    if local_fit is not None:
+        return train.groupBy("institution", "shard").applyInPandas(
+            lambda key, rows: local_fit(key, rows, params, options), UPDATE)
+    fit, flat = network.train, params
+    seed, rate, dropout = settings.seed, options.get("learning_rate", settings.learning_rate), settings.dropout
 
     def fit_shard(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         institution, shard = key
@@ -141,6 +157,11 @@ def local_updates(train: DataFrame, params: np.ndarray, dims: tuple[int, ...], s
     return train.groupBy("institution", "shard").applyInPandas(fit_shard, UPDATE)
 
 
+def left_out(updates: DataFrame) -> DataFrame:
+    """The rows that `merge_shards` can't use."""
+    return updates.where(F.exists("params", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))))
+
+
 def merge_shards(updates: DataFrame) -> DataFrame:
     """One row per institution: averaged parameters, example-weighted training metrics."""
     n = F.col("num_examples")
@@ -201,14 +222,46 @@ def finished_rounds(spark: SparkSession, run_dir: str) -> int:
 
 
 def train_federated(ml: DataFrame, settings: RoundSettings = RoundSettings(), run_dir: str | None = None,
-                    row_id: str = "event_id", on_round: Callable[[int, DataFrame], None] | None = None) -> FederatedResult:
-    """Run the rounds. Each leaves its parameters and metrics in `run_dir`, so a broken run goes on there."""
+                    row_id: str = "event_id", on_round: Callable[[int, DataFrame], None] | None = None,
+                    config_fn: Callable[[int], dict] | None = None, local_fit: LocalFit | None = None,
+                    initial: np.ndarray | None = None) -> FederatedResult:
+    """Run the rounds. Each leaves its parameters and metrics in `run_dir`, so a broken run goes on there.
+
+    Hooks: `config_fn(round)` gives options of a round over the settings' own, `local_fit` is
+    another trainer, `initial` its first parameters, `on_round` sees each round's metrics.
+    """
     spark = ml.sparkSession
     run_dir = run_dir or shared_path(spark, "federated")
     rows, table = bucketed(*client_table(ml.withColumnRenamed(row_id, "event_id"), settings))
+    try:
+        params, dims = _run_rounds(rows, settings, run_dir, on_round, config_fn, local_fit, initial)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    measured = kept_rounds(spark, run_dir, "evaluated", EVALUATED)
+    own = measured.where("model = 'local'").select(
+        "round", "institution", F.col("loss").alias("val_loss"), F.col("accuracy").alias("val_accuracy"),
+        F.col("f1").alias("val_f1"), F.col("auc").alias("val_auc"),
+    )
+    fit = kept_rounds(spark, run_dir, "local", LOCAL).drop("params").join(own, ["round", "institution"], "left")
+    return FederatedResult(params, dims, run_dir, fit, measured.where("model = 'global'").drop("model"))
+
+
+def same_run(spark: SparkSession, run_dir: str, text: str) -> None:
+    """Note what a run was started with; refuse to go on in the folder of a different one."""
+    spark.createDataFrame([(text,)], "manifest string").write.mode("ignore").parquet(f"{run_dir}/manifest")
+    found = spark.read.schema("manifest string").parquet(f"{run_dir}/manifest").first()["manifest"]
+    if found != text:
+        raise ValueError(f"{run_dir} holds another run: {found}, not {text}")
+
+
+def _run_rounds(rows: DataFrame, settings: RoundSettings, run_dir: str, on_round, config_fn, local_fit,
+                initial) -> tuple[np.ndarray, tuple[int, ...]]:
+    spark = rows.sparkSession
     everyone = written(rows.select("institution").distinct(), "institutions")
     dims = settings.dims(input_dimension(rows))
-    params = network.initial_params(dims, settings.seed)
+    params = network.initial_params(dims, settings.seed) if initial is None else np.asarray(initial, float)
+    # More rounds may be asked of a finished run, everything else must be as it was.
+    same_run(spark, run_dir, f"{replace(settings, rounds=0)} dims={dims} rows={rows.count()}")
     start = finished_rounds(spark, run_dir)
     if start:
         params = global_params(spark, run_dir, start)
@@ -221,8 +274,9 @@ def train_federated(ml: DataFrame, settings: RoundSettings = RoundSettings(), ru
             settings.seed,
         )
         train, held_out = only(rows.where("is_train"), clients, everyone), rows.where("not is_train")
-        updates = local_updates(train, params, dims, settings, number)
-        keep_round(merge_shards(updates), run_dir, "local", number)
+        options = config_fn(number) if config_fn else None
+        keep_round(local_updates(train, params, dims, settings, number, options, local_fit), run_dir, "shards", number)
+        keep_round(merge_shards(kept_round(spark, run_dir, "shards", UPDATE, number)), run_dir, "local", number)
         params = global_params(spark, run_dir, number)
         local = kept_round(spark, run_dir, "local", LOCAL, number)
         own = score_local(only(held_out, clients, everyone), local, dims).withColumn("model", F.lit("local"))
@@ -232,14 +286,7 @@ def train_federated(ml: DataFrame, settings: RoundSettings = RoundSettings(), ru
         keep_round(measured, run_dir, "evaluated", number)
         if on_round:
             on_round(number, measured)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    measured = kept_rounds(spark, run_dir, "evaluated", EVALUATED)
-    own = measured.where("model = 'local'").select(
-        "round", "institution", F.col("loss").alias("val_loss"), F.col("accuracy").alias("val_accuracy"),
-        F.col("f1").alias("val_f1"), F.col("auc").alias("val_auc"),
-    )
-    fit = kept_rounds(spark, run_dir, "local", LOCAL).drop("params").join(own, ["round", "institution"], "left")
-    return FederatedResult(params, dims, run_dir, fit, measured.where("model = 'global'").drop("model"))
+    return params, dims
 
 
 def only(rows: DataFrame, chosen: DataFrame, everyone: DataFrame) -> DataFrame:

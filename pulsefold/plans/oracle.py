@@ -123,7 +123,7 @@ def weighted(name: str, source: str, metrics: tuple[str, ...], where: str = "tru
 
 
 HISTORY = (
-    weighted("fit", "clients", FIT, "round % 3 <> 0"),
+    weighted("fit", "clients", FIT, "round % 6 <> 3"),
     weighted("ev", "globals", ("accuracy", "f1", "auc"), "round % 4 <> 0"),
     """hist AS (
   SELECT coalesce(fit.round, ev.round) AS round, train_loss, train_accuracy, CAST(NULL AS DOUBLE) AS val_loss,
@@ -135,6 +135,11 @@ HISTORY_WIDE = with_(*FEAT, CLIENTS, *HISTORY) + " SELECT CAST(round AS BIGINT)
     f"round({c}, 6) AS {c}" for c in HISTORY_COLUMNS
 ) + " FROM hist"
 
+def drawn(seed: str) -> str:
+    """The number of the first eight hexadecimal digits of a row's hash."""
+    return " + ".join(f"(strpos('0123456789abcdef', substr(md5('{seed}:' || event_id), {k + 1}, 1)) - 1) * {16 ** (7 - k)}::BIGINT" for k in range(8))
+
+
 PARAM_COLUMNS = ("glucose", "glucose_ma_1h", "glucose_std_1h", "glucose_roc", "steps", "heart_rate")
 PARAMS = "params AS (SELECT institution, count(*) AS n, " + ", ".join(
     f"avg({c}) AS p{i}" for i, c in enumerate(PARAM_COLUMNS)
@@ -244,6 +249,8 @@ ORACLE_SQL = {
         * count(*) OVER (PARTITION BY institution, hypo_risk)), 6) AS weight FROM feat""",
     "rejected_rows": with_(RAW, CLEAN, rolled()) + """ SELECT institution,
       count(*) FILTER (glucose_std_1h IS NULL) AS rejected FROM rolled GROUP BY institution""",
+    "synth_vitals": f"""SELECT event_id, CAST(({drawn('steps:42')}) % 100 AS INTEGER) AS steps,
+      CAST(({drawn('heart:42')}) % 60 + 60 AS INTEGER) AS heart_rate FROM events""",
     "shuffled_rows": with_(ranked("events")) + " SELECT event_id, rn - 1 AS position FROM ranked",
     "institution_split": with_(ranked("events")) + """ SELECT event_id, 'institution_' || (1 + CASE WHEN total // 3 = 0
       THEN 2 ELSE least((rn - 1) // greatest(total // 3, 1), 2) END) AS institution FROM ranked""",

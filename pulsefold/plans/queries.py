@@ -135,7 +135,8 @@ def constant_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def synth_vitals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vitals(readings(spark, sf_dir).select("event_id", "glucose")).select("event_id", "steps", "heart_rate")
+    made_up = vitals(readings(spark, sf_dir).select("event_id", "glucose"), made_up=True)
+    return made_up.select("event_id", "steps", "heart_rate")
 
 
 def processed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,7 +246,8 @@ def scaled_on_train(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def union_of_institutions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = written(training_rows(spark, sf_dir), "ml")
-    parts = [rows.where(F.col("institution") == f"institution_{i}") for i in (1, 2, 3)]
+    names = sorted(r["institution"] for r in rows.select("institution").distinct().collect())
+    parts = [rows.where(F.col("institution") == name) for name in names]
     return spread(union_institutions(parts), "event_id")
 
 
@@ -313,8 +315,8 @@ EVALUATED = ("accuracy", "f1", "auc")
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every third round lacks fit metrics, every fourth the evaluation."""
-    fit = M.weighted_metrics(client_results(spark, sf_dir).where("round % 3 <> 0"), FIT)
+    """Some odd rounds lack the fit, every fourth the evaluation, none lacks both."""
+    fit = M.weighted_metrics(client_results(spark, sf_dir).where("round % 6 <> 3"), FIT)
     evaluated = M.weighted_metrics(global_results(spark, sf_dir).where("round % 4 <> 0"), EVALUATED)
     return M.round_history(fit, evaluated)
 

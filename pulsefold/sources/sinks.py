@@ -1,4 +1,4 @@
-"""Batch writers. All are distributed; nothing passes through the driver."""
+"""Batch writers. All are distributed; nothing passes through the driver. Each replaces what an earlier run left."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ JSON_DECIMALS = 10
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path)
+    df.write.mode("overwrite").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path)
 
 
 def as_json_rows(df: DataFrame) -> DataFrame:
@@ -25,12 +25,12 @@ def as_json_rows(df: DataFrame) -> DataFrame:
 
 def write_jsonl(df: DataFrame, path: str, by: str | None = "institution") -> None:
     """JSON lines, one folder per institution, missing values written as explicit nulls."""
-    writer = as_json_rows(df).write.option("ignoreNullFields", False)
+    writer = as_json_rows(df).write.mode("overwrite").option("ignoreNullFields", False)
     (writer.partitionBy(by) if by else writer).json(path)
 
 
 def write_by_institution(df: DataFrame, path: str, by: str = "institution") -> None:
-    df.write.partitionBy(by).parquet(path)
+    df.write.mode("overwrite").partitionBy(by).parquet(path)
 
 
 def write_replay(df: DataFrame, path: str, order: tuple[str, ...] = ("timestamp",), records_per_file: int = 100) -> None:
@@ -42,5 +42,5 @@ def write_replay(df: DataFrame, path: str, order: tuple[str, ...] = ("timestamp"
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         as_json_rows(df).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-        .write.option("ignoreNullFields", False).option("maxRecordsPerFile", records_per_file).json(path)
+        .write.mode("overwrite").option("ignoreNullFields", False).option("maxRecordsPerFile", records_per_file).json(path)
     )

@@ -66,8 +66,13 @@ def test_fill_constants_leaves_label_and_calendar(frame):
 
 
 def test_vitals_keep_supplied_values(frame):
-    row = vitals(frame("event_id long, steps int", (1, 4321))).first()
-    assert row["steps"] == 4321 and 60 <= row["heart_rate"] < 120
+    supplied = frame("event_id long, steps string", (1, "4321"), (2, "71.0"), (3, None))
+    rows = {r["event_id"]: r for r in vitals(supplied).collect()}
+    assert [rows[k]["steps"] for k in (1, 2, 3)] == [4321, 71, 0] and rows[1]["heart_rate"] == 75
+    drawn = {r["event_id"]: r for r in vitals(supplied, made_up=True).collect()}
+    assert drawn[2]["steps"] == 71 and 0 <= drawn[3]["steps"] < 100 and 60 <= drawn[1]["heart_rate"] < 120
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        vitals(frame("event_id long, steps string", (1, "many"))).collect()
 
 
 def test_preprocess_matches_pandas(spark):

@@ -4,6 +4,7 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -201,3 +202,29 @@ print("rounds", result.history().count())
 """
     run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert "rounds 1" in run.stdout, run.stderr[-2000:]
+
+
+def test_hooks_for_training_options_and_metrics(spark, ml):
+    def constant_step(key, rows, params, options):
+        institution, shard = key
+        # One institution breaks down in round 2 and has to be reported, not just missed.
+        broken = institution == "institution_2" and options["round"] == 2
+        new = params + options["step"] * (float("nan") if broken else 1.0)
+        return pd.DataFrame({
+            "institution": [institution], "shard": [int(shard)], "num_examples": [len(rows)], "params": [new.tolist()],
+            "train_loss": [0.5], "train_accuracy": [0.25 * options["round"]],
+        })
+
+    settings = RoundSettings(rounds=3, hidden=(8,), min_clients=3, min_fit_clients=3, min_evaluate_clients=3)
+    start = np.zeros(4 * 8 + 8 + 8 * 2 + 2)
+    result = train_federated(ml, settings, config_fn=lambda number: {"step": 10.0**-number}, local_fit=constant_step, initial=start)
+    np.testing.assert_allclose(result.params, start + 0.111)
+    assert [(r["round"], r["institution"]) for r in result.left_out().collect()] == [(2, "institution_2")]
+    usual = {r["round"]: r["train_accuracy"] for r in result.history().collect()}
+    assert usual == pytest.approx({1: 0.25, 2: 0.5, 3: 0.75})
+
+    def greatest(rows):
+        return rows.groupBy("round").agg(F.max("num_examples").alias("num_examples"), (F.max("train_accuracy") * 2).alias("train_accuracy"))
+
+    own = {r["round"]: r["train_accuracy"] for r in result.history(fit_agg=greatest).collect()}
+    assert own == pytest.approx({1: 0.5, 2: 1.0, 3: 1.5})

@@ -1,3 +1,4 @@
+from dataclasses import replace
 import json
 from pathlib import Path
 
@@ -189,6 +190,16 @@ def test_batch_run_from_csv(spark, tmp_path):
     assert dict(map(tuple, stored.groupBy("institution").count().collect())) == {f"institution_{i}": 200 for i in (1, 2, 3)}
     assert read_jsonl(spark, str(tmp_path / "out" / "stream_input"), STREAM_SCHEMA).count() == 600
     assert len(result.params) > 0 and (tmp_path / "out" / "central_model").exists()
+    rejected = spark.read.parquet(str(tmp_path / "out" / "rejected"))
+    assert {r["institution"]: r["rejected"] for r in rejected.collect()} == {f"institution_{i}": 0 for i in (1, 2, 3)}
+    assert spark.read.parquet(str(tmp_path / "out" / "left_out")).count() == 0
+    written = spark.read.json(str(tmp_path / "out" / "history")).first()
+    assert written["rounds"] == [1, 2] and len(written["train_accuracy"]) == 2
+    # A second run replaces the tables and finds its rounds done.
+    again, _, _ = run_batch(spark, str(raw), str(tmp_path / "out"), 3, "2024-01-01", settings, 10)
+    assert list(again.params) == list(result.params) and spark.read.parquet(str(tmp_path / "out" / "batch")).count() == 600
+    with pytest.raises(ValueError, match="holds another run"):
+        run_batch(spark, str(raw), str(tmp_path / "out"), 3, "2024-01-01", replace(settings, local_epochs=3), 10)
 
 
 def test_shared_root_follows_the_setting(spark):
