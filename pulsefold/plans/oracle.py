@@ -175,6 +175,37 @@ def logistic_rounds(rounds: int = 3, rate: float = 0.5) -> str:
     )
 
 
+def network(hidden: int = 3) -> tuple[list[str], list[float]]:
+    """CTEs down to `net` (inputs x, hidden sums z, outputs h, probability p of label y) and the fixed parameters."""
+    n = len(FEATURES)
+    count = (n + 1) * hidden + (hidden + 1) * 2
+    params = [(j * 37 % 23 - 11) / 20.0 for j in range(count)]
+    out = (n + 1) * hidden
+    xs = ", ".join(f"coalesce({c}_s, 0.0) AS x{i}" for i, c in enumerate(FEATURES))
+    zs = ", ".join(
+        " + ".join(f"x{i} * ({params[i * hidden + k]})::DOUBLE" for i in range(n)) + f" + ({params[n * hidden + k]})::DOUBLE AS z{k}"
+        for k in range(hidden))
+    logit = " + ".join(f"h{k} * ({params[out + 2 * k + 1] - params[out + 2 * k]})::DOUBLE" for k in range(hidden))
+    logit += f" + ({params[out + 2 * hidden + 1] - params[out + 2 * hidden]})::DOUBLE"
+    return [
+        *FEAT, POPULATION, f"ins AS (SELECT institution, hypo_risk AS y, {xs} FROM scaled)", f"sums AS (SELECT *, {zs} FROM ins)",
+        "outs AS (SELECT *, " + ", ".join(f"greatest(z{k}, 0.0) AS h{k}" for k in range(hidden)) + " FROM sums)",
+        f"net AS (SELECT *, 1.0 / (1.0 + exp(-({logit}))) AS p FROM outs)",
+    ], params
+
+
+def network_step(rate: float = 0.5, hidden: int = 3) -> str:
+    """Slopes written out. The mean of the institutions' steps by examples is the step over all rows."""
+    parts, params = network(hidden)
+    n, out = len(FEATURES), (len(FEATURES) + 1) * hidden
+    back = [f"(CASE WHEN z{k} > 0 THEN (p - y) * ({params[out + 2 * k + 1] - params[out + 2 * k]})::DOUBLE ELSE 0.0 END)" for k in range(hidden)]
+    slopes = [f"x{i} * {back[k]}" for i in range(n) for k in range(hidden)] + back
+    slopes += [f"h{k} * {sign}(p - y)" for k in range(hidden) for sign in ("-", "")] + ["-(p - y)", "p - y"]
+    means = "means AS (SELECT " + ", ".join(f"avg({s}) AS g{j}" for j, s in enumerate(slopes)) + " FROM net)"
+    return with_(*parts, means) + " UNION ALL ".join(
+        f" SELECT CAST({j} AS BIGINT) AS pos, round(({params[j]})::DOUBLE - {rate}::DOUBLE * g{j}, 6) AS value FROM means" for j in range(len(params)))
+
+
 ROLLED_OUT = """ SELECT event_id, round(glucose, 6) AS glucose, round(glucose_ma_1h, 6) AS glucose_ma_1h,
   round(glucose_std_1h, 6) AS glucose_std_1h, round(glucose_roc, 6) AS glucose_roc FROM rolled"""
 STREAM_FEAT = (
@@ -249,6 +280,9 @@ ORACLE_SQL = {
         * count(*) OVER (PARTITION BY institution, hypo_risk)), 6) AS weight FROM feat""",
     "rejected_rows": with_(RAW, CLEAN, rolled()) + """ SELECT institution,
       count(*) FILTER (glucose_std_1h IS NULL) AS rejected FROM rolled GROUP BY institution""",
+    "network_scores": with_(*network()[0]) + """ SELECT institution, y AS label, count(*) AS records, round(avg(p), 6) AS mean_p,
+      round(min(p), 6) AS least_p, round(max(p), 6) AS greatest_p FROM net GROUP BY institution, y""",
+    "network_step": network_step(),
     "synth_vitals": f"""SELECT event_id, CAST(({drawn('steps:42')}) % 100 AS INTEGER) AS steps,
       CAST(({drawn('heart:42')}) % 60 + 60 AS INTEGER) AS heart_rate FROM events""",
     "shuffled_rows": with_(ranked("events")) + " SELECT event_id, rn - 1 AS position FROM ranked",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulsefold.functions import columns as C
+from pulsefold.functions import columns as C, network
 from pulsefold.operators import metrics as M
 from pulsefold.operators.averaging import average_params
 from pulsefold.operators.clean import (
@@ -20,7 +22,9 @@ from pulsefold.operators.stats import class_distribution, class_weights, live_st
 from pulsefold.operators.windows import rolling_features
 from pulsefold.plans.batch import last_evaluation
 from pulsefold.plans.central import MEASURES, compare, train_central, union_institutions
-from pulsefold.plans.federated import RoundSettings, logistic_rounds, train_federated
+from pulsefold.plans.federated import (
+    RoundSettings, local_updates, logistic_rounds, merge_shards, score_global, train_federated,
+)
 from pulsefold.schema import EVENTS_SCHEMA, FEATURE_COLUMNS, KEYED_STREAM_SCHEMA, LABEL, ORDER
 from pulsefold.session import shared_path, written
 from pulsefold.sources.readings import events_as_readings, read_csv, read_jsonl, read_parquet, readings
@@ -502,6 +506,43 @@ def stream_to_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Training
 
+SMALL_NET = (len(FEATURE_COLUMNS), 3, 2)
+
+
+def fixed_params() -> np.ndarray:
+    """Parameters by a rule, so that plain SQL can write the same network out."""
+    return (np.arange(network.parameter_count(SMALL_NET)) * 37 % 23 - 11) / 20.0
+
+
+def client_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_rows(spark, sf_dir).select(
+        "institution", F.lit(0).alias("shard"), "event_id", "features", F.col(LABEL).alias("label"), F.lit(1.0).alias("weight"))
+
+
+def network_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fixed network's scores of all rows, through the scoring function of the rounds."""
+    scores = score_global(client_rows(spark, sf_dir), fixed_params(), SMALL_NET)
+    table = scores.groupBy("institution", "label").agg(
+        F.count("*").alias("records"), F.avg("p").alias("mean_p"), F.min("p").alias("least_p"), F.max("p").alias("greatest_p"))
+    return rounded(table, "mean_p", "least_p", "greatest_p")
+
+
+def network_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One full-batch gradient step of that network at every institution, averaged by examples."""
+    gradient, dims = network.gradient, SMALL_NET
+
+    def step(key, rows, params, options):
+        x, y, w = np.stack(rows["features"].to_numpy()), rows["label"].to_numpy(), rows["weight"].to_numpy()
+        loss, p, slope = gradient(params, dims, x, y, w)
+        new = params - options["learning_rate"] * slope
+        return pd.DataFrame([[key[0], int(key[1]), len(y), new.tolist(), float(loss), float((p.argmax(axis=1) == y).mean())]], columns=[
+            "institution", "shard", "num_examples", "params", "train_loss", "train_accuracy"])
+
+    rows = client_rows(spark, sf_dir)
+    updates = local_updates(rows, fixed_params(), dims, RoundSettings(), 1, {"learning_rate": 0.5}, step)
+    return _positions(average_params(merge_shards(updates), []))
+
+
 ROUNDS = RoundSettings(min_clients=3, min_fit_clients=3, min_evaluate_clients=3)
 
 
@@ -533,5 +574,5 @@ QUERIES = {f.__name__: f for f in (
     round_history_long, round_history_wide, best_round, last_epoch_metrics,
     history_export, pooled_against_clients, client_sample, first_reading, fedavg_weighted, fedavg_unweighted,
     fedavg_embeddings, fed_logreg_rounds, stream_enrich, stream_fan_out, stream_memory, stream_stats, stream_to_ml,
-    fed_mlp, central_mlp, central_logistic, compare_models,
+    network_scores, network_step, fed_mlp, central_mlp, central_logistic, compare_models,
 )}
