@@ -103,7 +103,7 @@ def lines(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def rules(settings: Settings) -> dict:
     """Name and failing condition of each rule, in the order of reporting."""
     s, words = settings, F.col("n_words")
-    mean = F.col("word_chars") / words
+    mean = F.try_divide("word_chars", "n_words")
     return {
         "few_words": words < s.min_words,
         "repeats": 100 * F.col("n_repeat_words") > s.repeat_percent * words,

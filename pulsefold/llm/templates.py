@@ -257,7 +257,7 @@ def main_text(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
         joined = rows.join(F.broadcast(templates), "host", "left")
     else:
         salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(settings.salts)))
-        copies = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(settings.salts - 1))).cast("long"))
+        copies = templates.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(settings.salts - 1).cast("long"))))
         joined = salted.join(copies, ["host", "salt"], "left")
 
     def extracted(batches):
