@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pulsefold.llm.tables import own_columns, part_of, stored
-from pulsefold.llm.texts import PLAIN, Words, cut, cut_bytes, slices, spread, utf8
+from pulsefold.llm.texts import PLAIN, Words, cut, cut_bytes, lists, slices, spread, utf8
 
 HELD_OUT_PARTS, HELD_OUT = 3, 1
 
@@ -225,41 +225,56 @@ class Model:
     intercept: float
 
 
-def learn(docs: DataFrame, labelled: DataFrame, settings: Settings) -> Model | None:
-    """Fit on `labelled` (doc_id, text, toxic); character counts come from all of `docs`."""
+def learn(docs: DataFrame, known: DataFrame, settings: Settings) -> Model | None:
+    """Fit on the rows of `docs` with a label in `known` (doc_id, toxic); character counts come from all of `docs`.
+
+    Both classes are counted over all labels; the sample drawn by a hash holds about `train_rows` / 2 of each at most, so
+    it can be broadcast, and texts are not shuffled.
+    """
     # 28**4 numbers at most, whatever the size of the corpus.
     counts = np.zeros(SYMBOLS**4, np.int64)
     grams = character_counts(docs).toPandas()
     counts[grams["gram"].to_numpy()] = grams["n"].to_numpy()
     sent = docs.sparkSession.sparkContext.broadcast(character_costs(counts))
+    classes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if not (classes.get(0) and classes.get(1)):
+        return None
+    share = {c: min(1.0, settings.train_rows / 2 / n) for c, n in classes.items()}
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
+    sample = known.where(draw < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
 
     def run(batches):
         channel = Channel(sent.value, settings)
         for piece in slices(batches, "text"):
             found, doc = features_of(piece.column(1), channel, settings)
-            size = np.bincount(doc, minlength=len(piece))
-            offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0), piece.column(2), pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.view(np.int64)))],
+                [piece.column(0), piece.column(2), lists(found.view(np.int64), np.bincount(doc, minlength=len(piece)))],
                 ["doc_id", "toxic", "features"])
 
-    rows = stored(labelled.select("doc_id", "text", "toxic").mapInArrow(run, "doc_id long, toxic int, features array<long>"), "features")
-    classes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if not (classes.get(0) and classes.get(1)):
+    drawn = docs.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")
+    rows = stored(drawn.mapInArrow(run, "doc_id long, toxic int, features array<long>"), "features")
+    seen = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if not (seen.get(0) and seen.get(1)):
         return None
     # How much more often a feature stands in toxic rows than in others, in deviations of its log odds.
     told = rows.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(
         F.sum("toxic").cast("double").alias("bad"), F.count("*").cast("double").alias("all"))
     bad, good = F.col("bad") + 0.5, F.col("all") - F.col("bad") + 0.5
-    odds = F.log(bad / (classes[1] + 1)) - F.log(good / (classes[0] + 1))
+    odds = F.log(bad / (seen[1] + 1)) - F.log(good / (seen[0] + 1))
     told = told.where(F.col("all") >= settings.least_documents).withColumn("z", F.abs(odds) / F.sqrt(1 / bad + 1 / good))
     chosen = np.sort(np.array([r["feature"] for r in told.orderBy(F.desc("z"), "feature").limit(settings.features).collect()], np.int64).view(np.uint64))
     if not len(chosen):
         return None
     kept = docs.sparkSession.sparkContext.broadcast(chosen)
-    share = {c: min(1.0, settings.train_rows / 2 / n) for c, n in classes.items()}
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(draw < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
+
+    def only_kept(batches):
+        for batch in batches:
+            flat = batch.column(2).flatten().to_numpy().view(np.uint64)
+            place = np.minimum(np.searchsorted(kept.value, flat), len(kept.value) - 1)
+            hit = kept.value[place] == flat
+            doc = np.repeat(np.arange(len(batch)), np.diff(batch.column(2).offsets.to_numpy()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), lists(flat[hit].view(np.int64), np.bincount(doc[hit], minlength=len(batch)))], batch.schema.names)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("doc_id", kind="stable")
@@ -284,7 +299,8 @@ def learn(docs: DataFrame, labelled: DataFrame, settings: Settings) -> Model | N
             weights, intercept = weights - move[:-1], intercept - move[-1]
         return pd.DataFrame({"weights": [weights.tobytes()], "intercept": [float(intercept)]})
 
-    row = sample.groupBy(F.lit(0).alias("_all")).applyInPandas(fit, "weights binary, intercept double").first()
+    narrow = rows.mapInArrow(only_kept, "doc_id long, toxic int, features array<long>")
+    row = narrow.groupBy(F.lit(0).alias("_all")).applyInPandas(fit, "weights binary, intercept double").first()
     return Model(sent.value, chosen, np.frombuffer(bytes(row["weights"])), row["intercept"])
 
 
@@ -311,7 +327,7 @@ def judge(documents: DataFrame, labels: DataFrame, settings: Settings = Settings
     """doc_id, held_out, score, predicted for every row of `documents` (doc_id, text), learned from `labels` (doc_id, toxic)."""
     docs = own_columns(documents, "doc_id", "text")
     held_out = part_of("doc_id", HELD_OUT_PARTS) == HELD_OUT
-    known = own_columns(labels, "doc_id", "toxic").where(F.col("toxic").isin(0, 1) & ~held_out)
-    labelled = docs.join(known.withColumn("toxic", F.col("toxic").cast("int")), "doc_id")
-    scored = score(docs, learn(docs, labelled, settings), settings)
+    known = own_columns(labels, "doc_id", "toxic").where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out)
+    known = known.withColumn("toxic", F.col("toxic").cast("int"))
+    scored = score(docs, learn(docs, known, settings), settings)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= limit).cast("int").alias("predicted"))
