@@ -36,7 +36,8 @@ class Settings:
     widths: tuple[int, ...] = (2, 3, 4)
     filters: int = 16
     train_windows: int = 2500
-    epochs: int = 5
+    steps: int = 800
+    windows_of_document: int = 8
     batch: int = 64
     rate: float = 0.004
     seed: int = 7
@@ -119,7 +120,8 @@ def fit(windows: np.ndarray, target: np.ndarray, labels: list[str], settings: Se
     mean = {k: np.zeros_like(v) for k, v in net.params.items()}
     square = {k: np.zeros_like(v) for k, v in net.params.items()}
     step = 0
-    for _ in range(settings.epochs):
+    while step < settings.steps:
+        # As many passes as the steps take, however few windows there are.
         order = rng.permutation(len(windows))
         for begin in range(0, len(order), settings.batch):
             chosen, step = order[begin:begin + settings.batch], step + 1
@@ -150,13 +152,15 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> ByteNet | Non
     """Fit on `labelled` (doc_id, text, lang). None if no row has both a text and a language.
 
     The counts that set each language's sampling rate cover all rows; the sample holds about
-    `train_windows` windows per language (at most one per document) and is fitted in one task.
+    `train_windows` windows per language (one per document, or up to `windows_of_document` where documents are few)
+    and is fitted in one task.
     """
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
     labels, size = sorted(counts), settings.window
+    each = max(1, min(settings.windows_of_document, settings.train_windows // max(counts.values())))
     rate = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, settings.train_windows / n)))])
     draw = F.pmod(F.xxhash64("doc_id", F.lit(settings.seed)), F.lit(1 << 30)) / float(1 << 30)
     sample = usable.where(draw < rate[F.col("lang")]).select("doc_id", "text", "lang")
@@ -169,11 +173,12 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> ByteNet | Non
             first = np.cumsum(count) - count
             # Full windows where there are any: the last one may be nearly empty.
             full = np.maximum(count - 1, 1)
-            pick = first + (seed * 2654435761 % 2**32) % full
-            has = count > 0
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(seed[has]), pa.array([cut[i].tobytes() for i in pick[has]], pa.binary()), piece.column(2).filter(pa.array(has))],
-                ["seed", "bytes", "lang"])
+            for k in range(each):
+                has = (count > 0) & (full > k)
+                pick = first + (seed * 2654435761 % 2**32 + k) % full
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(seed[has]), pa.array([cut[i].tobytes() for i in pick[has]], pa.binary()), piece.column(2).filter(pa.array(has))],
+                    ["seed", "bytes", "lang"])
 
     def one_task(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["seed", "bytes", "lang"])

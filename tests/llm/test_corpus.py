@@ -41,7 +41,7 @@ def test_languages(spark, frame):
     documents = spark.read.parquet(f"{DIR}/documents.parquet")
     more = frame("doc_id long, text string, lang string, source string, n_chars long",
                  (9001, None, "en", "s", 0), (9002, "", None, "s", 0), (9003, "123 ... 456", "en", "s", 0), (None, "words of a text", None, None, None))
-    small = language.Settings(train_windows=200, epochs=12)
+    small = language.Settings(steps=300)
     rows = language.identify(documents.unionByName(more), small).collect()
     truth = {r.doc_id: r.lang for r in documents.collect()}
     assert len(rows) == len(truth) + 4
