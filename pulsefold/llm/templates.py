@@ -53,8 +53,9 @@ BESIDE = frozenset(
 CONTENT = frozenset({"article", "main"})
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner promo promotion sponsor sponsored sidebar menu nav navbar navigation "
-    "breadcrumb breadcrumbs footer header masthead cookie cookies consent notice notices alert gdpr newsletter subscribe subscription signup "
+    "breadcrumb breadcrumbs footer cookie cookies consent notice notices alert gdpr newsletter subscribe subscription signup "
     "share sharing social comment comments reply replies disqus related recommended recommendations popup modal toolbar pagination pager".split())
+HEADS = frozenset({"header", "masthead"})
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog".split())
 
 TOKENS = re.compile(
@@ -80,7 +81,7 @@ class Reader:
     """Walks pages; tokens seen once are remembered."""
 
     def __init__(self):
-        self.seen: dict[tuple[int, str, str], tuple[int, bool]] = {}
+        self.seen: dict[tuple[int, str, str], tuple[int, bool, bool]] = {}
 
     def open(self, above: Node, tag: str, attributes: str) -> Node:
         key = (above.token, tag, attributes if "class" in attributes or "role" in attributes or "id" in attributes else "")
@@ -92,10 +93,10 @@ class Reader:
             words = set(WORD.findall(named.get("class", "") + " " + named.get("id", "")))
             beside = tag in BESIDE or bool(words & MARKS) or named.get("role") in ROLES
             name = f"{above.token}>{tag}.{' '.join(sorted(WORD.findall(named.get('class', ''))))}"
-            known = self.seen[key] = (int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "big", signed=True), beside)
-        token, beside = known
+            known = self.seen[key] = (int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "big", signed=True), beside, tag == "header" or bool(words & HEADS))
+        token, beside, head = known
         # A header inside an article is the article's own.
-        if tag == "header" and not above.content:
+        if head and not above.content:
             beside = True
         return Node(tag, token, above.token, above.beside or beside, above.content or tag in CONTENT)
 

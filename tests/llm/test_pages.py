@@ -4,7 +4,7 @@ from pulsefold.llm import templates
 
 PAGE = """<!DOCTYPE html><html><head><title>T {k}</title><style>p{{}}</style><script>var t="</p>";</script></head><body>
 <nav><ul><li><a href="/">Home {k}</a></li></ul></nav><!-- ad --><div class="ad box">Buy {k}</div>
-<article><h1>Head &amp; {k}</h1><p><b>First&nbsp;  {k}<br><p>Second <i>part</i>s
+<article><div class="entry-header"><h1>Head &amp; {k}</h1></div><p><b>First&nbsp;  {k}<br><p>Second <i>part</i>s
 of {k}</p><div class="comments"><p>Nice {k}</p></div><form>Mail {k}</form></article>
 <footer>&copy; {k}</footer></body></html>"""
 PLAIN = """<html><body><div id=top class="site-header">Site {k}</div><div class="wrap"><div class="story"><h2>Head {k}</h2><div>{long}</div>
