@@ -39,6 +39,9 @@ class Settings:
     rows: int = 4
     # A pair whose signatures agree in fewer slots than this share of the threshold isn't verified; see `rest`.
     doubt: float = 0.75
+    # Second look at what is left in large buckets: one bit of each of so many slots, and the least estimated similarity.
+    fine_slots: int = 2048
+    fine_doubt: float = 0.91
 
     @property
     def slots(self) -> int:
@@ -140,6 +143,27 @@ def full_sets(docs: DataFrame, settings: Settings) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, grams array<long>")
 
 
+def fine_sketches(sets: DataFrame, settings: Settings) -> DataFrame:
+    """doc_id and one bit of each of many slots, packed in 64-bit words, from whole sets."""
+    slots = settings.fine_slots
+
+    def run(batches):
+        for batch in batches:
+            size = np.diff(batch.column(1).offsets.to_numpy())
+            at = 0
+            while at < len(batch):
+                # Few enough shingles at a time for their permutations to stay small.
+                end = max(at + 1, at + int(np.searchsorted(np.cumsum(size[at:]), 8000, "right")))
+                part = batch.slice(at, end - at)
+                grams = part.column(1).flatten().to_numpy().view(np.uint64)
+                best = signatures(grams, np.repeat(np.arange(end - at), size[at:end]), end - at, slots)
+                bits = np.packbits((best & np.uint64(1)).astype(np.uint8), axis=1)
+                yield pa.RecordBatch.from_arrays([part.column(0), lists(bits.view(np.int64).ravel(), np.full(end - at, slots // 64))], ["doc_id", "bits"])
+                at = end
+
+    return sets.mapInArrow(run, "doc_id long, bits array<long>")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     left, right = (sets.select(F.col("doc_id").alias(k), F.col("grams").alias(f"{k}_grams")) for k in "ab")
@@ -171,7 +195,8 @@ def rest(sets: DataFrame, named: DataFrame, shared: DataFrame, tried: DataFrame,
     Most pairs are ruled out before their sets are compared. Exactly: shingles that no other open document has
     are in no intersection, so with `own` of them two sets share at most c = min(n - own), and c must reach
     the threshold of n + n' - c. And by signature: at the threshold the share of equal slots has a deviation below
-    sqrt(0.8 * 0.2 / slots), so falling under `doubt` of it is five to six deviations off.
+    sqrt(0.8 * 0.2 / slots), so falling under `doubt` of it is five to six deviations off. The same holds for the
+    bits of the finer signature, two of which agree by (1 + similarity) / 2, and for `fine_doubt`.
     """
     roots = components(found)
     placed = shared.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").select(
@@ -187,14 +212,18 @@ def rest(sets: DataFrame, named: DataFrame, shared: DataFrame, tried: DataFrame,
         "doc_id", "n_shingles", "slots", "bands", (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("common"))
     # A document that can't reach the threshold with any set is settled.
     described = stored(described.where(100 * F.col("common") >= settings.percent * F.col("n_shingles")), "described")
+    hopeful = sets.join(described.select("doc_id").hint("merge"), "doc_id", "left_semi")
+    described = described.join(fine_sketches(hopeful, settings).dropDuplicates(["doc_id"]).hint("merge"), "doc_id")
     open_rows = open_rows.join(described.hint("merge"), "doc_id")
-    left, right = (open_rows.select("bucket", *[F.col(c).alias(f"{k}_{c}") for c in ("doc_id", "root", "n_shingles", "common", "slots", "bands")]) for k in "ab")
+    left, right = (open_rows.select("bucket", *[F.col(c).alias(f"{k}_{c}") for c in ("doc_id", "root", "n_shingles", "common", "slots", "bands", "bits")]) for k in "ab")
     same = F.size(F.filter(F.zip_with("a_slots", "b_slots", lambda x, y: x == y), lambda x: x))
     most = F.least("a_common", "b_common")
+    apart = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
     possible = (
         (left["bucket"] == right["bucket"]) & (F.col("a_root") != F.col("b_root")) & (F.col("a_doc_id") > F.col("b_doc_id"))
         & (100 * most >= settings.percent * (F.col("a_n_shingles") + F.col("b_n_shingles") - most))
         & (same >= int(settings.doubt * settings.percent / 100 * settings.slots))
+        & (apart <= int(settings.fine_slots * (1 - settings.fine_doubt * settings.percent / 100) / 2))
         # A pair that meets in several buckets is taken in one of them.
         & (F.array_min(F.array_intersect("a_bands", "b_bands")) == left["bucket"])
     )
