@@ -17,11 +17,30 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 KNOWN_CHUNKS = 300_000
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _BEFORE_WORD = re.compile(r"(?= \S)")
 
 
+def parts(chunk: str) -> list[str]:
+    """`chunk` cut where a piece ends in any case: around a line feed between visible characters, and between a Latin
+    letter and the signs that end a line. Words then count once, whatever stands behind them."""
+    lines = chunk.split("\n") if "\n" in chunk else [chunk]
+    if len(lines) > 1 and (not lines[0] or lines[0][-1].isspace() or any(not x or x[0].isspace() or x[-1].isspace() for x in lines[1:])):
+        return [chunk]
+    out = []
+    for k, line in enumerate(lines):
+        if k:
+            out.append("\n")
+        core = line.rstrip(SIGNS)
+        if core and core != line and core[-1] < "\u0250" and core[-1].isalpha():
+            out += [core, line[len(core):]]
+        else:
+            out.append(line)
+    return out
+
+
 class ChunkCoder:
-    """`encode_many` gives the ids of each of many chunks; results of up to KNOWN_CHUNKS chunks are kept."""
+    """`encode_many` gives the ids of each of many chunks; results of up to KNOWN_CHUNKS parts of chunks are kept."""
 
     def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], specials: dict[str, int]):
         self.encode_many, self.specials = encode_many, specials
@@ -29,13 +48,19 @@ class ChunkCoder:
         self.at_special = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
 
     def ids_of(self, chunks: list[str]) -> list[list[int]]:
-        new = [c for c in chunks if c not in self.known]
-        if new:
-            if len(self.known) + len(new) > KNOWN_CHUNKS:
-                self.known.clear()
-                new = list(dict.fromkeys(chunks))
-            self.known.update(zip(new, self.encode_many(new), strict=True))
-        return [self.known[c] for c in chunks]
+        known = self.known
+        cut = {c: parts(c) for c in chunks if c not in known}
+        new = [p for p in dict.fromkeys(chain.from_iterable(cut.values())) if p not in known]
+        if new and len(known) + len(new) > KNOWN_CHUNKS:
+            known.clear()
+            cut = {c: parts(c) for c in chunks}
+            new = list(dict.fromkeys(chain.from_iterable(cut.values())))
+        # A few at a time: an encoder's own results may be large.
+        for k in range(0, len(new), 4096):
+            some = new[k:k + 4096]
+            known.update(zip(some, self.encode_many(some), strict=True))
+        whole = {c: list(chain.from_iterable(map(known.__getitem__, p))) for c, p in cut.items() if len(p) > 1}
+        return [whole[c] if c in whole else known[c] for c in chunks]
 
     def irregular(self, text: str) -> list[int]:
         """Ids of one text by the general cut."""

@@ -42,12 +42,20 @@ class Settings:
     """`file_values`: the ids after which a file ends with the document; `block`: values of a block."""
 
     block: int = 1024
-    file_values: int = 4_000_000
+    file_values: int = 2_000_000
     end_id: int = 0
 
 
 def pack(values: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     """Words, and the first word of each block of `block` values."""
+    # Whole blocks, as many at a time as keep the working arrays small.
+    step = max(1, 800_000 // block) * block
+    parts = [_pack(values[k:k + step], block) for k in range(0, max(len(values), 1), step)]
+    before = np.cumsum([0, *[len(words) for words, _ in parts[:-1]]])
+    return np.concatenate([w for w, _ in parts]), np.concatenate([first + n for (_, first), n in zip(parts, before, strict=True)])
+
+
+def _pack(values: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     values = values.astype(np.uint64)
     n = len(values)
     if not n:
@@ -172,10 +180,10 @@ def write(documents: DataFrame, vocabulary_path: str, settings: Settings = Setti
             held, size, nth = [], 0, nth + 1
             return row
 
-        for piece in slices(batches, "text", 8_000_000):
+        for piece in slices(batches, "text", 4_000_000):
             ids, counts = coder.encode(piece.column(1))
             ends = np.cumsum(counts)
-            values = np.insert(ids, ends, settings.end_id)
+            values = np.insert(ids, ends, np.uint32(settings.end_id))
             held.append((piece.column(0).fill_null(np.iinfo(np.int64).min).to_numpy(), counts + 1, values))
             size += len(values)
             if size >= settings.file_values:
