@@ -37,7 +37,7 @@ from pulsefold.llm.texts import lists, slices
 # Fixed value: the byte-level pre-tokenizer's pieces, white space as Unicode defines it.
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
           r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 
 @dataclass(frozen=True)
@@ -109,7 +109,7 @@ class Automaton:
         key = u * self.size + w
         known = self.arcs.get(key)
         if known is None:
-            if len(self.arcs) > 2_000_000:
+            if len(self.arcs) > 300_000:
                 self.arcs.clear()
             known = self.arcs[key] = self.has_arc(u, w)
         return known
@@ -206,7 +206,7 @@ def _each(documents: DataFrame, vocabulary_path: str, step, columns: str) -> Dat
         vocabulary = Vocabulary(*sent.value)
         coder = ChunkCoder(Automaton(vocabulary).encode_many, vocabulary.specials)
         tables = Decoder(vocabulary.labels)
-        for piece in slices(batches, "text", 8_000_000):
+        for piece in slices(batches, "text", 4_000_000):
             ids, counts = coder.encode(piece.column(1))
             yield pa.RecordBatch.from_arrays([piece.column(0), *step(ids, counts, tables)], names)
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-KNOWN_CHUNKS = 300_000
+KNOWN_CHUNKS = 200_000
 SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _BEFORE_WORD = re.compile(r"(?= \S)")
 
