@@ -11,8 +11,10 @@ within `edits(n)` word edits of the item, that is, at a similarity of 0.8 or mor
    pairs of steps; a window becomes a candidate of each item with an equal sample.
 3. Candidates are verified by exact edit distance against the item, at free end within n + edits(n) words.
 
-With the default numbers of walks and samples, recall at the greatest distance is above 0.95 (tests/llm measures it);
-unaltered items are always found.
+The walks' recall falls with the length of an item, as steps and edits grow and the samples do not. So steps 2 and 3 are
+for items of at most `walked_words` words, where recall at the greatest distance is above 0.95 with the default numbers.
+For longer items the pair bound is asked for each item alone, and all stretches of a document that meet it are verified by
+one exact alignment with free beginning and end: none is missed (tests/llm measures both). Unaltered items are always found.
 
 Items travel to the documents in blocks of bounded number and size, documents are never shuffled,
 and a block is one pass. Defined results: null or empty texts hold no item; items of fewer than `min_words`
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pulsefold.llm.tables import own_columns
-from pulsefold.llm.texts import PLAIN, cut, mix, ngrams, slices
+from pulsefold.llm.texts import PLAIN, cut, mix, ngrams, slices, spread
 
 
 @dataclass(frozen=True)
@@ -40,6 +42,7 @@ class Settings:
     walks: int = 8
     draws: int = 8
     picks: int = 3
+    walked_words: int = 50
     block_items: int = 2000
     block_bytes: int = 8_000_000
     seed: int = 11
@@ -90,15 +93,30 @@ def distances(items: np.ndarray, windows: np.ndarray) -> np.ndarray:
     return row.min(1)
 
 
+def nearest(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
+    """Least edit distance of an item to any stretch of a text, and the first place where such a stretch begins."""
+    # Distance and beginning in one number, so that the least one is the nearest and, among these, the first.
+    one = np.int64(1 << 40)
+    column = np.arange(len(text) + 1, dtype=np.int64)
+    row, steps = column.copy(), column * one
+    for word in item:
+        replaced = row[:-1] + np.where(text == word, 0, one)
+        row = np.concatenate([row[:1] + one, np.minimum(replaced, row[1:] + one)])
+        row = np.minimum.accumulate(row - steps) + steps
+    return divmod(int(row.min()), int(one))
+
+
 @dataclass
 class Group:
-    """Items of one length: their numbers, words, word pairs, and their keys in sorted order."""
+    """Items of one length: their numbers, words, word pairs, and their keys in sorted order. Long items have no keys,
+    but an index: their pairs in sorted order, and the item of each."""
 
     chosen: np.ndarray
     rows: np.ndarray
     pairs: np.ndarray
-    keys: np.ndarray
-    order: np.ndarray
+    keys: np.ndarray | None = None
+    order: np.ndarray | None = None
+    index: tuple[np.ndarray, np.ndarray] | None = None
 
 
 class Block:
@@ -114,10 +132,18 @@ class Block:
         for n in np.unique(length[length >= settings.min_words]).tolist():
             chosen = np.flatnonzero(length == n)
             rows = np.stack([hashes[first[d]:first[d] + n] for d in chosen])
-            keys = samples(rows, settings)
-            order = np.argsort(keys, 0, kind="stable")
-            self.by_length[n] = Group(chosen, rows, np.unique(pairs[length[words.doc[at]] == n]),
-                                      np.take_along_axis(keys, order, 0), order)
+            mine = length[words.doc[at]] == n
+            group = self.by_length[n] = Group(chosen, rows, np.unique(pairs[mine]))
+            if n <= settings.walked_words:
+                keys = samples(rows, settings)
+                group.order = np.argsort(keys, 0, kind="stable")
+                group.keys = np.take_along_axis(keys, group.order, 0)
+            else:
+                pair, item = pairs[mine], np.searchsorted(chosen, words.doc[at[mine]])
+                order = np.lexsort((item, pair))
+                pair, item = pair[order], item[order]
+                new = np.append(True, (pair[1:] != pair[:-1]) | (item[1:] != item[:-1]))
+                group.index = pair[new], item[new]
         self.filter = np.zeros(1 << 20, bool)
         for group in self.by_length.values():
             self.filter[group.pairs & np.uint64((1 << 20) - 1)] = True
@@ -131,10 +157,13 @@ class Block:
         pairs, at = pairs[maybe], at[maybe]
         first = words.first()
         # Words, then zeros behind the last document.
-        longest = max(self.by_length, default=0) * 2
+        longest = max((n for n, group in self.by_length.items() if not group.index), default=0) * 2
         padded = np.concatenate([hashes, np.zeros(longest, np.uint64)])
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for n, group in self.by_length.items():
+            if group.index:
+                self.align(n, group, pairs, at, hashes, words.doc, first, best)
+                continue
             starts = self.starts(n, group, pairs, at, words.doc, first)
             for part in range(0, len(starts), 4096):
                 self.verify(n, group, starts[part:part + 4096], padded, words.doc, first, best)
@@ -158,6 +187,44 @@ class Block:
         held = np.searchsorted(known, stop) - np.searchsorted(known, tried)
         return tried[(held >= need) & (stop - tried + 1 >= n - edits)]
 
+    def align(self, n: int, group: Group, pairs: np.ndarray, at: np.ndarray, hashes: np.ndarray, doc: np.ndarray, first: np.ndarray, best: dict) -> None:
+        """Each long item against all stretches that hold enough of its own pairs."""
+        edits = self.settings.edits(n)
+        need = max(1, n - 1 - 2 * edits)
+        held = group.pairs[np.minimum(np.searchsorted(group.pairs, pairs), len(group.pairs) - 1)] == pairs
+        pairs, known = pairs[held], at[held]
+        if len(known) < need:
+            return
+        # Only pairs that lie in a window with enough pairs of all items together.
+        k = np.flatnonzero((known[need - 1:] - known[:len(known) - need + 1] < n) & (doc[known[need - 1:]] == doc[known[:len(known) - need + 1]]))
+        cover = np.zeros(len(known) + 1, np.int64)
+        np.add.at(cover, k, 1)
+        np.add.at(cover, k + need, -1)
+        inside = np.cumsum(cover[:-1]) > 0
+        pairs, known = pairs[inside], known[inside]
+        lo, hi = (np.searchsorted(group.index[0], pairs, side) for side in ("left", "right"))
+        item = group.index[1][spread(lo, hi - lo)]
+        known = np.repeat(known, hi - lo)
+        order = np.lexsort((known, item))
+        item, known = item[order], known[order]
+        if len(known) < need:
+            return
+        begin, end = slice(0, len(known) - need + 1), slice(need - 1, None)
+        k = np.flatnonzero((known[end] - known[begin] < n) & (item[end] == item[begin]) & (doc[known[end]] == doc[known[begin]]))
+        # Windows that hold these pairs begin from `low` to `high`; overlapping stretches are aligned as one.
+        low = np.maximum(known[k + need - 1] - n + 1, first[doc[known[k]]])
+        high = np.minimum(known[k] + n + edits, first[doc[known[k]] + 1])
+        item, of = item[k], doc[known[k]]
+        new = np.ones(len(k), bool)
+        new[1:] = (item[1:] != item[:-1]) | (of[1:] != of[:-1]) | (low[1:] > high[:-1])
+        starts = np.flatnonzero(new)
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(k)]):
+            away, place = nearest(group.rows[item[a]], hashes[low[a]:high[b - 1]])
+            if away <= edits:
+                d = int(of[a])
+                key = (d, int(group.chosen[item[a]]))
+                best[key] = min(best.get(key, (n + 1, 0, 0)), (away, int(low[a] - first[d]) + place, n))
+
     def verify(self, n: int, group: Group, starts: np.ndarray, padded: np.ndarray, doc: np.ndarray, first: np.ndarray, best: dict) -> None:
         edits = self.settings.edits(n)
         window = np.lib.stride_tricks.sliding_window_view(padded, n + edits)[starts].copy()

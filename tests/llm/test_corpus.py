@@ -86,6 +86,41 @@ def test_recall_against_exact_distance():
     assert block.find(pa.array(clean)) == []
 
 
+def test_recall_of_long_items():
+    draw, settings = random.Random(6), decontaminate.Settings()
+    pool = ["".join(draw.choice("abcdefgh") for _ in range(5)) for _ in range(3000)]
+    some = lambda n: [draw.choice(pool) for _ in range(n)]
+    for n in (200, 500, 1000):
+        items = [some(n) for _ in range(12)]
+        block = decontaminate.Block(list(range(12)), [" ".join(x) for x in items], settings)
+        for edits in (0, n * 15 // 100, settings.edits(n)):
+            texts = [" ".join(some(60) + edited(x, edits, draw, pool) + some(60)) for x in items]
+            found = {(d, i): e for d, i, e, _, _ in block.find(pa.array(texts))}
+            assert sorted(found) == [(k, k) for k in range(12)], (n, edits)
+            assert max(found.values()) <= edits
+        assert block.find(pa.array([" ".join(some(n)) for _ in range(5)] + [None, ""])) == []
+
+
+def test_long_items_at_any_place():
+    # Against the least distance of every beginning: items cut by the text's end, copies side by side, related items.
+    draw, settings = random.Random(7), decontaminate.Settings()
+    pool = ["".join(draw.choice("abcdefgh") for _ in range(4)) for _ in range(300)]
+    some = lambda n: [draw.choice(pool) for _ in range(n)]
+    a = some(60)
+    items = [a, edited(a, 5, draw, pool)[:55], some(60)]
+    texts = [edited(a, 12, draw, pool) + a, some(9) + a[:49], a[11:] + some(20), edited(items[2], 6, draw, pool) * 2 + some(30) + edited(a, 3, draw, pool), a[30:]]
+    block = decontaminate.Block([0, 1, 2], [" ".join(x) for x in items], settings)
+    got = block.find(pa.array([" ".join(x) for x in texts]))
+    want = []
+    for d, text in enumerate(texts):
+        for i, item in enumerate(items):
+            n, near = len(item), settings.edits(len(item))
+            found = min((exact(item, text[k:k + n + near]), k) for k in range(len(text)))
+            if found[0] <= near:
+                want.append((d, i, *found, n))
+    assert got == want and len(want) > 4
+
+
 def exact(a, b):
     row = list(range(len(b) + 1))
     for x in a:
