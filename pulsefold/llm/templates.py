@@ -5,7 +5,8 @@ often it stands on each page of the host; tokens with equal vectors form an equi
 is frequent (on at least half of the host's pages) and nested (what encloses its tokens is kept as well); the kept
 classes are the host's template, and what lies between template tokens are its slots. The template's content
 root is the element for articles, or else the innermost template element that holds most of the slots' text.
-A slot whose text is the same on all pages, while the root's is not, is template text too.
+A slot whose text is the same on all pages, while the root's is not, is template text too, whatever the number of pages;
+but no slot of an element for articles is dropped.
 
 Of each page, the slots under the content root are extracted, without what is marked as menu, header, footer,
 sidebar, notice, advert, form, script, style or comments. A page without the host's root chooses its own in the same way.
@@ -37,7 +38,6 @@ from pulsefold.llm.tables import own_columns, stored
 @dataclass(frozen=True)
 class Settings:
     support: float = 0.5
-    fixed_pages: int = 10
     share: float = 0.7
     broadcast_tokens: int = 500_000
     salts: int = 16
@@ -222,7 +222,9 @@ def deduce(tokens: DataFrame, settings: Settings) -> DataFrame:
         # Text that stands on all pages alike, if the root's text as a whole does not.
         whole = table["pages"].iloc[0]
         varies = any(not table.loc[t, "same"] for t in kept if t in roots or _above(t, kept, set(roots)))
-        fixed = [t for t in kept if varies and whole >= settings.fixed_pages and table.loc[t, "same"] and table.loc[t, "support"] == whole]
+        articles = {t for t, x in kept.items() if x[2]}
+        fixed = [t for t in kept if varies and table.loc[t, "same"] and table.loc[t, "support"] == whole
+                 and t not in articles and not _above(t, kept, articles)]
         return pd.DataFrame({"host": [pdf["host"].iloc[0]], "roots": [roots], "fixed": [fixed]})
 
     return frequent.groupBy("host").applyInPandas(nest, "host string, roots array<long>, fixed array<long>")

@@ -46,3 +46,12 @@ def test_choice_of_root():
     assert templates.choose(rows, 0.7) == [5]
     assert templates.choose({**rows, 7: (4, False, True, 10), 8: (7, False, True, 5)}, 0.7) == [7]
     assert templates.choose({}, 0.7) == [0]
+
+
+def test_fixed_slots_at_every_number_of_pages(spark, frame):
+    article = "<html><body><article><h1>Head {k}</h1><h2>Summary</h2><p>Text {k}</p><p>more</p></article></body></html>"
+    rows = [(100 * n + k, f"https://a{n}.example/{k}", article.format(k=k)) for n in (2, 9, 12) for k in range(n)]
+    want = {100 * n + k: f"Head {k}\nSummary\nText {k}\nmore" for n in (2, 9, 12) for k in range(n)}
+    rows += [(10_000 + 100 * n + k, f"https://c{n}.example/{k}", PLAIN.format(k=k, long=f"word{k} " * 80)) for n in (2, 9, 12) for k in range(n)]
+    want |= {10_000 + 100 * n + k: f"Head {k}\n" + " ".join([f"word{k}"] * 80) + f"\nMore {k} text here" for n in (2, 9, 12) for k in range(n)}
+    assert texts(spark, frame, rows) == want
