@@ -1,8 +1,8 @@
 """Main text of web pages by template deduction over the pages of one host.
 
 A token is an opening tag with the path of tags (and class names) above it. Its occurrence vector says how
-often it stands on each page of the host; tokens with equal vectors form an equivalence class. A class is kept if it
-is frequent (on at least half of the host's pages) and nested (what encloses its tokens is kept as well); the kept
+often it stands on each page of the host; tokens with equal vectors below one parent form an equivalence class. A class
+is kept if it is frequent (on at least half of the host's pages) and nested (what encloses its tokens is kept as well); the kept
 classes are the host's template, and what lies between template tokens are its slots. The template's content
 root is the element for articles, or else the innermost template element that holds most of the slots' text.
 A slot whose text is the same on all pages, while the root's is not, is template text too, whatever the number of pages;
@@ -207,16 +207,17 @@ def deduce(tokens: DataFrame, settings: Settings) -> DataFrame:
 
     def nest(pdf: pd.DataFrame) -> pd.DataFrame:
         kept: dict[int, tuple[int, bool, bool, int]] = {}
-        classes = sorted(pdf.groupby("vector", sort=False), key=lambda x: x[1]["place"].min())
-        waiting = True
-        while waiting:
-            waiting = False
-            for _, rows in list(classes):
-                inside = set(rows["token"]) | set(kept) | {0}
-                if not (set(rows["token"]) <= set(kept)) and set(rows["parent"]) <= inside:
-                    for r in rows.itertuples():
-                        kept[r.token] = (r.parent, bool(r.beside), bool(r.content), float(r.chars))
-                    waiting = True
+        # From the top: an element that stands once below a repeated one has the vector of what encloses both, so a class
+        # is split by the parents of its tokens, and none waits for another that waits for it.
+        below: dict[int, list] = {}
+        for (parent, _), rows in pdf.sort_values("place").groupby(["parent", "vector"], sort=False):
+            below.setdefault(parent, []).append(rows)
+        open_at = [0]
+        while open_at:
+            for rows in below.pop(open_at.pop(), ()):
+                for r in rows.itertuples():
+                    kept[r.token] = (r.parent, bool(r.beside), bool(r.content), float(r.chars))
+                    open_at.append(r.token)
         roots = choose(kept, settings.share)
         table = pdf.set_index("token")
         # Text that stands on all pages alike, if the root's text as a whole does not.

@@ -55,3 +55,10 @@ def test_fixed_slots_at_every_number_of_pages(spark, frame):
     rows += [(10_000 + 100 * n + k, f"https://c{n}.example/{k}", PLAIN.format(k=k, long=f"word{k} " * 80)) for n in (2, 9, 12) for k in range(n)]
     want |= {10_000 + 100 * n + k: f"Head {k}\n" + " ".join([f"word{k}"] * 80) + f"\nMore {k} text here" for n in (2, 9, 12) for k in range(n)}
     assert texts(spark, frame, rows) == want
+
+
+def test_an_element_once_below_a_repeated_one(spark, frame):
+    page = """<html><body><div class="brand">Brand {k}</div><article><h1>Head {k}</h1><p><b>Bold {k}</b> one</p><p>two {k}</p><p>three</p></article>
+<div class="legal">Terms {k}</div></body></html>"""
+    rows = [(k, f"https://many.example/{k}", page.format(k=k)) for k in range(4)] + [(50, "https://alone.example/", page.format(k=50))]
+    assert texts(spark, frame, rows) == {k: f"Head {k}\nBold {k} one\ntwo {k}\nthree" for k in [*range(4), 50]}
