@@ -9,7 +9,9 @@ A slot whose text is the same on all pages, while the root's is not, is template
 but no slot of an element for articles is dropped.
 
 Of each page, the slots under the content root are extracted, without what is marked as menu, header, footer,
-sidebar, notice, advert, form, script, style or comments. A page without the host's root chooses its own in the same way.
+sidebar, notice, advert, form, script, style or comments. A page chooses its own root in the same way if it lacks the host's,
+has its own elements for articles, holds most of its text in elements that are neither in the host's template nor below its
+root (another layout), or if the host's root is no more than the whole page while the page's own is not in the template.
 
 Vectors are never gathered: tokens of a page are rows, and the fingerprint of a vector is the exclusive or of the hashes
 of (page, count), combined before the shuffle. So a host with a third of all pages is a few rows per
@@ -187,6 +189,31 @@ def choose(rows: dict[int, tuple[int, bool, bool, int]], share: float) -> list[i
     return [best]
 
 
+def page_roots(rows: dict[int, tuple[int, bool, bool, int]], roots: set[int], kept: set[int], share: float) -> list[int]:
+    """The content root of one page with these tokens, on a host with these roots and template tokens."""
+    mine = choose(rows, share)
+    articles = any(rows[t][2] for t in mine if t)
+    held = set(mine) if articles else {t for t in roots if t in rows and not rows[t][1] and rows[t][3]} or roots & {0}
+    if not held:
+        return mine
+    # Text of elements that the template does not know, against the text below the root.
+    own = {t: 0 if x[1] else x[3] for t, x in rows.items()}
+    for x in rows.values():
+        if x[0] in own and not x[1]:
+            own[x[0]] -= x[3]
+    outside = 0 if 0 in held else sum(size for t, size in own.items() if size > 0 and t not in kept and t not in held and not _above(t, rows, held))
+    inside = sum(rows[t][3] for t in held if t)
+    if held <= roots and inside < (1 - share) * (inside + outside):
+        # Another layout, where the host's root is a teaser.
+        return choose({t: (x[0], x[1], False, x[3]) for t, x in rows.items()}, share)
+    if articles:
+        return mine
+    whole = {0} | {t for t, x in rows.items() if x[0] == 0 or (x[0] in rows and rows[x[0]][0] == 0)}
+    if held <= whole and mine[0] not in kept | whole:
+        return mine
+    return sorted(held)
+
+
 def _above(token: int, rows: dict, wanted: set[int]) -> bool:
     parent = rows[token][0]
     while parent in rows:
@@ -197,7 +224,7 @@ def _above(token: int, rows: dict, wanted: set[int]) -> bool:
 
 
 def deduce(tokens: DataFrame, settings: Settings) -> DataFrame:
-    """host, roots, fixed: the content root and the fixed slots of every host's template."""
+    """host, roots, fixed, kept: the content root, the fixed slots and all tokens of every host's template."""
     pages = tokens.where("token = 0").groupBy("host").agg(F.count("*").alias("pages"))
     vectors = tokens.where("token <> 0").groupBy("host", "token").agg(
         F.bit_xor(F.xxhash64("page", "count")).alias("vector"), F.count("*").alias("support"),
@@ -226,9 +253,9 @@ def deduce(tokens: DataFrame, settings: Settings) -> DataFrame:
         articles = {t for t, x in kept.items() if x[2]}
         fixed = [t for t in kept if varies and table.loc[t, "same"] and table.loc[t, "support"] == whole
                  and t not in articles and not _above(t, kept, articles)]
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "roots": [roots], "fixed": [fixed]})
+        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "roots": [roots], "fixed": [fixed], "kept": [list(kept)]})
 
-    return frequent.groupBy("host").applyInPandas(nest, "host string, roots array<long>, fixed array<long>")
+    return frequent.groupBy("host").applyInPandas(nest, "host string, roots array<long>, fixed array<long>, kept array<long>")
 
 
 def main_text(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -256,7 +283,7 @@ def main_text(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
         tokenised, "host string, page long, token long, parent long, count long, place long, beside boolean, content boolean, chars long, own long")
     tokens = stored(tokens, "page-tokens")
     templates = stored(deduce(tokens, settings), "templates")
-    size = templates.agg(F.sum(F.size("roots") + F.size("fixed") + 1)).first()[0] or 0
+    size = templates.agg(F.sum(F.size("roots") + F.size("fixed") + F.size("kept") + 1)).first()[0] or 0
     if size <= settings.broadcast_tokens:
         joined = rows.join(F.broadcast(templates), "host", "left")
     else:
@@ -270,16 +297,16 @@ def main_text(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
             for begin in range(0, len(batch), 500):
                 part = batch.slice(begin, 500)
                 texts = []
-                for page, roots, fixed in zip(*(part.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
+                for page, roots, fixed, kept in zip(*(part.column(k).to_pylist() for k in (2, 3, 4, 5)), strict=True):
                     text = ""
                     if page:
-                        text = reader.extract(page, set(roots or ()), set(fixed or ()))
+                        own = {t: (x[0], x[3], x[4], x[5]) for t, x in reader.tokens(page).items()}
+                        text = reader.extract(page, set(page_roots(own, set(roots or ()), set(kept or ()), settings.share)), set(fixed or ()))
                         if not text:
-                            own = {t: (x[0], x[3], x[4], x[5]) for t, x in reader.tokens(page).items()}
                             text = reader.extract(page, set(choose(own, settings.share)), set())
                     texts.append(text)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                     ["page_id", "url", "text", "n_chars"])
 
-    return joined.select("page_id", "url", "html", "roots", "fixed").mapInArrow(extracted, "page_id long, url string, text string, n_chars long")
+    return joined.select("page_id", "url", "html", "roots", "fixed", "kept").mapInArrow(extracted, "page_id long, url string, text string, n_chars long")

@@ -62,3 +62,21 @@ def test_an_element_once_below_a_repeated_one(spark, frame):
 <div class="legal">Terms {k}</div></body></html>"""
     rows = [(k, f"https://many.example/{k}", page.format(k=k)) for k in range(4)] + [(50, "https://alone.example/", page.format(k=50))]
     assert texts(spark, frame, rows) == {k: f"Head {k}\nBold {k} one\ntwo {k}\nthree" for k in [*range(4), 50]}
+
+
+def test_several_layouts_on_a_host(spark, frame):
+    story = "<h1>Head {k}</h1><p>" + "word{k} " * 30 + "</p><p>end</p>"
+    layouts = [f'<div class="{c}bar">Brand</div><article class="{c}">{story}</article><div class="{c}foot">Terms</div>' for c in ("news", "blog", "tale")]
+    words = f'<div class="brand">Brand</div><article class="post tag-{{t}}">{story}</article><div class="legal">Terms</div>'
+    # A teaser of the article's class on two pages whose article is of another one, and on one that has it in a div.
+    usual = f'<div class="brand">Brand</div><article class="post">{story}</article>'
+    teaser = '<div class="brand">Brand</div><article class="post"><p>See {k}</p></article>' + f'<article class="review">{story}</article>'
+    other = '<div class="brand">Brand</div><article class="post"><p>See {k}</p></article>' + f'<div class="review">{story}</div>'
+    page = lambda k, form, **more: f"<html><body>{form.format(k=k, **more)}</body></html>"
+    rows = [(k, f"https://l.example/{k}", page(k, layouts[k % 3])) for k in range(9)]
+    rows += [(20 + k, f"https://w.example/{k}", page(20 + k, words, t="abcdefgh"[k])) for k in range(8)]
+    rows += [(40 + k, f"https://t.example/{k}", page(40 + k, usual)) for k in range(7)]
+    rows += [(k, f"https://t.example/{k}", page(k, teaser)) for k in (47, 48)] + [(49, "https://t.example/49", page(49, other))]
+    body = lambda k: f"Head {k}\n" + " ".join([f"word{k}"] * 30) + "\nend"
+    want = {k: (f"See {k}\n" if k in (47, 48) else "") + body(k) for k, *_ in rows}
+    assert texts(spark, frame, rows) == want
