@@ -5,6 +5,9 @@ spelled out with gaps, spans a lattice: each character is itself or a letter it
 may count once, signs between letters may count for nothing. Viterbi search over the last letters finds the path
 with the best sum of channel costs and character probabilities.
 
+What may as well be no disguise is read both ways, as it stands and restored: words with a doubled letter, and two to PIECES
+neighbouring pieces of one or two letters, joined. Words broken into longer pieces are not joined.
+
 The character model (4-grams) is counted over all texts, merged by key, and normalised; it is bounded by its alphabet.
 The classifier is learned from the labelled rows whose crc32(doc_id) mod 3 is not 1. Features are hashes of restored
 words and of their beginnings; all labelled rows are counted, those that tell the classes apart best are kept, and a
@@ -32,16 +35,16 @@ HELD_OUT_PARTS, HELD_OUT = 3, 1
 # What disguising characters stand for, each with its channel cost (negative log probability).
 STANDS_FOR = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
-    "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
+    "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "#": "h", "&": "a", "€": "e", "£": "l",
 }
-SIGNS = "-._*~'^+"
+SIGNS = "-._*~'^+#%&"
 SWAP, DROP_REPEAT, DROP_SIGN, KEEP_SIGN = 1.0, 0.7, 0.8, 6.0
 
 # Classes of bytes: letters (all of other alphabets' bytes too), and what may stand between or for them.
 LETTER = np.array([chr(c).isalpha() if c < 128 else True for c in range(256)])
 STAND_IN = np.zeros(256, bool)
 STAND_IN[[ord(c) for c in "0123456789@$!|(" + SIGNS]] = True
-SPACED = 4
+SPACED, PIECES = 4, 10
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 OTHER, EDGE, SYMBOLS = 26, 27, 28
@@ -156,13 +159,52 @@ def character_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
+def kinds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes are letters, and which are stand-ins, of more than one byte too."""
+    letter, stands = LETTER[data], STAND_IN[data]
+    for sign in (x.encode() for x in STANDS_FOR if len(x.encode()) > 1):
+        found = np.flatnonzero(data[:len(data) - len(sign) + 1] == sign[0])
+        for k in range(1, len(sign)):
+            found = found[data[found + k] == sign[k]]
+        for k in range(len(sign)):
+            letter[found + k], stands[found + k] = False, True
+    return letter, stands
+
+
+def doubtful(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """First and last word of what may be disguised or not: words with a doubled letter, and all of two to PIECES
+    neighbouring words of one or two characters (and a sign behind them)."""
+    data, n = words.data, len(words.starts)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    letter, stands = kinds(data)
+    lower = np.where(data < 0x80, data | 0x20, 0)
+    double = np.zeros(len(data), bool)
+    double[:-1] = letter[:-1] & letter[1:] & (lower[:-1] == lower[1:]) & (lower[:-1] > 0)
+    sums = np.concatenate([[0], np.cumsum(double)])
+    doubled = np.flatnonzero(sums[words.ends - 1] > sums[words.starts])
+    characters = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    size = characters[words.ends] - characters[words.starts]
+    behind = words.ends - 1
+    piece = (letter | stands)[words.starts] & ((size <= 2) | ((size == 3) & ~letter[behind] & ~stands[behind]))
+    # Pieces from each word on, to the end of its run.
+    stop = np.flatnonzero(np.concatenate([~piece[:-1] | (words.doc[1:] != words.doc[:-1]), [True]]))
+    at = np.flatnonzero(piece)
+    left = stop[np.searchsorted(stop, at)] - at + 1
+    first, last = [doubled], [doubled]
+    for k in range(2, PIECES + 1):
+        first.append(at[left >= k])
+        last.append(first[-1] + k - 1)
+    return np.concatenate(first), np.concatenate(last)
+
+
 def suspects(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """First and last word of each disguised word: a stand-in before or behind a letter, a letter three times, or a
     run of at least SPACED words of one character."""
     data, n = words.data, len(words.starts)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    letter, stands = LETTER[data], STAND_IN[data]
+    letter, stands = kinds(data)
     marked = np.zeros(len(data), bool)
     marked[:-1] = stands[:-1] & letter[1:]
     marked[:-1] |= letter[:-1] & stands[1:]
@@ -196,10 +238,13 @@ def features_of(column: pa.Array, channel: Channel, settings: Settings) -> tuple
     plain[accented] += 0x20
     a, b = words.starts[first], words.ends[last]
     whole = data.tobytes()
+    also = doubtful(words)
+    c, d = words.starts[also[0]], words.ends[also[1]]
+    both = pa.array([channel.restore(" ".join(whole[i:j].decode("utf-8", "replace").split())) for i, j in zip(c.tolist(), d.tolist(), strict=True)], pa.string())
     restored = pa.array([channel.restore(whole[i:j].decode("utf-8", "replace")) for i, j in zip(a.tolist(), b.tolist(), strict=True)], pa.string())
     plain[spread(a, b - a)] = 0x20
     hashes, doc = [], []
-    for some, owner in ((cut_bytes(plain, offsets), None), (cut(restored, PLAIN), words.doc[first])):
+    for some, owner in ((cut_bytes(plain, offsets), None), (cut(restored, PLAIN), words.doc[first]), (cut(both, PLAIN), words.doc[also[0]])):
         size, of = some.ends - some.starts, some.doc if owner is None else owner[some.doc]
         hashes.append(some.hashes())
         doc.append(of)

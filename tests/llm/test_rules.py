@@ -126,3 +126,25 @@ def test_learned_scores(spark, frame):
     unlabelled = toxicity.judge(docs, labels.limit(0)).collect()
     assert {r.score for r in unlabelled} == {0.0} and len(unlabelled) == len(rows)
     assert toxicity.judge(docs.limit(0), labels).count() == 0
+
+
+def test_disguises_that_may_be_none():
+    text = "you are a stupid idiot and he said the idiot is bad too so we all go to the stupid idiot if it is good to us " * 40
+    counts = np.zeros(toxicity.SYMBOLS**4, np.int64)
+    symbols = toxicity.codes(text)
+    np.add.at(counts, [((a * 28 + b) * 28 + c) * 28 + d for a, b, c, d in zip(symbols, symbols[1:], symbols[2:], symbols[3:])], 1)
+    channel, settings = toxicity.Channel(toxicity.character_costs(counts), toxicity.Settings()), toxicity.Settings()
+    features = lambda *texts: [set(f.tolist()) for f in (lambda h, d: [h[d == k] for k in range(len(texts))])(*toxicity.features_of(pa.array(texts), channel, settings))]
+    idiot, stupid, bad = features("idiot", "stupid", "bad")
+    for seen in ("iiddiioott", "IIDDiioott!", "id io t", "he said id io t.", "i#d%i&ot", "id#iot"):
+        assert idiot <= features(seen)[0], seen
+    for seen in ("st up id", "he is st up id", "s t u p i d", "ssttuuppiidd"):
+        assert stupid <= features(seen)[0], seen
+    assert bad <= features("b a d")[0] and bad <= features("he is b a d, too")[0]
+    # As it stands, too; never across texts.
+    assert set(toxicity.cut(pa.array(["good"]), toxicity.PLAIN).hashes().tolist()) <= features("good")[0]
+    first, second = features("st up", "id")
+    assert not stupid <= first | second
+    words = toxicity.cut(pa.array(["m€an £ook £5 a€ b"]))
+    found = {words.data[words.starts[i]:words.ends[j]].tobytes().decode() for i, j in zip(*toxicity.suspects(words))}
+    assert {"m€an", "£ook"} <= found and "£5" not in found
