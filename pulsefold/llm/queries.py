@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsefold.llm import bpe, decontaminate, hosts, language, lempel, secrets, simple8b, superminhash, templates, toxicity
+from pulsefold.llm import (
+    bpe, conversations, decontaminate, hosts, language, lempel, neighbours, secrets, simple8b, superminhash, templates, toxicity, whitening,
+)
 from pulsefold.llm.tables import read
 
 
@@ -59,6 +61,18 @@ def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.read(spark, files)
 
 
+def op11_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.group(read(spark, sf_dir, "embeddings"))
+
+
+def op12_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op13_ternary_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_text": op1_template_text,
     "op2_secrets": op2_secrets,
@@ -70,6 +84,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lempel_ziv": op8_lempel_ziv,
     "op9_language_id": op9_language_id,
     "op10_simple8b": op10_simple8b,
+    "op11_flat_graph": op11_flat_graph,
+    "op12_cholesky_whitening": op12_cholesky_whitening,
+    "op13_ternary_trie": op13_ternary_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {}
