@@ -107,14 +107,14 @@ def test_whitening_equals_eigenvectors(spark, frame):
     got = whitening.whiten(df).collect()
     x = np.floor(data * 256).astype(int)
     n, s, explained, want = brute_whitening(x)
-    assert len(got) == 1200 and n == 201
+    assert len(got) == 1200 and n == 200
     by = {(r.vec_id, r.component): r for r in got}
     for c in range(1, 5):
         mine = np.array([by[i, c].whitened for i in range(300)])
         sign = np.sign(mine @ want[:, c - 1])
         np.testing.assert_allclose(sign * mine, want[:, c - 1], atol=1e-8)
         assert abs(by[0, c].explained / explained[c - 1] - 1) < 1e-9
-    assert all(r.identity_error < 1e-9 and r.n == 201 for r in got)
+    assert all(r.identity_error < 1e-9 and r.n == 200 for r in got)
     assert all(by[i, 1].deviation == int(((n * x[i] - s) ** 2).sum()) for i in range(300))
 
 
