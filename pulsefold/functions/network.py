@@ -56,8 +56,9 @@ def gradient(params, dims, x, y, w, keep=1.0, rng=None):
     return loss, probabilities, np.concatenate(pieces)
 
 
-def train(params, dims, x, y, w, epochs, batch_size, learning_rate, dropout, rng):
-    """Mini-batch Adam. Returns the new parameters and (loss, accuracy) of every epoch."""
+def train(params, dims, x, y, w, epochs, batch_size, learning_rate, dropout, rng, held_out=None):
+    """Mini-batch Adam. Returns the new parameters and (loss, accuracy, held-out loss, held-out accuracy) of every
+    epoch; `held_out` are features and labels measured after each epoch (none: the last two are None)."""
     params = np.array(params, dtype=float)
     first, second, step, history = np.zeros_like(params), np.zeros_like(params), 0, []
     for _ in range(epochs):
@@ -71,7 +72,12 @@ def train(params, dims, x, y, w, epochs, batch_size, learning_rate, dropout, rng
             params -= learning_rate / (1 - 0.9**step) * first / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
             losses.append(loss)
             right += int((p.argmax(axis=1) == y[pick]).sum())
-        history.append((float(np.mean(losses)), right / len(y)))
+        after = (None, None)
+        if held_out is not None and len(held_out[1]):
+            p, truth = positive_probability(params, dims, held_out[0]), held_out[1]
+            cost = -np.log(np.maximum(np.where(truth == 1, p, 1 - p), 1e-15)).mean()
+            after = (float(cost), float(((p > 0.5) == (truth == 1)).mean()))
+        history.append((float(np.mean(losses)), right / len(y), *after))
     return params, history
 
 

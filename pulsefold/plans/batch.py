@@ -10,8 +10,10 @@ from pulsefold.operators.clean import preprocess, resolve_time
 from pulsefold.operators.features import calendar_and_category, ml_table, reject_counts
 from pulsefold.operators.metrics import history_arrays, summary, weighted_metrics
 from pulsefold.operators.splits import split_institutions
-from pulsefold.plans.central import MEASURES, compare, train_central
-from pulsefold.plans.federated import EVAL_COLUMNS, FederatedResult, RoundSettings, save_model, train_federated
+from pulsefold.plans.central import MEASURES, compare, held_out_metrics, train_central
+from pulsefold.plans.federated import (
+    EVAL_COLUMNS, FederatedResult, RoundSettings, client_table, save_model, train_federated,
+)
 from pulsefold.schema import ORDER
 from pulsefold.sources.readings import number_rows, read_csv
 from pulsefold.sources.sinks import write_by_institution, write_jsonl
@@ -24,7 +26,7 @@ class Folders:
     base: str
 
     def __getattr__(self, name: str) -> str:
-        if name in ("stream_input", "batch", "ml", "rejected", "left_out", "federated", "history", "comparison", "model", "central_model"):
+        if name in ("stream_input", "batch", "epochs", "ml", "rejected", "left_out", "federated", "history", "comparison", "model", "central_model"):
             return f"{self.base}/{name}"
         raise AttributeError(name)
 
@@ -60,16 +62,18 @@ def build_ml_tables(prepared: DataFrame, folders: Folders) -> DataFrame:
 
 def train_and_compare(ml: DataFrame, folders: Folders, settings: RoundSettings = RoundSettings(),
                       max_iter: int = 50) -> tuple[FederatedResult, DataFrame, DataFrame]:
-    """Federated rounds, the central model, and both side by side, all stored."""
+    """Federated rounds, the central model, and both over the same held-out rows, all stored."""
     spark = ml.sparkSession
     result = train_federated(ml, settings, folders.federated)
     save_model(spark, folders.model, result.params, result.dims)
     history = result.history()
     history_arrays(history).coalesce(1).write.mode("overwrite").json(folders.history)  # one object of parallel arrays
     result.left_out().write.mode("overwrite").parquet(folders.left_out)
-    model, central = train_central(ml, "mlp", max_iter, settings.hidden)
+    model, central = train_central(ml, "mlp", max_iter, settings.hidden, seed=settings.seed, by=("institution",))
     model.write().overwrite().save(folders.central_model)
-    compare(last_evaluation(result), central).write.mode("overwrite").parquet(folders.comparison)
+    federated = held_out_metrics(client_table(ml, settings)[0], result.params, result.dims, "federated")
+    result.epochs().write.mode("overwrite").parquet(folders.epochs)
+    compare(federated, central).write.mode("overwrite").parquet(folders.comparison)
     return result, summary(history), spark.read.parquet(folders.comparison)
 
 

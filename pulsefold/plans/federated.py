@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
@@ -19,11 +20,14 @@ from pulsefold.operators.joins import attach
 from pulsefold.operators.metrics import evaluation, round_history, weighted_metrics
 from pulsefold.operators.splits import sample_clients, split_train_val
 from pulsefold.operators.stats import class_weights
+from pulsefold.plans import synchronous
+from pulsefold.plans.synchronous import StepSettings, epoch_metrics, train_synchronous
 from pulsefold.schema import LABEL
 from pulsefold.session import shared_path, written
 
 # The helpers travel with the functions that use them, so executors need no installed package.
 cloudpickle.register_pickle_by_value(network)
+cloudpickle.register_pickle_by_value(synchronous)
 
 MODELS_IN_CLOSURE = 1_000
 Aggregate = Callable[[DataFrame], DataFrame]
@@ -31,7 +35,8 @@ Aggregate = Callable[[DataFrame], DataFrame]
 LocalFit = Callable[[tuple, pd.DataFrame, np.ndarray, dict], pd.DataFrame]
 UPDATE = (
     "institution string, shard int, num_examples bigint, params array<double>, "
-    "train_loss double, train_accuracy double"
+    "train_loss double, train_accuracy double, val_examples bigint, "
+    "epochs array<struct<train_loss:double,train_accuracy:double,val_loss:double,val_accuracy:double>>"
 )
 LOCAL = (
     "institution string, num_examples bigint, train_loss double, train_accuracy double, params array<double>"
@@ -61,6 +66,15 @@ class RoundSettings:
     min_evaluate_clients: int = 2
     rows_per_shard: int = 250_000
     seed: int = 42
+    # How shards of an institution make one model: "averaged" trains each on its own and averages the parameters,
+    # "synchronous" sums their slopes in every step (`batch_size` does not apply; `step_batches` steps an epoch).
+    mode: str = "averaged"
+    step_batches: int = 1
+    adam: bool = True
+
+    def __post_init__(self):
+        if self.mode not in ("averaged", "synchronous"):
+            raise ValueError(f"mode must be 'averaged' or 'synchronous', not {self.mode!r}")
 
     def dims(self, inputs: int) -> tuple[int, ...]:
         return (inputs, *self.hidden, 2)
@@ -84,6 +98,11 @@ class FederatedResult:
         evaluate_agg = evaluate_agg or (lambda rows: weighted_metrics(rows, EVAL_COLUMNS))
         return round_history(fit_agg(self.fit), evaluate_agg(self.evaluated))
 
+    def epochs(self) -> DataFrame:
+        """round, institution, epoch, num_examples and the training and held-out figures of every local epoch."""
+        shards = kept_rounds(self.evaluated.sparkSession, self.run_dir, "shards", UPDATE)
+        return merged_epochs(shards, ["round", "institution"])
+
     def left_out(self) -> DataFrame:
         """round, institution, shard, num_examples of every update whose parameters were not finite."""
         shards = kept_rounds(self.evaluated.sparkSession, self.run_dir, "shards", UPDATE)
@@ -134,29 +153,61 @@ def local_updates(train: DataFrame, params: np.ndarray, dims: tuple[int, ...], s
     """
     # Only plain values and `network` go into the function: an object of a class defined here
     # would make every executor import this package.
-    options = {**settings.round_options(number), **(options or {})}
+    options, columns = {**settings.round_options(number), **(options or {})}, [c.split(" ")[0] for c in UPDATE.split(", ")]
     if local_fit is not None:
-        return train.groupBy("institution", "shard").applyInPandas(
-            lambda key, rows: local_fit(key, rows, params, options), UPDATE)
+        own = train.where("is_train") if "is_train" in train.columns else train
+        return own.groupBy("institution", "shard").applyInPandas(
+            lambda key, rows: local_fit(key, rows, params, options).assign(val_examples=None, epochs=None)[columns], UPDATE)
     fit, flat = network.train, params
     seed, rate, dropout = settings.seed, options.get("learning_rate", settings.learning_rate), settings.dropout
 
     def fit_shard(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         institution, shard = key
         rows = rows.sort_values("event_id")
+        held = rows[~rows["is_train"]] if "is_train" in rows else rows[:0]
+        rows = rows[rows["is_train"]] if "is_train" in rows else rows
+        if rows.empty:
+            return pd.DataFrame(columns=columns)
         rng = np.random.default_rng([seed, options["round"], shard, *institution.encode()])
         new, epochs = fit(
             flat, dims, np.stack(rows["features"].to_numpy()), rows["label"].to_numpy(), rows["weight"].to_numpy(),
             options["local_epochs"], options["batch_size"], rate, dropout, rng,
+            (np.stack(held["features"].to_numpy()), held["label"].to_numpy()) if len(held) else None,
         )
-        loss, accuracy = epochs[-1]
-        return pd.DataFrame([[institution, int(shard), len(rows), new.tolist(), loss, accuracy]], columns=[
-            "institution", "shard", "num_examples", "params", "train_loss", "train_accuracy",
-        ])
+        loss, accuracy = epochs[-1][:2]
+        each = [dict(zip(("train_loss", "train_accuracy", "val_loss", "val_accuracy"), e)) for e in epochs]
+        return pd.DataFrame([[institution, int(shard), len(rows), new.tolist(), loss, accuracy, len(held), each]], columns=columns)
 
     return train.groupBy("institution", "shard").applyInPandas(fit_shard, UPDATE)
 
 
+def synchronous_updates(rows: DataFrame, params: np.ndarray, dims: tuple[int, ...], settings: RoundSettings,
+                        number: int, path: str, options: dict | None = None) -> DataFrame:
+    """`local_updates` by steps over all shards of an institution: one row per institution, as its shard 0."""
+    options = {**settings.round_options(number), **(options or {})}
+    steps = StepSettings(
+        options["local_epochs"], options.get("step_batches", settings.step_batches),
+        options.get("learning_rate", settings.learning_rate), settings.adam, settings.seed)
+    states = train_synchronous(rows, params, dims, steps, path)
+    figures = F.struct("epoch", "train_loss", "train_accuracy", "val_loss", "val_accuracy")
+    epochs = epoch_metrics(states).groupBy("institution").agg(
+        F.max_by("num_examples", "epoch").alias("num_examples"), F.max_by("train_loss", "epoch").alias("train_loss"),
+        F.max_by("train_accuracy", "epoch").alias("train_accuracy"), F.max("val_examples").alias("val_examples"),
+        F.array_sort(F.collect_list(figures)).alias("epochs"))  # as many as the settings say
+    without = F.transform("epochs", lambda e: e.dropFields("epoch"))
+    return epochs.join(synchronous.final_models(states), "institution").select(
+        "institution", F.lit(0).alias("shard"), "num_examples", "params", "train_loss", "train_accuracy", "val_examples", without.alias("epochs"))
+
+
+def merged_epochs(updates: DataFrame, by: list[str]) -> DataFrame:
+    """One row per epoch: the figures of the shards, weighted by their training and held-out rows."""
+    each = updates.select(*by, "num_examples", "val_examples", F.posexplode("epochs").alias("epoch", "e"))
+    n, v = F.col("num_examples"), F.when(F.col("e.val_loss").isNotNull(), F.col("val_examples"))
+    return each.groupBy(*by, (F.col("epoch") + 1).alias("epoch")).agg(
+        F.sum(n).alias("num_examples"), *[(F.sum(n * F.col(f"e.{m}")) / F.sum(n)).alias(m) for m in ("train_loss", "train_accuracy")],
+        F.sum(v).alias("val_examples"), *[(F.sum(v * F.col(f"e.{m}")) / F.sum(v)).alias(m) for m in ("val_loss", "val_accuracy")])
+
+
 def left_out(updates: DataFrame) -> DataFrame:
     """The rows that `merge_shards` can't use."""
     return updates.where(F.exists("params", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))))
@@ -261,7 +312,8 @@ def _run_rounds(rows: DataFrame, settings: RoundSettings, run_dir: str, on_round
     dims = settings.dims(input_dimension(rows))
     params = network.initial_params(dims, settings.seed) if initial is None else np.asarray(initial, float)
     # More rounds may be asked of a finished run, everything else must be as it was.
-    same_run(spark, run_dir, f"{replace(settings, rounds=0)} dims={dims} rows={rows.count()}")
+    hooks = f"config_fn={named(config_fn)} local_fit={named(local_fit)} initial={hashlib.md5(params.tobytes()).hexdigest()}"
+    same_run(spark, run_dir, f"{replace(settings, rounds=0)} dims={dims} rows={rows.count()} {hooks}")
     start = finished_rounds(spark, run_dir)
     if start:
         params = global_params(spark, run_dir, start)
@@ -273,9 +325,13 @@ def _run_rounds(rows: DataFrame, settings: RoundSettings, run_dir: str, on_round
             everyone, -number, settings.fraction_evaluate, settings.min_evaluate_clients, settings.min_clients,
             settings.seed,
         )
-        train, held_out = only(rows.where("is_train"), clients, everyone), rows.where("not is_train")
+        chosen, held_out = only(rows, clients, everyone), rows.where("not is_train")
         options = config_fn(number) if config_fn else None
-        keep_round(local_updates(train, params, dims, settings, number, options, local_fit), run_dir, "shards", number)
+        if settings.mode == "synchronous" and local_fit is None:
+            updates = synchronous_updates(chosen, params, dims, settings, number, f"{run_dir}/steps/round={number}", options)
+        else:
+            updates = local_updates(chosen, params, dims, settings, number, options, local_fit)
+        keep_round(updates, run_dir, "shards", number)
         keep_round(merge_shards(kept_round(spark, run_dir, "shards", UPDATE, number)), run_dir, "local", number)
         params = global_params(spark, run_dir, number)
         local = kept_round(spark, run_dir, "local", LOCAL, number)
@@ -289,6 +345,15 @@ def _run_rounds(rows: DataFrame, settings: RoundSettings, run_dir: str, on_round
     return params, dims
 
 
+def named(hook: Callable | None) -> str:
+    """What tells one hook from another between runs: where it is defined and a digest of its code and constants."""
+    if hook is None:
+        return "none"
+    code = getattr(hook, "__code__", None)
+    text = f"{code.co_code!r}{[c for c in code.co_consts if not hasattr(c, 'co_code')]!r}{code.co_names!r}" if code else repr(type(hook))
+    return f"{getattr(hook, '__module__', '')}.{getattr(hook, '__qualname__', type(hook).__qualname__)}:{hashlib.md5(text.encode()).hexdigest()[:12]}"
+
+
 def only(rows: DataFrame, chosen: DataFrame, everyone: DataFrame) -> DataFrame:
     """The rows of the chosen institutions."""
     return rows if chosen is everyone else attach(rows, chosen, ["institution"], "left_semi")

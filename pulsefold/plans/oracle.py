@@ -206,6 +206,78 @@ def network_step(rate: float = 0.5, hidden: int = 3) -> str:
         f" SELECT CAST({j} AS BIGINT) AS pos, round(({params[j]})::DOUBLE - {rate}::DOUBLE * g{j}, 6) AS value FROM means" for j in range(len(params)))
 
 
+def net_columns(hidden: int, params: str = "w") -> tuple[str, str, list[str]]:
+    """Hidden outputs h, the probability p, and the slopes of all parameters, for inputs x, truth y and parameters `params`0, 1, ..."""
+    n = len(FEATURES)
+    w = lambda j: f"{params}{j}"
+    out = (n + 1) * hidden
+    hidden_sums = ", ".join(
+        "greatest(" + " + ".join(f"x{i} * {w(i * hidden + k)}" for i in range(n)) + f" + {w(n * hidden + k)}, 0.0) AS h{k}" for k in range(hidden))
+    ins, size = ([f"h{k}" for k in range(hidden)], hidden) if hidden else ([f"x{i}" for i in range(n)], n)
+    logit = " + ".join(f"{ins[k]} * ({w(out + 2 * k + 1)} - {w(out + 2 * k)})" for k in range(size)) + f" + ({w(out + 2 * size + 1)} - {w(out + 2 * size)})"
+    back = [f"(CASE WHEN h{k} > 0 THEN (p - y) * ({w(out + 2 * k + 1)} - {w(out + 2 * k)}) ELSE 0.0 END)" for k in range(hidden)]
+    slopes = [f"x{i} * {back[k]}" for i in range(n) for k in range(hidden)] + back
+    slopes += [f"{x} * {sign}(p - y)" for x in ins for sign in ("-", "")] + ["-(p - y)", "p - y"]
+    return hidden_sums, f"1.0 / (1.0 + exp(-({logit})))", slopes
+
+
+def descent(rounds: int, epochs: int, hidden: int, rates: list[float] | float = 0.5, weighted_classes: bool = False,
+            by_institution: bool = True, name: str = "m") -> list[str]:
+    """Full-batch descent unrolled. <name>_l<r>: parameters w of each client after round r; <name>_g<r>: their mean;
+    <name>_t: round, institution, epoch and the training and held-out figures. The rows are in `data`."""
+    hidden_sums, p, slopes = net_columns(hidden)
+    count, client = len(slopes), "institution" if by_institution else "'all'"
+    weight = "cw" if weighted_classes else "1.0::DOUBLE"
+    start = ", ".join(f"({(j * 37 % 23 - 11) / 20.0})::DOUBLE AS w{j}" for j in range(count))
+    ws = ", ".join(f"w{j}" for j in range(count))
+    parts, figures = [f"{name}_g0 AS (SELECT {start})"], []
+
+    def net(source: str, rows: str) -> str:
+        h = f", {hidden_sums}" if hidden else ""
+        return f"""(SELECT *, {p} AS p FROM (SELECT d.*, {ws}{h} FROM (SELECT *, {client} AS client, {weight} AS v FROM data WHERE {rows}) d
+          JOIN {source} s ON s.client = d.client))"""
+
+    cost = "-ln(greatest(CASE WHEN y = 1 THEN p ELSE 1 - p END, 1e-15))"
+    for r in range(1, rounds + 1):
+        rate = rates[r - 1] if isinstance(rates, list) else rates
+        parts.append(f"{name}_s{r}_0 AS MATERIALIZED (SELECT client, {ws} FROM (SELECT DISTINCT {client} AS client FROM data), {name}_g{r - 1})")
+        for e in range(1, epochs + 1):
+            moved = ", ".join(f"min(w{j}) - {rate}::DOUBLE * sum(v * ({s})) / sum(v) AS w{j}" for j, s in enumerate(slopes))
+            parts.append(f"""{name}_s{r}_{e} AS MATERIALIZED (SELECT client, count(*) AS n, sum(v * {cost}) / sum(v) AS train_loss,
+              avg(CASE WHEN (p > 0.5) = (y = 1) THEN 1.0 ELSE 0.0 END) AS train_accuracy, {moved}
+              FROM {net(f"{name}_s{r}_{e - 1}", "tr")} GROUP BY client)""")
+            parts.append(f"""{name}_v{r}_{e} AS MATERIALIZED (SELECT client, count(*) AS n, avg({cost}) AS val_loss,
+              avg(CASE WHEN (p > 0.5) = (y = 1) THEN 1.0 ELSE 0.0 END) AS val_accuracy FROM {net(f"{name}_s{r}_{e}", "NOT tr")} GROUP BY client)""")
+            figures.append(f"""SELECT {r}::BIGINT AS round, s.client AS institution, {e}::BIGINT AS epoch, s.n AS num_examples, train_loss, train_accuracy,
+              v.n AS val_examples, val_loss, val_accuracy FROM {name}_s{r}_{e} s JOIN {name}_v{r}_{e} v ON s.client = v.client""")
+        parts.append(f"{name}_l{r} AS (SELECT * FROM {name}_s{r}_{epochs})")
+        parts.append(f"{name}_g{r} AS MATERIALIZED (SELECT " + ", ".join(f"sum(n * w{j}) / sum(n) AS w{j}" for j in range(count)) + f" FROM {name}_l{r})")
+    return [*parts, f"{name}_t AS ({' UNION ALL '.join(figures)})"]
+
+
+# Rows of training: inputs x, truth y, whether they train, and the weight of their class in the whole institution.
+TRAINING = [*FEAT, POPULATION, """drawn_rows AS (SELECT *, row_number() OVER (PARTITION BY institution ORDER BY md5('42:' || CAST(event_id AS VARCHAR)), event_id) AS rn,
+  count(*) OVER (PARTITION BY institution) AS total FROM scaled)""",
+    "data AS MATERIALIZED (SELECT institution, hypo_risk AS y, rn <= floor(0.8::DOUBLE * total) AS tr, total / ((SELECT count(DISTINCT hypo_risk) FROM feat f "
+    "WHERE f.institution = drawn_rows.institution) * count(*) OVER (PARTITION BY institution, hypo_risk)) AS cw, "
+    + ", ".join(f"coalesce({c}_s, 0.0) AS x{i}" for i, c in enumerate(FEATURES)) + " FROM drawn_rows)"]
+
+
+def judged(name: str, model: str, hidden: int = 0) -> str:
+    """<name>: one row of pooled figures of the parameters in `model` over the held-out rows, scores rounded to 9 digits."""
+    hidden_sums, p, _ = net_columns(hidden)
+    h = f", {hidden_sums}" if hidden else ""
+    return f"""{name}_p AS MATERIALIZED (SELECT y AS label, round({p}, 9) AS p FROM (SELECT *{h} FROM data, {model} WHERE NOT tr)),
+{name}_c AS (SELECT count(*) AS num_examples, count(*) FILTER (label = 1 AND p > 0.5) AS tp, count(*) FILTER (label = 0 AND p > 0.5) AS fp,
+  count(*) FILTER (label = 1 AND p <= 0.5) AS fn, count(*) FILTER (label = 0 AND p <= 0.5) AS tn,
+  avg(-ln(greatest(CASE WHEN label = 1 THEN p ELSE 1 - p END, 1e-15))) AS loss FROM {name}_p),
+{name}_r AS (SELECT label, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS r FROM {name}_p),
+{name}_a AS (SELECT CASE WHEN min(label) = max(label) THEN 0.0 ELSE
+  (sum(r) FILTER (label = 1) - count(*) FILTER (label = 1) * (count(*) FILTER (label = 1) + 1) / 2.0)
+    / (count(*) FILTER (label = 1) * count(*) FILTER (label = 0)) END AS auc FROM {name}_r),
+{name} AS (SELECT num_examples, loss, auc, {EXACT_QUALITY} FROM {name}_c, {name}_a)"""
+
+
 ROLLED_OUT = """ SELECT event_id, round(glucose, 6) AS glucose, round(glucose_ma_1h, 6) AS glucose_ma_1h,
   round(glucose_std_1h, 6) AS glucose_std_1h, round(glucose_roc, 6) AS glucose_roc FROM rolled"""
 STREAM_FEAT = (
@@ -221,6 +293,14 @@ MEASURES = ("loss", "accuracy", "precision", "recall", "f1", "auc")
 EXACT_QUALITY = """(tp + tn) / num_examples AS accuracy, CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END AS "precision",
   CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END AS recall,
   CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f1"""
+EPOCH_FIGURES = ("train_loss", "train_accuracy", "val_loss", "val_accuracy")
+MLP_PARAMS = (len(FEATURES) + 1) * 3 + 8
+EXACT_MLP = [*TRAINING, *descent(2, 2, 3)]
+HOOKED = [*TRAINING, *descent(2, 1, 3, [1.0, 0.5]), *(f"""ev{r} AS (SELECT institution, p > 0.5 AS yes, y = 1 AS truth FROM (
+  SELECT *, {net_columns(3)[1]} AS p FROM (SELECT *, {net_columns(3)[0]} FROM data, m_g{r} WHERE NOT tr))),
+q{r} AS (SELECT institution, avg(CASE WHEN yes = truth THEN 1.0 ELSE 0.0 END) AS accuracy,
+  coalesce(2 * count(*) FILTER (yes AND truth) / nullif(2 * count(*) FILTER (yes AND truth) + count(*) FILTER (yes <> truth), 0), 0) AS f1
+  FROM ev{r} GROUP BY institution)""" for r in (1, 2))]
 POOLED = with_(
     *FEAT, SCORED.replace("scored AS", "per_client AS"),
     "scored AS (SELECT * FROM per_client UNION ALL SELECT 'all', * EXCLUDE institution FROM per_client)",
@@ -233,6 +313,9 @@ POOLED = with_(
       round(max("{m}") FILTER (institution = 'all'), 6) AS centralised FROM measured""" for m in MEASURES
 )
 
+EVENT_FEAT = with_(RAW, """feat AS (
+  SELECT *, coalesce(raw_glucose, 120.0) AS glucose, CASE WHEN raw_glucose < 70 THEN 1 ELSE 0 END AS hypo_risk FROM raw)""")
+
 ORACLE_SQL = {
     "csv_jsonl_roundtrip": with_(RAW) + """ SELECT institution, series_id, event_id,
       strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, round(raw_glucose, 6) AS glucose, steps, heart_rate FROM raw""",
@@ -342,6 +425,21 @@ ORACLE_SQL = {
       SELECT CAST(label AS BIGINT) AS label, CAST(pos AS BIGINT) AS pos, round(sum(n * x) / sum(n), 6) AS value
       FROM v GROUP BY label, pos""",
     "fed_logreg_rounds": logistic_rounds(),
+    "fed_mlp_exact": with_(*EXACT_MLP) + " UNION ALL ".join(
+        f""" SELECT {r}::BIGINT AS round, client AS institution, n AS num_examples, j::BIGINT AS pos, round(value, 6) AS value
+        FROM (SELECT client, n, unnest(list_value({", ".join(f"w{j}" for j in range(MLP_PARAMS))})) AS value, unnest(range({MLP_PARAMS})) AS j FROM m_l{r})"""
+        for r in (1, 2)),
+    "training_epochs": with_(*EXACT_MLP) + " SELECT round, institution, epoch, num_examples, val_examples, "
+    + ", ".join(f"round({c}, 6) AS {c}" for c in EPOCH_FIGURES) + " FROM m_t",
+    "last_epoch_of_training": with_(*EXACT_MLP) + " SELECT round, institution, " + ", ".join(f"round({c}, 6) AS {c}" for c in EPOCH_FIGURES)
+    + " FROM m_t WHERE epoch = 2",
+    "central_logistic": with_(*TRAINING, *descent(1, 4, 0, weighted_classes=True, by_institution=False), judged("j", "m_g1"))
+    + " SELECT num_examples, " + ", ".join(f'round("{m}", 6) AS "{m}"' for m in MEASURES) + " FROM j",
+    "compare_models": with_(*TRAINING, *descent(2, 2, 0), *descent(1, 4, 0, by_institution=False, name="c"), judged("f", "m_g2"), judged("a", "c_g1"))
+    + " UNION ALL ".join(f""" SELECT '{m}' AS metric, round(f."{m}", 6) AS federated, round(a."{m}", 6) AS centralised FROM f, a""" for m in MEASURES),
+    "hooked_rounds": with_(*HOOKED) + " UNION ALL ".join(f""" SELECT {r}::BIGINT AS round, (SELECT round(max(train_loss), 6) FROM m_t WHERE round = {r}) AS train_loss,
+      (SELECT round(min(train_accuracy), 6) FROM m_t WHERE round = {r}) AS train_accuracy, (SELECT round(min(val_loss), 6) FROM m_t WHERE round = {r}) AS val_loss,
+      round(min(accuracy), 6) AS val_accuracy, round(max(f1), 6) AS val_f1 FROM q{r}""" for r in (1, 2)),
     "stream_enrich": with_(*STREAM_FEAT) + """ SELECT institution, series_id, event_id,
       strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, round(glucose, 6) AS glucose, round(glucose_ma_1h, 6) AS glucose_ma_1h,
       round(glucose_std_1h, 6) AS glucose_std_1h, round(glucose_roc, 6) AS glucose_roc, steps, heart_rate, hour,
@@ -350,9 +448,9 @@ ORACLE_SQL = {
     "stream_fan_out": with_(*FEAT) + """ SELECT institution, count(*) AS records,
       count(*) FILTER (hypo_risk = 1) AS risky FROM feat GROUP BY institution""",
     "stream_memory": with_(*STREAM_FEAT) + stats(" SELECT institution,", "GROUP BY institution").replace("FROM feat", "FROM sent"),
-    "stream_stats": with_(RAW, """feat AS (
-      SELECT *, coalesce(raw_glucose, 120.0) AS glucose, CASE WHEN raw_glucose < 70 THEN 1 ELSE 0 END AS hypo_risk
-      FROM raw)""") + stats(" SELECT institution,", "GROUP BY institution"),
+    "stream_stats": EVENT_FEAT + stats(" SELECT institution,", "GROUP BY institution"),
+    "stream_series_stats": EVENT_FEAT + stats(" SELECT institution, series_id,", "GROUP BY institution, series_id").replace(", 6)", ", 9)"),
     "stream_to_ml": with_(*STREAM_FEAT, scaled("stddev_samp", "").replace("FROM feat", "FROM sent"))
     + f" SELECT event_id, {SPREAD}, hypo_risk FROM scaled",
 }
+ORACLE_SQL |= {"stream_restart": ORACLE_SQL["stream_enrich"], "stream_restart_stats": ORACLE_SQL["stream_stats"]}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,15 +22,17 @@ from pulsefold.operators.median import exact_median
 from pulsefold.operators.splits import sample_clients, shuffled_position, split_institutions, split_train_val
 from pulsefold.operators.stats import class_distribution, class_weights, live_statistics, record_counts, with_class_weight
 from pulsefold.operators.windows import rolling_features
-from pulsefold.plans.batch import last_evaluation
-from pulsefold.plans.central import MEASURES, compare, train_central, union_institutions
+from pulsefold.plans.central import (
+    MEASURES, compare, compare_on_same_rows, held_out_metrics, train_central, train_central_steps, union_institutions,
+)
 from pulsefold.plans.federated import (
-    RoundSettings, local_updates, logistic_rounds, merge_shards, score_global, train_federated,
+    FederatedResult, RoundSettings, client_table, kept_rounds, local_updates, logistic_rounds, merge_shards, score_global, train_federated, LOCAL,
 )
+from pulsefold.plans.synchronous import StepSettings
 from pulsefold.schema import EVENTS_SCHEMA, FEATURE_COLUMNS, KEYED_STREAM_SCHEMA, LABEL, ORDER
 from pulsefold.session import shared_path, written
 from pulsefold.sources.readings import events_as_readings, read_csv, read_jsonl, read_parquet, readings
-from pulsefold.sources.sinks import write_by_institution, write_csv, write_jsonl, write_replay
+from pulsefold.sources.sinks import as_json_rows, write_by_institution, write_csv, write_jsonl, write_replay
 from pulsefold.streaming import flow
 
 KEYS = ("institution", "series_id", "event_id")
@@ -479,9 +483,14 @@ def stream_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.table(name), "avg_glucose", "std_glucose", "avg_heart_rate")
 
 
+BATCHES = 8
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table itself as a stream, one file at a time."""
-    rows = events_as_readings(flow.parquet_source(spark, sf_dir, EVENTS_SCHEMA, "events.parquet"))
+    """The events table as a stream of `BATCHES` files, one in each micro-batch."""
+    source = shared_path(spark, "event-files")
+    read_parquet(spark, f"{sf_dir}/events.parquet").repartition(BATCHES).write.parquet(source)
+    rows = events_as_readings(flow.parquet_source(spark, source, EVENTS_SCHEMA, max_files_per_trigger=1))
     labelled = calendar(rows).withColumns({
         "timestamp": F.col("ts").cast("string"), LABEL: C.hypo_risk(F.col("glucose")),
     })
@@ -494,7 +503,39 @@ def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     flow.drain(flow.to_statistics(
         _event_stream(spark, sf_dir), path, shared_path(spark, "state"), ("institution",), available_now=True
     ))
-    return rounded(flow.latest_statistics(spark, path), "avg_glucose", "std_glucose", "avg_heart_rate")
+    return rounded(flow.latest_statistics(spark, path, ("institution",)), "avg_glucose", "std_glucose", "avg_heart_rate")
+
+
+def stream_series_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running statistics of every series: batches write the series they have met, merged every three batches."""
+    path, keys = shared_path(spark, "statistics"), ("institution", "series_id")
+    flow.drain(flow.to_statistics(
+        _event_stream(spark, sf_dir), path, shared_path(spark, "state"), keys, available_now=True, compact_every=3
+    ))
+    return rounded(flow.latest_statistics(spark, path, keys), "avg_glucose", "std_glucose", "avg_heart_rate", digits=9)
+
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that is stopped after two batches and started again from its checkpoint: its files hold every row once."""
+    source, sink, state = (shared_path(spark, x) for x in ("replay", "enriched", "state"))
+    as_json_rows(feed(spark, sf_dir)).repartition(BATCHES).write.json(source)
+    for stop in (2, None):
+        rows = flow.enrich(flow.json_source(spark, source, KEYED_STREAM_SCHEMA, 1))
+        query = flow.to_parquet(rows, sink, state, available_now=True)
+        flow.drain(query) if stop is None else flow.stop_after(query, stop)
+    return _enriched_columns(read_parquet(spark, sink))
+
+
+def stream_restart_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for running statistics: state and written changes go on where they were."""
+    path, state, source = (shared_path(spark, x) for x in ("statistics", "state", "event-files"))
+    read_parquet(spark, f"{sf_dir}/events.parquet").repartition(BATCHES).write.parquet(source)
+    for stop in (3, None):
+        rows = events_as_readings(flow.parquet_source(spark, source, EVENTS_SCHEMA, max_files_per_trigger=1))
+        labelled = calendar(rows).withColumns({"timestamp": F.col("ts").cast("string"), LABEL: C.hypo_risk(F.col("glucose"))})
+        query = flow.to_statistics(flow.enrich(labelled), path, state, ("institution",), available_now=True, compact_every=2)
+        flow.drain(query) if stop is None else flow.stop_after(query, stop)
+    return rounded(flow.latest_statistics(spark, path, ("institution",)), "avg_glucose", "std_glucose", "avg_heart_rate")
 
 
 def stream_to_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -554,13 +595,96 @@ def central_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train_central(written(training_rows(spark, sf_dir), "ml"))[1]
 
 
-def central_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
+def central_logistic_lbfgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train_central(written(training_rows(spark, sf_dir), "ml"), "logistic", weighted=True)[1]
 
 
+def compare_networks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The federated network and the central one, measured on the same held-out rows."""
+    rows = written(training_rows(spark, sf_dir), "ml")
+    result = train_federated(rows, ROUNDS)
+    federated = held_out_metrics(client_table(rows, ROUNDS)[0], result.params, result.dims, "federated")
+    return compare(federated, train_central(rows, by=("institution",))[1])
+
+
+# Exact training: full-batch descent, so that plain SQL can take the same steps.
+EXACT = RoundSettings(rounds=2, local_epochs=2, learning_rate=0.5, hidden=(3,), weighted_loss=False, min_clients=3, min_fit_clients=3,
+                      min_evaluate_clients=3, mode="synchronous", adam=False, rows_per_shard=1_000)
+LOGISTIC = (len(FEATURE_COLUMNS), 2)
+
+
+def ruled_params(dims: tuple[int, ...]) -> np.ndarray:
+    return (np.arange(network.parameter_count(dims)) * 37 % 23 - 11) / 20.0
+
+
+def exact_run(spark: SparkSession, sf_dir: str, settings: RoundSettings = EXACT) -> FederatedResult:
+    rows = written(training_rows(spark, sf_dir), "ml")
+    return train_federated(rows, settings, initial=ruled_params(settings.dims(len(FEATURE_COLUMNS))))
+
+
+def fed_mlp_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rounds of two full-batch steps of a small network over many shards: every institution's parameters."""
+    result = exact_run(spark, sf_dir)
+    local = kept_rounds(spark, result.run_dir, "local", LOCAL)
+    placed = local.select(F.col("round").cast("bigint").alias("round"), "institution", "num_examples", F.posexplode("params").alias("pos", "value"))
+    return placed.withColumns({"pos": F.col("pos").cast("bigint"), "value": F.round("value", 6)})
+
+
+def training_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What local training says of every epoch, on its own rows and on the held-out ones."""
+    epochs = exact_run(spark, sf_dir).epochs()
+    whole = epochs.withColumns({c: F.col(c).cast("bigint") for c in ("round", "epoch", "num_examples", "val_examples")})
+    return rounded(whole, "train_loss", "train_accuracy", "val_loss", "val_accuracy")
+
+
+def last_epoch_of_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last epoch of each institution's local training, which stands for its round."""
+    epochs = exact_run(spark, sf_dir).epochs()
+    figures = ("train_loss", "train_accuracy", "val_loss", "val_accuracy")
+    last = M.last_epoch(epochs, ["round", "institution"], figures)
+    return rounded(last.withColumn("round", F.col("round").cast("bigint")), *figures)
+
+
+def _measured(metrics: DataFrame) -> DataFrame:
+    return rounded(metrics.select("num_examples", *MEASURES), *MEASURES)
+
+
+def central_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-weighted logistic regression of all institutions by four full-batch steps, on the rows held out."""
+    settings = RoundSettings(rows_per_shard=1_000)
+    table, shards = client_table(written(training_rows(spark, sf_dir), "ml"), settings)
+    rows = written(table, "clients")
+    params = train_central_steps(rows, shards, ruled_params(LOGISTIC), LOGISTIC, StepSettings(4, 1, 0.5, adam=False))
+    return _measured(held_out_metrics(rows, params, LOGISTIC, "central", 9))
+
+
 def compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Federated against central logistic regression: the same steps, the same held-out rows, pooled figures."""
+    settings = replace(EXACT, hidden=())
+    rows = written(training_rows(spark, sf_dir), "ml")
+    _, table = compare_on_same_rows(rows, settings, ruled_params(LOGISTIC), digits=9)
+    return rounded(table, "federated", "centralised")
+
+
+def hooked_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounds under hooks: options by round, another trainer, and own aggregates of the fit and evaluation metrics."""
+    gradient, dims = network.gradient, SMALL_NET
+
+    def step(key, rows, params, options):
+        x, y, w = np.stack(rows["features"].to_numpy()), rows["label"].to_numpy(), rows["weight"].to_numpy()
+        loss, p, slope = gradient(params, dims, x, y, w)
+        new = params - options["learning_rate"] * slope
+        return pd.DataFrame([[key[0], int(key[1]), len(y), new.tolist(), float(loss), float((p.argmax(axis=1) == y).mean())]], columns=[
+            "institution", "shard", "num_examples", "params", "train_loss", "train_accuracy"])
+
+    settings = replace(EXACT, mode="averaged", rows_per_shard=250_000)
     rows = written(training_rows(spark, sf_dir), "ml")
-    return compare(last_evaluation(train_federated(rows, ROUNDS)), train_central(rows)[1])
+    result = train_federated(rows, settings, config_fn=lambda number: {"learning_rate": 1.0 / number}, local_fit=step, initial=fixed_params())
+    history = result.history(
+        lambda fit: fit.groupBy("round").agg(F.max("train_loss").alias("train_loss"), F.min("train_accuracy").alias("train_accuracy"), F.min("val_loss").alias("val_loss")),
+        lambda ev: ev.groupBy("round").agg(F.min("accuracy").alias("accuracy"), F.max("f1").alias("f1")))
+    table = history.select(F.col("round").cast("bigint").alias("round"), "train_loss", "train_accuracy", "val_loss", "val_accuracy", "val_f1")
+    return rounded(table, "train_loss", "train_accuracy", "val_loss", "val_accuracy", "val_f1")
 
 
 QUERIES = {f.__name__: f for f in (
@@ -573,6 +697,7 @@ QUERIES = {f.__name__: f for f in (
     cross_entropy_by_institution, evaluation_by_institution, weighted_client_metrics, round_history,
     round_history_long, round_history_wide, best_round, last_epoch_metrics,
     history_export, pooled_against_clients, client_sample, first_reading, fedavg_weighted, fedavg_unweighted,
-    fedavg_embeddings, fed_logreg_rounds, stream_enrich, stream_fan_out, stream_memory, stream_stats, stream_to_ml,
-    network_scores, network_step, fed_mlp, central_mlp, central_logistic, compare_models,
+    fedavg_embeddings, fed_logreg_rounds, stream_enrich, stream_fan_out, stream_memory, stream_stats, stream_series_stats, stream_restart, stream_restart_stats, stream_to_ml,
+    network_scores, network_step, fed_mlp, central_mlp, central_logistic, central_logistic_lbfgs, compare_models, compare_networks,
+    fed_mlp_exact, training_epochs, last_epoch_of_training, hooked_rounds,
 )}

@@ -13,7 +13,7 @@ from pulsefold.operators.clean import fill_constants
 from pulsefold.operators.stats import live_statistics
 from pulsefold.schema import STREAM_SCHEMA
 
-SNAPSHOTS = 16
+COMPACT_EVERY = 16
 
 
 def json_source(spark: SparkSession, path: str, schema: T.StructType = STREAM_SCHEMA,
@@ -92,29 +92,102 @@ def fan_out(df: DataFrame, paths: dict[str, Callable[[DataFrame], DataFrame]], c
 
 
 def to_statistics(df: DataFrame, path: str, checkpoint: str, by: tuple[str, ...] = (),
-                  available_now: bool = False) -> StreamingQuery:
-    """Keep `live_statistics` as running state; every batch writes its full, small snapshot.
+                  available_now: bool = False, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+    """Keep `live_statistics` as running state; a batch writes the keys it has changed, and nothing else.
 
-    The last `SNAPSHOTS` of them stay, so a reader never meets the one being replaced. An
-    empty one is there from the start.
+    `changes/batch=<n>` holds the new values of batch n, so a repeated batch replaces its own. Every `compact_every` batches all
+    that is known is merged into `base/upto=<n>`; what only readers of the base before could need is deleted a generation
+    later. An empty batch of changes is there from the start.
     """
+    spark = df.sparkSession
     statistics = live_statistics(df, *by)
     schema = T.StructType([*statistics.schema.fields, T.StructField("batch_id", T.LongType())])
-    df.sparkSession.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/slot=0")
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/changes/batch=-1")
 
-    def snapshot(rows: DataFrame, batch_id: int) -> None:
+    def keep_changes(rows: DataFrame, batch_id: int) -> None:
         stamped = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        stamped.coalesce(1).write.mode("overwrite").parquet(f"{path}/slot={batch_id % SNAPSHOTS}")
+        stamped.write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            compact_statistics(rows.sparkSession, path, by, schema, batch_id)
 
-    writer = statistics.writeStream.outputMode("complete").foreachBatch(snapshot).option("checkpointLocation", checkpoint)
+    writer = statistics.writeStream.outputMode("update").foreachBatch(keep_changes).option("checkpointLocation", checkpoint)
     return _start(writer, available_now)
 
 
-def latest_statistics(spark: SparkSession, path: str) -> DataFrame:
-    """The newest snapshot; no rows while no batch is done."""
-    snapshots = spark.read.option("ignoreMissingFiles", True).parquet(path).drop("slot")
-    newest = snapshots.agg(F.max("batch_id")).first()[0]
-    return snapshots.where(F.col("batch_id") == F.lit(newest)).drop("batch_id")
+def compact_statistics(spark: SparkSession, path: str, by: tuple[str, ...], schema: T.StructType, upto: int) -> None:
+    """Merge the newest base and the changes since into `base/upto=<upto>`, then drop what the base before has made needless."""
+    bases = [n for n in completed(spark, f"{path}/base", "upto") if n < upto]
+    merged = newest_of(known_statistics(spark, path, schema, upto - 1, also=upto), by)
+    merged.write.mode("overwrite").parquet(f"{path}/base/upto={upto}")
+    if bases:
+        last = max(bases)
+        old = [f"{path}/changes/batch={n}" for n in completed(spark, f"{path}/changes", "batch") if 0 <= n <= last]
+        remove(spark, *old, *[f"{path}/base/upto={n}" for n in bases if n < last])
+
+
+def known_statistics(spark: SparkSession, path: str, schema: T.StructType | None = None, upto: int | None = None,
+                     also: int | None = None) -> DataFrame:
+    """Every version of every key that is still needed: the newest base (not after `upto`) and the changes since."""
+    bases = [n for n in completed(spark, f"{path}/base", "upto") if upto is None or n <= upto]
+    start = max(bases, default=-2)
+    changes = [n for n in completed(spark, f"{path}/changes", "batch") if n > start and (upto is None or n <= upto or n == also)]
+    folders = [f"{path}/base/upto={start}"] * bool(bases) + [f"{path}/changes/batch={n}" for n in sorted(changes)]
+    if not folders:
+        folders = [f"{path}/changes/batch=-1"]
+    return (spark.read.schema(schema) if schema else spark.read).parquet(*folders)
+
+
+def newest_of(versions: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """The row of the highest batch of every key."""
+    rest = [c for c in versions.columns if c not in by]
+    newest = F.max_by(F.struct(*rest), "batch_id").alias("_newest")
+    groups = list(by) or [F.lit(0).alias("_all")]
+    return versions.groupBy(*groups).agg(newest).select(*by, "_newest.*")
+
+
+def latest_statistics(spark: SparkSession, path: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """The newest values of all keys (`by` as given to `to_statistics`); no rows while no batch is done.
+
+    Folders that a compaction removes while they are read raise an error: reading again finds the newer base.
+    """
+    return newest_of(known_statistics(spark, path), by).drop("batch_id")
+
+
+def completed(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """The numbers n of all `folder`/`name`=n whose write has ended."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    found = [s.getPath() for s in files.listStatus(place) if s.getPath().getName().startswith(f"{name}=")]
+    ended = [p for p in found if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(p.getName().split("=")[1]) for p in ended)
+
+
+def remove(spark: SparkSession, *folders: str) -> None:
+    for folder in folders:
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def stop_after(query: StreamingQuery, batches: int, seconds: float = 600) -> int:
+    """Let a query finish `batches` batches, or end by itself, then stop it; how many batches of this start were done.
+
+    What the stop interrupts is done again by the next start with the same checkpoint.
+    """
+    deadline = time.monotonic() + seconds
+    while query.isActive and time.monotonic() < deadline:
+        if _batches_done(query) >= batches:
+            break
+        time.sleep(0.05)
+    query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+    return _batches_done(query)
+
+
+def _batches_done(query: StreamingQuery) -> int:
+    return len({p["batchId"] for p in query.recentProgress if p["numInputRows"] > 0})
 
 
 def drain(*queries: StreamingQuery) -> None:

@@ -11,7 +11,8 @@ TABLES = ("events", "embeddings")
 CHECKED = (
     "processed_table", "clean_median_clip", "synth_vitals", "round_history", "network_scores", "network_step", "rolling_short_series", "rolling_long_series", "constant_fill",
     "institution_split", "train_val_split", "scaled_population", "roc_auc_in_ranges", "weighted_client_metrics",
-    "best_round", "client_sample", "fedavg_embeddings", "stream_stats",
+    "best_round", "client_sample", "fedavg_embeddings", "stream_stats", "stream_series_stats", "stream_restart",
+    "fed_mlp_exact", "central_logistic", "compare_models",
 )
 
 
@@ -23,7 +24,7 @@ def ordered(df):
 def test_contract(spark):
     queries, sql = contract.queries(), contract.oracle_sql()
     assert set(sql) <= set(queries)
-    assert {n for n in set(queries) - set(sql) if n in QUERIES} == {"fed_mlp", "central_mlp", "central_logistic", "compare_models"}
+    assert {n for n in set(queries) - set(sql) if n in QUERIES} == {"fed_mlp", "central_mlp", "central_logistic_lbfgs", "compare_networks"}
     assert contract.entry(spark).count() == 1000
 
 

@@ -3,7 +3,7 @@ import json
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from pulsefold.operators.clean import resolve_glucose, resolve_time
 from pulsefold.plans.batch import run_batch
@@ -134,21 +134,85 @@ def test_running_statistics(spark, feed, tmp_path):
     assert row["total_records"] == 250 and row["hypo_events"] == 30 and row["total_steps"] == sum(range(250))
 
 
-def test_statistics_before_any_data_are_empty_and_snapshots_stay_few(spark, feed, tmp_path, monkeypatch):
-    monkeypatch.setattr(flow, "SNAPSHOTS", 2)
+def test_statistics_before_any_data_are_empty_and_snapshots_stay_few(spark, feed, tmp_path):
     (tmp_path / "in").mkdir()
     stream = flow.enrich(flow.json_source(spark, str(tmp_path / "in")))
-    query = flow.to_statistics(stream, str(tmp_path / "stats"), str(tmp_path / "state"))
+    query = flow.to_statistics(stream, str(tmp_path / "stats"), str(tmp_path / "state"), compact_every=2)
     try:
         assert flow.latest_statistics(spark, str(tmp_path / "stats")).count() == 0
-        write_replay(feed, str(tmp_path / "in" / "a"), records_per_file=50)
+        write_replay(feed, str(tmp_path / "in" / "a"), records_per_file=30)
         for f in (tmp_path / "in" / "a").glob("*.json"):
             f.rename(tmp_path / "in" / f.name)
         query.processAllAvailable()
     finally:
         query.stop()
     assert flow.latest_statistics(spark, str(tmp_path / "stats")).first()["total_records"] == 250
-    assert len(list((tmp_path / "stats").glob("slot=*"))) == 2
+    batches = query.lastProgress["batchId"] + 1
+    assert batches >= 5
+    # Two bases at most, and the changes since the older one.
+    bases = flow.completed(spark, str(tmp_path / "stats" / "base"), "upto")
+    assert len(bases) == 2 and flow.completed(spark, str(tmp_path / "stats" / "changes"), "batch") == [-1, *range(bases[0] + 1, batches)]
+
+
+def test_a_batch_writes_only_the_keys_it_met(spark, feed, tmp_path):
+    path = str(tmp_path / "stats")
+    parts = ("event_id < 100", "event_id between 100 and 199", "event_id >= 200")
+    for number, part in enumerate(parts):
+        (
+            feed.withColumn("event_id", F.col("steps")).where(part).withColumn("k", F.lit(f"k{number}")).coalesce(1)
+            .write.mode("append").json(str(tmp_path / "in"))
+        )
+        stream = flow.enrich(flow.json_source(spark, str(tmp_path / "in"), T.StructType([*STREAM_SCHEMA, T.StructField("k", T.StringType())])))
+        flow.drain(flow.to_statistics(stream, path, str(tmp_path / "state"), ("k",), available_now=True))
+        written_keys = {r["k"] for r in spark.read.parquet(f"{path}/changes/batch={number}").collect()}
+        assert written_keys == {f"k{number}"}
+    assert {r["k"]: r["total_records"] for r in flow.latest_statistics(spark, path, ("k",)).collect()} == {"k0": 100, "k1": 100, "k2": 50}
+
+
+def test_a_removed_folder_is_an_error_not_a_gap(spark, feed, tmp_path):
+    path = str(tmp_path / "stats")
+    write_replay(feed, str(tmp_path / "in"), records_per_file=60)
+    stream = flow.enrich(flow.json_source(spark, str(tmp_path / "in"), max_files_per_trigger=2))
+    flow.drain(flow.to_statistics(stream, path, str(tmp_path / "state"), available_now=True))
+    known = flow.latest_statistics(spark, path)
+    flow.remove(spark, f"{path}/changes/batch={flow.completed(spark, path + '/changes', 'batch')[-1]}")
+    with pytest.raises(Exception, match="(?i)not.exist|not.found|FILE_NOT_EXIST"):
+        known.collect()
+
+
+def test_a_batch_that_breaks_after_writing_is_written_once(spark, feed, tmp_path):
+    write_replay(feed, str(tmp_path / "in"), records_per_file=40)
+    whole, broken = str(tmp_path / "all"), {"left": 1}
+
+    def shape(batch):
+        return batch
+
+    def breaking(batch):
+        if broken["left"] and (tmp_path / "all" / "batch_id=1").exists():
+            broken["left"] = 0
+            raise RuntimeError("lost")
+        return batch.where("hypo_risk = 1")
+
+    paths = {whole: shape, str(tmp_path / "risk"): breaking}
+    source = lambda: flow.json_source(spark, str(tmp_path / "in"), max_files_per_trigger=1)
+    with pytest.raises(Exception, match="lost"):
+        flow.drain(flow.fan_out(source(), paths, str(tmp_path / "state"), available_now=True))
+    # Batch 1 has written its first table, but is not done: it comes again.
+    assert flow.completed(spark, whole, "batch_id") == [0, 1]
+    flow.drain(flow.fan_out(source(), paths, str(tmp_path / "state"), available_now=True))
+    assert spark.read.parquet(whole).count() == 250 and spark.read.parquet(str(tmp_path / "risk")).count() == 30
+
+
+def test_a_stopped_stream_goes_on(spark, feed, tmp_path):
+    write_replay(feed, str(tmp_path / "in"), records_per_file=20)
+    done = []
+    for stop in (2, 3, None):
+        rows = flow.enrich(flow.json_source(spark, str(tmp_path / "in")))
+        query = flow.to_parquet(rows, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True)
+        done.append(flow.stop_after(query, stop or 10_000))
+    assert done[0] >= 2 and done[1] >= 3
+    table = spark.read.parquet(str(tmp_path / "out"))
+    assert table.count() == 250 and table.agg(F.sum("steps")).first()[0] == sum(range(250))
 
 
 def test_a_cluster_must_name_its_shared_folder():
