@@ -3,74 +3,67 @@
 The byte-level pre-tokenizer always starts a new piece at a space that a non-blank character
 follows. Texts can be cut there, the distinct chunks encoded, and their ids laid out again by
 index arithmetic. A text where a space is followed by white space or by nothing, or which spells
-a special token, is cut by an expression instead.
+a special token, is encoded as a whole instead, cut at its special tokens.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+import types
 from collections.abc import Callable
 from itertools import chain
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-KNOWN_CHUNKS = 200_000
-SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_BEFORE_WORD = re.compile(r"(?= \S)")
-
-
-def parts(chunk: str) -> list[str]:
-    """`chunk` cut where a piece ends in any case: around a line feed between visible characters, and between a Latin
-    letter and the signs that end a line. Words then count once, whatever stands behind them."""
-    lines = chunk.split("\n") if "\n" in chunk else [chunk]
-    if len(lines) > 1 and (not lines[0] or lines[0][-1].isspace() or any(not x or x[0].isspace() or x[-1].isspace() for x in lines[1:])):
-        return [chunk]
-    out = []
-    for k, line in enumerate(lines):
-        if k:
-            out.append("\n")
-        core = line.rstrip(SIGNS)
-        if core and core != line and core[-1] < "\u0250" and core[-1].isalpha():
-            out += [core, line[len(core):]]
-        else:
-            out.append(line)
-    return out
+from pulsefold.llm.texts import spread
+
+# Ids of many chunks end to end and how many each has, or one list for each.
+Encoder = Callable[[list[str]], tuple[np.ndarray, np.ndarray] | list[list[int]]]
+
+
+def per_worker(key: str, make: Callable[[], Any]) -> Any:
+    """What `make` gives, made once in a Python worker and used by all its tasks.
+
+    The functions of this package travel by value, so their globals are new in every task; a module object is not.
+    """
+    held = sys.modules.setdefault("_pulsefold_held", types.ModuleType("_pulsefold_held"))
+    if getattr(held, "key", None) != key:
+        held.key, held.value = key, make()
+    return held.value
 
 
 class ChunkCoder:
-    """`encode_many` gives the ids of each of many chunks; results of up to KNOWN_CHUNKS parts of chunks are kept."""
+    """`encode_many` gives the ids of each of many texts."""
 
-    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], specials: dict[str, int]):
+    def __init__(self, encode_many: Encoder, specials: dict[str, int]):
         self.encode_many, self.specials = encode_many, specials
-        self.known: dict[str, list[int]] = {}
         self.at_special = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
 
-    def ids_of(self, chunks: list[str]) -> list[list[int]]:
-        known = self.known
-        cut = {c: parts(c) for c in chunks if c not in known}
-        new = [p for p in dict.fromkeys(chain.from_iterable(cut.values())) if p not in known]
-        if new and len(known) + len(new) > KNOWN_CHUNKS:
-            known.clear()
-            cut = {c: parts(c) for c in chunks}
-            new = list(dict.fromkeys(chain.from_iterable(cut.values())))
-        # A few at a time: an encoder's own results may be large.
-        for k in range(0, len(new), 4096):
-            some = new[k:k + 4096]
-            known.update(zip(some, self.encode_many(some), strict=True))
-        whole = {c: list(chain.from_iterable(map(known.__getitem__, p))) for c, p in cut.items() if len(p) > 1}
-        return [whole[c] if c in whole else known[c] for c in chunks]
-
-    def irregular(self, text: str) -> list[int]:
-        """Ids of one text by the general cut."""
-        out: list[int] = []
-        for piece in self.at_special.split(text) if self.at_special else [text]:
-            if piece in self.specials:
-                out.append(self.specials[piece])
-            elif piece:
-                out.extend(chain.from_iterable(self.ids_of(_BEFORE_WORD.split(piece))))
-        return out
+    def ids_of(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks end to end, and how many each has."""
+        found = self.encode_many(chunks)
+        if isinstance(found, tuple):
+            return found
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts
+
+    def irregular(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """`ids_of` for texts that may spell special tokens."""
+        pieces, of = [], []
+        for k, text in enumerate(texts):
+            some = self.at_special.split(text) if self.at_special else [text]
+            pieces += some
+            of += [k] * len(some)
+        special = np.array([self.specials.get(p, -1) if self.at_special else -1 for p in pieces], np.int64)
+        ids, counts = self.ids_of(["" if s >= 0 else p for p, s in zip(pieces, special.tolist(), strict=True)])
+        at = np.flatnonzero(special >= 0)
+        ids = np.insert(ids, (np.cumsum(counts) - counts)[at], special[at].astype(ids.dtype))
+        counts[at] = 1
+        return ids, np.bincount(np.array(of, np.int64), counts, len(texts)).astype(np.int64)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end (null: none), and the number of ids of each text."""
@@ -88,29 +81,27 @@ class ChunkCoder:
         irregular = np.add.reduceat(odd, first) > 0 if len(odd) else np.zeros(0, bool)
         for special in self.specials:
             irregular |= pc.match_substring(column, special).to_numpy(zero_copy_only=False)
-        index = index.copy()
-        index[first] = len(values) + np.arange(len(first))
+        # A text's first chunk has no space before it: these are chunks of their own, behind the distinct ones.
+        chunk = index.copy()
+        chunk[first] = len(values) + np.arange(len(first))
+        regular = ~np.repeat(irregular, np.diff(offsets))
         wanted = np.zeros(len(values) + len(first), bool)
-        wanted[index[~np.repeat(irregular, np.diff(offsets))]] = True
-        chunks = [" " + v for v in values] + [values[i] for i in coded.indices.to_numpy()[first]]
-        needed = [c if w else "" for c, w in zip(chunks, wanted, strict=True)]
-        pieces = self.ids_of(needed)
-        for k in np.flatnonzero(irregular):
-            # The whole text takes the place of its first chunk; its other chunks are empty by now.
-            pieces[len(values) + k] = self.irregular(column[int(k)].as_py())
-        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        begin = np.cumsum(size) - size
-        flat = np.fromiter(chain.from_iterable(pieces), np.uint32, int(size.sum()))
-        if irregular.any():
-            keep = ~np.repeat(irregular, np.diff(offsets))
-            keep[first] = True
-        else:
-            keep = np.ones(len(index), bool)
-        index, doc = index[keep], np.repeat(np.arange(len(first)), np.diff(offsets))[keep]
-        length = size[index]
-        counts = np.bincount(doc, length, len(first)).astype(np.int64)
-        from_ = np.repeat(begin[index] - (np.cumsum(length) - length), length)
-        return flat[from_ + np.arange(int(length.sum()))], counts
+        wanted[chunk[regular]] = True
+        chunks = [" " + values[k] for k in np.flatnonzero(wanted[:len(values)])]
+        chunks += [values[index[first[k - len(values)]]] for k in len(values) + np.flatnonzero(wanted[len(values):])]
+        ids, counts = self.ids_of(chunks)
+        # Irregular texts stand as a whole in the place of their first chunk.
+        whole = np.flatnonzero(irregular)
+        more, more_counts = self.irregular([column[int(k)].as_py() for k in whole])
+        size = np.zeros(len(wanted), np.int64)
+        begin = np.zeros(len(wanted), np.int64)
+        size[wanted], begin[wanted] = counts, np.cumsum(counts) - counts
+        size[len(values) + whole], begin[len(values) + whole] = more_counts, len(ids) + np.cumsum(more_counts) - more_counts
+        flat = np.concatenate([ids, more])
+        regular[first] = True
+        chunk, doc = chunk[regular], np.repeat(np.arange(len(first)), np.diff(offsets))[regular]
+        length = size[chunk]
+        return flat[spread(begin[chunk], length)], np.bincount(doc, length, len(first)).astype(np.int64)
 
 
 def byte_letters() -> dict[str, int]:

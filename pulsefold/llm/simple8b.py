@@ -17,6 +17,7 @@ Defined results: a null or empty text has only the end id; repeated rows are wri
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 import zlib
 from dataclasses import dataclass
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pulsefold.llm.presplit import ChunkCoder
+from pulsefold.llm.presplit import ChunkCoder, per_worker
 from pulsefold.llm.tables import fresh_folder, own_columns, stored
 from pulsefold.llm.texts import slices, spread
 
@@ -49,7 +50,7 @@ class Settings:
 def pack(values: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     """Words, and the first word of each block of `block` values."""
     # Whole blocks, as many at a time as keep the working arrays small.
-    step = max(1, 800_000 // block) * block
+    step = max(1, 256 * 1024 // block) * block
     parts = [_pack(values[k:k + step], block) for k in range(0, max(len(values), 1), step)]
     before = np.cumsum([0, *[len(words) for words, _ in parts[:-1]]])
     return np.concatenate([w for w, _ in parts]), np.concatenate([first + n for (_, first), n in zip(parts, before, strict=True)])
@@ -64,30 +65,37 @@ def _pack(values: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     # Near a power of two a float rounds up: set that right.
     exact = bits.clip(1, 64).astype(np.uint64)
     bits = bits - ((exact > 1) & (values >> (exact - np.uint64(1)) == 0))
-    # For every selector, where the next value stands that is too wide for it.
-    place_of = np.arange(n, dtype=np.int32 if n < 2**31 else np.int64)
-    too_wide = [np.minimum.accumulate(np.where(bits > w, place_of, n)[::-1])[::-1] for w in WIDTHS]
-    # All blocks are packed side by side, one word of each at a time.
-    at = np.arange(0, n, block)
-    stop, number, packed_words = np.minimum(at + block, n), np.arange(len(at)), []
+    # One row per block; what is missing in the last one is narrow enough for everything.
+    blocks = -(-n // block)
+    wide = np.zeros((blocks, block), np.int8)
+    wide.ravel()[:n] = bits
+    # For every place, the selector that would begin there: the last one that fits, from one value up to the most.
+    chosen = np.full((blocks, block), ESCAPE, np.int8)
+    beyond = np.zeros((blocks, block + 1), np.int32)
+    for k in range(len(WIDTHS) - 1, -1, -1):
+        np.cumsum(wide > WIDTHS[k], axis=1, out=beyond[:, 1:])
+        span = min(int(COUNTS[k]), block)
+        # Fewer values than a selector holds are only packed at the end of a block.
+        last = np.concatenate([beyond[:, span:], np.broadcast_to(beyond[:, -1:], (blocks, span - 1))], 1)
+        chosen[last == beyond[:, :-1]] = k
+    chosen = chosen.ravel()[:n]
+    room = np.concatenate([COUNTS, [1, 1]])[chosen]
+    follow = np.minimum(np.arange(n) + room, np.minimum((np.arange(n) // block + 1) * block, n))
+    # All blocks are walked side by side, one word of each at a time.
+    begins = np.zeros(n, bool)
+    at, stop = np.arange(0, n, block), np.minimum(np.arange(block, n + block, block), n)
     while len(at):
-        chosen, take = np.full(len(at), ESCAPE), np.ones(len(at), np.int64)
-        for k in range(len(WIDTHS) - 1, -1, -1):
-            # Fewer values than a selector holds are only packed at the end of a block.
-            room = np.minimum(COUNTS[k], stop - at)
-            holds = too_wide[k][at] - at >= room
-            chosen, take = np.where(holds, k, chosen), np.where(holds, room, take)
-        packed_words.append(np.stack([at, number, chosen, take]))
-        at = at + take
-        live = at < stop
-        at, stop, number = at[live], stop[live], number[live]
-    starts, number, selector, count = np.concatenate(packed_words, 1)
-    order = np.argsort(starts)
-    starts, number, selector, count = starts[order], number[order], selector[order], count[order]
+        begins[at] = True
+        at = follow[at]
+        on = at < stop
+        at, stop = at[on], stop[on]
+    starts = np.flatnonzero(begins)
+    number, selector, count = starts // block, chosen[starts].astype(np.int64), follow[starts] - starts
     width = np.where(selector == ESCAPE, 0, WIDTHS[np.minimum(selector, len(WIDTHS) - 1)])
     packed = selector.astype(np.uint64) << np.uint64(60)
+    some = np.flatnonzero(selector != ESCAPE)
     for j in range(int(count.max())):
-        some = (count > j) & (selector != ESCAPE)
+        some = some[count[some] > j]
         packed[some] |= values[starts[some] + j] << (width[some] * j).astype(np.uint64)
     size = np.where(selector == ESCAPE, 2, 1)
     place = np.cumsum(size) - size
@@ -146,6 +154,39 @@ def from_file(blob: bytes, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return out[0], out[1], unpack(out[3], out[2], values, block)
 
 
+class LibraryCoder:
+    """`encode_many` by the tokenizers library. Texts that begin with a space and a visible character are given to it in
+    runs, as no piece crosses their beginnings; the bytes of the tokens tell where each ends."""
+
+    RUN = 4_000
+
+    def __init__(self, library):
+        self.library = library
+        ids = library.get_vocab(with_added_tokens=True)
+        added = library.get_added_tokens_decoder()
+        self.bytes = np.zeros(max(ids.values(), default=0) + 1, np.int64)
+        for token, k in ids.items():
+            self.bytes[k] = len(added[k].content.encode()) if k in added else len(token)
+
+    def encode_many(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        joins = [len(c) > 1 and c[0] == " " and not c[1].isspace() and not c[-1].isspace() for c in chunks]
+        starts = [k for k, j in enumerate(joins) if not (j and k and joins[k - 1] and k % self.RUN)]
+        ends = [*starts[1:], len(chunks)]
+        sizes = np.fromiter((len(c.encode()) for c in chunks), np.int64, len(chunks))
+        parts, counts = [np.zeros(0, np.uint32)], np.zeros(len(chunks), np.int64)
+        for k in range(0, len(starts), 64):
+            runs = list(zip(starts[k:k + 64], ends[k:k + 64], strict=True))
+            for (a, b), found in zip(runs, self.library.encode_batch_fast(["".join(chunks[a:b]) for a, b in runs], add_special_tokens=False), strict=True):
+                ids = np.array(found.ids, np.uint32)
+                parts.append(ids)
+                if b - a == 1:
+                    counts[a] = len(ids)
+                else:
+                    at = np.cumsum(self.bytes[ids])
+                    counts[a:b] = np.diff(np.searchsorted(at, np.cumsum(sizes[a:b]), "right"), prepend=0)
+        return np.concatenate(parts), counts
+
+
 def write(documents: DataFrame, vocabulary_path: str, settings: Settings = Settings()) -> DataFrame:
     """Encode `documents` (doc_id, text), write the files, and return the table of files: name, place in order, documents, values.
 
@@ -156,15 +197,19 @@ def write(documents: DataFrame, vocabulary_path: str, settings: Settings = Setti
     folder = fresh_folder(spark, "ids")
     with open(vocabulary_path, encoding="utf-8") as source:
         sent = spark.sparkContext.broadcast(source.read())
+    key = hashlib.md5(sent.value.encode()).hexdigest() + "-library"
 
-    def run(batches):
+    def make() -> ChunkCoder:
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_str(sent.value)
         library.no_padding()
         library.no_truncation()
         specials = {t.content: k for k, t in library.get_added_tokens_decoder().items()}
-        coder = ChunkCoder(lambda chunks: [x.ids for x in library.encode_batch_fast(chunks, add_special_tokens=False)], specials)
+        return ChunkCoder(LibraryCoder(library).encode_many, specials)
+
+    def run(batches):
+        coder = per_worker(key, make)
         store, path = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
         store.create_dir(path, recursive=True)
         held, size, nth = [], 0, 0
@@ -180,7 +225,7 @@ def write(documents: DataFrame, vocabulary_path: str, settings: Settings = Setti
             held, size, nth = [], 0, nth + 1
             return row
 
-        for piece in slices(batches, "text", 4_000_000):
+        for piece in slices(batches, "text", 8_000_000):
             ids, counts = coder.encode(piece.column(1))
             ends = np.cumsum(counts)
             values = np.insert(ids, ends, np.uint32(settings.end_id))
