@@ -154,6 +154,13 @@ def from_file(blob: bytes, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return out[0], out[1], unpack(out[3], out[2], values, block)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """`path` with the scheme that Spark gives it, so that workers write where Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    return "file://" + whole.removeprefix("file:") if whole.startswith("file:/") and not whole.startswith("file://") else whole
+
+
 class LibraryCoder:
     """`encode_many` by the tokenizers library. Texts that begin with a space and a visible character are given to it in
     runs, as no piece crosses their beginnings; the bytes of the tokens tell where each ends."""
@@ -194,7 +201,7 @@ def write(documents: DataFrame, vocabulary_path: str, settings: Settings = Setti
     """
     spark = documents.sparkSession
     docs = own_columns(documents, "doc_id", "text")
-    folder = fresh_folder(spark, "ids")
+    folder = qualified(spark, fresh_folder(spark, "ids"))
     with open(vocabulary_path, encoding="utf-8") as source:
         sent = spark.sparkContext.broadcast(source.read())
     key = hashlib.md5(sent.value.encode()).hexdigest() + "-library"
@@ -210,7 +217,7 @@ def write(documents: DataFrame, vocabulary_path: str, settings: Settings = Setti
 
     def run(batches):
         coder = per_worker(key, make)
-        store, path = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        store, path = fs.FileSystem.from_uri(folder)
         store.create_dir(path, recursive=True)
         held, size, nth = [], 0, 0
 
@@ -247,7 +254,8 @@ def write(documents: DataFrame, vocabulary_path: str, settings: Settings = Setti
 def read(spark: SparkSession, files: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, decoded from the files.
 
-    `files` has one row per file, millions of ids each, so ordering it is small work.
+    `files` has one row per file, millions of ids each, so ordering it is small work. A file of the table that is
+    missing, or holds other counts than the table says, is an error.
     """
     before = Window.orderBy("part", "nth").rowsBetween(Window.unboundedPreceding, -1)
     placed = files.withColumn("base", F.coalesce(F.sum("n_values").over(before), F.lit(0)))
@@ -256,12 +264,16 @@ def read(spark: SparkSession, files: DataFrame, settings: Settings = Settings())
     if folder is None:
         return spark.createDataFrame([], schema)
     raw = spark.read.format("binaryFile").load(folder["folder"]).select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
-    opened = raw.join(placed.select("name", "base"), "name").select("base", "content")
+    opened = placed.select("name", "base", "docs", "n_values").join(raw, "name", "left")
 
     def run(batches):
         for batch in batches:
-            for base, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for name, base, docs, n_values, blob in zip(*(c.to_pylist() for c in batch.columns[:4]), batch.column(4), strict=True):
+                if not blob.is_valid:
+                    raise FileNotFoundError(f"{name} is missing")
                 ids, counts, values = from_file(blob.as_py(), settings.block)
+                if (len(ids), len(values)) != (docs, n_values):
+                    raise ValueError(f"{name} holds {len(ids)} documents and {len(values)} ids, not {docs} and {n_values}")
                 ends = np.cumsum(counts)
                 data = values.astype("<u4").tobytes()
                 crc = [zlib.crc32(data[4 * (e - n):4 * e]) for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -111,3 +112,27 @@ def test_files_in_order(spark, frame, library):
         want = [[*library.encode(t, add_special_tokens=False).ids, 0] for t in texts[r.doc_id]]
         assert (r.n_tokens, r.ids_crc32) in [(len(w), zlib.crc32(np.array(w, "<u4").tobytes())) for w in want]
     assert simple8b.read(spark, simple8b.write(docs.limit(0), vocabulary_path())).count() == 0
+
+
+def test_a_missing_file_is_an_error(spark, frame):
+    docs = frame("doc_id long, text string", *[(d, "some text " * d) for d in range(40)])
+    files = simple8b.write(docs, vocabulary_path(), simple8b.Settings(file_values=40))
+    assert simple8b.read(spark, files).count() == 40
+    lost = files.orderBy("name").first()
+    Path(lost["folder"].removeprefix("file://"), lost["name"]).unlink()
+    with pytest.raises(Exception, match="is missing"):
+        simple8b.read(spark, files).collect()
+
+
+def test_steps_side_by_side_equal_the_single_automaton():
+    automaton = bpe.Automaton(bpe.Vocabulary.from_file(vocabulary_path()))
+    tables, draw = bpe.Tables(automaton), np.random.default_rng(3)
+    u, w = (draw.choice(np.array(list(automaton.token.values())), 20_000) for _ in range(2))
+    assert tables.has_arcs(u, w).tolist() == [automaton.has_arc(a, b) for a, b in zip(u.tolist(), w.tolist(), strict=True)]
+    letters = list("etaoin shrdlu") + ["é", "ß", "  ", "\n", "1", "!", "'s", "\u4e2d", "\u3000"]
+    texts = ["".join(draw.choice(letters, draw.integers(0, 200))) for _ in range(300)] + ["x" * 500, "", "aab" * 60]
+    ids, counts = automaton.encode_many(texts)
+    ends = np.cumsum(counts)
+    pieces = automaton._tables.pieces
+    want = [[t for p in pieces.findall(x) for t in automaton.encode_word(p.encode())] for x in texts]
+    assert [ids[e - n:e].tolist() for e, n in zip(ends.tolist(), counts.tolist(), strict=True)] == want
