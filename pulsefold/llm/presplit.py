@@ -36,6 +36,11 @@ def per_worker(key: str, make: Callable[[], Any]) -> Any:
     return held.value
 
 
+def begins_blank(texts: pa.Array, last: bool = False) -> pa.Array:
+    """Whether the first (`last`: the last) character of each text is white space."""
+    return pc.utf8_is_space(pc.utf8_slice_codeunits(texts, -1) if last else pc.utf8_slice_codeunits(texts, 0, 1))
+
+
 class ChunkCoder:
     """`encode_many` gives the ids of each of many texts."""
 
@@ -74,7 +79,7 @@ class ChunkCoder:
         index = coded.indices.to_numpy().astype(np.int64)
         offsets -= offsets[0]
         values = coded.dictionary.to_pylist()
-        blank = np.array([not v or v[0].isspace() for v in values], bool)
+        blank = pc.or_(pc.equal(coded.dictionary, ""), begins_blank(coded.dictionary)).to_numpy(zero_copy_only=False)
         first = offsets[:-1]
         odd = blank[index] if len(values) else np.zeros(0, bool)
         odd[first] = False

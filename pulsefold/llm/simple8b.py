@@ -24,10 +24,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pulsefold.llm.presplit import ChunkCoder, per_worker
+from pulsefold.llm.presplit import ChunkCoder, begins_blank, per_worker
 from pulsefold.llm.tables import fresh_folder, own_columns, stored
 from pulsefold.llm.texts import slices, spread
 
@@ -176,10 +177,14 @@ class LibraryCoder:
             self.bytes[k] = len(added[k].content.encode()) if k in added else len(token)
 
     def encode_many(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        joins = [len(c) > 1 and c[0] == " " and not c[1].isspace() and not c[-1].isspace() for c in chunks]
-        starts = [k for k, j in enumerate(joins) if not (j and k and joins[k - 1] and k % self.RUN)]
+        texts = pa.array(chunks, pa.string())
+        visible = pc.invert(pc.or_(begins_blank(pc.utf8_slice_codeunits(texts, 1, 2)), begins_blank(texts, last=True)))
+        joins = pc.and_(pc.starts_with(texts, " "), pc.and_(pc.greater(pc.utf8_length(texts), 1), visible)).to_numpy(zero_copy_only=False)
+        begins = np.ones(len(chunks), bool)
+        begins[1:] = ~(joins[1:] & joins[:-1]) | (np.arange(1, len(chunks)) % self.RUN == 0)
+        starts = np.flatnonzero(begins).tolist()
         ends = [*starts[1:], len(chunks)]
-        sizes = np.fromiter((len(c.encode()) for c in chunks), np.int64, len(chunks))
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
         parts, counts = [np.zeros(0, np.uint32)], np.zeros(len(chunks), np.int64)
         for k in range(0, len(starts), 64):
             runs = list(zip(starts[k:k + 64], ends[k:k + 64], strict=True))
@@ -232,7 +237,7 @@ def write(documents: DataFrame, vocabulary_path: str, settings: Settings = Setti
             held, size, nth = [], 0, nth + 1
             return row
 
-        for piece in slices(batches, "text", 8_000_000):
+        for piece in slices(batches, "text", 12_000_000):
             ids, counts = coder.encode(piece.column(1))
             ends = np.cumsum(counts)
             values = np.insert(ids, ends, np.uint32(settings.end_id))
@@ -259,19 +264,19 @@ def read(spark: SparkSession, files: DataFrame, settings: Settings = Settings())
     """
     before = Window.orderBy("part", "nth").rowsBetween(Window.unboundedPreceding, -1)
     placed = files.withColumn("base", F.coalesce(F.sum("n_values").over(before), F.lit(0)))
-    folder = files.select("folder").first()
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
-    if folder is None:
-        return spark.createDataFrame([], schema)
-    raw = spark.read.format("binaryFile").load(folder["folder"]).select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
-    opened = placed.select("name", "base", "docs", "n_values").join(raw, "name", "left")
+    # A file a task and more: the names are dealt out, the files are read where they are decoded.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = placed.select("name", "base", "docs", "n_values", "folder").repartition(parts, "name")
 
     def run(batches):
         for batch in batches:
-            for name, base, docs, n_values, blob in zip(*(c.to_pylist() for c in batch.columns[:4]), batch.column(4), strict=True):
-                if not blob.is_valid:
+            for name, base, docs, n_values, place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                store, path = fs.FileSystem.from_uri(place)
+                if store.get_file_info(f"{path}/{name}").type == fs.FileType.NotFound:
                     raise FileNotFoundError(f"{name} is missing")
-                ids, counts, values = from_file(blob.as_py(), settings.block)
+                with store.open_input_file(f"{path}/{name}") as source:
+                    ids, counts, values = from_file(source.read(), settings.block)
                 if (len(ids), len(values)) != (docs, n_values):
                     raise ValueError(f"{name} holds {len(ids)} documents and {len(values)} ids, not {docs} and {n_values}")
                 ends = np.cumsum(counts)
@@ -282,4 +287,4 @@ def read(spark: SparkSession, files: DataFrame, settings: Settings = Settings())
                     [pa.array(ids, mask=missing), pa.array(base + ends - counts), pa.array(counts), pa.array(crc, pa.int64())],
                     ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return opened.mapInArrow(run, schema)
+    return dealt.mapInArrow(run, schema)
