@@ -20,6 +20,7 @@ rows with several labels count once for each.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,6 +46,9 @@ LETTER = np.array([chr(c).isalpha() if c < 128 else True for c in range(256)])
 STAND_IN = np.zeros(256, bool)
 STAND_IN[[ord(c) for c in "0123456789@$!|(" + SIGNS]] = True
 SPACED, PIECES = 4, 10
+# Letters with single gaps, then signs that are decoration; up to so many choices a word are written out.
+LETTERS_AND_GAPS = re.compile(r"((?:[^\W\d_]+ )*[^\W\d_]+)([^\w@$]*)")
+CHOICES = 6
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 OTHER, EDGE, SYMBOLS = 26, 27, 28
@@ -63,7 +67,7 @@ class Settings:
     epochs: int = 300
     rate: float = 0.1
     ridge: float = 1e-3
-    beam: int = 64
+    beam: int = 4096
     remembered: int = 200_000
 
 
@@ -96,8 +100,79 @@ class Channel:
             out = self.known[seen] = self.decode(seen.lower())
         return out
 
+    def restore_many(self, seen: list[str]) -> list[str]:
+        """`restore` of many words. Those of letters and gaps only, with few choices, are decoded together."""
+        known, new = self.known, []
+        if len(known) > self.settings.remembered:
+            known.clear()
+        new = [x for x in dict.fromkeys(seen) if x not in known]
+        cores, tails, names = [], [], []
+        for x in new:
+            fits = LETTERS_AND_GAPS.fullmatch(x.lower())
+            if fits is None:
+                known[x] = self.decode(x.lower())
+            else:
+                core, tail = fits.groups()
+                cores.append(core)
+                tails.append(tail)
+                names.append(x)
+        for name, tail, out in zip(names, tails, self.decode_letters(cores), strict=True):
+            known[name] = out + tail
+        return [known[x] for x in seen]
+
+    def decode_letters(self, cores: list[str]) -> list[str]:
+        """`decode` of words whose lattice only has choices between keeping and dropping: a repeated letter, a gap.
+
+        Every path of such a lattice is written out and its costs are summed, for all words side by side; a word of
+        more than CHOICES choices is searched alone.
+        """
+        out: list[str] = [""] * len(cores)
+        points = np.frombuffer("".join(cores).encode("utf-32-le"), np.uint32)
+        size = np.fromiter(map(len, cores), np.int64, len(cores))
+        begin = np.cumsum(size) - size
+        first = np.zeros(len(points), bool)
+        first[begin[size > 0]] = True
+        gap = points == 0x20
+        choice = gap.copy()
+        choice[1:] |= (points[1:] == points[:-1]) & ~first[1:]
+        sums = np.concatenate([[0], np.cumsum(choice)])
+        choices = sums[begin + size] - sums[begin]
+        for k in np.flatnonzero(choices > CHOICES):
+            out[k] = self.decode(cores[k])
+        kinds_, place = np.unique(points, return_inverse=True)
+        symbol = np.array([EDGE if c == 0x20 else codes(chr(c))[0] for c in kinds_.tolist()] or [0], np.int64)[place]
+        table = self.cost.reshape(-1)
+        for b in range(CHOICES + 1):
+            group = np.flatnonzero((choices == b) & (size > 0))
+            step = max(1, 20_000 >> b)
+            for some in (group[k:k + step] for k in range(0, len(group), step)):
+                n, paths = size[some], 1 << b
+                # All paths of a word one behind the other; bit j of a path's number drops the j-th choice.
+                at = spread(np.repeat(begin[some], paths), np.repeat(n, paths))
+                path = np.repeat(np.arange(len(some) * paths), np.repeat(n, paths))
+                nth = sums[at] - np.repeat(np.repeat(sums[begin[some]], paths), np.repeat(n, paths))
+                drop = choice[at] & ((path % paths) >> np.minimum(nth, 62) & 1 == 1)
+                costs = np.bincount(path, np.where(drop, np.where(gap[at], DROP_SIGN, DROP_REPEAT), np.where(gap[at], KEEP_SIGN, 0.0)), len(some) * paths)
+                at, path = at[~drop], path[~drop]
+                length = np.bincount(path, minlength=len(some) * paths)
+                # Three edges before each path, one behind it.
+                whole = np.full(len(at) + 4 * len(length), EDGE, np.int64)
+                ends = np.cumsum(length + 4)
+                whole[spread(ends - length - 1, length)] = symbol[at]
+                inside = spread(ends - length - 1, length + 1)
+                grams = ((whole[inside - 3] * SYMBOLS + whole[inside - 2]) * SYMBOLS + whole[inside - 1]) * SYMBOLS + whole[inside]
+                costs += np.bincount(np.repeat(np.arange(len(length)), length + 1), table[grams], len(length))
+                best = np.arange(len(some)) * paths + costs.reshape(-1, paths).argmin(1)
+                starts = np.cumsum(length) - length
+                text = points[at[spread(starts[best], length[best])]].tobytes().decode("utf-32-le")
+                stop = np.cumsum(length[best]).tolist()
+                for k, a, z in zip(some.tolist(), [0, *stop], stop):
+                    out[k] = text[a:z]
+        return out
+
     def decode(self, seen: str) -> str:
-        """The best path through the lattice of `seen`. States are the last three symbols; `beam` states go on.
+        """The best path through the lattice of `seen`. States are the last three symbols; the best `beam` go on, which is
+        all of them unless several hundred signs stand in a row (28**3 states at most).
 
         Scores are per path, so a shorter reading is not preferred for being short: each character dropped
         costs what the channel asks for it.
@@ -240,8 +315,8 @@ def features_of(column: pa.Array, channel: Channel, settings: Settings) -> tuple
     whole = data.tobytes()
     also = doubtful(words)
     c, d = words.starts[also[0]], words.ends[also[1]]
-    both = pa.array([channel.restore(" ".join(whole[i:j].decode("utf-8", "replace").split())) for i, j in zip(c.tolist(), d.tolist(), strict=True)], pa.string())
-    restored = pa.array([channel.restore(whole[i:j].decode("utf-8", "replace")) for i, j in zip(a.tolist(), b.tolist(), strict=True)], pa.string())
+    both = pa.array(channel.restore_many([" ".join(whole[i:j].decode("utf-8", "replace").split()) for i, j in zip(c.tolist(), d.tolist(), strict=True)]), pa.string())
+    restored = pa.array(channel.restore_many([whole[i:j].decode("utf-8", "replace") for i, j in zip(a.tolist(), b.tolist(), strict=True)]), pa.string())
     plain[spread(a, b - a)] = 0x20
     hashes, doc = [], []
     for some, owner in ((cut_bytes(plain, offsets), None), (cut(restored, PLAIN), words.doc[first]), (cut(both, PLAIN), words.doc[also[0]])):

@@ -148,3 +148,19 @@ def test_disguises_that_may_be_none():
     words = toxicity.cut(pa.array(["m€an £ook £5 a€ b"]))
     found = {words.data[words.starts[i]:words.ends[j]].tobytes().decode() for i, j in zip(*toxicity.suspects(words))}
     assert {"m€an", "£ook"} <= found and "£5" not in found
+
+
+def test_words_decoded_together_equal_words_decoded_alone():
+    text = "the quick brown fox will tell all good people about their little books and balloons"
+    counts = np.zeros(toxicity.SYMBOLS**4, np.int64)
+    symbols = toxicity.codes(text)
+    for k in range(len(symbols) - 3):
+        counts[((symbols[k] * 28 + symbols[k + 1]) * 28 + symbols[k + 2]) * 28 + symbols[k + 3]] += 1
+    costs = toxicity.character_costs(counts)
+    draw = np.random.default_rng(4)
+    pieces = ["tell", "aal", "boookk", "li", "tt", "le", "é", "éé", "ß", "th", "ee", "日日", "x", "iiddiioott"]
+    words = [" ".join(draw.choice(pieces, draw.integers(1, 5))) + draw.choice(["", ".", "!?", "@"]) for _ in range(2000)]
+    words += ["", "a" * 40, "b4d", "s t u p i d", "Tell ALL", " ".join(["aa"] * 12)]
+    together = toxicity.Channel(costs, toxicity.Settings()).restore_many(words)
+    alone = toxicity.Channel(costs, toxicity.Settings())
+    assert together == [alone.decode(w.lower()) for w in words]
