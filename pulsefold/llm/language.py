@@ -237,15 +237,16 @@ def identify(documents: DataFrame, settings: Settings = Settings()) -> DataFrame
     return predict(docs, train(docs.where(~held_out), settings), held_out)
 
 
-def accepted(documents: DataFrame, settings: Settings = Settings(), least_score: float = 0.0) -> DataFrame:
-    """The rows of `documents` (all columns) whose text has a language, with at least `least_score`: one pass, no shuffle.
+def accepted(documents: DataFrame, settings: Settings = Settings(), least_score: float = 0.5) -> DataFrame:
+    """The rows of `documents` (all columns) whose text has a language: one pass, no shuffle.
 
-    Texts of a word or two have low scores without being junk, so by default only `und` is rejected.
+    Rejected are `und` and texts for which the network gives no language more than `least_score`: by default, all that
+    it does not hold to be one language rather than any other. Without labels to learn from, only `und` goes.
     """
     docs = own_columns(documents, "doc_id", "text", "lang")
     net = train(docs.where(part_of("doc_id", HELD_OUT_PARTS) != HELD_OUT), settings)
     if net is None:
-        return documents.where(F.lit(False))
+        return documents.where(_lettered())
     blob, settings, schema = net.to_bytes(), net.settings, documents.schema
     # The helper column goes to the end, under a name no other column has.
     helper = "_" * (1 + max(map(len, documents.columns)))

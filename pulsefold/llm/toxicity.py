@@ -10,8 +10,8 @@ neighbouring pieces of one or two letters, joined. Words broken into longer piec
 
 The character model (4-grams) is counted over all texts, merged by key, and normalised; it is bounded by its alphabet.
 The classifier is learned from the labelled rows whose crc32(doc_id) mod 3 is not 1. Features are hashes of restored
-words and of their beginnings; all labelled rows are counted, those that tell the classes apart best are kept, and a
-logistic model over them is fitted on a bounded sample of labelled rows.
+words and of their beginnings. On a bounded sample of labelled rows (`train_rows`, half of it of either class where there
+are as many) they are counted, those that tell the classes apart best are kept, and a logistic model over them is fitted.
 
 Defined results: null, empty and wordless texts have no features and get the score of the intercept; rows without a
 doc_id are never used for learning (they have no label); without labels of both classes every score is 0;
@@ -58,7 +58,7 @@ BASE_LETTER = str.maketrans("àâäáãåçéèêëíìîïñóòôöõúùûü
 
 @dataclass(frozen=True)
 class Settings:
-    """`features` and `train_rows` bound the classifier, not what is counted."""
+    """`features` and `train_rows` bound the classifier, not the character model."""
 
     features: int = 3000
     train_rows: int = 20_000
@@ -348,7 +348,7 @@ class Model:
 def learn(docs: DataFrame, known: DataFrame, settings: Settings) -> Model | None:
     """Fit on the rows of `docs` with a label in `known` (doc_id, toxic); character counts come from all of `docs`.
 
-    Both classes are counted over all labels; the sample drawn by a hash holds about `train_rows` / 2 of each at most, so
+    Only the sizes of the classes come from all labels; the sample drawn by a hash holds about `train_rows` / 2 of each at most, so
     it can be broadcast, and texts are not shuffled.
     """
     # 28**4 numbers at most, whatever the size of the corpus.
