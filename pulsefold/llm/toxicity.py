@@ -46,8 +46,8 @@ LETTER = np.array([chr(c).isalpha() if c < 128 else True for c in range(256)])
 STAND_IN = np.zeros(256, bool)
 STAND_IN[[ord(c) for c in "0123456789@$!|(" + SIGNS]] = True
 SPACED, PIECES = 4, 10
-# Letters with single gaps, then signs that are decoration; up to so many choices a word are written out.
-LETTERS_AND_GAPS = re.compile(r"((?:[^\W\d_]+ )*[^\W\d_]+)([^\w@$]*)")
+# Letters with single gaps, then signs; up to so many choices a word are written out.
+LETTERS_AND_GAPS = re.compile(r"((?:[^\W\d_]+ )*[^\W\d_]+)(\W*)")
 CHOICES = 6
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -109,7 +109,8 @@ class Channel:
         cores, tails, names = [], [], []
         for x in new:
             fits = LETTERS_AND_GAPS.fullmatch(x.lower())
-            if fits is None:
+            # One or two signs at the end may be letters, as in `decode`.
+            if fits is None or fits[2] in ("@", "$", "@@", "@$", "$@", "$$"):
                 known[x] = self.decode(x.lower())
             else:
                 core, tail = fits.groups()
