@@ -144,7 +144,7 @@ class Automaton:
                 arc = self.shorter[arc]
         return path
 
-    def encode_many(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_many(self, chunks: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self._tables is None:
             self._tables = Tables(self)
         return self._tables.encode_many(chunks)
@@ -275,8 +275,9 @@ class Tables:
             live = np.concatenate([go[on], back, stay])
         return path[np.arange(path.shape[1]) < top[:, None]].astype(np.uint32), top
 
-    def encode_many(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_many(self, chunks: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks end to end, and how many each has. Every distinct piece is encoded once."""
+        chunks = chunks.to_pylist() if isinstance(chunks, pa.Array) else chunks
         if not hasattr(self, "pieces"):
             self.pieces = regex.compile(PIECES)
         found = [self.pieces.findall(c) for c in chunks]

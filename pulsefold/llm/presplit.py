@@ -12,7 +12,6 @@ import re
 import sys
 import types
 from collections.abc import Callable
-from itertools import chain
 from typing import Any
 
 import numpy as np
@@ -21,8 +20,8 @@ import pyarrow.compute as pc
 
 from pulsefold.llm.texts import spread
 
-# Ids of many chunks end to end and how many each has, or one list for each.
-Encoder = Callable[[list[str]], tuple[np.ndarray, np.ndarray] | list[list[int]]]
+# Ids of many chunks (a column of texts) end to end, and how many each has.
+Encoder = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
 
 def per_worker(key: str, make: Callable[[], Any]) -> Any:
@@ -48,23 +47,15 @@ class ChunkCoder:
         self.encode_many, self.specials = encode_many, specials
         self.at_special = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
 
-    def ids_of(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all chunks end to end, and how many each has."""
-        found = self.encode_many(chunks)
-        if isinstance(found, tuple):
-            return found
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts
-
     def irregular(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """`ids_of` for texts that may spell special tokens."""
+        """Ids of all texts end to end, and how many each has; they may spell special tokens."""
         pieces, of = [], []
         for k, text in enumerate(texts):
             some = self.at_special.split(text) if self.at_special else [text]
             pieces += some
             of += [k] * len(some)
         special = np.array([self.specials.get(p, -1) if self.at_special else -1 for p in pieces], np.int64)
-        ids, counts = self.ids_of(["" if s >= 0 else p for p, s in zip(pieces, special.tolist(), strict=True)])
+        ids, counts = self.encode_many(pa.array(["" if s >= 0 else p for p, s in zip(pieces, special.tolist(), strict=True)], pa.string()))
         at = np.flatnonzero(special >= 0)
         ids = np.insert(ids, (np.cumsum(counts) - counts)[at], special[at].astype(ids.dtype))
         counts[at] = 1
@@ -78,8 +69,8 @@ class ChunkCoder:
         coded = split.flatten().dictionary_encode()
         index = coded.indices.to_numpy().astype(np.int64)
         offsets -= offsets[0]
-        values = coded.dictionary.to_pylist()
-        blank = pc.or_(pc.equal(coded.dictionary, ""), begins_blank(coded.dictionary)).to_numpy(zero_copy_only=False)
+        values = coded.dictionary
+        blank = pc.or_(pc.equal(values, ""), begins_blank(values)).to_numpy(zero_copy_only=False)
         first = offsets[:-1]
         odd = blank[index] if len(values) else np.zeros(0, bool)
         odd[first] = False
@@ -92,9 +83,9 @@ class ChunkCoder:
         regular = ~np.repeat(irregular, np.diff(offsets))
         wanted = np.zeros(len(values) + len(first), bool)
         wanted[chunk[regular]] = True
-        chunks = [" " + values[k] for k in np.flatnonzero(wanted[:len(values)])]
-        chunks += [values[index[first[k - len(values)]]] for k in len(values) + np.flatnonzero(wanted[len(values):])]
-        ids, counts = self.ids_of(chunks)
+        led = pc.binary_join_element_wise("", values.filter(pa.array(wanted[:len(values)])), " ").cast(pa.string())
+        bare = values.take(pa.array(index[first[wanted[len(values):]]])).cast(pa.string())
+        ids, counts = self.encode_many(pa.concat_arrays([led, bare]))
         # Irregular texts stand as a whole in the place of their first chunk.
         whole = np.flatnonzero(irregular)
         more, more_counts = self.irregular([column[int(k)].as_py() for k in whole])

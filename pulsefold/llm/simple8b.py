@@ -62,10 +62,12 @@ def _pack(values: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(values)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    bits = np.where(values == 0, 1, np.frexp(values.astype(np.float64))[1])
-    # Near a power of two a float rounds up: set that right.
-    exact = bits.clip(1, 64).astype(np.uint64)
-    bits = bits - ((exact > 1) & (values >> (exact - np.uint64(1)) == 0))
+    small = int(values.max()) < 2**24
+    bits = np.maximum(np.frexp(values.astype(np.float32 if small else np.float64))[1], 1)
+    if not small:
+        # Near a power of two a float rounds up: set that right.
+        exact = bits.clip(1, 64).astype(np.uint64)
+        bits = bits - ((exact > 1) & (values >> (exact - np.uint64(1)) == 0))
     # One row per block; what is missing in the last one is narrow enough for everything.
     blocks = -(-n // block)
     wide = np.zeros((blocks, block), np.int8)
@@ -176,20 +178,20 @@ class LibraryCoder:
         for token, k in ids.items():
             self.bytes[k] = len(added[k].content.encode()) if k in added else len(token)
 
-    def encode_many(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        texts = pa.array(chunks, pa.string())
+    def encode_many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         visible = pc.invert(pc.or_(begins_blank(pc.utf8_slice_codeunits(texts, 1, 2)), begins_blank(texts, last=True)))
         joins = pc.and_(pc.starts_with(texts, " "), pc.and_(pc.greater(pc.utf8_length(texts), 1), visible)).to_numpy(zero_copy_only=False)
-        begins = np.ones(len(chunks), bool)
-        begins[1:] = ~(joins[1:] & joins[:-1]) | (np.arange(1, len(chunks)) % self.RUN == 0)
+        begins = np.ones(len(texts), bool)
+        begins[1:] = ~(joins[1:] & joins[:-1]) | (np.arange(1, len(texts)) % self.RUN == 0)
         starts = np.flatnonzero(begins).tolist()
-        ends = [*starts[1:], len(chunks)]
+        ends = [*starts[1:], len(texts)]
+        runs = pc.binary_join(pa.ListArray.from_arrays(pa.array([*starts, len(texts)], pa.int32()), texts), "") if len(texts) else texts
         sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
-        parts, counts = [np.zeros(0, np.uint32)], np.zeros(len(chunks), np.int64)
+        parts, counts = [np.zeros(0, np.uint32)], np.zeros(len(texts), np.int64)
         for k in range(0, len(starts), 64):
-            runs = list(zip(starts[k:k + 64], ends[k:k + 64], strict=True))
-            for (a, b), found in zip(runs, self.library.encode_batch_fast(["".join(chunks[a:b]) for a, b in runs], add_special_tokens=False), strict=True):
-                ids = np.array(found.ids, np.uint32)
+            found = self.library.encode_batch_fast(runs.slice(k, 64).to_pylist(), add_special_tokens=False)
+            for a, b, encoded in zip(starts[k:k + 64], ends[k:k + 64], found, strict=True):
+                ids = np.array(encoded.ids, np.uint32)
                 parts.append(ids)
                 if b - a == 1:
                     counts[a] = len(ids)
