@@ -67,9 +67,10 @@ class ChunkCoder:
         split = pc.split_pattern(column, " ")
         offsets = split.offsets.to_numpy().astype(np.int64)
         coded = split.flatten().dictionary_encode()
-        index = coded.indices.to_numpy().astype(np.int64)
+        index = coded.indices.to_numpy()
         offsets -= offsets[0]
         values = coded.dictionary
+        del split, coded
         blank = pc.or_(pc.equal(values, ""), begins_blank(values)).to_numpy(zero_copy_only=False)
         first = offsets[:-1]
         odd = blank[index] if len(values) else np.zeros(0, bool)
@@ -95,9 +96,16 @@ class ChunkCoder:
         size[len(values) + whole], begin[len(values) + whole] = more_counts, len(ids) + np.cumsum(more_counts) - more_counts
         flat = np.concatenate([ids, more])
         regular[first] = True
-        chunk, doc = chunk[regular], np.repeat(np.arange(len(first)), np.diff(offsets))[regular]
-        length = size[chunk]
-        return flat[spread(begin[chunk], length)], np.bincount(doc, length, len(first)).astype(np.int64)
+        chunk, doc = chunk[regular], np.repeat(np.arange(len(first), dtype=np.int32), np.diff(offsets))[regular]
+        out, at = np.empty(int(size[chunk].sum()), flat.dtype), 0
+        # Laid out in stretches, as the places of all ids would take far more room than the ids.
+        for k in range(0, len(chunk), 200_000):
+            some = chunk[k:k + 200_000]
+            length = size[some]
+            n = int(length.sum())
+            out[at:at + n] = flat[spread(begin[some], length)]
+            at += n
+        return out, np.bincount(doc, size[chunk], len(first)).astype(np.int64)
 
 
 def byte_letters() -> dict[str, int]:

@@ -51,7 +51,7 @@ class Settings:
 def pack(values: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     """Words, and the first word of each block of `block` values."""
     # Whole blocks, as many at a time as keep the working arrays small.
-    step = max(1, 256 * 1024 // block) * block
+    step = max(1, 128 * 1024 // block) * block
     parts = [_pack(values[k:k + step], block) for k in range(0, max(len(values), 1), step)]
     before = np.cumsum([0, *[len(words) for words, _ in parts[:-1]]])
     return np.concatenate([w for w, _ in parts]), np.concatenate([first + n for (_, first), n in zip(parts, before, strict=True)])
@@ -168,7 +168,7 @@ class LibraryCoder:
     """`encode_many` by the tokenizers library. Texts that begin with a space and a visible character are given to it in
     runs, as no piece crosses their beginnings; the bytes of the tokens tell where each ends."""
 
-    RUN = 4_000
+    RUN, AT_ONCE = 2_000, 8
 
     def __init__(self, library):
         self.library = library
@@ -188,9 +188,9 @@ class LibraryCoder:
         runs = pc.binary_join(pa.ListArray.from_arrays(pa.array([*starts, len(texts)], pa.int32()), texts), "") if len(texts) else texts
         sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
         parts, counts = [np.zeros(0, np.uint32)], np.zeros(len(texts), np.int64)
-        for k in range(0, len(starts), 64):
-            found = self.library.encode_batch_fast(runs.slice(k, 64).to_pylist(), add_special_tokens=False)
-            for a, b, encoded in zip(starts[k:k + 64], ends[k:k + 64], found, strict=True):
+        for k in range(0, len(starts), self.AT_ONCE):
+            found = self.library.encode_batch_fast(runs.slice(k, self.AT_ONCE).to_pylist(), add_special_tokens=False)
+            for a, b, encoded in zip(starts[k:k + self.AT_ONCE], ends[k:k + self.AT_ONCE], found, strict=True):
                 ids = np.array(encoded.ids, np.uint32)
                 parts.append(ids)
                 if b - a == 1:
@@ -239,7 +239,7 @@ def write(documents: DataFrame, vocabulary_path: str, settings: Settings = Setti
             held, size, nth = [], 0, nth + 1
             return row
 
-        for piece in slices(batches, "text", 12_000_000):
+        for piece in slices(batches, "text", 10_000_000):
             ids, counts = coder.encode(piece.column(1))
             ends = np.cumsum(counts)
             values = np.insert(ids, ends, np.uint32(settings.end_id))
