@@ -65,22 +65,36 @@ def split_institutions(df: DataFrame, n: int = 3, row_id: str = "event_id", seed
     if n < 1:
         raise ValueError("n must be at least 1")
 
+    if n == 1:
+        return df.withColumn("institution", institution_name(F.lit(1)))
+
     def run_ends(total: Column) -> Column:
-        return F.array(*[F.expr(f"{i}L") * F.floor(total / n) for i in range(1, n)])
+        return F.transform(F.sequence(F.lit(1).cast("bigint"), F.lit(n - 1).cast("bigint")), lambda i: i * F.floor(total / n))
 
-    cuts = [] if n == 1 else cut_keys(df, row_id, seed, run_ends, []).orderBy("_rank").collect()  # n - 1 rows
-    if len(cuts) < n - 1:
+    cuts = written(cut_keys(df, row_id, seed, run_ends, []), "cuts")
+    if cuts.count() < n - 1:
         return df.withColumn("institution", institution_name(F.lit(n)))
-    key, ident = F.col("_key"), F.col(row_id)
-    number = F.lit(1)
-    for cut in cuts:
-        beyond = (key > cut["_cut"]) | ((key == cut["_cut"]) & (ident > cut["_cut_id"]))
-        number = number + beyond.cast("int")
-    return (
-        df.withColumn("_key", shuffle_key(ident, seed))
-        .withColumn("institution", institution_name(number))
-        .drop("_key")
-    )
+    ident = F.col(row_id)
+    keyed = df.withColumn("_key", shuffle_key(ident, seed)).withColumn("_prefix", F.substring("_key", 1, PREFIX_DIGITS))
+    placed = attach(keyed, cuts_by_prefix(cuts), ["_prefix"], "inner")
+    passed = F.size(F.filter("_cuts", lambda c: c < F.struct(F.col("_key").alias("_cut"), ident.alias("_cut_id"))))
+    number = (F.lit(1) + F.col("_before") + passed).cast("int")
+    return placed.withColumn("institution", institution_name(number)).select(*df.columns, "institution")
+
+
+def cuts_by_prefix(cuts: DataFrame) -> DataFrame:
+    """For every key prefix there can be: the cuts within it, and how many lie before it.
+
+    A row finds its part by its prefix and the few cuts there, so neither the plan nor the work of a row grows with the cuts.
+    """
+    within = cuts.groupBy(F.substring("_cut", 1, PREFIX_DIGITS).alias("_prefix")).agg(
+        F.array_sort(F.collect_list(F.struct("_cut", "_cut_id"))).alias("_cuts"))
+    every = cuts.sparkSession.range(16**PREFIX_DIGITS).select(F.lpad(F.lower(F.hex("id")), PREFIX_DIGITS, "0").alias("_prefix"))
+    # 16^PREFIX_DIGITS rows, whatever the table and the number of cuts.
+    before = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    known = every.join(within, "_prefix", "left").withColumn("_cuts", F.coalesce("_cuts", F.slice(F.array(F.struct(
+        F.lit("").alias("_cut"), F.lit(None).cast(cuts.schema["_cut_id"].dataType).alias("_cut_id"))), 1, 0)))
+    return known.withColumn("_before", F.coalesce(F.sum(F.size("_cuts")).over(before), F.lit(0)))
 
 
 def split_train_val(df: DataFrame, by: list[str], row_id: str = "event_id", fraction: float = 0.8,

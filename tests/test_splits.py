@@ -54,3 +54,15 @@ def test_client_sampling(spark):
     assert len(taken(3, 0.01)) == 2
     with pytest.raises(ValueError, match="required"):
         sample_clients(names.limit(1), 1)
+
+
+def test_a_thousand_parts(spark):
+    df = spark.range(25_500).withColumnRenamed("id", "event_id").withColumn("x", F.col("event_id") * 2)
+    parts = split_institutions(df, 1000)
+    sizes = {r["institution"]: r["count"] for r in parts.groupBy("institution").count().collect()}
+    assert len(sizes) == 1000 and sizes["institution_1000"] == 525 and {n for k, n in sizes.items() if k != "institution_1000"} == {25}
+    order = ranked(range(25_500))
+    want = {i: min(k // 25, 999) + 1 for k, i in enumerate(order)}
+    assert {r["event_id"]: r["institution"] for r in parts.collect()} == {i: f"institution_{k}" for i, k in want.items()}
+    plan = lambda n: len(split_institutions(df, n)._jdf.queryExecution().optimizedPlan().toString())
+    assert plan(1000) < 1.2 * plan(5)
