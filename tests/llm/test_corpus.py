@@ -167,7 +167,7 @@ def test_pipeline(spark):
 
 def test_registration():
     names = contract.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in names
 
 
@@ -176,6 +176,9 @@ def test_queries_keep_every_row(spark, name):
     out = contract.queries()[name](spark, DIR)
     if name.startswith("op3_"):
         assert {"doc_id", "item_id"} <= set(out.columns)
+    elif name.startswith("op13_"):
+        # Nodes, not rows: every conversation is in the root.
+        assert out.where("depth = 0").first()["n_convs"] == spark.read.parquet(f"{DIR}/conversations.parquet").select("conv_id").distinct().count()
     else:
-        table = "pages" if name.startswith("op1_") else "documents"
-        assert out.count() == spark.read.parquet(f"{DIR}/{table}.parquet").count()
+        table, times = {"op1": ("pages", 1), "op11": ("embeddings", 1), "op12": ("embeddings", 4)}.get(name.split("_")[0], ("documents", 1))
+        assert out.count() == times * spark.read.parquet(f"{DIR}/{table}.parquet").count()
