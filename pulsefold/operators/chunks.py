@@ -1,9 +1,8 @@
 """Exact order-dependent work without ever gathering one key, or the whole table, in a task.
 
-A table is range-partitioned on a total order and written once; each range is a `chunk`.
-What one chunk must know about those before it is a count, a sum or a few rows, so it
-travels as a table with a handful of rows per chunk. The number of chunks is the number
-of shuffle partitions (or `num_chunks`), which bounds every such table.
+A table is range-partitioned on a total order and sorted there, once; each range is a `chunk`, and the task that sorts it
+also numbers its rows. What one chunk must know about those before it is their number of rows, so that travels as a table
+with one row per chunk. The number of chunks is the number of shuffle partitions (or `num_chunks`).
 """
 
 from __future__ import annotations
@@ -12,12 +11,22 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from pulsefold.session import written
 
+# monotonically_increasing_id holds the partition above these bits and the place within it below them.
+PLACE_BITS = 33
+
 
 def range_chunks(df: DataFrame, order: list[str], num_chunks: int | None = None) -> DataFrame:
-    """`df` plus `chunk`, rising along `order`. `order` should be unique, so no chunk can be hot."""
+    """`df` plus `chunk`, rising along `order`, and `_place`, the row's place in its chunk from 0.
+
+    `order` should be unique, so no chunk can be hot. The only shuffle of the table is the one by ranges.
+    """
     num_chunks = num_chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(num_chunks, *order)
-    return written(ranged.withColumn("chunk", F.spark_partition_id()), "chunks")
+    ranged = df.repartitionByRange(num_chunks, *order).sortWithinPartitions(*order)
+    numbered = ranged.withColumn("_place", F.monotonically_increasing_id())
+    return written(numbered.withColumns({
+        "chunk": F.shiftright("_place", PLACE_BITS).cast("int"),
+        "_place": F.col("_place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)),
+    }), "chunks")
 
 
 def dense_index(df: DataFrame, order: list[str], out: str = "row_index", num_chunks: int | None = None) -> DataFrame:
@@ -26,53 +35,30 @@ def dense_index(df: DataFrame, order: list[str], out: str = "row_index", num_chu
     before = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     # One row per chunk, so this single-task window and the broadcast stay small.
     starts = (
-        chunks.groupBy("chunk").count()
-        .select("chunk", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+        chunks.groupBy("chunk").agg(F.count("*").alias("_rows"))
+        .select("chunk", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
-    within = F.row_number().over(Window.partitionBy("chunk").orderBy(*order))
     return (
         chunks.join(F.broadcast(starts), "chunk")
-        .withColumn(out, F.col("_start") + within - 1)
-        .drop("chunk", "_start")
+        .withColumn(out, F.col("_start") + F.col("_place"))
+        .drop("chunk", "_start", "_place")
     )
 
 
-def with_halo(chunks: DataFrame, series: str, order: list[str], depth: int) -> DataFrame:
-    """Give every chunk the last `depth` rows of its first series from the chunks before it.
+def blocks_with_halo(df: DataFrame, order: list[str], reach: int, block_rows: int, num_chunks: int | None = None) -> DataFrame:
+    """`df` with its dense position `_pos`, cut into blocks (`_block`) of `block_rows` positions.
 
-    `chunks` comes from `range_chunks` on [series, *order]. Borrowed rows carry
-    `_halo` = true. Only the last series of a chunk can go on in the next one, so there are
-    at most `depth` tail rows per chunk to pass on, however long a series is.
+    Each block also gets the `reach` rows before it and behind it, with `_own` = false. Blocks are equally large whatever the
+    keys in `order` look like, and what is copied is 2 * reach rows a block.
     """
-    by_chunk = Window.orderBy("chunk")
-    spans = chunks.groupBy("chunk").agg(F.min(series).alias("_first"), F.max(series).alias("_last"))
-    borders = spans.withColumns({
-        "_next": F.lead("chunk").over(by_chunk),
-        "_goes_on": F.lead("_first").over(by_chunk) == F.col("_last"),
-    })
-    leaving = written(borders.where("_goes_on").select("chunk", F.col("_last").alias(series), "_next"), "leaving")
-    newest_first = Window.partitionBy("chunk", series).orderBy(*[F.desc(c) for c in order])
-    tails = written(
-        chunks.join(F.broadcast(leaving.drop("_next")), ["chunk", series])
-        .withColumn("_back", F.row_number().over(newest_first))
-        .where(F.col("_back") <= depth),
-        "tails",
-    )
-    # Position of a tail row among all tail rows of its series, and how many precede a chunk.
-    sizes = tails.groupBy(series, "chunk").agg(F.count("*").alias("_n"))
-    upto = Window.partitionBy(series).orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
-    sizes = sizes.withColumn("_seen", F.sum("_n").over(upto))
-    numbered = tails.join(F.broadcast(sizes), [series, "chunk"]).withColumn(
-        "_at", F.col("_seen") - F.col("_back") + 1
-    )
-    # The chunk after one where `_seen` was reached borrows tail rows _seen-depth+1 .. _seen.
-    borrowers = sizes.join(F.broadcast(leaving), [series, "chunk"]).select(
-        series, F.col("_seen").alias("_upto"), "_next"
-    )
-    halo = (
-        numbered.withColumn("_upto", F.explode(F.sequence("_at", F.col("_at") + depth - 1)))
-        .join(F.broadcast(borrowers), [series, "_upto"])
-        .withColumn("chunk", F.col("_next"))
-        .select(*chunks.columns, F.lit(True).alias("_halo"))
+    if block_rows < reach:
+        raise ValueError(f"blocks of {block_rows} rows can't lend {reach} rows to their neighbours")
+    numbered = dense_index(df, order, "_pos", num_chunks)
+    home, at = F.expr(f"_pos div {block_rows}"), F.col("_pos") % block_rows
+    nobody = F.array().cast("array<bigint>")
+    holders = F.concat(
+        F.array(home),
+        F.when(at < reach, F.array(home - 1)).otherwise(nobody),
+        F.when(at >= block_rows - reach, F.array(home + 1)).otherwise(nobody),
     )
-    return chunks.withColumn("_halo", F.lit(False)).unionByName(halo)
+    return numbered.withColumn("_block", F.explode(holders)).withColumn("_own", F.col("_block") == home)

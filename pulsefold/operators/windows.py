@@ -2,72 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from pulsefold.operators.chunks import range_chunks, with_halo
-from pulsefold.operators.joins import attach
+from pulsefold.operators.chunks import blocks_with_halo
 from pulsefold.schema import ORDER, ROLLING_ROWS
-from pulsefold.session import written_and_counted
 
-MAX_SERIES_ROWS = 2_000_000
-WHOLE = "_whole"
-
-
-def _features(df: DataFrame, keys: list[str], order: list[str], long_series: Column, null_std: str) -> DataFrame:
-    series = Window.partitionBy(*keys).orderBy(*order)
-    frame = series.rowsBetween(1 - ROLLING_ROWS, 0)
-    glucose = F.col("glucose")
-    deviation = F.stddev_samp("glucose").over(frame)
-    if null_std == "zero":
-        deviation = F.coalesce(deviation, F.lit(0.0))
-    return df.withColumns({
-        "glucose_ma_1h": F.when(long_series, F.avg("glucose").over(frame)).otherwise(glucose),
-        "glucose_std_1h": F.when(long_series, deviation).otherwise(0.0),
-        "glucose_roc": F.coalesce(glucose - F.lag("glucose").over(series), F.lit(0.0)),
-    })
-
-
-def rolling_in_series(df: DataFrame, series: str, order: list[str], null_std: str = "keep") -> DataFrame:
-    """One shuffle on the series; for series that fit a task."""
-    # Ordered like the rolling frames, so all of them share one sort.
-    whole = Window.partitionBy(series).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    sized = df.withColumn("_size", F.count("*").over(whole))
-    return _features(sized, [series], order, F.col("_size") > ROLLING_ROWS, null_std).drop("_size")
-
-
-def rolling_in_chunks(df: DataFrame, series: str, order: list[str], null_std: str = "keep",
-                      num_chunks: int | None = None) -> DataFrame:
-    """Same result for series of any length (each over 12 rows): ranges plus borrowed rows."""
-    chunks = with_halo(range_chunks(df, [series, *order], num_chunks), series, order, ROLLING_ROWS - 1)
-    return _features(chunks, ["chunk", series], order, F.lit(True), null_std).where("not _halo").drop("chunk", "_halo")
+BLOCK_ROWS = 65_536
 
 
 def rolling_features(df: DataFrame, series: str | None = "series_id", order: tuple[str, ...] = ORDER,
-                     null_std: str = "keep", max_series_rows: int = MAX_SERIES_ROWS,
-                     num_chunks: int | None = None) -> DataFrame:
+                     null_std: str = "keep", block_rows: int = BLOCK_ROWS, num_chunks: int | None = None) -> DataFrame:
     """Add glucose_ma_1h, glucose_std_1h and glucose_roc.
 
-    `series=None` treats the whole table as one series. A first row has no deviation:
-    `null_std` says whether it stays NULL ("keep") or becomes 0 ("zero"). Series of 12 rows
-    or fewer get their own glucose as mean and 0 as deviation. Series longer than
-    `max_series_rows`, found by a count over the key column alone, go through chunks.
+    `series=None` treats the whole table as one series; rows without a series key are one series. A first row has no
+    deviation: `null_std` says whether it stays NULL ("keep") or becomes 0 ("zero"). Series of 12 rows or fewer get their own
+    glucose as mean and 0 as deviation.
+
+    The table is put in order once and cut into blocks of `block_rows` rows (at least 12) that overlap by 12 rows, so one long
+    series is many blocks and many short ones share a block: the same plan whatever the lengths.
     """
     if null_std not in ("keep", "zero"):
         raise ValueError(f"null_std must be 'keep' or 'zero', not {null_std!r}")
-    limit, keys = max(max_series_rows, ROLLING_ROWS), list(order)
-    if series is None:
-        # No key to group on, so only the size of the table matters.
-        whole = df.withColumn(WHOLE, F.lit(0))
-        if df.count() <= limit:
-            return rolling_in_series(whole, WHOLE, keys, null_std).drop(WHOLE)
-        return rolling_in_chunks(whole, WHOLE, keys, null_std, num_chunks).drop(WHOLE)
-    sizes = df.groupBy(series).agg(F.count("*").alias("_rows"))
-    long_ones, number = written_and_counted(sizes.where(F.col("_rows") > limit), "long-series")
-    if number == 0:
-        return rolling_in_series(df, series, keys, null_std)
-    marked = attach(df, long_ones, [series])
-    usual = marked.where(F.col("_rows").isNull()).drop("_rows")
-    hot = marked.where(F.col("_rows").isNotNull()).drop("_rows")
-    return rolling_in_series(usual, series, keys, null_std).unionByName(
-        rolling_in_chunks(hot, series, keys, null_std, num_chunks)
-    )
+    keys = [] if series is None else [series]
+    blocks = blocks_with_halo(df, [*keys, *order], ROLLING_ROWS, block_rows, num_chunks)
+    rows = Window.partitionBy("_block", *keys).orderBy("_pos")
+    frame = rows.rowsBetween(1 - ROLLING_ROWS, 0)
+    # A series has over 12 rows exactly where more than 12 rows of it lie within 12 rows of this one.
+    long_series = F.count("*").over(rows.rowsBetween(-ROLLING_ROWS, ROLLING_ROWS)) > ROLLING_ROWS
+    glucose = F.col("glucose")
+    deviation = F.stddev_samp("glucose").over(frame)
+    if null_std == "zero":
+        deviation = F.coalesce(deviation, F.lit(0.0))
+    return blocks.withColumns({
+        "glucose_ma_1h": F.when(long_series, F.avg("glucose").over(frame)).otherwise(glucose),
+        "glucose_std_1h": F.when(long_series, deviation).otherwise(0.0),
+        "glucose_roc": F.coalesce(glucose - F.lag("glucose").over(rows), F.lit(0.0)),
+    }).where("_own").drop("_block", "_own", "_pos")

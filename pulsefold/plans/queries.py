@@ -171,13 +171,13 @@ def rolling_short_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rolling_long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Series of more than 70 readings treated as too long for one task."""
-    return _rolled(rolling_features(fill_and_clip(readings(spark, sf_dir)), max_series_rows=70))
+    """Blocks of 70 rows: every longer series is cut."""
+    return _rolled(rolling_features(fill_and_clip(readings(spark, sf_dir)), block_rows=70))
 
 
 def rolling_whole_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole table as one series, in ranges."""
-    return _rolled(rolling_features(fill_and_clip(readings(spark, sf_dir)), None, max_series_rows=100))
+    """The whole table as one series, in blocks of 100 rows."""
+    return _rolled(rolling_features(fill_and_clip(readings(spark, sf_dir)), None, block_rows=100))
 
 
 # Statistics

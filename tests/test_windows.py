@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from pulsefold.operators.chunks import dense_index
+from pulsefold.operators.chunks import blocks_with_halo, dense_index
 from pulsefold.operators.windows import ROLLING_ROWS, rolling_features
 
 ROLLED = ["glucose_ma_1h", "glucose_std_1h", "glucose_roc"]
@@ -55,20 +55,46 @@ def test_first_deviation_can_be_zero(spark):
 
 
 @pytest.mark.parametrize("chunks", [1, 2, 7, 60])
-def test_one_series_with_most_rows_is_cut_into_ranges(spark, chunks):
-    check(spark, series_frame([400, 13, 30, 5, 90, 1]), max_series_rows=25, num_chunks=chunks)
+def test_one_series_with_most_rows_is_cut_into_blocks(spark, chunks):
+    check(spark, series_frame([400, 13, 30, 5, 90, 1]), block_rows=25, num_chunks=chunks)
 
 
 @pytest.mark.parametrize("chunks", [3, 150])
 def test_whole_table_as_one_series(spark, chunks):
     """150 ranges over 300 rows: a range may hold fewer rows than the window looks back."""
-    check(spark, series_frame([300]), None, max_series_rows=20, num_chunks=chunks)
+    check(spark, series_frame([300]), None, block_rows=20, num_chunks=chunks)
+
+
+@pytest.mark.parametrize("block", [12, 13, 24, 25, 1000])
+def test_blocks_of_any_size_agree(spark, block):
+    check(spark, series_frame([12, 13, 1, 25, 12, 40, 2, 24]), block_rows=block, num_chunks=3)
+
+
+def test_blocks_smaller_than_the_halo_are_refused(spark):
+    with pytest.raises(ValueError, match="blocks of 11"):
+        rolling_features(spark.createDataFrame(series_frame([5])), block_rows=11)
+
+
+def test_rows_without_a_series_are_one_series_in_many_blocks(spark):
+    pdf = series_frame([100])
+    df = spark.createDataFrame(pdf).withColumn("series_id", F.lit(None).cast("string"))
+    got = rolling_features(df, block_rows=20).toPandas().sort_values("event_id").reset_index(drop=True)
+    want = by_hand(pdf, None)
+    for c in ROLLED:
+        np.testing.assert_allclose(got[c], want[c], atol=1e-9, err_msg=c)
+    blocks = blocks_with_halo(df, ["series_id", "ts", "event_id"], 12, 20)
+    assert blocks.where("_own").groupBy("_block").count().where("count = 20").count() == 5
+    assert blocks.count() == 100 + 2 * 12 * 5
+
+
+def test_an_empty_table_stays_empty(spark):
+    assert rolling_features(spark.createDataFrame(series_frame([5])).where("event_id < 0")).isEmpty()
 
 
 def test_equal_times_do_not_make_a_hot_range(spark):
     pdf = series_frame([300])
     pdf["ts"] = pd.Timestamp("2024-01-01")
-    check(spark, pdf, None, max_series_rows=20, num_chunks=9)
+    check(spark, pdf, None, block_rows=20, num_chunks=9)
 
 
 @pytest.mark.parametrize("chunks", [1, 6, 50])
@@ -76,3 +102,13 @@ def test_dense_index(spark, chunks):
     df = spark.range(300).select((F.col("id") * 7919 % 1009).alias("k"), "id").repartition(4)
     got = dense_index(df, ["k", "id"], num_chunks=chunks).orderBy("k", "id").select("row_index").collect()
     assert [r[0] for r in got] == list(range(300))
+
+
+def test_numbering_shuffles_the_table_once(spark, capsys):
+    """Ranges are the only shuffle of the rows; afterwards only one row per chunk is exchanged and broadcast."""
+    df = spark.range(300).select((F.col("id") * 7919 % 1009).alias("k"), "id")
+    dense_index(df, ["k", "id"], num_chunks=4).explain()
+    after = capsys.readouterr().out
+    assert after.count("Exchange hashpartitioning") == 1 and "HashAggregate(keys=[chunk" in after
+    assert "Exchange rangepartitioning" not in after and "row_number" not in after
+    assert after.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in after
