@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -16,6 +17,8 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
 
 def build_session(app: str = "pulsefold", master: str | None = None, **conf: str) -> SparkSession:
     """Create (or fetch) a session with the defaults above; `conf` wins over them.
@@ -56,9 +59,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Cuts the lineage: a lost executor re-reads the table instead of recomputing it, and
-    partition-dependent columns keep the values they had when they were written.
+    partition-dependent columns keep the values they had when they were written. The folder
+    goes when the driver's Python ends, or with `release`.
     """
     path = shared_path(df.sparkSession, label)
+    _WRITTEN.append((df.sparkSession, path))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -67,3 +72,17 @@ def written_and_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """`written`, and its number of rows, which costs no more than reading the file footers."""
     table = written(df, label)
     return table, table.count()
+
+
+def release() -> None:
+    """Delete every table of `written` in this process. Frames that still read them can't be used any more."""
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
+        try:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        except Exception:  # the session has gone; nothing can be reached any more
+            continue
+
+
+atexit.register(release)

@@ -1,14 +1,67 @@
-"""Batch writers. All are distributed; nothing passes through the driver. Each replaces what an earlier run left."""
+"""Batch writers. All are distributed; nothing passes through the driver. Each replaces what an earlier run left.
+
+CSV, JSON lines and Parquet are written beside the target, which is replaced when the whole table is there: a failing write
+leaves the table before it as it was. Partitioned tables are first dealt by (key, salt) with as many salts as the key's rows
+need, so a key with most of the rows has many writers and a small one has one file.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from pulsefold.operators.joins import attach
 
 JSON_DECIMALS = 10
+ROWS_PER_FILE = 1_000_000
+
+
+@contextmanager
+def replacing(spark: SparkSession, path: str) -> Iterator[str]:
+    """A fresh folder beside `path`, which takes its place once the block has ended without an error.
+
+    The exchange is two renames: on a file system, readers see the old table or the new one but for the moment between
+    them; object stores that copy on rename take longer. What an interrupted run leaves is a hidden folder beside the target.
+    """
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    target = files.makeQualified(target)
+    mark = uuid.uuid4().hex
+    fresh, former = (jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}-{kind}-{mark}") for kind in ("new", "old"))
+    try:
+        yield fresh.toString()
+        existed = files.exists(target)
+        if existed and not files.rename(target, former):
+            raise OSError(f"cannot put {path} aside")
+        if not files.rename(fresh, target):
+            if existed:
+                files.rename(former, target)
+            raise OSError(f"cannot move the new table to {path}")
+    except BaseException:
+        files.delete(fresh, True)
+        raise
+    if existed:
+        files.delete(former, True)
+
+
+def clustered(df: DataFrame, by: str, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """`df` dealt so that each value of `by` is in ceil(rows / rows_per_file) tasks at most, by a hash of the whole row.
+
+    Missing and empty values go to one folder and count as one value. Rows that are equal in every column stay together.
+    """
+    named = df.withColumn("_value", F.coalesce(F.col(by).cast("string"), F.lit("")))
+    sizes = named.groupBy("_value").agg(F.ceil(F.count("*") / rows_per_file).alias("_files"))
+    salt = F.pmod(F.xxhash64(*df.columns), F.col("_files"))
+    return attach(named, sizes, ["_value"]).withColumn("_salt", salt).repartition("_value", "_salt").select(*df.columns)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path)
+    with replacing(df.sparkSession, path) as fresh:
+        df.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(fresh)
 
 
 def as_json_rows(df: DataFrame) -> DataFrame:
@@ -23,14 +76,20 @@ def as_json_rows(df: DataFrame) -> DataFrame:
     return df.select(*[render(f).alias(f.name) for f in df.schema.fields])
 
 
-def write_jsonl(df: DataFrame, path: str, by: str | None = "institution") -> None:
+def write_jsonl(df: DataFrame, path: str, by: str | None = "institution", rows_per_file: int = ROWS_PER_FILE) -> None:
     """JSON lines, one folder per institution, missing values written as explicit nulls."""
-    writer = as_json_rows(df).write.mode("overwrite").option("ignoreNullFields", False)
-    (writer.partitionBy(by) if by else writer).json(path)
+    rows = as_json_rows(df)
+    with replacing(df.sparkSession, path) as fresh:
+        if by:
+            clustered(rows, by, rows_per_file).write.option("ignoreNullFields", False).partitionBy(by).json(fresh)
+        else:
+            rows.write.option("ignoreNullFields", False).json(fresh)
 
 
-def write_by_institution(df: DataFrame, path: str, by: str = "institution") -> None:
-    df.write.mode("overwrite").partitionBy(by).parquet(path)
+def write_by_institution(df: DataFrame, path: str, by: str = "institution", rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Parquet, one folder per institution."""
+    with replacing(df.sparkSession, path) as fresh:
+        clustered(df, by, rows_per_file).write.partitionBy(by).parquet(fresh)
 
 
 def write_replay(df: DataFrame, path: str, order: tuple[str, ...] = ("timestamp",), records_per_file: int = 100) -> None:

@@ -269,3 +269,42 @@ def test_batch_run_from_csv(spark, tmp_path):
 def test_shared_root_follows_the_setting(spark):
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert not configured or shared_root(spark) == configured.rstrip("/")
+
+
+def parts(path, suffix):
+    """Number of data files in each institution's folder."""
+    return {d.name.partition("=")[2]: len(list(d.glob(f"*.{suffix}"))) for d in path.iterdir() if d.is_dir()}
+
+
+def test_partitioned_tables_have_as_many_files_as_their_rows_need(spark, tmp_path):
+    named = F.when(F.col("id") < 900, "big").when(F.col("id") < 950, "mid").when(F.col("id") < 990, "small")
+    df = spark.range(1000).select(named.alias("institution"), "id").repartition(40)
+    write_by_institution(df, str(tmp_path / "p"), rows_per_file=300)
+    files = parts(tmp_path / "p", "parquet")
+    assert files.keys() == {"big", "mid", "small", "__HIVE_DEFAULT_PARTITION__"}
+    assert 1 <= files.pop("big") <= 3 and set(files.values()) == {1}
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "p")).select("institution", "id").collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    write_jsonl(df, str(tmp_path / "j"), rows_per_file=300)
+    assert sum(parts(tmp_path / "j", "json").values()) <= 6
+
+
+@pytest.mark.parametrize("write", [write_by_institution, write_jsonl, write_csv])
+def test_a_failing_write_leaves_the_table_before_it(spark, tmp_path, write):
+    target = tmp_path / "t"
+    good = spark.range(20).select(F.lit("a").alias("institution"), "id")
+    write(good, str(target))
+    before = sorted(p.name for p in target.rglob("*"))
+    bad = good.withColumn("id", F.when(F.col("id") < 19, F.col("id")).otherwise(F.raise_error(F.lit("broken row")).cast("bigint")))
+    with pytest.raises(Exception, match="broken row"):
+        write(bad, str(target))
+    assert sorted(p.name for p in target.rglob("*")) == before
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_a_table_may_be_replaced_by_rows_read_from_it(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_by_institution(spark.range(10).select(F.lit("a").alias("institution"), "id"), path)
+    write_by_institution(spark.read.parquet(path).where("id < 4"), path)
+    assert spark.read.parquet(path).count() == 4
+    write_by_institution(spark.read.parquet(path).where("id < 0"), path)
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
