@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from pulsefold.functions import columns as C
 from pulsefold.operators.chunks import dense_index
 from pulsefold.operators.median import exact_median
-from pulsefold.operators.windows import BLOCK_ROWS, rolling_features
+from pulsefold.operators.windows import SERIES_BYTES, rolling_features
 from pulsefold.schema import FILL_VALUES, GLUCOSE_ALIASES, ORDER, PROCESSED_COLUMNS
 
 
@@ -68,13 +68,13 @@ def fill_constants(df: DataFrame) -> DataFrame:
 
 
 def preprocess(df: DataFrame, series: str | None = "series_id", keep: tuple[str, ...] = ("series_id", "event_id"),
-               null_std: str = "keep", block_rows: int = BLOCK_ROWS,
+               null_std: str = "keep", series_bytes: int = SERIES_BYTES,
                order: tuple[str, ...] = ORDER, made_up: bool = False) -> DataFrame:
     """Fill, clip, window and label readings that have `ts`, `event_id` and a glucose column.
 
     Windows run along `order` within each `series`. Returns `keep` and the ten processed columns.
     """
     filled = calendar(vitals(fill_and_clip(resolve_glucose(df)), made_up=made_up))
-    rolled = rolling_features(filled, series, order, null_std, block_rows)
+    rolled = rolling_features(filled, series, order, null_std, series_bytes)
     labelled = rolled.withColumns({"hypo_risk": C.hypo_risk(F.col("glucose")), "timestamp": F.col("ts")})
     return labelled.select(*keep, *PROCESSED_COLUMNS)

@@ -171,8 +171,8 @@ def rolling_short_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rolling_long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Blocks of 70 rows: every longer series is cut."""
-    return _rolled(rolling_features(fill_and_clip(readings(spark, sf_dir)), block_rows=70))
+    """All series in blocks of 70 rows, as if each were too long for one task."""
+    return _rolled(rolling_features(fill_and_clip(readings(spark, sf_dir)), series_bytes=0, block_rows=70))
 
 
 def rolling_whole_table(spark: SparkSession, sf_dir: str) -> DataFrame:

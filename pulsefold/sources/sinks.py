@@ -1,8 +1,9 @@
 """Batch writers. All are distributed; nothing passes through the driver. Each replaces what an earlier run left.
 
 CSV, JSON lines and Parquet are written beside the target, which is replaced when the whole table is there: a failing write
-leaves the table before it as it was. Partitioned tables are first dealt by (key, salt) with as many salts as the key's rows
-need, so a key with most of the rows has many writers and a small one has one file.
+leaves the table before it as it was. Partitioned tables are first dealt by their key and the parts cut to size from what the
+shuffle has measured, so a key with most of the rows has many writers and a small one has one file
+(`spark.sql.adaptive.advisoryPartitionSizeInBytes`).
 """
 
 from __future__ import annotations
@@ -13,10 +14,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from pulsefold.operators.joins import attach
-
 JSON_DECIMALS = 10
-ROWS_PER_FILE = 1_000_000
 
 
 @contextmanager
@@ -48,15 +46,9 @@ def replacing(spark: SparkSession, path: str) -> Iterator[str]:
         files.delete(former, True)
 
 
-def clustered(df: DataFrame, by: str, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
-    """`df` dealt so that each value of `by` is in ceil(rows / rows_per_file) tasks at most, by a hash of the whole row.
-
-    Missing and empty values go to one folder and count as one value. Rows that are equal in every column stay together.
-    """
-    named = df.withColumn("_value", F.coalesce(F.col(by).cast("string"), F.lit("")))
-    sizes = named.groupBy("_value").agg(F.ceil(F.count("*") / rows_per_file).alias("_files"))
-    salt = F.pmod(F.xxhash64(*df.columns), F.col("_files"))
-    return attach(named, sizes, ["_value"]).withColumn("_salt", salt).repartition("_value", "_salt").select(*df.columns)
+def clustered(df: DataFrame, by: str) -> DataFrame:
+    """`df` dealt by `by`, evaluated once: adaptive execution splits what is over its advisory size and joins what is below."""
+    return df.hint("rebalance", by)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -76,20 +68,20 @@ def as_json_rows(df: DataFrame) -> DataFrame:
     return df.select(*[render(f).alias(f.name) for f in df.schema.fields])
 
 
-def write_jsonl(df: DataFrame, path: str, by: str | None = "institution", rows_per_file: int = ROWS_PER_FILE) -> None:
+def write_jsonl(df: DataFrame, path: str, by: str | None = "institution") -> None:
     """JSON lines, one folder per institution, missing values written as explicit nulls."""
     rows = as_json_rows(df)
     with replacing(df.sparkSession, path) as fresh:
         if by:
-            clustered(rows, by, rows_per_file).write.option("ignoreNullFields", False).partitionBy(by).json(fresh)
+            clustered(rows, by).write.option("ignoreNullFields", False).partitionBy(by).json(fresh)
         else:
             rows.write.option("ignoreNullFields", False).json(fresh)
 
 
-def write_by_institution(df: DataFrame, path: str, by: str = "institution", rows_per_file: int = ROWS_PER_FILE) -> None:
+def write_by_institution(df: DataFrame, path: str, by: str = "institution") -> None:
     """Parquet, one folder per institution."""
     with replacing(df.sparkSession, path) as fresh:
-        clustered(df, by, rows_per_file).write.partitionBy(by).parquet(fresh)
+        clustered(df, by).write.partitionBy(by).parquet(fresh)
 
 
 def write_replay(df: DataFrame, path: str, order: tuple[str, ...] = ("timestamp",), records_per_file: int = 100) -> None:

@@ -276,16 +276,21 @@ def parts(path, suffix):
     return {d.name.partition("=")[2]: len(list(d.glob(f"*.{suffix}"))) for d in path.iterdir() if d.is_dir()}
 
 
-def test_partitioned_tables_have_as_many_files_as_their_rows_need(spark, tmp_path):
-    named = F.when(F.col("id") < 900, "big").when(F.col("id") < 950, "mid").when(F.col("id") < 990, "small")
-    df = spark.range(1000).select(named.alias("institution"), "id").repartition(40)
-    write_by_institution(df, str(tmp_path / "p"), rows_per_file=300)
-    files = parts(tmp_path / "p", "parquet")
-    assert files.keys() == {"big", "mid", "small", "__HIVE_DEFAULT_PARTITION__"}
-    assert 1 <= files.pop("big") <= 3 and set(files.values()) == {1}
-    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "p")).select("institution", "id").collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
-    write_jsonl(df, str(tmp_path / "j"), rows_per_file=300)
-    assert sum(parts(tmp_path / "j", "json").values()) <= 6
+def test_partitioned_tables_have_as_many_files_as_their_bytes_need(spark, tmp_path):
+    named = F.when(F.col("id") < 90_000, "big").when(F.col("id") < 95_000, "mid").when(F.col("id") < 99_000, "small")
+    df = spark.range(100_000).select(named.alias("institution"), "id").repartition(40)
+    write_by_institution(df, str(tmp_path / "p"))
+    assert parts(tmp_path / "p", "parquet") == {"big": 1, "mid": 1, "small": 1, "__HIVE_DEFAULT_PARTITION__": 1}
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    spark.conf.set(advisory, "100k")
+    try:
+        write_jsonl(df, str(tmp_path / "j"))
+    finally:
+        spark.conf.set(advisory, before)
+    files = parts(tmp_path / "j", "json")
+    assert 2 <= files["big"] <= 40 and sum(files.values()) <= 60
+    assert spark.read.json(str(tmp_path / "j")).select("id").distinct().count() == 100_000
 
 
 @pytest.mark.parametrize("write", [write_by_institution, write_jsonl, write_csv])

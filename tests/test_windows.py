@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsefold.operators.chunks import blocks_with_halo, dense_index
-from pulsefold.operators.windows import ROLLING_ROWS, rolling_features
+from pulsefold.operators.windows import ROLLING_ROWS, rolling_features, row_bytes
 
 ROLLED = ["glucose_ma_1h", "glucose_std_1h", "glucose_roc"]
 
@@ -56,7 +56,8 @@ def test_first_deviation_can_be_zero(spark):
 
 @pytest.mark.parametrize("chunks", [1, 2, 7, 60])
 def test_one_series_with_most_rows_is_cut_into_blocks(spark, chunks):
-    check(spark, series_frame([400, 13, 30, 5, 90, 1]), block_rows=25, num_chunks=chunks)
+    pdf = series_frame([400, 13, 30, 5, 90, 1])
+    check(spark, pdf, series_bytes=25 * row_bytes(spark.createDataFrame(pdf)), block_rows=25, num_chunks=chunks)
 
 
 @pytest.mark.parametrize("chunks", [3, 150])
@@ -67,12 +68,12 @@ def test_whole_table_as_one_series(spark, chunks):
 
 @pytest.mark.parametrize("block", [12, 13, 24, 25, 1000])
 def test_blocks_of_any_size_agree(spark, block):
-    check(spark, series_frame([12, 13, 1, 25, 12, 40, 2, 24]), block_rows=block, num_chunks=3)
+    check(spark, series_frame([12, 13, 1, 25, 12, 40, 2, 24]), series_bytes=0, block_rows=block, num_chunks=3)
 
 
 def test_blocks_smaller_than_the_halo_are_refused(spark):
     with pytest.raises(ValueError, match="blocks of 11"):
-        rolling_features(spark.createDataFrame(series_frame([5])), block_rows=11)
+        rolling_features(spark.createDataFrame(series_frame([5])), None, block_rows=11)
 
 
 def test_rows_without_a_series_are_one_series_in_many_blocks(spark):
@@ -87,7 +88,17 @@ def test_rows_without_a_series_are_one_series_in_many_blocks(spark):
     assert blocks.count() == 100 + 2 * 12 * 5
 
 
+def test_missing_keys_go_through_blocks_beside_usual_series(spark):
+    pdf = series_frame([40, 30, 12])
+    df = spark.createDataFrame(pdf).withColumn("series_id", F.expr("nullif(series_id, 1)"))
+    got = rolling_features(df, block_rows=12).toPandas().sort_values("event_id").reset_index(drop=True)
+    want = by_hand(pdf, "series_id")
+    for c in ROLLED:
+        np.testing.assert_allclose(got[c], want[c], atol=1e-9, err_msg=c)
+
+
 def test_an_empty_table_stays_empty(spark):
+    assert rolling_features(spark.createDataFrame(series_frame([5])).where("event_id < 0"), None).isEmpty()
     assert rolling_features(spark.createDataFrame(series_frame([5])).where("event_id < 0")).isEmpty()
 
 
