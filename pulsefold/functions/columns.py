@@ -12,6 +12,13 @@ def known(x: Column) -> Column:
     return F.nanvl(x.cast("double"), F.lit(None).cast("double"))
 
 
+def whole_number(x: Column, name: str) -> Column:
+    """`x` as an int; a fraction is an error that names the column, never cut off."""
+    value = known(x)
+    fraction = F.raise_error(F.concat(F.lit(f"{name} must be whole numbers, found "), value.cast("string"))).cast("int")
+    return F.when(value != F.floor(value), fraction).otherwise(value.cast("int"))
+
+
 def clip_glucose(x: Column) -> Column:
     """Into [40, 400]; a missing value stays missing (least/greatest would invent 400)."""
     return F.when(x < GLUCOSE_MIN, GLUCOSE_MIN).when(x > GLUCOSE_MAX, GLUCOSE_MAX).otherwise(x)

@@ -48,7 +48,7 @@ def calendar(df: DataFrame) -> DataFrame:
 
 
 def vitals(df: DataFrame, row_id: str = "event_id", seed: int = 42, made_up: bool = False) -> DataFrame:
-    """Steps and heart rates as whole numbers; text such as `71.0` counts, text that is no number is an error.
+    """Steps and heart rates as whole numbers; text such as `71.0` counts, `71.5` or text that is no number is an error.
 
     Missing ones become the declared constants, or with `made_up` repeatable draws.
     """
@@ -57,7 +57,7 @@ def vitals(df: DataFrame, row_id: str = "event_id", seed: int = 42, made_up: boo
         "heart_rate": C.synthetic_heart_rate(F.col(row_id), seed) if made_up else F.lit(FILL_VALUES["heart_rate"]).cast("int"),
     }
     return df.withColumns({
-        name: F.coalesce(F.col(name).cast("double").cast("int"), value) if name in df.columns else value
+        name: F.coalesce(C.whole_number(F.col(name), name), value) if name in df.columns else value
         for name, value in stand_in.items()
     })
 

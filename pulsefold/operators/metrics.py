@@ -6,10 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pulsefold.functions.columns import safe_ratio
 from pulsefold.operators.chunks import range_chunks
-from pulsefold.session import written_and_counted
 
 PROBABILITY_FLOOR = 1e-15
-MAX_SCORES_IN_TASK = 2_000_000
 
 # Fixed names of the round history.
 FIT_METRICS = ("train_loss", "train_accuracy", "val_loss", "val_accuracy", "val_f1", "val_auc")
@@ -47,20 +45,20 @@ def cross_entropy(scored: DataFrame, by: list[str], label: str = "label", p: str
     return scored.groupBy(*by).agg(F.avg(log_loss_of(F.col(label), F.col(p))).alias("loss"))
 
 
-def score_counts(scored: DataFrame, by: list[str], label: str = "label", p: str = "p") -> tuple[DataFrame, int]:
-    """Positives and negatives per distinct score, written once, and how many rows that is."""
+def score_counts(scored: DataFrame, by: list[str], label: str = "label", p: str = "p",
+                 num_chunks: int | None = None) -> DataFrame:
+    """Positives and negatives per distinct score, written once in ranges (`chunk`) along (`by`, score)."""
     y = F.col(label) == 1
     counts = scored.groupBy(*by, F.col(p).alias("p")).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
-    return written_and_counted(counts, "scores")
+    return range_chunks(counts, [*by, "p"], num_chunks).drop("_place")
 
 
-def area_under_roc(counts: DataFrame, rows: int, by: list[str], max_scores_in_task: int,
-                   num_chunks: int | None) -> DataFrame:
-    """Share of (positive, negative) pairs in the right order, from `score_counts`."""
-    if rows > max_scores_in_task:
-        counts = range_chunks(counts, [*by, "p"], num_chunks)
-    else:
-        counts = counts.withColumn("chunk", F.lit(0))
+def area_under_roc(counts: DataFrame, by: list[str]) -> DataFrame:
+    """Share of (positive, negative) pairs in the right order, from `score_counts`.
+
+    Within a range of scores a running sum tells how many negatives a positive beats; of the ranges before it
+    only their number of negatives is needed. No task holds more than one range of one group.
+    """
     lower = Window.partitionBy(*by, "chunk").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
     beaten = F.coalesce(F.sum("neg").over(lower), F.lit(0)) + F.col("neg") / 2
     parts = counts.withColumn("won", F.col("pos") * beaten).groupBy(*by, "chunk").agg(
@@ -75,23 +73,18 @@ def area_under_roc(counts: DataFrame, rows: int, by: list[str], max_scores_in_ta
 
 
 def roc_auc(scored: DataFrame, by: list[str], label: str = "label", p: str = "p",
-            max_scores_in_task: int = MAX_SCORES_IN_TASK, num_chunks: int | None = None) -> DataFrame:
-    """Exact area under the ROC curve per group, ties counted half; one class only gives 0.
-
-    With few distinct scores a running sum over each group is enough; with many, the scores
-    are cut into ranges and a range only needs the number of negatives before it.
-    """
-    counts, rows = score_counts(scored, by, label, p)
-    return area_under_roc(counts, rows, by, max_scores_in_task, num_chunks)
+            num_chunks: int | None = None) -> DataFrame:
+    """Exact area under the ROC curve per group, ties counted half; one class only gives 0."""
+    return area_under_roc(score_counts(scored, by, label, p, num_chunks), by)
 
 
-def evaluation(scored: DataFrame, by: list[str], max_scores_in_task: int = MAX_SCORES_IN_TASK) -> DataFrame:
+def evaluation(scored: DataFrame, by: list[str], num_chunks: int | None = None) -> DataFrame:
     """num_examples, loss, accuracy, precision, recall, f1 and auc per group, in one pass over the rows.
 
     Expects `label` and the probability `p` of class 1; above 0.5 counts as class 1. Every
     figure follows from the counts per distinct score. `by` must not be empty.
     """
-    counts, rows = score_counts(scored, by)
+    counts = score_counts(scored, by, num_chunks=num_chunks)
     # With p given, a positive costs -ln p and a negative -ln (1 - p).
     cost = F.col("pos") * log_loss_of(F.lit(1), F.col("p")) + F.col("neg") * log_loss_of(F.lit(0), F.col("p"))
     over = F.col("p") > 0.5
@@ -102,7 +95,7 @@ def evaluation(scored: DataFrame, by: list[str], max_scores_in_task: int = MAX_S
         F.sum(F.when(over, 0).otherwise(F.col("neg"))).alias("tn"),
         (F.sum(cost) / F.sum(F.col("pos") + F.col("neg"))).alias("loss"),
     )
-    auc = area_under_roc(counts, rows, by, max_scores_in_task, None)
+    auc = area_under_roc(counts, by)
     return with_ratios(totals).join(auc, by).select(
         *by, "num_examples", "loss", "accuracy", "precision", "recall", "f1", "auc"
     )

@@ -328,6 +328,8 @@ ORACLE_SQL = {
       CASE WHEN isodow(ts) IN (6, 7) THEN 1 ELSE 0 END AS is_weekend FROM events""",
     "regular_times": """SELECT event_id, strftime(TIMESTAMP '2024-01-01 00:00:00'
       + to_minutes(5 * (row_number() OVER (ORDER BY event_id) - 1)), '%Y-%m-%d %H:%M:%S') AS ts FROM events""",
+    "glucose_aliases": with_(RAW) + """ SELECT event_id, found_as, round(raw_glucose, 6) AS glucose
+      FROM raw, (VALUES ('glucose'), ('bg'), ('blood_glucose'), ('glucose_value'), ('CGM')) AS names(found_as)""",
     "category_stream": with_(RAW) + """ SELECT event_id, CASE WHEN raw_glucose < 70 THEN 'low'
       WHEN raw_glucose > 180 THEN 'high' ELSE 'normal' END AS glucose_category FROM raw""",
     "category_batch": with_(RAW) + """ SELECT event_id, CASE WHEN raw_glucose <= 0 OR raw_glucose > 500 THEN NULL
@@ -378,9 +380,9 @@ ORACLE_SQL = {
     + f" SELECT institution, event_id, {SPREAD}, hypo_risk FROM scaled",
     "scaled_stages": with_(*FEAT, scaled("stddev_samp", "")) + f" SELECT event_id, {SPREAD}, hypo_risk FROM scaled",
     "scaled_on_train": with_(*FEAT, ranked("feat", "PARTITION BY institution"), """stat AS (
-      SELECT institution, """ + ", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_d" for c in FEATURES[:4])
+      SELECT institution, """ + ", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_d" for c in FEATURES)
         + " FROM ranked WHERE rn <= floor(0.8::DOUBLE * total) GROUP BY institution)")
-    + " SELECT event_id, " + ", ".join(f"round(({c} - {c}_m) / {c}_d, 6) AS {c}" for c in FEATURES[:4])
+    + " SELECT event_id, " + ", ".join(f"round(coalesce(({c} - {c}_m) / nullif({c}_d, 0), 0.0), 6) AS {c}" for c in FEATURES)
     + " FROM feat JOIN stat USING (institution)",
     "union_of_institutions": with_(*FEAT, POPULATION) + f" SELECT event_id, {SPREAD}, hypo_risk FROM scaled",
     "confusion_by_institution": with_(*FEAT, SCORED, CONFUSION)

@@ -29,7 +29,7 @@ from pulsefold.plans.federated import (
     FederatedResult, RoundSettings, client_table, kept_rounds, local_updates, logistic_rounds, merge_shards, score_global, train_federated, LOCAL,
 )
 from pulsefold.plans.synchronous import StepSettings
-from pulsefold.schema import EVENTS_SCHEMA, FEATURE_COLUMNS, KEYED_STREAM_SCHEMA, LABEL, ORDER
+from pulsefold.schema import EVENTS_SCHEMA, FEATURE_COLUMNS, GLUCOSE_ALIASES, KEYED_STREAM_SCHEMA, LABEL, ORDER
 from pulsefold.session import shared_path, written
 from pulsefold.sources.readings import events_as_readings, read_csv, read_jsonl, read_parquet, readings
 from pulsefold.sources.sinks import as_json_rows, write_by_institution, write_csv, write_jsonl, write_replay
@@ -108,6 +108,17 @@ def clean_median_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_and_clip(readings(spark, sf_dir)).select("event_id", F.round("glucose", 6).alias("glucose"))
 
 
+def glucose_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings under every known name of the glucose column, beside columns with the names that rank behind it."""
+    raw = readings(spark, sf_dir)
+    found = []
+    for k, alias in enumerate(GLUCOSE_ALIASES):
+        behind = [F.lit(-1.0).alias(name) for name in GLUCOSE_ALIASES[k + 1:]]
+        named = raw.select("event_id", *behind, F.col("glucose").alias(alias))
+        found.append(resolve_glucose(named).select("event_id", F.lit(alias).alias("found_as"), F.round("glucose", 6).alias("glucose")))
+    return union_institutions(found)
+
+
 def time_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_text = readings(spark, sf_dir).select("event_id", F.col("ts").cast("string").alias("timestamp"))
     parsed = calendar(resolve_time(as_text))
@@ -248,15 +259,15 @@ def scaled_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scaled_on_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scaler fitted on training rows only."""
     rows = split_train_val(features(spark, sf_dir), ["institution"])
-    scaled = standardise(rows, ["institution"], ("glucose", *ROLLED), fit_on=F.col("is_train"))
-    return rounded(scaled.select("event_id", "glucose", *ROLLED), "glucose", *ROLLED)
+    scaled = standardise(rows, ["institution"], fit_on=F.col("is_train"))
+    return rounded(scaled.select("event_id", *FEATURE_COLUMNS), *FEATURE_COLUMNS)
 
 
 def union_of_institutions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = written(training_rows(spark, sf_dir), "ml")
-    names = sorted(r["institution"] for r in rows.select("institution").distinct().collect())
-    parts = [rows.where(F.col("institution") == name) for name in names]
-    return spread(union_institutions(parts), "event_id")
+    """The stored tables of all institutions in one scan, however many they are."""
+    path = shared_path(spark, "ml")
+    write_by_institution(training_rows(spark, sf_dir), path)
+    return spread(read_parquet(spark, path), "event_id")
 
 
 # Model quality
@@ -278,9 +289,9 @@ def roc_auc_by_institution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roc_auc_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Continuous scores, too many for one task by the given limit."""
+    """Continuous scores: as many distinct values as rows."""
     rows = features(spark, sf_dir).select("institution", F.col(LABEL).alias("label"), (-F.round("glucose_ma_1h", 6)).alias("p"))
-    return rounded(M.roc_auc(rows, ["institution"], max_scores_in_task=500), "auc")
+    return rounded(M.roc_auc(rows, ["institution"]), "auc")
 
 
 def cross_entropy_by_institution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -688,7 +699,7 @@ def hooked_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    csv_jsonl_roundtrip, ml_table_roundtrip, ml_input_dimension, glucose_median, clean_median_clip, time_features,
+    csv_jsonl_roundtrip, ml_table_roundtrip, ml_input_dimension, glucose_aliases, glucose_median, clean_median_clip, time_features,
     regular_times, category_stream, category_batch, hypo_labels, constant_fill, synth_vitals, processed_table,
     rolling_by_series, rolling_short_series, rolling_long_series, rolling_whole_table, stats_global,
     stats_by_institution, record_count_by_institution, class_counts, class_weight_table, class_weighted_rows,

@@ -73,6 +73,9 @@ def test_vitals_keep_supplied_values(frame):
     assert drawn[2]["steps"] == 71 and 0 <= drawn[3]["steps"] < 100 and 60 <= drawn[1]["heart_rate"] < 120
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         vitals(frame("event_id long, steps string", (1, "many"))).collect()
+    with pytest.raises(Exception, match="heart_rate must be whole numbers, found 71.5"):
+        vitals(frame("event_id long, heart_rate string", (1, "71.0"), (2, "71.5"))).collect()
+    assert vitals(frame("event_id long, heart_rate double", (1, 71.0), (2, math.nan))).orderBy("event_id").toPandas()["heart_rate"].tolist() == [71, 75]
 
 
 def test_preprocess_matches_pandas(spark):

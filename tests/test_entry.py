@@ -9,7 +9,7 @@ from pulsefold.plans.queries import QUERIES
 
 TABLES = ("events", "embeddings")
 CHECKED = (
-    "processed_table", "clean_median_clip", "synth_vitals", "round_history", "network_scores", "network_step", "rolling_short_series", "rolling_long_series", "constant_fill",
+    "processed_table", "clean_median_clip", "glucose_aliases", "scaled_on_train", "union_of_institutions", "roc_auc_by_institution", "synth_vitals", "round_history", "network_scores", "network_step", "rolling_short_series", "rolling_long_series", "constant_fill",
     "institution_split", "train_val_split", "scaled_population", "roc_auc_in_ranges", "weighted_client_metrics",
     "best_round", "client_sample", "fedavg_embeddings", "stream_stats", "stream_series_stats", "stream_restart",
     "fed_mlp_exact", "central_logistic", "compare_models",
