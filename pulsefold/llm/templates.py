@@ -6,7 +6,8 @@ is kept if it is frequent (on at least half of the host's pages) and nested (wha
 classes are the host's template, and what lies between template tokens are its slots. The template's content
 root is the element for articles, or else the innermost template element that holds most of the slots' text.
 A slot whose text is the same on all pages, while the root's is not, is template text too, whatever the number of pages;
-but no slot of an element for articles is dropped.
+but no slot of an element for articles is dropped, and a heading (h1 to h6) stays where other text below its parent differs
+between pages: it then heads a section of the main text.
 
 Of each page, the slots under the content root are extracted, without what is marked as menu, header, footer,
 sidebar, notice, advert, form, script, style or comments. A page chooses its own root in the same way if it lacks the host's,
@@ -58,6 +59,7 @@ MARKS = frozenset(
     "breadcrumb breadcrumbs footer cookie cookies consent notice notices alert gdpr newsletter subscribe subscription signup "
     "share sharing social comment comments reply replies disqus related recommended recommendations popup modal toolbar pagination pager".split())
 HEADS = frozenset({"header", "masthead"})
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog".split())
 
 TOKENS = re.compile(
@@ -68,15 +70,15 @@ WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    """An open element: its tag, its token, and if it is beside the main text or inside an element for it."""
+    """An open element: its tag, its token, and if it is beside the main text, inside an element for it or inside a heading."""
 
-    __slots__ = ("tag", "token", "parent", "beside", "content")
+    __slots__ = ("tag", "token", "parent", "beside", "content", "heading")
 
-    def __init__(self, tag: str, token: int, parent: int, beside: bool, content: bool):
-        self.tag, self.token, self.parent, self.beside, self.content = tag, token, parent, beside, content
+    def __init__(self, tag: str, token: int, parent: int, beside: bool, content: bool, heading: bool):
+        self.tag, self.token, self.parent, self.beside, self.content, self.heading = tag, token, parent, beside, content, heading
 
 
-TOP = Node("", 0, 0, False, False)
+TOP = Node("", 0, 0, False, False, False)
 
 
 class Reader:
@@ -100,7 +102,7 @@ class Reader:
         # A header inside an article is the article's own.
         if head and not above.content:
             beside = True
-        return Node(tag, token, above.token, above.beside or beside, above.content or tag in CONTENT)
+        return Node(tag, token, above.token, above.beside or beside, above.content or tag in CONTENT, above.heading or tag in HEADINGS)
 
     def walk(self, page: str):
         """("open", node), ("close", node) and ("text", node stack, text) in page order."""
@@ -138,11 +140,11 @@ class Reader:
             yield "open", node, ""
 
     def tokens(self, page: str) -> dict[int, list]:
-        """token -> parent, occurrences, order, beside, content, characters of main text under it, hash of its own text."""
+        """token -> parent, occurrences, order, beside, content, characters of main text under it, its own text, within a heading."""
         found: dict[int, list] = {}
         for what, node, text in self.walk(page):
             if what == "open":
-                row = found.setdefault(node.token, [node.parent, 0, len(found), node.beside, node.tag in CONTENT, 0, []])
+                row = found.setdefault(node.token, [node.parent, 0, len(found), node.beside, node.tag in CONTENT, 0, [], node.heading])
                 row[1] += 1
             elif what == "text" and len(node) > 1 and (words := text.split()):
                 found[node[-1].token][6].append(" ".join(words))
@@ -223,13 +225,20 @@ def _above(token: int, rows: dict, wanted: set[int]) -> bool:
     return False
 
 
+def _all_above(token: int, rows: dict) -> list[int]:
+    out = []
+    while (token := rows[token][0]) in rows:
+        out.append(token)
+    return out
+
+
 def deduce(tokens: DataFrame, settings: Settings) -> DataFrame:
     """host, roots, fixed, kept: the content root, the fixed slots and all tokens of every host's template."""
     pages = tokens.where("token = 0").groupBy("host").agg(F.count("*").alias("pages"))
     vectors = tokens.where("token <> 0").groupBy("host", "token").agg(
         F.bit_xor(F.xxhash64("page", "count")).alias("vector"), F.count("*").alias("support"),
         F.min("parent").alias("parent"), F.avg("place").alias("place"), F.max("beside").alias("beside"), F.max("content").alias("content"),
-        F.avg("chars").alias("chars"), (F.min("own") == F.max("own")).alias("same"))
+        F.max("heading").alias("heading"), F.avg("chars").alias("chars"), (F.min("own") == F.max("own")).alias("same"))
     frequent = vectors.join(pages, "host").where(F.col("support") >= settings.support * F.col("pages"))
 
     def nest(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -251,8 +260,18 @@ def deduce(tokens: DataFrame, settings: Settings) -> DataFrame:
         whole = table["pages"].iloc[0]
         varies = any(not table.loc[t, "same"] for t in kept if t in roots or _above(t, kept, set(roots)))
         articles = {t for t, x in kept.items() if x[2]}
+        # Headings stay where a section does: something else below the same parent varies.
+        headings = {t for t in kept if table.loc[t, "heading"]}
+        told = {t for t in kept if t not in headings and not kept[t][1] and not table.loc[t, "same"]}
+        sections = told | {p for t in told for p in _all_above(t, kept)}
+
+        def heads(t: int) -> bool:
+            while kept[t][0] in headings:
+                t = kept[t][0]
+            return kept[t][0] in sections
+
         fixed = [t for t in kept if varies and table.loc[t, "same"] and table.loc[t, "support"] == whole
-                 and t not in articles and not _above(t, kept, articles)]
+                 and t not in articles and not _above(t, kept, articles) and not (t in headings and heads(t))]
         return pd.DataFrame({"host": [pdf["host"].iloc[0]], "roots": [roots], "fixed": [fixed], "kept": [list(kept)]})
 
     return frequent.groupBy("host").applyInPandas(nest, "host string, roots array<long>, fixed array<long>, kept array<long>")
@@ -267,20 +286,20 @@ def main_text(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
     def tokenised(batches):
         reader = Reader()
         schema = pa.schema([("host", pa.string()), ("page", pa.int64()), ("token", pa.int64()), ("parent", pa.int64()), ("count", pa.int64()),
-                            ("place", pa.int64()), ("beside", pa.bool_()), ("content", pa.bool_()), ("chars", pa.int64()), ("own", pa.int64())])
+                            ("place", pa.int64()), ("beside", pa.bool_()), ("content", pa.bool_()), ("chars", pa.int64()), ("own", pa.int64()), ("heading", pa.bool_())])
         for batch in batches:
             for begin in range(0, len(batch), 500):
                 out = [[] for _ in schema]
                 for host, page, text in zip(*(c.to_pylist() for c in batch.slice(begin, 500).columns), strict=True):
-                    found = {0: [0, 1, -1, False, False, 0, []]} | reader.tokens(text or "")
-                    for token, (parent, count, place, beside, content, chars, own) in found.items():
+                    found = {0: [0, 1, -1, False, False, 0, [], False]} | reader.tokens(text or "")
+                    for token, (parent, count, place, beside, content, chars, own, heading) in found.items():
                         own = int.from_bytes(hashlib.blake2b("\n".join(own).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True) if own else 0
-                        for column, value in zip(out, (host, page, token, parent, count, place, beside, content, chars, own), strict=True):
+                        for column, value in zip(out, (host, page, token, parent, count, place, beside, content, chars, own, heading), strict=True):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
     tokens = rows.select("host", F.xxhash64("page_id", "html").alias("page"), "html").mapInArrow(
-        tokenised, "host string, page long, token long, parent long, count long, place long, beside boolean, content boolean, chars long, own long")
+        tokenised, "host string, page long, token long, parent long, count long, place long, beside boolean, content boolean, chars long, own long, heading boolean")
     tokens = stored(tokens, "page-tokens")
     templates = stored(deduce(tokens, settings), "templates")
     size = templates.agg(F.sum(F.size("roots") + F.size("fixed") + F.size("kept") + 1)).first()[0] or 0

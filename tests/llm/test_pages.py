@@ -80,3 +80,11 @@ def test_several_layouts_on_a_host(spark, frame):
     body = lambda k: f"Head {k}\n" + " ".join([f"word{k}"] * 30) + "\nend"
     want = {k: (f"See {k}\n" if k in (47, 48) else "") + body(k) for k, *_ in rows}
     assert texts(spark, frame, rows) == want
+
+
+def test_headings_stay_where_their_section_does(spark, frame):
+    page = """<html><body><div class="brand"><h3>Daily</h3></div><div class="wrap"><div class="story"><h1>Head {k}</h1><h2>Summary</h2><p>{long}</p>
+<h2><span>Details</span></h2><p>More {k} text here</p></div><div class="label"><h4>Filed under</h4><p>news</p></div></div></body></html>"""
+    rows = [(k, f"http://h.example/{k}", page.format(k=k, long=f"word{k} " * 80)) for k in range(12)]
+    got = texts(spark, frame, rows)
+    assert got == {k: f"Head {k}\nSummary\n" + " ".join([f"word{k}"] * 80) + f"\nDetails\nMore {k} text here" for k in range(12)}
