@@ -32,7 +32,7 @@ from pulsefold.plans.synchronous import StepSettings
 from pulsefold.schema import EVENTS_SCHEMA, FEATURE_COLUMNS, GLUCOSE_ALIASES, KEYED_STREAM_SCHEMA, LABEL, ORDER
 from pulsefold.session import shared_path, written
 from pulsefold.sources.readings import events_as_readings, read_csv, read_jsonl, read_parquet, readings
-from pulsefold.sources.sinks import as_json_rows, write_by_institution, write_csv, write_jsonl, write_replay
+from pulsefold.sources.sinks import as_json_rows, replay_records, write_by_institution, write_csv, write_jsonl, write_replay
 from pulsefold.streaming import flow
 
 KEYS = ("institution", "series_id", "event_id")
@@ -458,7 +458,8 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _json_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 500) -> DataFrame:
     source = shared_path(spark, "replay")
-    write_replay(feed(spark, sf_dir), source)
+    # Counting the readings costs no more than their file footers.
+    write_replay(feed(spark, sf_dir), source, records_per_file=replay_records(readings(spark, sf_dir).count()))
     return flow.enrich(flow.json_source(spark, source, KEYED_STREAM_SCHEMA, files_per_trigger))
 
 

@@ -15,6 +15,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 JSON_DECIMALS = 10
+# A replay has at most about so many files, and its files at most so many rows.
+REPLAY_FILES, REPLAY_MOST_RECORDS = 4_000, 100_000
 
 
 @contextmanager
@@ -84,6 +86,15 @@ def write_by_institution(df: DataFrame, path: str, by: str = "institution") -> N
         clustered(df, by).write.partitionBy(by).parquet(fresh)
 
 
+def replay_records(rows: int, least: int = 100) -> int:
+    """Rows a file of a replay of `rows` rows: `least`, until that would make more than `REPLAY_FILES` files.
+
+    Every file costs a listing, an entry in the stream's log and a rename, and a trigger takes files by number, so with files of
+    one size the batches of a replay would grow with the table. Beyond `REPLAY_MOST_RECORDS` they do.
+    """
+    return max(least, min(-(-rows // REPLAY_FILES), REPLAY_MOST_RECORDS))
+
+
 def write_replay(df: DataFrame, path: str, order: tuple[str, ...] = ("timestamp",), records_per_file: int = 100) -> None:
     """Cut a table into small JSON files in time order, as food for a streaming source.
 

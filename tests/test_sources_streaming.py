@@ -11,6 +11,8 @@ from pulsefold.plans.federated import RoundSettings
 from pulsefold.schema import FILL_VALUES, NA_TOKENS, PROCESSED_COLUMNS, STREAM_SCHEMA
 from pulsefold.session import shared_root
 from pulsefold.sources.readings import number_rows, read_csv, read_jsonl
+from pulsefold.plans import queries
+from pulsefold.sources import sinks
 from pulsefold.sources.sinks import write_by_institution, write_csv, write_jsonl, write_replay
 from pulsefold.streaming import flow
 
@@ -87,6 +89,22 @@ def test_replay_files_are_small_ordered_and_whole(spark, feed, tmp_path):
         assert times == sorted(times)
 
 
+@pytest.mark.parametrize("most, records", [(4_000, 100), (5, 50)])
+def test_replay_files_are_bounded_however_long_the_table(spark, tmp_path, monkeypatch, most, records):
+    monkeypatch.setattr(sinks, "REPLAY_FILES", most)
+    spark.range(2_000).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, id) as ts", "id % 7 as user_id",
+        "'view' as event_type", "cast(id % 90 as double) + 30 as value", "'{\"k\": 1}' as props",
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    source = str(tmp_path / "replay")
+    monkeypatch.setattr(queries, "shared_path", lambda *_: source)
+    queries._json_stream(spark, str(tmp_path))
+    sizes = [len(f.read_text().splitlines()) for f in Path(source).glob("*.json")]
+    # The ranges of the writer may each end in a short file.
+    assert sum(sizes) == 2_000 and max(sizes) <= max(records, 2_000 / most)
+    assert len(sizes) <= min(most, 2_000 // 100) + int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_stream_equals_batch(spark, feed, tmp_path):
     write_replay(feed, str(tmp_path / "in"), records_per_file=50)
     stream = flow.enrich(flow.json_source(spark, str(tmp_path / "in")))
