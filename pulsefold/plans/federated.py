@@ -18,7 +18,7 @@ from pulsefold.operators.averaging import average_params, finite_params
 from pulsefold.operators.features import input_dimension
 from pulsefold.operators.joins import attach
 from pulsefold.operators.metrics import evaluation, round_history, weighted_metrics
-from pulsefold.operators.splits import sample_clients, split_train_val
+from pulsefold.operators.splits import SEED, sample_clients, split_train_val
 from pulsefold.operators.stats import class_weights
 from pulsefold.plans import synchronous
 from pulsefold.plans.synchronous import StepSettings, epoch_metrics, train_synchronous
@@ -129,6 +129,13 @@ def client_table(ml: DataFrame, settings: RoundSettings, row_id: str = "event_id
     ), shards
 
 
+def in_shards(rows: DataFrame, rows_per_shard: int, row_id: str = "event_id", seed: int = SEED) -> DataFrame:
+    """`rows` plus a `shard` of about `rows_per_shard` rows of an institution. `rows` is read twice, so it should be a stored table."""
+    counts = rows.groupBy("institution").agg(F.ceil(F.count("*") / rows_per_shard).cast("int").alias("_shards"))
+    shard = F.pmod(F.xxhash64(F.col(row_id), F.lit(seed)), F.col("_shards")).cast("int")
+    return attach(rows, counts, ["institution"], "inner").withColumn("shard", shard).drop("_shards")
+
+
 def bucketed(rows: DataFrame, shards: int) -> tuple[DataFrame, str]:
     """Store the client table bucketed by (institution, shard): rounds then need no shuffle of it.
 

@@ -26,7 +26,7 @@ from pulsefold.plans.central import (
     MEASURES, compare, compare_on_same_rows, held_out_metrics, train_central, train_central_steps, union_institutions,
 )
 from pulsefold.plans.federated import (
-    FederatedResult, RoundSettings, client_table, kept_rounds, local_updates, logistic_rounds, merge_shards, score_global, train_federated, LOCAL,
+    FederatedResult, RoundSettings, client_table, in_shards, kept_rounds, local_updates, logistic_rounds, merge_shards, score_global, train_federated, LOCAL,
 )
 from pulsefold.plans.synchronous import StepSettings
 from pulsefold.schema import EVENTS_SCHEMA, FEATURE_COLUMNS, GLUCOSE_ALIASES, KEYED_STREAM_SCHEMA, LABEL, ORDER
@@ -591,7 +591,8 @@ def network_step(spark: SparkSession, sf_dir: str) -> DataFrame:
         return pd.DataFrame([[key[0], int(key[1]), len(y), new.tolist(), float(loss), float((p.argmax(axis=1) == y).mean())]], columns=[
             "institution", "shard", "num_examples", "params", "train_loss", "train_accuracy"])
 
-    rows = client_rows(spark, sf_dir)
+    # The mean slope of an institution is the mean of its shards' by examples, so shards bound what a task holds.
+    rows = in_shards(written(client_rows(spark, sf_dir).drop("shard"), "clients"), RoundSettings().rows_per_shard)
     updates = local_updates(rows, fixed_params(), dims, RoundSettings(), 1, {"learning_rate": 0.5}, step)
     return _positions(average_params(merge_shards(updates), []))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pulsefold.functions import network
 from pulsefold.operators.averaging import average_params, finite_params
+from pulsefold.plans import queries
 from pulsefold.plans.central import compare, train_central
 from pulsefold.plans.federated import (
     RoundSettings, client_table, bucketed, finished_rounds, load_model, local_updates, logistic_rounds, save_model,
@@ -82,6 +83,23 @@ def test_shards_are_bounded_and_whole(ml):
     assert sorted(round(r[1]) for r in weights) == [150, 300, 450]
 
 
+def test_a_step_holds_a_shard_and_not_an_institution(spark, events_dir, monkeypatch):
+    def values():
+        return [r["value"] for r in queries.network_step(spark, events_dir).orderBy("pos").collect()]
+
+    whole = values()
+    met, plain = [], queries.local_updates
+
+    def noted(rows, *rest):
+        met.extend(rows.groupBy("institution", "shard").count().collect())
+        return plain(rows, *rest)
+
+    monkeypatch.setattr(queries, "local_updates", noted)
+    monkeypatch.setattr(queries, "RoundSettings", lambda: RoundSettings(rows_per_shard=50))
+    assert values() == pytest.approx(whole, abs=2e-6)
+    assert sum(r["count"] for r in met) == 1000 and max(r["count"] for r in met) < 100
+
+
 def test_rounds_do_not_shuffle_the_client_table(ml):
     rows, _ = bucketed(*client_table(ml, QUICK))
     updates = local_updates(rows.where("is_train"), network.initial_params((4, 8, 2), 0), (4, 8, 2), QUICK, 1)
