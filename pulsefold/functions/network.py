@@ -56,27 +56,116 @@ def gradient(params, dims, x, y, w, keep=1.0, rng=None):
     return loss, probabilities, np.concatenate(pieces)
 
 
+STEPS_DRAWN = 4
+
+
+class Steps:
+    """`gradient` and Adam for batches of one size, in arrays that all steps share: the same sums in the same order.
+
+    `weights` and `slopes` are views per layer of the flat parameters and of the flat gradient.
+    """
+
+    def __init__(self, params, dims, size, keep):
+        self.layers, self.slope, self.keep = unflatten(params, dims), np.empty_like(params), keep
+        self.slopes = unflatten(self.slope, dims)
+        self.sides = [(weights, weights.T, biases, *into) for (weights, biases), into in zip(self.layers, self.slopes)]
+        self.hidden = [np.empty((size, width)) for width in dims[1:-1]]
+        self.deltas = [np.empty((size, width)) for width in dims[1:-1]]
+        self.active = [np.empty((size, width), dtype=bool) for width in dims[1:-1]]
+        self.z, self.top = np.empty((size, dims[-1])), np.empty((size, 1))
+        self.widths, self.rows = dims[1:-1], np.arange(size)
+        ends = np.cumsum([size * width for width in self.widths], dtype=int)
+        self.drawn = np.empty((STEPS_DRAWN, size * sum(self.widths)))
+        self.kept = np.empty(self.drawn.shape, dtype=bool)
+        self.views = [[m.reshape(size, -1) for m in np.split(one, ends[:-1])] for one in self.drawn]
+
+    def masks(self, steps, rng):
+        """The dropout masks of some steps: drawn at once, in the order in which `run_layers` draws them."""
+        if self.keep == 1.0:
+            return [[None] * len(self.widths)] * steps
+        drawn = rng.random(out=self.drawn[:steps])
+        np.multiply(np.less(drawn, self.keep, out=self.kept[:steps]), 1.0 / self.keep, out=drawn)
+        return self.views[:steps]
+
+    def __call__(self, x, y, share, masks, probabilities):
+        """Leave the gradient of one batch in `slope` and what the network says of it in `probabilities`."""
+        inputs = [x]
+        for (weights, _, biases, _, _), mask, out in zip(self.sides, masks, self.hidden):
+            np.matmul(inputs[-1], weights, out=out)
+            out += biases
+            np.maximum(out, 0.0, out=out)
+            if mask is not None:
+                out *= mask
+            inputs.append(out)
+        z, top = self.z, self.top
+        np.matmul(inputs[-1], self.sides[-1][0], out=z)
+        z += self.sides[-1][2]
+        np.maximum.reduce(z, axis=1, keepdims=True, out=top)
+        z -= top
+        np.exp(z, out=z)
+        np.add.reduce(z, axis=1, keepdims=True, out=top)
+        delta = np.divide(z, top, out=z)
+        probabilities[:] = delta
+        delta[self.rows, y] -= 1.0
+        delta *= share
+        for i in range(len(self.sides) - 1, -1, -1):
+            _, turned, _, slope, bias = self.sides[i]
+            np.matmul(inputs[i].T, delta, out=slope)
+            np.add.reduce(delta, axis=0, out=bias)
+            if i:
+                delta = np.matmul(delta, turned, out=self.deltas[i - 1])
+                delta *= np.greater(inputs[i], 0, out=self.active[i - 1])
+                if masks[i - 1] is not None:
+                    delta *= masks[i - 1]
+
+
 def train(params, dims, x, y, w, epochs, batch_size, learning_rate, dropout, rng, held_out=None):
     """Mini-batch Adam. Returns the new parameters and (loss, accuracy, held-out loss, held-out accuracy) of every
     epoch; `held_out` are features and labels measured after each epoch (none: the last two are None)."""
     params = np.array(params, dtype=float)
     first, second, step, history = np.zeros_like(params), np.zeros_like(params), 0, []
+    part, size = np.empty_like(params), np.empty_like(params)
+    whole = len(y) // batch_size * batch_size
+    # The full batches of an epoch, then the rest of it as a batch of its own size.
+    runs = [(a, b, min(b - a, batch_size)) for a, b in ((0, whole), (whole, len(y))) if b > a]
+    steps_of = {rows: Steps(params, dims, rows, 1.0 - dropout) for _, _, rows in runs}
+    p = np.empty((len(y), dims[-1]))
     for _ in range(epochs):
-        order, losses, right = rng.permutation(len(y)), [], 0
-        for start in range(0, len(y), batch_size):
-            pick = order[start:start + batch_size]
-            loss, p, g = gradient(params, dims, x[pick], y[pick], w[pick], 1.0 - dropout, rng)
-            step += 1
-            first += 0.1 * (g - first)
-            second += 0.001 * (g * g - second)
-            params -= learning_rate / (1 - 0.9**step) * first / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-            losses.append(loss)
-            right += int((p.argmax(axis=1) == y[pick]).sum())
+        order, losses = rng.permutation(len(y)), []
+        xs, ys, ws = x[order], y[order], w[order]
+        for a, b, rows in runs:
+            steps, each = steps_of[rows], ws[a:b].reshape(-1, rows)
+            shares = each / each.sum(axis=1, keepdims=True)
+            columns = shares[:, :, None]
+            count = len(each)
+            for k in range(count):
+                if k % STEPS_DRAWN == 0:
+                    masks = steps.masks(min(STEPS_DRAWN, count - k), rng)
+                at, to = a + k * rows, a + (k + 1) * rows
+                steps(xs[at:to], ys[at:to], columns[k], masks[k % STEPS_DRAWN], p[at:to])
+                step += 1
+                g = steps.slope
+                np.subtract(g, first, out=part)
+                np.multiply(part, 0.1, out=part)
+                np.add(first, part, out=first)
+                np.multiply(g, g, out=part)
+                np.subtract(part, second, out=part)
+                np.multiply(part, 0.001, out=part)
+                np.add(second, part, out=second)
+                np.divide(second, 1 - 0.999**step, out=size)
+                np.sqrt(size, out=size)
+                np.add(size, 1e-8, out=size)
+                np.multiply(first, learning_rate / (1 - 0.9**step), out=part)
+                np.divide(part, size, out=part)
+                np.subtract(params, part, out=params)
+            said = np.maximum(p[np.arange(a, b), ys[a:b]], 1e-15).reshape(-1, rows)
+            losses.extend(-(shares * np.log(said)).sum(axis=1))
+        right = int((p.argmax(axis=1) == ys).sum())
         after = (None, None)
         if held_out is not None and len(held_out[1]):
-            p, truth = positive_probability(params, dims, held_out[0]), held_out[1]
-            cost = -np.log(np.maximum(np.where(truth == 1, p, 1 - p), 1e-15)).mean()
-            after = (float(cost), float(((p > 0.5) == (truth == 1)).mean()))
+            sure, truth = positive_probability(params, dims, held_out[0]), held_out[1]
+            cost = -np.log(np.maximum(np.where(truth == 1, sure, 1 - sure), 1e-15)).mean()
+            after = (float(cost), float(((sure > 0.5) == (truth == 1)).mean()))
         history.append((float(np.mean(losses)), right / len(y), *after))
     return params, history
 

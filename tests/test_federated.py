@@ -100,6 +100,26 @@ def test_a_step_holds_a_shard_and_not_an_institution(spark, events_dir, monkeypa
     assert sum(r["count"] for r in met) == 1000 and max(r["count"] for r in met) < 100
 
 
+@pytest.mark.parametrize("dims, rows, size, dropout", [((4, 8, 5, 2), 101, 32, 0.3), ((4, 8, 2), 64, 32, 0.0), ((4, 2), 5, 32, 0.3), ((3, 6, 3), 50, 7, 0.5)])
+def test_training_takes_the_steps_of_the_gradient(dims, rows, size, dropout):
+    rng = np.random.default_rng(3)
+    x, y, w = rng.normal(size=(rows, dims[0])), rng.integers(0, dims[-1], rows), rng.random(rows) + 0.5
+    start = network.initial_params(dims, 1)
+    got, history = network.train(start, dims, x, y, w, 2, size, 0.01, dropout, np.random.default_rng(5))
+    params, first, second, step, draws = start.copy(), 0.0, 0.0, 0, np.random.default_rng(5)
+    for epoch in range(2):
+        order, losses, right = draws.permutation(rows), [], 0
+        for pick in np.split(order, range(size, rows, size)):
+            loss, p, g = network.gradient(params, dims, x[pick], y[pick], w[pick], 1.0 - dropout, draws)
+            step += 1
+            first, second = first + 0.1 * (g - first), second + 0.001 * (g * g - second)
+            params = params - 0.01 / (1 - 0.9**step) * first / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+            losses.append(loss)
+            right += (p.argmax(axis=1) == y[pick]).sum()
+        assert history[epoch][:2] == pytest.approx((np.mean(losses), right / rows), abs=1e-12)
+    np.testing.assert_allclose(got, params, rtol=0, atol=1e-12)
+
+
 def test_rounds_do_not_shuffle_the_client_table(ml):
     rows, _ = bucketed(*client_table(ml, QUICK))
     updates = local_updates(rows.where("is_train"), network.initial_params((4, 8, 2), 0), (4, 8, 2), QUICK, 1)
