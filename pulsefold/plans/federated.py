@@ -129,11 +129,14 @@ def client_table(ml: DataFrame, settings: RoundSettings, row_id: str = "event_id
     ), shards
 
 
-def in_shards(rows: DataFrame, rows_per_shard: int, row_id: str = "event_id", seed: int = SEED) -> DataFrame:
-    """`rows` plus a `shard` of about `rows_per_shard` rows of an institution. `rows` is read twice, so it should be a stored table."""
+def in_shards(rows: DataFrame, rows_per_shard: int, seed: int = SEED) -> DataFrame:
+    """`rows` plus a `shard` of about `rows_per_shard` rows of an institution, dealt by the whole row, as ids may be missing.
+
+    `rows` is read twice, so it should be a stored table. Rows without an institution are one shard.
+    """
     counts = rows.groupBy("institution").agg(F.ceil(F.count("*") / rows_per_shard).cast("int").alias("_shards"))
-    shard = F.pmod(F.xxhash64(F.col(row_id), F.lit(seed)), F.col("_shards")).cast("int")
-    return attach(rows, counts, ["institution"], "inner").withColumn("shard", shard).drop("_shards")
+    shard = F.pmod(F.xxhash64(*rows.columns, F.lit(seed)), F.col("_shards")).cast("int")
+    return attach(rows, counts, ["institution"]).withColumn("shard", F.coalesce(shard, F.lit(0))).drop("_shards")
 
 
 def bucketed(rows: DataFrame, shards: int) -> tuple[DataFrame, str]:
