@@ -68,6 +68,20 @@ class Words:
         return mix(np.add.reduceat(values, before) ^ length.astype(np.uint64))
 
 
+    def prefixes(self, sizes: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each size, rising: the size, the numbers of the longer words, and `hashes(size)` of these."""
+        length, least, most = self.ends - self.starts, min(sizes, default=0), max(sizes, default=0)
+        at = np.flatnonzero(length > least)
+        total, powers = np.zeros(len(at), np.uint64), _powers(most)
+        for n in range(1, most + 1):
+            total = total + _BYTE[self.data[self.starts[at] + n - 1]] * powers[n - 1]
+            if n >= least:
+                longer = length[at] > n
+                at, total = at[longer], total[longer]
+            if n in sizes:
+                yield n, at, mix(total ^ np.uint64(n))
+
+
 def cut(column: pa.Array, table: np.ndarray | None = None) -> Words:
     """Words of every text in `column`; null counts as empty. `table` (LOWER, PLAIN) replaces bytes first."""
     data, offsets = utf8(column)

@@ -52,6 +52,7 @@ CHOICES = 6
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 OTHER, EDGE, SYMBOLS = 26, 27, 28
+START = (EDGE * SYMBOLS + EDGE) * SYMBOLS + EDGE
 # Accented letters count as their base letter, all further letters as one symbol.
 BASE_LETTER = str.maketrans("àâäáãåçéèêëíìîïñóòôöõúùûüÿß", "aaaaaaceeeeiiiinooooouuuuys")
 
@@ -91,6 +92,8 @@ class Channel:
 
     def __init__(self, costs: np.ndarray, settings: Settings):
         self.cost, self.settings, self.known = costs, settings, {}
+        # The same numbers for looking them up one by one.
+        self.flat, self.options = costs.ravel().tolist(), {}
 
     def restore(self, seen: str) -> str:
         out = self.known.get(seen)
@@ -172,7 +175,7 @@ class Channel:
         return out
 
     def decode(self, seen: str) -> str:
-        """The best path through the lattice of `seen`. States are the last three symbols; the best `beam` go on, which is
+        """The best path through the lattice of `seen`. States are the last three symbols, as one number; the best `beam` go on, which is
         all of them unless several hundred signs stand in a row (28**3 states at most).
 
         Scores are per path, so a shorter reading is not preferred for being short: each character dropped
@@ -184,30 +187,45 @@ class Channel:
         # One or two signs at the end may be letters; a longer tail is decoration.
         end += len(seen) - end if len(seen) - end < 3 and set(seen[end:]) <= {"@", "$"} else 0
         tail, seen = seen[end:], seen[:end]
-        paths = {(EDGE, EDGE, EDGE): (0.0, "")}
-        for at, char in enumerate(seen):
-            step: dict[tuple[int, int, int], tuple[float, str]] = {}
-
-            def offer(state, cost, out):
-                if state not in step or step[state][0] > cost:
-                    step[state] = (cost, out)
-
-            letter = char.isalpha()
-            repeated = at > 0 and seen[at - 1] == char and letter
-            options = [(char, codes(char)[0], 0.0)] if letter else [(c, ord(c) - 97, SWAP) for c in STANDS_FOR.get(char, "")]
+        paths = {START: (0.0, "")}
+        flat, before = self.flat, ""
+        for char in seen:
+            step: dict[int, tuple[float, str]] = {}
+            letter, options = self.readings_of(char)
+            repeated = letter and char == before
+            before = char
+            drop, keep = not letter and (char in SIGNS or char == " "), not letter
             for state, (cost, out) in paths.items():
+                place = state * SYMBOLS
+                moved = place % SYMBOLS**3
                 for written, symbol, more in options:
-                    offer((state[1], state[2], symbol), cost + more + self.cost[state][symbol], out + written)
-                if repeated:
-                    offer(state, cost + DROP_REPEAT, out)
-                if not letter and (char in SIGNS or char == " "):
-                    offer(state, cost + DROP_SIGN, out)
-                if not letter:
-                    offer((state[1], state[2], EDGE), cost + KEEP_SIGN + self.cost[state][EDGE], out + char)
+                    offered = cost + more + flat[place + symbol]
+                    held = step.get(moved + symbol)
+                    if held is None or held[0] > offered:
+                        step[moved + symbol] = (offered, out + written)
+                if repeated or drop:
+                    offered = cost + (DROP_REPEAT if repeated else DROP_SIGN)
+                    held = step.get(state)
+                    if held is None or held[0] > offered:
+                        step[state] = (offered, out)
+                if keep:
+                    offered = cost + KEEP_SIGN + flat[place + EDGE]
+                    held = step.get(moved + EDGE)
+                    if held is None or held[0] > offered:
+                        step[moved + EDGE] = (offered, out + char)
             paths = dict(sorted(step.items(), key=lambda x: x[1][0])[:self.settings.beam]) if len(step) > self.settings.beam else step
-        best = min(((cost + self.cost[state][EDGE], out) for state, (cost, out) in paths.items()), default=(0.0, seen))
+        best = min(((cost + flat[state * SYMBOLS + EDGE], out) for state, (cost, out) in paths.items()), default=(0.0, seen))
         return best[1] + tail
 
+    def readings_of(self, char: str) -> tuple[bool, list[tuple[str, int, float]]]:
+        """Whether a character is a letter, and what it may be read as: letter, symbol and channel cost."""
+        found = self.options.get(char)
+        if found is None:
+            letter = char.isalpha()
+            found = self.options[char] = (
+                letter, [(char, codes(char)[0], 0.0)] if letter else [(c, ord(c) - 97, SWAP) for c in STANDS_FOR.get(char, "")])
+        return found
+
 
 def character_counts(docs: DataFrame) -> DataFrame:
     """gram, n: 4-grams of the letters of all texts, one row per gram and task before they are merged."""
@@ -303,8 +321,24 @@ def suspects(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([alone, begin[runs]]), np.concatenate([alone, end[runs] - 1])
 
 
-def features_of(column: pa.Array, channel: Channel, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct feature hashes of each text with its disguised words restored, and the text of each."""
+class Wanted:
+    """Which of many hashes are among some. The last bits tell of most that they are not."""
+
+    def __init__(self, some: np.ndarray):
+        self.some, self.ends = np.sort(some), np.zeros(1 << 16, bool)
+        self.ends[some.astype(np.uint16)] = True
+
+    def among(self, hashes: np.ndarray) -> np.ndarray:
+        maybe = np.flatnonzero(self.ends[hashes.astype(np.uint16)])
+        if not len(maybe):
+            return maybe
+        there = hashes[maybe]
+        return maybe[self.some[np.minimum(np.searchsorted(self.some, there), len(self.some) - 1)] == there]
+
+
+def features_of(column: pa.Array, channel: Channel, settings: Settings, only: Wanted | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct feature hashes of each text with its disguised words restored, and the text of each. Of features not in `only`
+    nothing is kept."""
     data, offsets = utf8(column)
     words = cut_bytes(data, offsets)
     first, last = suspects(words)
@@ -313,22 +347,21 @@ def features_of(column: pa.Array, channel: Channel, settings: Settings) -> tuple
     accented = np.concatenate([[False], data[:-1] == 0xC3]) & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)
     plain[accented] += 0x20
     a, b = words.starts[first], words.ends[last]
-    whole = data.tobytes()
     also = doubtful(words)
     c, d = words.starts[also[0]], words.ends[also[1]]
-    both = pa.array(channel.restore_many([" ".join(whole[i:j].decode("utf-8", "replace").split()) for i, j in zip(c.tolist(), d.tolist(), strict=True)]), pa.string())
-    restored = pa.array(channel.restore_many([whole[i:j].decode("utf-8", "replace") for i, j in zip(a.tolist(), b.tolist(), strict=True)]), pa.string())
-    plain[spread(a, b - a)] = 0x20
-    hashes, doc = [], []
-    for some, owner in ((cut_bytes(plain, offsets), None), (cut(restored, PLAIN), words.doc[first]), (cut(both, PLAIN), words.doc[also[0]])):
-        size, of = some.ends - some.starts, some.doc if owner is None else owner[some.doc]
-        hashes.append(some.hashes())
-        doc.append(of)
-        for n in settings.prefixes:
-            longer = size > n
-            hashes.append(some.hashes(n)[longer] ^ np.uint64(n))
-            doc.append(of[longer])
-    hashes, doc = np.concatenate(hashes), np.concatenate(doc)
+    plain_words = cut_bytes(spread_blank(plain, a, b), offsets)
+    found = [_hashed(plain_words, settings, only)]
+    for begin, end, doc, joined in ((a, b, words.doc[first], False), (c, d, words.doc[also[0]], True)):
+        # What is seen more than once is restored and hashed once.
+        seen = stretches(data, begin, end).dictionary_encode()
+        distinct = seen.dictionary.to_pylist()
+        restored = pa.array(channel.restore_many([" ".join(x.split()) for x in distinct] if joined else distinct), pa.string())
+        hashes, which = _hashed(cut(restored, PLAIN), settings, only)
+        index = seen.indices.to_numpy()
+        times = np.bincount(index, minlength=len(distinct))
+        places = doc[np.argsort(index, kind="stable")]
+        found.append((np.repeat(hashes, times[which]), places[spread((np.cumsum(times) - times)[which], times[which])]))
+    hashes, doc = (np.concatenate(x) for x in zip(*found, strict=True))
     order = np.lexsort((hashes, doc))
     hashes, doc = hashes[order], doc[order]
     new = np.ones(len(doc), bool)
@@ -336,6 +369,31 @@ def features_of(column: pa.Array, channel: Channel, settings: Settings) -> tuple
     return hashes[new], doc[new]
 
 
+def spread_blank(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """`data` with spaces from each `begin` to its `end`."""
+    data[spread(begin, end - begin)] = 0x20
+    return data
+
+
+def stretches(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The texts of bytes begin[k] to end[k]; cut at words, so that no character is split."""
+    size = end - begin
+    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    whole = pa.py_buffer(np.ascontiguousarray(data[spread(begin, size)]))
+    return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(ends), whole)
+
+
+def _hashed(words: Words, settings: Settings, only: Wanted | None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words and of their beginnings, and the text of each, as far as they are in `only`."""
+    hashes, doc = [], []
+    for n, at, some in ((0, None, words.hashes()), *words.prefixes(settings.prefixes)):
+        of, some = (words.doc, some) if at is None else (words.doc[at], some ^ np.uint64(n))
+        kept = slice(None) if only is None else only.among(some)
+        hashes.append(some[kept])
+        doc.append(of[kept])
+    return np.concatenate(hashes), np.concatenate(doc)
+
+
 @dataclass
 class Model:
     """What scoring needs: character costs, sorted feature hashes, their weights, the intercept."""
@@ -433,12 +491,10 @@ def score(docs: DataFrame, model: Model | None, settings: Settings) -> DataFrame
 
     def run(batches):
         held = Model(*sent.value)
-        channel = Channel(held.costs, settings)
+        channel, only = Channel(held.costs, settings), Wanted(held.features)
         for piece in slices(batches, "text"):
-            found, doc = features_of(piece.column(1), channel, settings)
-            place = np.minimum(np.searchsorted(held.features, found), len(held.features) - 1)
-            hit = held.features[place] == found
-            margin = np.bincount(doc[hit], held.weights[place[hit]], len(piece)) + held.intercept
+            found, doc = features_of(piece.column(1), channel, settings, only)
+            margin = np.bincount(doc, held.weights[np.searchsorted(held.features, found)], len(piece)) + held.intercept
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(1 / (1 + np.exp(-margin.clip(-30, 30))))], ["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")

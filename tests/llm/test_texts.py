@@ -24,6 +24,15 @@ def test_words_and_hashes(rows):
     assert [x.decode() for x in texts.joined(words, np.ones(len(want), bool))] == [" ".join(WORD.findall(t or "")) for t in rows]
 
 
+@given(some_texts)
+@settings(max_examples=60, deadline=None)
+def test_beginnings_of_words(rows):
+    words = texts.cut(pa.array(rows, pa.string()))
+    for n, at, hashes in words.prefixes((2, 3, 5)):
+        assert at.tolist() == np.flatnonzero(words.ends - words.starts > n).tolist()
+        assert hashes.tolist() == words.hashes(n)[at].tolist()
+
+
 @given(some_texts, st.integers(1, 4))
 @settings(max_examples=60, deadline=None)
 def test_ngrams(rows, n):
