@@ -18,6 +18,7 @@ Defined results: a null or empty text has only the end id; repeated rows are wri
 from __future__ import annotations
 
 import hashlib
+import os
 import uuid
 import zlib
 from dataclasses import dataclass
@@ -171,6 +172,8 @@ class LibraryCoder:
     RUN, AT_ONCE = 2_000, 8
 
     def __init__(self, library):
+        # Spark has a task for every core: threads of the library would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = library
         ids = library.get_vocab(with_added_tokens=True)
         added = library.get_added_tokens_decoder()

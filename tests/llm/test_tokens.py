@@ -33,6 +33,14 @@ def test_automaton_equals_library(library):
     assert [x.decode() for x in bpe.Decoder(vocabulary.labels).decode(ids, counts)] == rows
 
 
+def test_the_library_leaves_other_cores_to_other_tasks(library, monkeypatch):
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")
+    coder = simple8b.LibraryCoder(library)
+    assert simple8b.os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    ids, counts = coder.encode_many(pa.array([" ab", " cd", "ef"]))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [library.encode(t, add_special_tokens=False).ids for t in (" ab", " cd", "ef")]
+
+
 def test_decoding_of_broken_utf8(library):
     vocabulary = bpe.Vocabulary.from_file(vocabulary_path())
     ids = library.encode("日本é", add_special_tokens=False).ids
