@@ -40,11 +40,45 @@ def begins_blank(texts: pa.Array, last: bool = False) -> pa.Array:
     return pc.utf8_is_space(pc.utf8_slice_codeunits(texts, -1) if last else pc.utf8_slice_codeunits(texts, 0, 1))
 
 
+class Remembering:
+    """An encoder that keeps the ids of short chunks, up to `most` of them, for the batches and tasks that follow.
+
+    When there is no more room, only chunks that the last batch had stay.
+    """
+
+    LONGEST = 64
+
+    def __init__(self, encode_many: Encoder, most: int = 300_000):
+        self.encode_many, self.most = encode_many, most
+        self.known, self.ids = pa.array([], pa.string()), np.zeros(0, np.uint32)
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def __call__(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        place = pc.fill_null(pc.index_in(chunks, value_set=self.known), -1).to_numpy()
+        new = place < 0
+        ids, counts = self.encode_many(chunks.filter(pa.array(new)))
+        size, begin = np.empty(len(chunks), np.int64), np.empty(len(chunks), np.int64)
+        size[new], begin[new] = counts, len(self.ids) + np.cumsum(counts) - counts
+        size[~new], begin[~new] = self.size[place[~new]], self.begin[place[~new]]
+        flat = np.concatenate([self.ids, ids.astype(np.uint32, copy=False)])
+        self._keep(chunks, place, new, flat, begin, size)
+        return flat[spread(begin, size)], size
+
+    def _keep(self, chunks: pa.Array, place: np.ndarray, new: np.ndarray, flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        more = np.flatnonzero(new & (pc.binary_length(chunks).to_numpy(zero_copy_only=False) <= self.LONGEST))
+        stay = np.arange(len(self.known)) if len(self.known) + len(more) <= self.most else np.unique(place[~new])
+        more = more[:max(0, self.most - len(stay))]
+        self.known = pa.concat_arrays([self.known.take(pa.array(stay)), chunks.take(pa.array(more))])
+        begin, self.size = np.concatenate([self.begin[stay], begin[more]]), np.concatenate([self.size[stay], size[more]])
+        self.ids = flat[spread(begin, self.size)]
+        self.begin = np.cumsum(self.size) - self.size
+
+
 class ChunkCoder:
-    """`encode_many` gives the ids of each of many texts."""
+    """`encode_many` gives the ids of each of many texts; `encode_chunks`, if given, those of chunks."""
 
-    def __init__(self, encode_many: Encoder, specials: dict[str, int]):
-        self.encode_many, self.specials = encode_many, specials
+    def __init__(self, encode_many: Encoder, specials: dict[str, int], encode_chunks: Encoder | None = None):
+        self.encode_many, self.specials, self.encode_chunks = encode_many, specials, encode_chunks or encode_many
         self.at_special = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
 
     def irregular(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +120,7 @@ class ChunkCoder:
         wanted[chunk[regular]] = True
         led = pc.binary_join_element_wise("", values.filter(pa.array(wanted[:len(values)])), " ").cast(pa.string())
         bare = values.take(pa.array(index[first[wanted[len(values):]]])).cast(pa.string())
-        ids, counts = self.encode_many(pa.concat_arrays([led, bare]))
+        ids, counts = self.encode_chunks(pa.concat_arrays([led, bare]))
         # Irregular texts stand as a whole in the place of their first chunk.
         whole = np.flatnonzero(irregular)
         more, more_counts = self.irregular([column[int(k)].as_py() for k in whole])

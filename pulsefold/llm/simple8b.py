@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pulsefold.llm.presplit import ChunkCoder, begins_blank, per_worker
+from pulsefold.llm.presplit import ChunkCoder, Remembering, begins_blank, per_worker
 from pulsefold.llm.tables import fresh_folder, own_columns, stored
 from pulsefold.llm.texts import slices, spread
 
@@ -223,7 +223,8 @@ def write(documents: DataFrame, vocabulary_path: str, settings: Settings = Setti
         library.no_padding()
         library.no_truncation()
         specials = {t.content: k for k, t in library.get_added_tokens_decoder().items()}
-        return ChunkCoder(LibraryCoder(library).encode_many, specials)
+        encode_many = LibraryCoder(library).encode_many
+        return ChunkCoder(encode_many, specials, Remembering(encode_many))
 
     def run(batches):
         coder = per_worker(key, make)

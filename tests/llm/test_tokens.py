@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from pulsefold.llm import bpe, simple8b
-from pulsefold.llm.presplit import ChunkCoder
+from pulsefold.llm.presplit import ChunkCoder, Remembering
 from pulsefold.llm.queries import vocabulary_path
 
 ODD = ["", "a  b", " a", "a ", "\n x", "hello world's don't", "aaaaaaaaa aaaa", "<|endoftext|>", "a\n <|endoftext|>b  <|endoftext|>",
@@ -41,6 +41,26 @@ def test_the_library_leaves_other_cores_to_other_tasks(library, monkeypatch):
     assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [library.encode(t, add_special_tokens=False).ids for t in (" ab", " cd", "ef")]
 
 
+@pytest.mark.parametrize("most", [0, 3, 40, 10_000])
+def test_chunks_are_encoded_once_as_far_as_there_is_room(library, most):
+    draw, asked = random.Random(5), []
+    specials = {t.content: k for k, t in library.get_added_tokens_decoder().items()}
+    plain = simple8b.LibraryCoder(library).encode_many
+
+    def noted(texts):
+        asked.extend(texts.to_pylist())
+        return plain(texts)
+
+    coder = ChunkCoder(plain, specials, Remembering(noted, most))
+    for _ in range(4):
+        rows = ODD + [" ".join(draw.choice(["ab", "the", "x" * 70, "é", "1,2"]) + str(draw.randint(0, 9)) for _ in range(8)) for _ in range(20)]
+        ids, counts = coder.encode(pa.array(rows))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [e.ids for e in library.encode_batch_fast(rows, add_special_tokens=False)]
+        assert len(coder.encode_chunks.known) <= most
+    short = [x for x in asked if x.startswith(" ") and len(x) < 60]
+    assert (len(short) == len(set(short))) == (most == 10_000)
+
+
 def test_decoding_of_broken_utf8(library):
     vocabulary = bpe.Vocabulary.from_file(vocabulary_path())
     ids = library.encode("日本é", add_special_tokens=False).ids
