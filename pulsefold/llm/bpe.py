@@ -320,10 +320,14 @@ class Decoder:
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """UTF-8 of each text; bytes that are no UTF-8 become U+FFFD."""
         size = self.size[ids]
-        before = np.cumsum(size) - size
-        data = self.data[np.repeat(self.begin[ids] - before, size) + np.arange(int(size.sum()))].tobytes()
-        ends = np.concatenate([before, [len(data)]])[np.concatenate([[0], np.cumsum(counts)])]
-        return [data[a:b].decode("utf-8", "replace").encode() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        data = np.empty(int(ends[-1]), np.uint8)
+        # Laid out in stretches, as the places of all bytes would take far more room than the bytes.
+        for k in range(0, len(ids), 100_000):
+            some = slice(k, k + 100_000)
+            data[ends[k]:ends[min(k + 100_000, len(ids))]] = self.data[spread(self.begin[ids[some]], size[some])]
+        bounds = ends[np.concatenate([[0], np.cumsum(counts)])]
+        return [data[a:b].tobytes().decode("utf-8", "replace").encode() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 def encode_and_decode(documents: DataFrame, vocabulary_path: str, with_ids: bool = False, with_text: bool = False) -> DataFrame:
@@ -365,7 +369,7 @@ def _each(documents: DataFrame, vocabulary_path: str, step, columns: str) -> Dat
     def run(batches):
         automaton, specials = per_worker(name, lambda: pickle.loads(sent.value))
         coder, tables = ChunkCoder(automaton.encode_many, specials), Decoder(automaton.labels)
-        for piece in slices(batches, "text", 8_000_000):
+        for piece in slices(batches, "text"):
             ids, counts = coder.encode(piece.column(1))
             yield pa.RecordBatch.from_arrays([piece.column(0), *step(ids, counts, tables)], names)
 

@@ -136,6 +136,19 @@ def test_distances():
     assert decontaminate.distances(items, windows).tolist() == [exact(a, b) for a, b in zip(items.tolist(), windows.tolist())]
 
 
+def test_items_are_looked_for_in_small_runs(spark, monkeypatch):
+    class Bounded:
+        ids = [7]
+
+        def find(self, column):
+            return [(k, 0, 0, 0, 5) for k in range(len(column))] if column.nbytes > 2_100_000 else []
+
+    monkeypatch.setattr(decontaminate, "blocks", lambda *_: [Bounded()])
+    docs = spark.range(40, numPartitions=1).selectExpr("id AS doc_id", "repeat('ab cd ', 50000) AS text")
+    assert sorted(r.doc_id for r in decontaminate.without_contaminated(docs, docs).select("doc_id").collect()) == list(range(40))
+    assert decontaminate.contaminations(docs, docs).count() == 0
+
+
 def test_contaminated_documents(spark, frame):
     item = "the quick brown fox jumps over one lazy dog again and again"
     docs = frame("doc_id long, text string, item_id string", (1, f"Intro. {item.upper()}! Outro", "a"), (2, "nothing here at all " * 5, "b"), (3, None, "c"), (4, "", "d"),

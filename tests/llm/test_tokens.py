@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 from pathlib import Path
 
@@ -33,6 +34,27 @@ def test_automaton_equals_library(library):
     assert [x.decode() for x in bpe.Decoder(vocabulary.labels).decode(ids, counts)] == rows
 
 
+def test_decoding_takes_little_more_room_than_the_bytes():
+    ids, counts = np.tile(np.array([3, 0, 2, 1], np.uint32), 1_000_000), np.array([1_000_001, 0, 2_999_999])
+    tracemalloc.start()
+    try:
+        texts = bpe.Decoder([b"ab", b"c", b"defgh", b" ijklmn"]).decode(ids, counts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    whole = b" ijklmnabdefghc" * 1_000_000
+    assert texts == [whole[:15 * 250_000 + 7], b"", whole[15 * 250_000 + 7:]]
+    assert peak < 12 * len(whole)
+
+
+def test_texts_are_encoded_in_small_runs(spark):
+    docs = spark.range(40, numPartitions=1).selectExpr("id AS doc_id", "repeat('ab cd ', 50000) AS text")
+    in_run = bpe._each(docs, vocabulary_path(), lambda ids, counts, tables: [pa.array(np.full(len(counts), len(counts)))], "in_run long")
+    rows = in_run.collect()
+    assert sorted(r.doc_id for r in rows) == list(range(40))
+    assert max(r.in_run for r in rows) * 300_000 <= 2_000_000
+
+
 def test_the_library_leaves_other_cores_to_other_tasks(library, monkeypatch):
     monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")
     coder = simple8b.LibraryCoder(library)
