@@ -15,6 +15,7 @@ from pulsefold.operators.stats import with_class_weight
 from pulsefold.plans.federated import (
     FederatedResult, RoundSettings, bucketed, client_table, score_global, train_federated,
 )
+from pulsefold.plans.perceptron import fit_perceptron
 from pulsefold.plans.synchronous import StepSettings, final_models, train_synchronous
 from pulsefold.schema import LABEL
 from pulsefold.session import shared_path, written
@@ -41,17 +42,18 @@ def train_central(ml: DataFrame, kind: str = "mlp", max_iter: int = 50, hidden:
         rows = with_class_weight(rows.withColumn("_all", F.lit(1)), ["_all"]).drop("_all")
     ready = on_all_cores(written(rows.withColumn("label", F.col(LABEL).cast("double")), "central"), row_id)
     vectors = ready.withColumn("features", array_to_vector("features"))
-    train, held_out = vectors.where("is_train"), vectors.where("not is_train")
+    held_out = vectors.where("not is_train")
     if kind == "mlp":
         inputs = input_dimension(ready)
         learner = MultilayerPerceptronClassifier(layers=[inputs, *hidden, 2], maxIter=max_iter, seed=seed)
+        model = fit_perceptron(ready.where("is_train"), learner)
     elif kind == "logistic":
         learner = LogisticRegression(maxIter=max_iter)
         if weighted:
             learner.setWeightCol("weight")
+        model = learner.fit(vectors.where("is_train"))
     else:
         raise ValueError(f"kind must be 'mlp' or 'logistic', not {kind!r}")
-    model = learner.fit(train)
     scored = model.transform(held_out).select(
         F.lit("central").alias("model"),
         F.col("label").cast("int").alias("label"),

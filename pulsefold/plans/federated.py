@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
@@ -30,6 +31,8 @@ cloudpickle.register_pickle_by_value(network)
 cloudpickle.register_pickle_by_value(synchronous)
 
 MODELS_IN_CLOSURE = 1_000
+# Shards that a task trains side by side: more cost memory and save next to nothing.
+SIDE_BY_SIDE = 8
 Aggregate = Callable[[DataFrame], DataFrame]
 # (key, rows of a shard, global parameters, options of the round) -> one row as in UPDATE.
 LocalFit = Callable[[tuple, pd.DataFrame, np.ndarray, dict], pd.DataFrame]
@@ -110,22 +113,27 @@ class FederatedResult:
 
 
 def client_table(ml: DataFrame, settings: RoundSettings, row_id: str = "event_id") -> tuple[DataFrame, int]:
-    """Training input with `is_train`, class `weight` and a `shard` of bounded size; the number of shards.
+    """Training input with `is_train`, class `weight`, a `shard` of bounded size and its `place` among all; the number of shards.
 
     An institution of up to `rows_per_shard` rows is one shard, hence one client as a whole.
     `ml` is read several times, so it should be a stored table.
     """
-    records = F.sum("records").over(Window.partitionBy("institution"))  # over one row per class
+    # All over one row per class of an institution.
+    classes = Window.partitionBy("institution")
+    records = F.sum("records").over(classes)
+    once = F.when(F.row_number().over(classes.orderBy(LABEL)) == 1, F.col("_shards"))
+    upto = F.sum("_once").over(Window.orderBy("institution").rangeBetween(Window.unboundedPreceding, 0))
     known = written(class_weights(ml, ["institution"]).select(
         "institution", LABEL, F.ceil(records / settings.rows_per_shard).cast("int").alias("_shards"),
         "weight" if settings.weighted_loss else F.lit(1.0).alias("weight"),
-    ), "classes")
+    ).withColumn("_once", once).withColumn("_before", (upto - F.col("_shards")).cast("int")).drop("_once"), "classes")
     shards = known.select("institution", "_shards").distinct().agg(F.sum("_shards")).first()[0] or 0
     shard = F.pmod(F.xxhash64(F.col(row_id), F.lit(settings.seed)), F.col("_shards")).cast("int")
     rows = attach(ml, known, ["institution", LABEL])
     split = split_train_val(rows, ["institution"], row_id, 0.8, settings.seed)
     return split.select(
-        "institution", shard.alias("shard"), row_id, "features", F.col(LABEL).alias("label"), "weight", "is_train"
+        "institution", shard.alias("shard"), row_id, "features", F.col(LABEL).alias("label"), "weight", "is_train",
+        (F.col("_before") + shard).alias("place"),
     ), shards
 
 
@@ -155,6 +163,29 @@ def bucketed(rows: DataFrame, shards: int) -> tuple[DataFrame, str]:
     return spark.table(name), name
 
 
+def in_teams(rows: DataFrame, shards: int) -> tuple[DataFrame, str]:
+    """`bucketed`, but by `team`: as many shards as a task trains side by side, at most `SIDE_BY_SIDE`.
+
+    Shards go to teams in turn by their `place`, so teams are equally large; beyond the number of cores, the teams are a
+    multiple of it.
+    """
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    teams = max(1, min(shards, cores * math.ceil(shards / (SIDE_BY_SIDE * cores))))
+    name = f"pulsefold_clients_{uuid.uuid4().hex}"
+    # For every bucket a number that Spark's hash puts there: a team then has a task to itself.
+    bucket = F.pmod(F.hash(F.col("id").cast("int")), F.lit(teams))
+    own = dict(tuple(r) for r in spark.range(64 * teams).groupBy(bucket).agg(F.min("id")).collect())
+    names = F.lit([own.get(team, team) for team in range(teams)]).cast("array<int>")
+    (
+        rows.withColumn("team", F.element_at(names, F.pmod("place", F.lit(teams)) + 1))
+        .repartition(teams, "team")
+        .write.partitionBy("is_train").bucketBy(teams, "team")
+        .option("path", shared_path(spark, "clients")).saveAsTable(name)
+    )
+    return spark.table(name), name
+
+
 def local_updates(train: DataFrame, params: np.ndarray, dims: tuple[int, ...], settings: RoundSettings,
                   number: int, options: dict | None = None, local_fit: LocalFit | None = None) -> DataFrame:
     """Every shard trains from the global parameters; one row per shard comes back.
@@ -168,27 +199,36 @@ def local_updates(train: DataFrame, params: np.ndarray, dims: tuple[int, ...], s
         own = train.where("is_train") if "is_train" in train.columns else train
         return own.groupBy("institution", "shard").applyInPandas(
             lambda key, rows: local_fit(key, rows, params, options).assign(val_examples=None, epochs=None)[columns], UPDATE)
-    fit, flat = network.train, params
+    fit, flat, inputs = network.train_each, params, [f"x{i}" for i in range(dims[0])]
     seed, rate, dropout = settings.seed, options.get("learning_rate", settings.learning_rate), settings.dropout
 
-    def fit_shard(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
-        institution, shard = key
-        rows = rows.sort_values("event_id")
-        held = rows[~rows["is_train"]] if "is_train" in rows else rows[:0]
-        rows = rows[rows["is_train"]] if "is_train" in rows else rows
-        if rows.empty:
+    def fit_shards(rows: pd.DataFrame) -> pd.DataFrame:
+        shards, known = [], []
+        for (institution, shard), part in rows.groupby(["institution", "shard"], sort=False, dropna=False):
+            part = part.sort_values("event_id")
+            own = part["is_train"].to_numpy()
+            if not own.any():
+                continue
+            x, y, w = np.ascontiguousarray(part[inputs].to_numpy()), part["label"].to_numpy(), part["weight"].to_numpy()
+            held_out = None if own.all() else (x[~own], y[~own])
+            rng = np.random.default_rng([seed, options["round"], int(shard), *institution.encode()])
+            shards.append((x[own], y[own], w[own], rng, held_out))
+            known.append((institution, int(shard), int(own.sum()), int((~own).sum())))
+        if not shards:
             return pd.DataFrame(columns=columns)
-        rng = np.random.default_rng([seed, options["round"], shard, *institution.encode()])
-        new, epochs = fit(
-            flat, dims, np.stack(rows["features"].to_numpy()), rows["label"].to_numpy(), rows["weight"].to_numpy(),
-            options["local_epochs"], options["batch_size"], rate, dropout, rng,
-            (np.stack(held["features"].to_numpy()), held["label"].to_numpy()) if len(held) else None,
-        )
-        loss, accuracy = epochs[-1][:2]
-        each = [dict(zip(("train_loss", "train_accuracy", "val_loss", "val_accuracy"), e)) for e in epochs]
-        return pd.DataFrame([[institution, int(shard), len(rows), new.tolist(), loss, accuracy, len(held), each]], columns=columns)
+        found = []
+        for (institution, shard, n, held), (new, epochs) in zip(known, fit(
+                flat, dims, shards, options["local_epochs"], options["batch_size"], rate, dropout)):
+            each = [dict(zip(("train_loss", "train_accuracy", "val_loss", "val_accuracy"), e)) for e in epochs]
+            found.append([institution, shard, n, new.tolist(), *epochs[-1][:2], held, each])
+        return pd.DataFrame(found, columns=columns)
 
-    return train.groupBy("institution", "shard").applyInPandas(fit_shard, UPDATE)
+    # Features travel as plain columns: an array would be an object in Python for every row.
+    by = ["team"] if "team" in train.columns else ["institution", "shard"]
+    is_train = "is_train" if "is_train" in train.columns else F.lit(True).alias("is_train")
+    plain = train.select(*dict.fromkeys([*by, "institution", "shard", "event_id", "label", "weight"]), is_train,
+                         *[F.col("features")[i].alias(name) for i, name in enumerate(inputs)])
+    return plain.groupBy(*by).applyInPandas(fit_shards, UPDATE)
 
 
 def synchronous_updates(rows: DataFrame, params: np.ndarray, dims: tuple[int, ...], settings: RoundSettings,
@@ -293,7 +333,9 @@ def train_federated(ml: DataFrame, settings: RoundSettings = RoundSettings(), ru
     """
     spark = ml.sparkSession
     run_dir = run_dir or shared_path(spark, "federated")
-    rows, table = bucketed(*client_table(ml.withColumnRenamed(row_id, "event_id"), settings))
+    # Only the network's own training takes shards side by side.
+    store = in_teams if settings.mode == "averaged" and local_fit is None else bucketed
+    rows, table = store(*client_table(ml.withColumnRenamed(row_id, "event_id"), settings))
     try:
         params, dims = _run_rounds(rows, settings, run_dir, on_round, config_fn, local_fit, initial)
     finally:
