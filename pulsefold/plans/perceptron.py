@@ -58,6 +58,8 @@ def in_blocks(rows: DataFrame, inputs: int, size: int, parts: int) -> DataFrame:
 
         for batch in batches:
             table = pa.Table.from_batches([batch])
+            if any(column.null_count for column in table.columns):
+                raise ValueError("features and labels must not be missing")  # as in Spark's own fit
             table = table if rest is None else pa.concat_tables([rest, table])
             whole = len(table) // size * size
             if whole:

@@ -54,6 +54,15 @@ def test_blocks_are_those_of_the_partitions_and_tasks_equally_large(ml):
     assert len(held) == 5 and sum(held) == 900 and max(held) - min(held) <= 3 * 32
 
 
+@pytest.mark.parametrize("broken", ["array(1.0D, null, 2.0D, 3.0D)", "null"])
+def test_missing_features_or_labels_are_an_error(ml, broken):
+    rows = ml.select("features", F.col("hypo_risk").cast("double").alias("label")).limit(20)
+    last = rows.limit(1)
+    last = last.withColumn("label", F.expr(broken).cast("double")) if broken == "null" else last.withColumn("features", F.expr(broken))
+    with pytest.raises(Exception, match="must not be missing"):
+        perceptron.fit_perceptron(rows.unionByName(last), MultilayerPerceptronClassifier(layers=[4, 3, 2], maxIter=2))
+
+
 def test_descent_finds_the_least_value_and_gives_up_without_one():
     def valley(x):
         a, b = 1 - x[0], x[1] - x[0] ** 2
